@@ -86,21 +86,24 @@ def is_sample_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StringType)
 
 
-def distinct_supported(dtype: T.DataType) -> bool:
-    """Types Spark can group by; ``variant`` cannot, so its ``unique`` is null."""
+def distinct_supported(dtype: T.DataType, top: bool = True) -> bool:
+    """Types whose ``unique`` we can count. ``variant`` cannot be grouped; a
+    map is counted through its sorted entries (top level only)."""
     variant = getattr(T, "VariantType", None)
     if variant is not None and isinstance(dtype, variant):
         return False
-    if isinstance(dtype, (T.ArrayType, T.StructType)):
-        return all(distinct_supported(t) for t in _children(dtype))
     if isinstance(dtype, T.MapType):
-        return distinct_supported(dtype.keyType) and distinct_supported(dtype.valueType)
+        return top and distinct_supported(dtype.keyType, False) and distinct_supported(dtype.valueType, False)
+    if isinstance(dtype, T.ArrayType):
+        return distinct_supported(dtype.elementType, False)
+    if isinstance(dtype, T.StructType):
+        return all(distinct_supported(f.dataType, False) for f in dtype.fields)
     return True
 
 
-def _children(dtype: T.DataType):
-    if isinstance(dtype, T.ArrayType):
-        return [dtype.elementType]
-    if isinstance(dtype, T.StructType):
-        return [f.dataType for f in dtype.fields]
-    return []
+def distinct_key(c: Column, dtype: T.DataType) -> Column:
+    """A groupable stand-in for ``c`` with the same equality: maps compare
+    as their entry sets, so they are keyed by their sorted entries."""
+    if isinstance(dtype, T.MapType):
+        return F.array_sort(F.map_entries(c))
+    return c

@@ -39,6 +39,7 @@ from quarry.functions.encoding import (
     MINMAX_NONE,
     MINMAX_STR,
     MINMAX_TYPE,
+    distinct_key,
     distinct_supported,
     encoded_int,
     is_sample_type,
@@ -185,7 +186,7 @@ def _exact_distinct(df: DataFrame, fields) -> DataFrame | None:
     parts = []
     for i, f in fields:
         part = (
-            df.select(qcol(f.name).alias("v"))
+            df.select(distinct_key(qcol(f.name), f.dataType).alias("v"))
             .distinct()
             .agg(F.count(F.lit(1)).alias("unique"))
             .select(F.lit(i).cast("int").alias("position"), "unique")
@@ -256,13 +257,13 @@ def profile_detailed(
             unique = F.lit(None).cast("bigint")
         elif distinct == "approx":
             aggs += [
-                F.approx_count_distinct(c).alias(f"q_ad_{i}"),
+                F.approx_count_distinct(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
                 F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
             ]
             unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
         elif distinct == "exact_single_pass":
             aggs += [
-                F.count_distinct(c).alias(f"q_ad_{i}"),
+                F.count_distinct(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
                 F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
             ]
             unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
