@@ -35,6 +35,11 @@ from quarry.functions.inference import infer_types
 from quarry.functions.naming import generated_names, header_names
 
 EXTRA = "__quarry_extra__"
+# The parser reports an unquoted empty field as ``nullValue`` and a quoted one
+# (``""``) as the empty string. With the default ``nullValue=""`` both would
+# turn into null; a NUL sentinel keeps them apart: empty field -> null,
+# ``""`` -> "".
+NULL_SENTINEL = "\u0000"
 RAGGED_MODES = ("error", "ignore")
 
 
@@ -57,6 +62,7 @@ def _options(delimiter, quote_char, comment, multiline, encoding, mode):
         "multiLine": str(bool(multiline)).lower(),
         "encoding": encoding,
         "mode": mode,
+        "nullValue": NULL_SENTINEL,
     }
     if comment:
         opts["comment"] = comment
@@ -249,7 +255,7 @@ def _read_lines_route(
     )
     body = marked.where(~F.col("is_header") & (F.col("value") != ""))
     quote = quote_char or '"'
-    opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode}
+    opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode, "nullValue": NULL_SENTINEL}
     if schema is None:
         if has_header:
             got = marked.where("is_header").select("value").limit(1).collect()

@@ -1,0 +1,66 @@
+import pytest
+from pyspark.sql import types as T
+
+from conftest import write_text
+from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
+
+
+def test_ndjson_file(spark, tmp):
+    path = write_text(tmp + "/a.json", '{"id": 1, "name": "a"}\n{"id": 2, "name": "b", "x": 1.5}\n')
+    df = read_json(spark, path)
+    assert dict((f.name, f.dataType) for f in df.schema.fields) == {
+        "id": T.LongType(), "name": T.StringType(), "x": T.DoubleType()}
+    assert df.count() == 2
+
+
+def test_array_file_crlf(spark, tmp):
+    text = ('[{"id": 1, "name": "a", "amount": 5, "notes": null},\n'
+            '{"id": 2, "name": "b", "amount": 7, "notes": "n"},\n'
+            '{"id": 3, "name": "c", "amount": null, "notes": "m"}]\n')
+    df = read_json(spark, write_text(tmp + "/s.json", text, newline="\r\n"), array=True)
+    rows = {r.id: r for r in df.collect()}
+    assert len(rows) == 3 and rows[3].amount is None and rows[1].notes is None
+
+
+def test_empty_json_is_error(spark, tmp):
+    with pytest.raises(ValueError, match="empty"):
+        read_json(spark, write_text(tmp + "/e.json", ""))
+
+
+def test_malformed_json_is_error(spark, tmp):
+    with pytest.raises(Exception):
+        read_json(spark, write_text(tmp + "/m.json", "{not valid json")).collect()
+
+
+def test_text_array_and_ndjson_bodies(spark):
+    bodies = spark.createDataFrame(
+        [(1, ' [{"a": 1, "b": "x"}, {"a": 2, "b": "y"}] '), (2, '{"a": 3, "b": "z"}\r\n{"a": 4}\n\n')],
+        "k int, body string",
+    )
+    df = parse_json_text(bodies, "body", keep=["k"])
+    assert sorted(df.collect()) == [(1, 1, "x"), (1, 2, "y"), (2, 3, "z"), (2, 4, None)]
+
+
+def test_text_with_schema(spark):
+    bodies = spark.createDataFrame([('[{"a": 1}]',)], "body string")
+    df = parse_json_text(bodies, "body", schema=T.StructType([T.StructField("a", T.IntegerType())]))
+    assert df.schema["a"].dataType == T.IntegerType() and df.collect() == [(1,)]
+
+
+def test_text_malformed_is_error(spark):
+    bodies = spark.createDataFrame([("{not valid json",)], "body string")
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    with pytest.raises(Exception):
+        parse_json_text(bodies, "body", schema=schema).collect()
+    with pytest.raises(Exception):
+        parse_json_text(bodies, "body").collect()
+
+
+def test_http_bodies_status_filter(spark):
+    landed = spark.createDataFrame(
+        [("/u", 200, '[{"name": "ann"}, {"name": "bob"}]'), ("/missing", 404, "Not Found")],
+        "url string, status int, body string",
+    )
+    df = parse_http_bodies(landed, keep=["url"])
+    assert "name" in df.columns
+    assert sorted(r.name for r in df.collect()) == ["ann", "bob"]

@@ -1,0 +1,127 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
+
+from conftest import write_text
+from quarry.sources.text import read_csv, read_text
+
+
+def stock_csv(path, n=263):
+    lines = ["Date,Open,High,Low,Close,Adj Close,Volume"]
+    for i in range(n):
+        v = 2000.0 + i * 1.5
+        lines.append(f"2017-{(i % 12) + 1:02d}-{(i % 28) + 1:02d},{v:.6f},{v + 1:.6f},{v - 1:.6f},"
+                     f"{v + 0.5:.6f},{v + 0.25:.6f},{3393913024 + i * 1000}")
+    return write_text(path, "\n".join(lines) + "\n")
+
+
+def test_csv_shape_of_shipped_sample(spark, tmp):
+    df = read_csv(spark, stock_csv(tmp + "/sample.csv"))
+    assert df.columns == ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    assert types["Date"] == T.StringType()  # no date inference
+    assert types["Open"] == T.DoubleType() and types["Adj Close"] == T.DoubleType()
+    assert types["Volume"] == T.LongType()
+    assert df.count() == 263
+
+
+def test_infer_dates_on_request(spark, tmp):
+    df = read_csv(spark, stock_csv(tmp + "/s.csv", 5), infer_dates=True)
+    assert df.schema["Date"].dataType == T.DateType()
+
+
+def test_small_ints_are_bigint(spark, tmp):
+    df = read_csv(spark, write_text(tmp + "/a.csv", "a,b,c\n1,x,true\n2,y,FALSE\n"))
+    assert [f.dataType for f in df.schema.fields] == [T.LongType(), T.StringType(), T.BooleanType()]
+
+
+def test_no_header_names(spark, tmp):
+    df = read_csv(spark, write_text(tmp + "/a.csv", "1,x\n2,y\n"), has_header=False)
+    assert df.columns == ["column_1", "column_2"]
+    assert df.count() == 2
+
+
+def test_duplicate_header(spark, tmp):
+    df = read_csv(spark, write_text(tmp + "/a.csv", "a,a,,a\n1,2,3,4\n"))
+    assert df.columns == ["a", "a_duplicated_0", "column_3", "a_duplicated_1"]
+
+
+def test_short_row_tolerated(spark, tmp):
+    df = read_csv(spark, write_text(tmp + "/a.csv", "col1,col2\n1,2\n3\n"))
+    rows = sorted(df.collect(), key=lambda r: r[0])
+    assert rows[0] == (1, 2) and rows[1] == (3, None)
+
+
+def test_long_row_is_error(spark, tmp):
+    df = read_csv(spark, write_text(tmp + "/a.csv", "col1,col2\n1,2\n3,4,5\n"))
+    with pytest.raises(Exception, match="more fields"):
+        df.collect()
+    ok = read_csv(spark, tmp + "/a.csv", on_ragged="ignore")
+    assert ok.count() == 2
+
+
+def test_missing_file(spark, tmp):
+    with pytest.raises(AnalysisException):
+        read_csv(spark, tmp + "/nope.csv").collect()
+
+
+def test_quoted_text(spark, tmp):
+    text = 'id,s\n1,"say ""hi"""\n2,""\n3,\n4,"two\nlines"\n'
+    df = read_csv(spark, write_text(tmp + "/q.csv", text), multiline=True)
+    got = {r.id: r.s for r in df.collect()}
+    assert got == {1: 'say "hi"', 2: "", 3: None, 4: "two\nlines"}
+
+
+def test_text_options(spark, tmp):
+    text = "junk one\njunk two\n## comment before header\na|b|c\n1|x|2.5\n## mid comment\n2|y|3.5\n"
+    path = write_text(tmp + "/t.txt", text)
+    df = read_text(spark, path, delimiter="|", comment_prefix="##", skip_rows=2)
+    assert df.columns == ["a", "b", "c"]
+    assert [f.dataType for f in df.schema.fields] == [T.LongType(), T.StringType(), T.DoubleType()]
+    assert sorted(df.collect()) == [(1, "x", 2.5), (2, "y", 3.5)]
+
+
+def test_text_options_many_files(spark, tmp):
+    for i in range(3):
+        write_text(f"{tmp}/f{i}.txt", f"skip\na;b\n{i};v{i}\n{i + 10};w{i}\n")
+    df = read_text(spark, tmp, delimiter=";", skip_rows=1)
+    assert sorted(df.collect()) == sorted([(i, f"v{i}") for i in range(3)] + [(i + 10, f"w{i}") for i in range(3)])
+
+
+def test_one_char_comment_uses_csv_scan(spark, tmp):
+    path = write_text(tmp + "/t.txt", "a\tb\n#c\n1\t2\n")
+    df = read_text(spark, path, delimiter="\t", comment_prefix="#")
+    assert df.collect() == [(1, 2)]
+    assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_skip_rows_without_header(spark, tmp):
+    path = write_text(tmp + "/t.txt", "x\ny\n1,a\n2,b\n")
+    df = read_text(spark, path, has_header=False, skip_rows=2)
+    assert df.columns == ["column_1", "column_2"]
+    assert sorted(df.collect()) == [(1, "a"), (2, "b")]
+
+
+def test_crlf_lines(spark, tmp):
+    path = write_text(tmp + "/t.csv", "a,b\n1,2\n3,4\n", newline="\r\n")
+    assert sorted(read_csv(spark, path).collect()) == [(1, 2), (3, 4)]
+    assert sorted(read_text(spark, path, skip_rows=0, comment_prefix="//").collect()) == [(1, 2), (3, 4)]
+
+
+def test_infer_length(spark, tmp):
+    path = write_text(tmp + "/a.csv", "a\n1\n2\n2.5\n")
+    assert read_csv(spark, path, infer_schema_length=None).schema["a"].dataType == T.DoubleType()
+    assert read_csv(spark, path, infer_schema_length=2).schema["a"].dataType == T.LongType()
+
+
+def test_explicit_schema(spark, tmp):
+    path = write_text(tmp + "/a.csv", "a,b\n1,x\n")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    df = read_csv(spark, path, schema=schema)
+    assert df.columns == ["k", "v"] and df.collect() == [(1, "x")]
+
+
+def test_filter_reaches_csv_scan(spark, tmp):
+    df = read_csv(spark, stock_csv(tmp + "/s.csv", 20))
+    plan = df.where("Volume > 0").select("Open")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
