@@ -95,6 +95,11 @@ DOCS_JOIN = "(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l
 DOCS_JOIN_NARROW = "(SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic " \
                    "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 
+def number_text_sql(c: str) -> str:
+    """A double as the xlsx reader prints it: shortest digits, no ``.0``."""
+    return f"regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '')"
+
+
 ORDERS_1997 = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'"
 
 ORACLES = {
@@ -117,6 +122,12 @@ ORACLES = {
     "json_bodies": "SELECT event_id, event_type, value FROM events",
     "parquet_copy": "SELECT * FROM lineitem",
     "orc_roundtrip": "SELECT * FROM nation",
+    "avro_read": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_us(o_orderdate) AS o_orderdate, "
+                 "o_orderpriority FROM orders",
+    "excel_read": "SELECT CAST(p_partkey AS VARCHAR) AS col0, p_name AS col1, p_brand AS col2, p_type AS col3, "
+                  "CAST(p_size AS VARCHAR) AS col4, " + number_text_sql("p_retailprice") + " AS col5 FROM part",
+    "excel_bytes": "SELECT CAST(c_custkey AS VARCHAR) AS col0, c_name AS col1, CAST(c_nationkey AS VARCHAR) AS col2, "
+                   + number_text_sql("c_acctbal") + " AS col3, c_mktsegment AS col4 FROM customer",
     "sql_copy_filtered": ORDERS_1997,
     "jdbc_query": ORDERS_1997,
     "jdbc_partitioned": "SELECT * FROM orders",

@@ -20,9 +20,12 @@ from quarry.operators.profile import (
 )
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql
+from quarry.plans.fixtures import event_bodies, workbooks_from, write_avro_files, write_with_preamble
 from quarry.session import scratch_dir
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
+from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
+from quarry.sources.excel import parse_workbook_bytes, read_excel
 from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
 from quarry.sources.text import read_csv, read_text
 
@@ -102,25 +105,6 @@ def q_csv_no_header(spark, sf_dir):
     return read_csv(spark, out, has_header=False)
 
 
-def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: int) -> None:
-    """Lay ``df`` out as delimited text where every file starts with
-    ``junk_lines`` junk lines, a header and a ``##`` comment, and has a second
-    comment after its fifth row. Rows are rendered by ``to_csv`` (quoting
-    included); the position inside a partition comes from the low 33 bits of
-    ``monotonically_increasing_id``, so no shuffle or window is involved."""
-    header = delimiter.join(df.columns)
-    preamble = "".join(f"junk line {i + 1} of the export\n" for i in range(junk_lines))
-    preamble += header + "\n## exported rows follow\n"
-    row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    line = F.to_csv(F.struct(*df.columns), {"sep": delimiter, "quote": '"', "escape": '"'})
-    text = (
-        F.when(row_in_part == 0, F.concat(F.lit(preamble), line))
-        .when(row_in_part == 5, F.concat(F.lit("## checkpoint comment\n"), line))
-        .otherwise(line)
-    )
-    df.select(text.alias("value")).write.mode("overwrite").text(path)
-
-
 def q_text_pipe_options(spark, sf_dir):
     out = scratch_dir(spark, "pipe")
     write_with_preamble(table(spark, sf_dir, "part"), out, "|", 2)
@@ -140,25 +124,6 @@ def q_json_from_text(spark, sf_dir):
     return parse_json_text(table(spark, sf_dir, "events"), "props", keep=["event_id"])
 
 
-def event_bodies(events: DataFrame, per_body: int = 100) -> DataFrame:
-    """Landed responses ``(url, status, body)`` built from ``events``: one
-    body per user and block of ``per_body`` event ids (so a body never holds
-    more than ``per_body`` records, however hot the user). Even blocks are JSON
-    arrays, odd blocks NDJSON."""
-    block = F.floor(F.col("event_id") / per_body)
-    rec = F.struct("event_id", "event_type", "value")
-    grouped = events.groupBy("user_id", block.alias("block")).agg(
-        F.sort_array(F.collect_list(rec)).alias("recs")
-    )
-    as_array = F.to_json(F.col("recs"))
-    as_lines = F.array_join(F.transform(F.col("recs"), lambda r: F.to_json(r)), "\n")
-    return grouped.select(
-        F.concat(F.lit("/users/"), F.col("user_id"), F.lit("/events?block="), F.col("block")).alias("url"),
-        F.lit(200).alias("status"),
-        F.when(F.col("block") % 2 == 0, as_array).otherwise(as_lines).alias("body"),
-    )
-
-
 def q_json_bodies(spark, sf_dir):
     bodies = event_bodies(table(spark, sf_dir, "events"))
     return parse_http_bodies(bodies).select("event_id", "event_type", "value")
@@ -179,6 +144,46 @@ def q_orc_roundtrip(spark, sf_dir):
     return read_orc(spark, out)
 
 
+def q_avro_read(spark, sf_dir):
+    out = scratch_dir(spark, "avro")
+    write_avro_files(table(spark, sf_dir, "orders"), out)
+    return read_avro(spark, out)
+
+
+def _land_workbooks(spark, books: DataFrame, directory: str) -> None:
+    """Write workbook bytes as ``.xlsx`` files (fixture for S6)."""
+    import os
+
+    os.makedirs(directory, exist_ok=True)
+
+    def run(batches):
+        import pyarrow as pa
+
+        n = 0
+        for b in batches:
+            for book, content in zip(b.column("book").to_pylist(), b.column("content").to_pylist()):
+                with open(os.path.join(directory, f"{book}.xlsx"), "wb") as fh:
+                    fh.write(content)
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]}, schema=pa.schema([("n", pa.int64())]))
+
+    books.mapInArrow(run, "n bigint").collect()
+
+
+def q_excel_read(spark, sf_dir):
+    """S6 over workbooks built from ``part`` (500 rows each); every
+    workbook's header row is kept as data by the reader and dropped here."""
+    out = scratch_dir(spark, "xlsx")
+    _land_workbooks(spark, workbooks_from(table(spark, sf_dir, "part"), rows_per_book=500), out)
+    return read_excel(spark, out).where(F.col("col0") != "p_partkey")
+
+
+def q_excel_bytes(spark, sf_dir):
+    """Workbooks held as bytes in a column, parsed in place."""
+    books = workbooks_from(table(spark, sf_dir, "customer"), rows_per_book=400)
+    return parse_workbook_bytes(books, "content").where(F.col("col0") != "c_custkey")
+
+
 # ------------------------------------------------------------------ SQL / JDBC
 
 
@@ -245,6 +250,9 @@ QUERIES = {
     "json_bodies": q_json_bodies,
     "parquet_copy": q_parquet_copy,
     "orc_roundtrip": q_orc_roundtrip,
+    "avro_read": q_avro_read,
+    "excel_read": q_excel_read,
+    "excel_bytes": q_excel_bytes,
     "sql_copy_filtered": q_sql_copy_filtered,
     "jdbc_query": q_jdbc_query,
     "jdbc_partitioned": q_jdbc_partitioned,
