@@ -44,6 +44,20 @@ def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: in
     df.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def csv_bodies(df: DataFrame, key: str, per_body: int = 25) -> DataFrame:
+    """CSV documents ``(block, body)`` built from ``df``: one document per
+    block of ``per_body`` consecutive ``key`` values, header first, rows
+    rendered by ``to_csv``."""
+    header = ",".join(df.columns)
+    block = F.floor(F.col(key) / per_body).alias("block")
+    line = F.to_csv(F.struct(*df.columns), {"quote": '"', "escape": '"'})
+    grouped = df.groupBy(block).agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("l")))).alias("rows"))
+    return grouped.select(
+        "block",
+        F.concat(F.lit(header + "\n"), F.array_join(F.transform("rows", lambda r: r["l"]), "\n")).alias("body"),
+    )
+
+
 # ------------------------------------------------------------------ JSON bodies
 
 

@@ -116,6 +116,9 @@ ORACLES = {
     "csv_no_header": "SELECT CAST(r_regionkey AS BIGINT) AS column_1, r_name AS column_2 FROM region",
     "text_pipe_options": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
                          "p_retailprice FROM part",
+    "csv_payloads": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
+    "file_pipeline": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag "
+                     "FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000",
     "json_lines_roundtrip": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
                             "c_mktsegment FROM customer",
     "json_from_text": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",

@@ -20,14 +20,21 @@ from quarry.operators.profile import (
 )
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql
-from quarry.plans.fixtures import event_bodies, workbooks_from, write_avro_files, write_with_preamble
+from quarry.plans.fixtures import (
+    csv_bodies,
+    event_bodies,
+    workbooks_from,
+    write_avro_files,
+    write_with_preamble,
+)
+from quarry.plans.pipeline import run_file_pipeline
 from quarry.session import scratch_dir
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
 from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.excel import parse_workbook_bytes, read_excel
 from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
-from quarry.sources.text import read_csv, read_text
+from quarry.sources.text import parse_csv_text, read_csv, read_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +118,23 @@ def q_text_pipe_options(spark, sf_dir):
     return read_text(spark, out, delimiter="|", has_header=True, comment_prefix="##", skip_rows=2)
 
 
+def q_csv_payloads(spark, sf_dir):
+    """CSV documents held in a string column, one per block of suppliers."""
+    bodies = csv_bodies(table(spark, sf_dir, "supplier"), "s_suppkey")
+    return parse_csv_text(bodies, "body")
+
+
+def q_file_pipeline(spark, sf_dir):
+    """Parquet -> select -> ordered limit -> CSV, read back."""
+    out = scratch_dir(spark, "pipeline")
+    run_file_pipeline(
+        spark, "parquet", f"{sf_dir.rstrip('/')}/lineitem.parquet", "csv", out,
+        columns=["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"],
+        limit=1000, order_by=["l_orderkey", "l_linenumber"],
+    )
+    return read_csv(spark, out)
+
+
 # ------------------------------------------------------------------ JSON
 
 
@@ -245,6 +269,8 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "csv_no_header": q_csv_no_header,
     "text_pipe_options": q_text_pipe_options,
+    "csv_payloads": q_csv_payloads,
+    "file_pipeline": q_file_pipeline,
     "json_lines_roundtrip": q_json_lines_roundtrip,
     "json_from_text": q_json_from_text,
     "json_bodies": q_json_bodies,

@@ -34,16 +34,29 @@ def read_json(
     *,
     array: bool = False,
     schema: T.StructType | None = None,
+    infer_schema_length: int | None = 100,
     sampling_ratio: float | None = None,
 ) -> DataFrame:
-    """S3: JSON lines. Without ``schema`` Spark infers it with one pass over
-    the input (``sampling_ratio`` < 1 reads a fraction of it)."""
+    """S3: JSON lines (``array=True``: each file is one JSON array).
+
+    Without ``schema`` the types come from the first ``infer_schema_length``
+    records (a bounded sample fetched by a ``limit`` job, so no full pass over
+    the input); ``None`` lets Spark infer over all records (``sampling_ratio``
+    < 1 reads a fraction). Array files are always inferred by Spark.
+    Malformed records fail; an empty input is an error."""
+    paths = _paths(path)
+    if schema is None and not array and infer_schema_length is not None:
+        lines = spark.read.text(paths).where(F.trim(F.col("value")) != "")
+        sample = [r[0] for r in lines.limit(infer_schema_length).collect()]
+        if not sample:
+            raise ValueError(f"empty JSON input: {path}")
+        schema = spark.read.option("mode", "FAILFAST").json(spark.sparkContext.parallelize(sample, 1)).schema
     reader = spark.read.option("mode", "FAILFAST").option("multiLine", str(array).lower())
     if sampling_ratio is not None:
         reader = reader.option("samplingRatio", str(sampling_ratio))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.json(_paths(path))
+    df = reader.json(paths)
     if not df.schema.fields:
         raise ValueError(f"empty JSON input: {path}")
     return df

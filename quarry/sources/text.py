@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.encoding import qcol
 from quarry.functions.inference import infer_types
 from quarry.functions.naming import generated_names, header_names
 
@@ -275,3 +276,49 @@ def _read_lines_route(
     )
     return _check_ragged(parsed, on_ragged)
 
+
+
+# ------------------------------------------------------------------ payloads
+
+
+def parse_csv_text(
+    df: DataFrame,
+    body: str,
+    *,
+    delimiter: str = ",",
+    has_header: bool = True,
+    quote_char: str | None = None,
+    schema: T.StructType | None = None,
+    infer_schema_length: int | None = 100,
+    infer_dates: bool = False,
+    on_ragged: str = "error",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """S9 for CSV: each row of ``df`` holds a whole CSV document in ``body``
+    (bytes landed in a table). Documents are split into lines on the executors
+    (``posexplode``); with ``has_header`` the first line of every document is
+    its header and is dropped; the rest is parsed by ``from_csv``. Quoted
+    newlines inside a document are not supported on this route."""
+    if on_ragged not in RAGGED_MODES:
+        raise ValueError(f"on_ragged must be one of {RAGGED_MODES}")
+    quote = quote_char or '"'
+    opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_SENTINEL}
+    keep = list(keep or [])
+    lines = df.select(*[qcol(k) for k in keep], F.posexplode(F.split(qcol(body), r"\r?\n")).alias("line_no", "value"))
+    if has_header:
+        header_lines = lines.where(F.col("line_no") == 0)
+        lines = lines.where(F.col("line_no") > 0)
+    lines = lines.where(F.col("value") != "")
+    if schema is None:
+        got = (header_lines if has_header else lines).where(F.col("value") != "").select("value").limit(1).collect()
+        if not got:
+            raise ValueError("no CSV rows in the payload column")
+        raw = _split_line(got[0][0], delimiter, quote)
+        names = header_names(raw) if has_header else generated_names(len(raw))
+        strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        strings = lines.select(F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r")).select("r.*")
+        schema = _typed(names, infer_types(strings, names, limit=infer_schema_length, infer_dates=infer_dates))
+    parsed = lines.select(
+        *[qcol(k) for k in keep], F.from_csv("value", _ddl(_with_extra(schema, on_ragged)), opts).alias("r")
+    ).select(*[qcol(k) for k in keep], "r.*")
+    return _check_ragged(parsed, on_ragged)
