@@ -24,7 +24,9 @@ known on the driver before anything runs, so the broadcast is bounded.
 from __future__ import annotations
 
 import json
+import logging
 import math
+from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -131,10 +133,8 @@ def file_order_key(df: DataFrame) -> Column:
     which is file order within a split. Anything else falls back to the
     partition order of ``monotonically_increasing_id``.
     """
-    try:
-        meta = df.select("_metadata").schema.fields[0].dataType
-        names = set(meta.fieldNames())
-    except Exception:  # not a file scan
+    names = _metadata_fields(df)
+    if names is None:  # not a file scan
         return F.monotonically_increasing_id()
     if "row_index" in names:
         return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
@@ -145,6 +145,39 @@ def file_order_key(df: DataFrame) -> Column:
     )
 
 
+@contextmanager
+def _quiet_probe():
+    """Silence PySpark's query-context error log while probing a column."""
+    logger = logging.getLogger("DataFrameQueryContextLogger")
+    level, logger.disabled = logger.disabled, True
+    try:
+        yield
+    finally:
+        logger.disabled = level
+
+
+def _metadata_fields(df: DataFrame) -> set[str] | None:
+    """Fields of ``df._metadata`` when ``df`` is a file scan seen through
+    projections and filters, else None."""
+    try:
+        with _quiet_probe():
+            meta = df.select("_metadata").schema.fields[0].dataType
+        return set(meta.fieldNames())
+    except Exception:
+        return None
+
+
+def is_file_backed(df: DataFrame) -> bool:
+    return _metadata_fields(df) is not None
+
+
+def should_materialize(df: DataFrame, passes: int) -> bool:
+    """A derived frame (join, aggregate, ...) scanned more than once is worth
+    computing once: a file scan is cheap to re-read column by column, a local
+    relation costs nothing to recompute."""
+    return passes > 1 and not is_file_backed(df) and not df.isLocal()
+
+
 def _order_key(df: DataFrame, order_by) -> Column:
     if not order_by:
         return file_order_key(df)
@@ -207,6 +240,7 @@ def profile_detailed(
     order_by=None,
     strict_parity: bool = False,
     samples: bool = True,
+    materialize: bool | None = None,
 ) -> DataFrame:
     """Detailed profile, one row per column.
 
@@ -220,6 +254,11 @@ def profile_detailed(
 
     ``strict_parity``: report min/max only for the types whose accessor
     succeeds in the reference (64-bit ints and floats, booleans).
+
+    ``materialize``: write ``df`` once with ``checkpoint()`` (to the shared
+    ``spark.checkpoint.dir``) before profiling, so a derived input is not
+    recomputed by each of the profile's scans. ``None`` decides: yes for a
+    frame that is neither a file scan nor local and is scanned more than once.
     """
     if distinct not in DISTINCT_MODES:
         raise ValueError(f"distinct must be one of {DISTINCT_MODES}, got {distinct!r}")
@@ -227,6 +266,18 @@ def profile_detailed(
     fields = list(enumerate(df.schema.fields))
     if not fields:
         return _empty(spark, DETAILED_SCHEMA)
+    passes = 1
+    if distinct == "exact":
+        passes += sum(1 for _, f in fields if distinct_supported(f.dataType))
+    if samples:
+        passes += sum(1 for _, f in fields if is_sample_type(f.dataType))
+    if materialize is None:
+        materialize = should_materialize(df, passes)
+    if materialize:
+        from quarry.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
 
     aggs = [F.count(F.lit(1)).alias("q_rows")]
     stacked = []

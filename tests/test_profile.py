@@ -173,3 +173,19 @@ def test_profile_plan_shape(spark, tmp):
     plan = profile_detailed(df)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan  # samples: bounded per-task heap
     assert "Expand" not in plan  # no row x column blow-up in exact mode
+
+
+def test_materialize_derived_input(spark, tmp):
+    from quarry.operators.profile import should_materialize
+
+    left = spark.range(0, 200).selectExpr("id", "CAST(id % 7 AS STRING) AS s")
+    right = spark.range(0, 100).selectExpr("id", "id * 2 AS v")
+    joined = left.join(right, "id", "left")
+    assert should_materialize(joined, 3)
+    assert not should_materialize(joined, 1)
+    p = by_name(profile_detailed(joined))
+    assert p["v"]["nulls"] == 100 and p["s"]["unique"] == 7 and p["id"]["unique"] == 200
+    plan = profile_detailed(joined)._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan  # the join ran once, into the checkpoint
+    left.write.parquet(tmp + "/p")
+    assert not should_materialize(spark.read.parquet(tmp + "/p").where("id > 3").select("s"), 5)
