@@ -1,18 +1,18 @@
 """Column profiles.
 
 A profile is a DataFrame with one row per input column, ordered by
-``position``. The work is split into at most three Spark jobs that all scan
-the input in parallel over rows (not over columns):
+``position``. All work runs in parallel over rows (not over columns):
 
-* one wide single-row aggregate: row count, null counts, encoded min/max and,
-  in approximate mode, HyperLogLog distinct counts. Partial aggregation makes
+* approximate mode: one wide single-row aggregate: row count, null counts,
+  encoded min/max and HyperLogLog distinct counts. Partial aggregation makes
   each task ship one row; nothing grows with the data.
-* exact distinct counts: one ``distinct()`` per column, unioned. Each is a
-  hash aggregate keyed by that column alone, deduplicated map-side before the
+* exact mode: one ``groupBy(value).count()`` per column, unioned. Each is a
+  hash aggregate keyed by that column alone, combined map-side before the
   shuffle, so a hot value costs one row per task; the shuffle carries a single
   narrow column instead of the N-wide rows Catalyst's ``Expand`` rewrite of
-  several ``count(DISTINCT ..)`` would produce. Parquet/ORC scans read only that
-  column.
+  several ``count(DISTINCT ..)`` would produce. Nulls, min/max and the row
+  count fall out of the same groups, so each column is read exactly once
+  (Parquet/ORC scans read only that column).
 * samples: per string column ``orderBy(key).limit(3)``, which plans as
   ``TakeOrderedAndProject``: every task keeps a 3-row heap, the final merge sees
   3 rows per task.
@@ -214,23 +214,135 @@ def _samples(df: DataFrame, fields, order_by) -> DataFrame | None:
     )
 
 
-def _exact_distinct(df: DataFrame, fields) -> DataFrame | None:
-    """Exact ``unique`` per column, null counted as one value."""
-    parts = []
+def _meta_columns(i: int, f: T.StructField) -> list[Column]:
+    return [
+        F.lit(i).cast("int").alias("position"),
+        F.lit(f.name).alias("column"),
+        F.lit(f.dataType.simpleString()).alias("dtype"),
+        F.lit(is_sample_type(f.dataType)).alias("has_samples"),
+    ]
+
+
+def _finish(kind: str, prefix: str = "") -> tuple[Column, Column]:
+    """min/max structs from aggregated ``min_v``/``max_v``/``nans`` columns."""
+    mn, mx, nans = F.col(prefix + "min_v"), F.col(prefix + "max_v"), F.col(prefix + "nans")
+    if kind == INT_KIND:
+        return _minmax_struct(mn, None), _minmax_struct(mx, None)
+    if kind == FLOAT_KIND:
+        nan = F.when(nans > 0, F.lit(float("nan")))
+        return _minmax_struct(None, F.coalesce(mn, nan)), _minmax_struct(None, F.coalesce(mx, nan))
+    return _minmax_struct(None, None), _minmax_struct(None, None)
+
+
+def _minmax_aggs(value: Column, dtype: T.DataType, kind: str) -> list[Column]:
+    """min/max (and NaN count for floats) of ``value`` with the kind's encoding."""
+    if kind == INT_KIND:
+        enc = encoded_int(value, dtype)
+        return [F.min(enc).alias("min_v"), F.max(enc).alias("max_v"), F.lit(0).cast("bigint").alias("nans")]
+    if kind == FLOAT_KIND:
+        d = value.cast("double")
+        return [
+            F.min(nan_free(d)).alias("min_v"),
+            F.max(nan_free(d)).alias("max_v"),
+            F.count_if(F.isnan(d)).alias("nans"),
+        ]
+    return [F.lit(None).alias("min_v"), F.lit(None).alias("max_v"), F.lit(0).cast("bigint").alias("nans")]
+
+
+def _per_column_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
+    """Exact mode: one keyed aggregate per column gives everything.
+
+    ``groupBy(value).count()`` is partially aggregated on each task, so the
+    shuffle carries one (value, count) pair per distinct value per task. From
+    the groups: ``unique`` is their number (null is one group), ``nulls`` the
+    null group's count, the row count the sum, min/max the extremes of the
+    distinct values. Each branch reads one column of a Parquet/ORC scan; no
+    other pass over the data is needed.
+    """
+    branches = []
+    unsupported = []
     for i, f in fields:
-        part = (
-            df.select(distinct_key(qcol(f.name), f.dataType).alias("v"))
-            .distinct()
-            .agg(F.count(F.lit(1)).alias("unique"))
-            .select(F.lit(i).cast("int").alias("position"), "unique")
+        kind = minmax_kind(f.dataType, strict_parity)
+        if not distinct_supported(f.dataType):
+            unsupported.append((i, f, kind))
+            continue
+        c = qcol(f.name)
+        per_value = df.groupBy(distinct_key(c, f.dataType).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        v = F.col("v")
+        agg = per_value.agg(
+            F.count(F.lit(1)).alias("unique"),
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
+            F.coalesce(F.sum(F.when(v.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
+            *_minmax_aggs(v, f.dataType, kind),
         )
-        parts.append(part)
-    if not parts:
-        return None
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return union
+        lo, hi = _finish(kind)
+        branches.append(
+            agg.select(
+                *_meta_columns(i, f),
+                F.col("row_count"),
+                F.col("nulls"),
+                F.col("unique").cast("bigint").alias("unique"),
+                lo.alias("min"),
+                hi.alias("max"),
+            )
+        )
+    if unsupported:
+        # Columns Spark cannot group by: nulls and min/max from one plain aggregate.
+        aggs = [F.count(F.lit(1)).alias("q_rows")]
+        rows = []
+        for i, f, kind in unsupported:
+            c = qcol(f.name)
+            aggs.append(F.count_if(c.isNull()).alias(f"q_null_{i}"))
+            rows.append(
+                F.struct(
+                    *_meta_columns(i, f),
+                    F.col(f"q_null_{i}").alias("nulls"),
+                    F.lit(None).cast("bigint").alias("unique"),
+                    _minmax_struct(None, None).alias("min"),
+                    _minmax_struct(None, None).alias("max"),
+                )
+            )
+        branches.append(
+            df.agg(*aggs)
+            .select(F.col("q_rows").alias("row_count"), F.inline(F.array(*rows)))
+            .select("position", "column", "dtype", "has_samples", "row_count", "nulls", "unique", "min", "max")
+        )
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out
+
+
+def _wide_stats(df: DataFrame, fields, strict_parity: bool, distinct: str) -> DataFrame:
+    """Approximate / single-pass mode: every statistic in one wide aggregate."""
+    aggs = [F.count(F.lit(1)).alias("q_rows")]
+    stacked = []
+    for i, f in fields:
+        c = qcol(f.name)
+        aggs.append(F.count_if(c.isNull()).alias(f"q_null_{i}"))
+        kind = minmax_kind(f.dataType, strict_parity)
+        aggs += [a.alias(f"q_{i}_" + name) for a, name in zip(_minmax_aggs(c, f.dataType, kind),
+                                                               ("min_v", "max_v", "nans"))]
+        lo, hi = _finish(kind, prefix=f"q_{i}_")
+        if not distinct_supported(f.dataType):
+            unique = F.lit(None).cast("bigint")
+        else:
+            count = F.approx_count_distinct if distinct == "approx" else F.count_distinct
+            aggs += [
+                count(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
+                F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
+            ]
+            unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
+        stacked.append(
+            F.struct(
+                *_meta_columns(i, f),
+                F.col(f"q_null_{i}").alias("nulls"),
+                unique.cast("bigint").alias("unique"),
+                lo.alias("min"),
+                hi.alias("max"),
+            )
+        )
+    return df.agg(*aggs).select(F.col("q_rows").alias("row_count"), F.inline(F.array(*stacked)))
 
 
 def profile_detailed(
@@ -266,9 +378,11 @@ def profile_detailed(
     fields = list(enumerate(df.schema.fields))
     if not fields:
         return _empty(spark, DETAILED_SCHEMA)
-    passes = 1
     if distinct == "exact":
-        passes += sum(1 for _, f in fields if distinct_supported(f.dataType))
+        passes = sum(1 for _, f in fields if distinct_supported(f.dataType))
+        passes += any(not distinct_supported(f.dataType) for _, f in fields)
+    else:
+        passes = 1
     if samples:
         passes += sum(1 for _, f in fields if is_sample_type(f.dataType))
     if materialize is None:
@@ -279,67 +393,10 @@ def profile_detailed(
         ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
 
-    aggs = [F.count(F.lit(1)).alias("q_rows")]
-    stacked = []
-    for i, f in fields:
-        c = qcol(f.name)
-        aggs.append(F.count_if(c.isNull()).alias(f"q_null_{i}"))
-        kind = minmax_kind(f.dataType, strict_parity)
-        if kind == INT_KIND:
-            enc = encoded_int(c, f.dataType)
-            aggs += [F.min(enc).alias(f"q_min_{i}"), F.max(enc).alias(f"q_max_{i}")]
-            lo = _minmax_struct(F.col(f"q_min_{i}"), None)
-            hi = _minmax_struct(F.col(f"q_max_{i}"), None)
-        elif kind == FLOAT_KIND:
-            d = c.cast("double")
-            aggs += [
-                F.min(nan_free(d)).alias(f"q_min_{i}"),
-                F.max(nan_free(d)).alias(f"q_max_{i}"),
-                F.count_if(F.isnan(d)).alias(f"q_nan_{i}"),
-            ]
-            nan = F.when(F.col(f"q_nan_{i}") > 0, F.lit(float("nan")))
-            lo = _minmax_struct(None, F.coalesce(F.col(f"q_min_{i}"), nan))
-            hi = _minmax_struct(None, F.coalesce(F.col(f"q_max_{i}"), nan))
-        else:
-            lo = hi = _minmax_struct(None, None)
-
-        supported = distinct_supported(f.dataType)
-        if not supported:
-            unique = F.lit(None).cast("bigint")
-        elif distinct == "approx":
-            aggs += [
-                F.approx_count_distinct(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
-                F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
-            ]
-            unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
-        elif distinct == "exact_single_pass":
-            aggs += [
-                F.count_distinct(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
-                F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
-            ]
-            unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
-        else:
-            unique = F.lit(None).cast("bigint")  # filled from the per-column job
-        stacked.append(
-            F.struct(
-                F.lit(i).cast("int").alias("position"),
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("dtype"),
-                F.col(f"q_null_{i}").alias("nulls"),
-                unique.cast("bigint").alias("unique"),
-                lo.alias("min"),
-                hi.alias("max"),
-                F.lit(is_sample_type(f.dataType)).alias("has_samples"),
-            )
-        )
-
-    stats = df.agg(*aggs).select(F.col("q_rows").alias("row_count"), F.inline(F.array(*stacked)))
-
     if distinct == "exact":
-        exact = _exact_distinct(df, [(i, f) for i, f in fields if distinct_supported(f.dataType)])
-        if exact is not None:
-            # One row per column: bounded by the schema width, safe to broadcast.
-            stats = stats.drop("unique").join(F.broadcast(exact), "position", "left")
+        stats = _per_column_stats(df, fields, strict_parity)
+    else:
+        stats = _wide_stats(df, fields, strict_parity, distinct)
 
     sample_fields = [(i, f) for i, f in fields if is_sample_type(f.dataType)] if samples else []
     sampled = _samples(df, sample_fields, order_by) if sample_fields else None
