@@ -171,11 +171,51 @@ def is_file_backed(df: DataFrame) -> bool:
     return _metadata_fields(df) is not None
 
 
+COLUMNAR_SUFFIXES = (".orc",)
+ORDER_COL = "__quarry_order"
+
+
 def should_materialize(df: DataFrame, passes: int) -> bool:
-    """A derived frame (join, aggregate, ...) scanned more than once is worth
-    computing once: a file scan is cheap to re-read column by column, a local
-    relation costs nothing to recompute."""
-    return passes > 1 and not is_file_backed(df) and not df.isLocal()
+    """Whether to land ``df`` as Parquet before a profile that scans it
+    ``passes`` times. Parquet and ORC scans re-read one column per pass, which
+    is cheap; a row-format file (CSV, JSON, text, Avro) would be parsed whole
+    on every pass, and a derived frame (join, aggregate, ...) recomputed."""
+    if passes <= 1:
+        return False
+    names = _metadata_fields(df)
+    if names is None:
+        return not df.isLocal()
+    if "row_index" in names:  # Parquet
+        return False
+    files = df.inputFiles()
+    return not (files and all(f.lower().endswith(COLUMNAR_SUFFIXES) for f in files))
+
+
+def _parquet_writable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.NullType, T.CalendarIntervalType, T.YearMonthIntervalType, T.DayTimeIntervalType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_parquet_writable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _parquet_writable(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _parquet_writable(dt.keyType) and _parquet_writable(dt.valueType)
+    return True
+
+
+def materialize_frame(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint directory and read it
+    back: as a Parquet table when every type fits (columnar re-reads), else
+    with ``checkpoint()``. Either cuts the lineage, so a lost executor does not
+    recompute the upstream plan."""
+    from quarry.session import scratch_dir
+
+    spark = df.sparkSession
+    if _parquet_writable(df.schema):
+        path = scratch_dir(spark, "profile-input")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return df.checkpoint(eager=True)
 
 
 def _order_key(df: DataFrame, order_by) -> Column:
@@ -187,9 +227,8 @@ def _order_key(df: DataFrame, order_by) -> Column:
     return F.struct(*parts)
 
 
-def _samples(df: DataFrame, fields, order_by) -> DataFrame | None:
-    """First three non-null values per string column, in key order (P2e)."""
-    key = _order_key(df, order_by)
+def _samples(df: DataFrame, fields, key: Column) -> DataFrame | None:
+    """First three non-null values per string column, in ``key`` order (P2e)."""
     parts = []
     for i, f in fields:
         c = qcol(f.name)
@@ -367,10 +406,11 @@ def profile_detailed(
     ``strict_parity``: report min/max only for the types whose accessor
     succeeds in the reference (64-bit ints and floats, booleans).
 
-    ``materialize``: write ``df`` once with ``checkpoint()`` (to the shared
-    ``spark.checkpoint.dir``) before profiling, so a derived input is not
-    recomputed by each of the profile's scans. ``None`` decides: yes for a
-    frame that is neither a file scan nor local and is scanned more than once.
+    ``materialize``: land ``df`` once under the shared ``spark.checkpoint.dir``
+    (Parquet, or ``checkpoint()`` for types Parquet cannot hold) before
+    profiling, so a derived input is not recomputed, and a row-format file not
+    re-parsed, by each of the profile's scans. ``None`` decides with
+    ``should_materialize``.
     """
     if distinct not in DISTINCT_MODES:
         raise ValueError(f"distinct must be one of {DISTINCT_MODES}, got {distinct!r}")
@@ -387,19 +427,25 @@ def profile_detailed(
         passes += sum(1 for _, f in fields if is_sample_type(f.dataType))
     if materialize is None:
         materialize = should_materialize(df, passes)
+    sample_fields = [(i, f) for i, f in fields if is_sample_type(f.dataType)] if samples else []
+    key = _order_key(df, order_by) if sample_fields else None
     if materialize:
         from quarry.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        # The row-order key is computed on the original scan and stored with
+        # the data, so samples keep the input's order.
+        extra = [key.alias(ORDER_COL)] if key is not None else []
+        df = materialize_frame(df.select(*[qcol(f.name) for _, f in fields], *extra))
+        if key is not None:
+            key = F.col(ORDER_COL)
 
     if distinct == "exact":
         stats = _per_column_stats(df, fields, strict_parity)
     else:
         stats = _wide_stats(df, fields, strict_parity, distinct)
 
-    sample_fields = [(i, f) for i, f in fields if is_sample_type(f.dataType)] if samples else []
-    sampled = _samples(df, sample_fields, order_by) if sample_fields else None
+    sampled = _samples(df, sample_fields, key) if sample_fields else None
     if sampled is not None:
         stats = stats.join(F.broadcast(sampled), "position", "left")
     else:

@@ -189,3 +189,22 @@ def test_materialize_derived_input(spark, tmp):
     assert "Range" not in plan  # the join ran once, into the checkpoint
     left.write.parquet(tmp + "/p")
     assert not should_materialize(spark.read.parquet(tmp + "/p").where("id > 3").select("s"), 5)
+
+
+def test_row_format_input_is_landed_once_and_keeps_file_order(spark, tmp):
+    from quarry.operators.profile import should_materialize
+    from quarry.sources.text import read_csv
+
+    lines = ["k,s"] + [f"{i},v{i}" for i in range(30)]
+    with open(tmp + "/a.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    df = read_csv(spark, tmp + "/a.csv")
+    assert should_materialize(df, 3)
+    spark.range(5).write.orc(tmp + "/o")
+    assert not should_materialize(spark.read.orc(tmp + "/o"), 3)
+    prof = profile_detailed(df)
+    p = by_name(prof)
+    assert p["s"]["sample_values"] == ["v0", "v1", "v2"]
+    assert p["k"]["unique"] == 30 and p["k"]["max"]["Int"] == 29
+    plan = prof._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and "Scan csv" not in plan
