@@ -101,12 +101,19 @@ def parse_json_text(
     ``keep`` lists input columns carried next to the parsed fields (for
     example a key). Malformed records raise when the result is read.
     """
-    records = json_records(df, body)
     if schema is None:
-        schema = infer_json_schema(df.sparkSession, records, infer_schema_length)
+        schema = infer_json_schema(df.sparkSession, json_records(df, body), infer_schema_length)
+    # One parse per record: an array body goes straight to array<struct>, an
+    # NDJSON body is split and each non-blank line parsed to the struct.
+    c = qcol(body) if isinstance(body, str) else body
+    t = F.trim(c)
+    is_array = t.startswith("[") & t.endswith("]")
+    lines = F.filter(F.split(t, r"\r?\n"), lambda x: F.trim(x) != "")
+    parsed = F.when(is_array, F.from_json(t, T.ArrayType(schema), FAILFAST)).otherwise(
+        F.transform(lines, lambda x: F.from_json(x, schema, FAILFAST))
+    )
     kept = [qcol(k) for k in (keep or [])]
-    parsed = records.select(*kept, F.from_json(F.col("record"), schema, FAILFAST).alias("__json"))
-    return parsed.select(*kept, "__json.*")
+    return df.select(*kept, F.explode(parsed).alias("__json")).select(*kept, "__json.*")
 
 
 def parse_http_bodies(
