@@ -71,3 +71,15 @@ def infer_types(strings: DataFrame, columns, *, limit=None, infer_dates: bool =
         else:
             out[name] = T.StringType()
     return out
+
+
+def infer_types_from_rows(spark, columns, rows, *, infer_dates: bool = False) -> dict:
+    """The same rules over a bounded list of string rows already fetched with
+    a ``limit`` job (header discovery and the sample share that one job)."""
+    n = len(columns)
+    tmp = [f"c{i}" for i in range(n)]
+    schema = T.StructType([T.StructField(t, T.StringType(), True) for t in tmp])
+    data = [tuple((list(r) + [None] * n)[:n]) for r in rows]
+    df = spark.createDataFrame(data, schema)
+    got = infer_types(df, tmp, infer_dates=infer_dates)
+    return {name: got[t] for name, t in zip(columns, tmp)}

@@ -12,11 +12,12 @@ Two routes, both fully lazy after schema discovery:
   ``from_csv`` parses the rest. No shuffle; only the first split of a file is
   counted.
 
-Schema discovery: the header (or first row) is fetched with a one-row job,
-then types come from one aggregate over the leading ``infer_schema_length``
-rows (``None``: all rows), see ``quarry.functions.inference``. The final scan
-always carries an explicit schema, so filters and column pruning reach the
-CSV parser.
+Schema discovery: one bounded ``limit(1 + infer_schema_length)`` job fetches
+the header (or first row) together with the inference sample; the types come
+from the rules in ``quarry.functions.inference`` applied to that sample. With
+``infer_schema_length=None`` they come from one aggregate over all rows
+instead. The final scan always carries an explicit schema, so filters and
+column pruning reach the CSV parser.
 
 Long rows are an error by default: the schema carries one extra trailing
 string column; a row that fills it raises when it is read. Short rows get
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.encoding import qcol
-from quarry.functions.inference import infer_types
+from quarry.functions.inference import infer_types, infer_types_from_rows
 from quarry.functions.naming import generated_names, header_names
 
 EXTRA = "__quarry_extra__"
@@ -137,19 +138,28 @@ def read_text(
     opts = _options(delimiter, quote_char, comment_prefix, multiline, encoding, mode)
     reader = spark.read.options(**opts)
     if schema is None:
-        first = reader.option("header", "false").csv(paths).limit(1).collect()
-        if not first:
+        # One bounded job fetches the first record (header or first data row)
+        # and the inference sample together.
+        sample_n = infer_schema_length if infer_schema_length is not None else 0
+        rows = reader.option("header", "false").csv(paths).limit(1 + sample_n).collect()
+        if not rows:
             raise ValueError(f"no rows in delimited input: {paths}")
-        raw = list(first[0])
+        raw = list(rows[0])
         names = header_names(raw) if has_header else generated_names(len(raw))
-        strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        strings = (
-            spark.read.options(**opts)
-            .option("header", str(has_header).lower())
-            .schema(_with_extra(strings_schema, on_ragged))
-            .csv(paths)
-        )
-        schema = _typed(names, infer_types(strings, names, limit=infer_schema_length, infer_dates=infer_dates))
+        if infer_schema_length is not None:
+            # Other files' header lines may appear in the sample: drop them.
+            sample = [r for r in rows[1:] if list(r) != raw] if has_header else rows[:sample_n]
+            types = infer_types_from_rows(spark, names, sample, infer_dates=infer_dates)
+        else:
+            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+            strings = (
+                spark.read.options(**opts)
+                .option("header", str(has_header).lower())
+                .schema(_with_extra(strings_schema, on_ragged))
+                .csv(paths)
+            )
+            types = infer_types(strings, names, infer_dates=infer_dates)
+        schema = _typed(names, types)
     df = (
         spark.read.options(**opts)
         .option("header", str(has_header).lower())
@@ -258,19 +268,28 @@ def _read_lines_route(
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode, "nullValue": NULL_SENTINEL}
     if schema is None:
-        if has_header:
-            got = marked.where("is_header").select("value").limit(1).collect()
-        else:
-            got = body.select("value").limit(1).collect()
-        if not got:
+        sample_n = infer_schema_length if infer_schema_length is not None else 0
+        got = marked.where(F.col("value") != "").limit(1 + sample_n).collect()
+        header_line = next((r["value"] for r in got if r["is_header"]), None)
+        data_lines = [r["value"] for r in got if not r["is_header"]]
+        if has_header and header_line is None:
+            hit = marked.where("is_header").select("value").limit(1).collect()
+            header_line = hit[0][0] if hit else None
+        first = header_line if has_header else (data_lines[0] if data_lines else None)
+        if first is None:
             raise ValueError(f"no rows in delimited input: {paths}")
-        raw = _split_line(got[0][0], delimiter, quote)
+        raw = _split_line(first, delimiter, quote)
         names = header_names(raw) if has_header else generated_names(len(raw))
-        strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        strings = body.select(
-            F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r")
-        ).select("r.*")
-        schema = _typed(names, infer_types(strings, names, limit=infer_schema_length, infer_dates=infer_dates))
+        if infer_schema_length is not None:
+            sample = [_split_line(line, delimiter, quote) for line in data_lines[:sample_n]]
+            types = infer_types_from_rows(spark, names, sample, infer_dates=infer_dates)
+        else:
+            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+            strings = body.select(
+                F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r")
+            ).select("r.*")
+            types = infer_types(strings, names, infer_dates=infer_dates)
+        schema = _typed(names, types)
     parsed = body.select(F.from_csv("value", _ddl(_with_extra(schema, on_ragged)), opts).alias("r")).select(
         "r.*"
     )
