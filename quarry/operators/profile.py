@@ -49,6 +49,7 @@ from quarry.functions.encoding import (
     nan_free,
     qcol,
 )
+from quarry.session import materialize_frame
 
 SAMPLE_COUNT = 3
 
@@ -191,33 +192,6 @@ def should_materialize(df: DataFrame, passes: int) -> bool:
     return not (files and all(f.lower().endswith(COLUMNAR_SUFFIXES) for f in files))
 
 
-def _parquet_writable(dt: T.DataType) -> bool:
-    if isinstance(dt, (T.NullType, T.CalendarIntervalType, T.YearMonthIntervalType, T.DayTimeIntervalType)):
-        return False
-    if isinstance(dt, T.StructType):
-        return all(_parquet_writable(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return _parquet_writable(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return _parquet_writable(dt.keyType) and _parquet_writable(dt.valueType)
-    return True
-
-
-def materialize_frame(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint directory and read it
-    back: as a Parquet table when every type fits (columnar re-reads), else
-    with ``checkpoint()``. Either cuts the lineage, so a lost executor does not
-    recompute the upstream plan."""
-    from quarry.session import scratch_dir
-
-    spark = df.sparkSession
-    if _parquet_writable(df.schema):
-        path = scratch_dir(spark, "profile-input")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return df.checkpoint(eager=True)
-
-
 def _order_key(df: DataFrame, order_by) -> Column:
     if not order_by:
         return file_order_key(df)
@@ -430,13 +404,10 @@ def profile_detailed(
     sample_fields = [(i, f) for i, f in fields if is_sample_type(f.dataType)] if samples else []
     key = _order_key(df, order_by) if sample_fields else None
     if materialize:
-        from quarry.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
         # The row-order key is computed on the original scan and stored with
         # the data, so samples keep the input's order.
         extra = [key.alias(ORDER_COL)] if key is not None else []
-        df = materialize_frame(df.select(*[qcol(f.name) for _, f in fields], *extra))
+        df = materialize_frame(df.select(*[qcol(f.name) for _, f in fields], *extra), "profile-input")
         if key is not None:
             key = F.col(ORDER_COL)
 

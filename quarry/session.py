@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -67,3 +68,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _parquet_writable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.NullType, T.CalendarIntervalType, T.YearMonthIntervalType, T.DayTimeIntervalType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_parquet_writable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _parquet_writable(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _parquet_writable(dt.keyType) and _parquet_writable(dt.valueType)
+    return True
+
+
+def materialize_frame(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint directory and read it
+    back: as a Parquet table when every type fits (later passes read only the
+    columns they need), else with ``checkpoint()``. Either cuts the lineage, so
+    a lost executor does not recompute the upstream plan."""
+    spark = df.sparkSession
+    if _parquet_writable(df.schema):
+        path = scratch_dir(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)

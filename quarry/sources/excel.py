@@ -8,9 +8,10 @@ kept as data; columns are ``col0 .. colN-1``. The sheet's range runs from its
 first to its last used row and column, like the reference's reader, with empty
 cells as ``""``.
 
-Column count: with ``width`` given, one pass. Otherwise a first pass finds the
-widest sheet (one number per workbook, aggregated), and narrower workbooks get
-nulls in the extra columns.
+Column count: with ``width`` given, one pass. Otherwise the parsed rows are
+landed once as Parquet under the shared checkpoint directory, the widest row
+is found with one aggregate over them, and narrower workbooks get nulls in the
+extra columns. No workbook is parsed twice.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.encoding import qcol
+from quarry.session import materialize_frame
 
 # Fixed XML namespaces and part names of the xlsx (Office Open XML) package.
 NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -192,6 +194,8 @@ def workbook_cells(df: DataFrame, content: str = "content", source: str | None =
 
 def cells_to_columns(cells: DataFrame, width: int | None = None, keep_source: bool = False) -> DataFrame:
     if width is None:
+        # Parse every workbook once: land the parsed rows, then size them.
+        cells = materialize_frame(cells, "xlsx-cells")
         width = cells.agg(F.max(F.size("cells"))).first()[0]
         if not width:
             raise ValueError("No data in Excel sheet")
