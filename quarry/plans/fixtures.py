@@ -306,3 +306,46 @@ def workbooks_from(df: DataFrame, rows_per_book: int = 5000) -> DataFrame:
         )
 
     return df.mapInArrow(run, "book string, content binary")
+
+
+# ------------------------------------------------------------------ Parquet bytes
+
+
+def parquet_payloads(df: DataFrame, rows_per_file: int = 2000) -> DataFrame:
+    """Parquet files as bytes ``(file, content)`` built from ``df``, at most
+    ``rows_per_file`` rows each, written by pyarrow inside each task."""
+    out_schema = "file string, content binary"
+
+    def run(batches):
+        import io as _io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        files, blobs = [], []
+        pending = []
+        count = 0
+
+        def flush():
+            nonlocal pending, count
+            if not pending:
+                return
+            buf = _io.BytesIO()
+            pq.write_table(pa.Table.from_batches(pending), buf)
+            files.append(uuid.uuid4().hex)
+            blobs.append(buf.getvalue())
+            pending, count = [], 0
+
+        for b in batches:
+            for lo in range(0, b.num_rows, rows_per_file):
+                piece = b.slice(lo, rows_per_file)
+                if count + piece.num_rows > rows_per_file:
+                    flush()
+                pending.append(piece)
+                count += piece.num_rows
+        flush()
+        yield pa.RecordBatch.from_pydict(
+            {"file": files, "content": blobs}, schema=pa.schema([("file", pa.string()), ("content", pa.binary())])
+        )
+
+    return df.mapInArrow(run, out_schema)

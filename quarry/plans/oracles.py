@@ -131,6 +131,7 @@ ORACLES = {
                   "CAST(p_size AS VARCHAR) AS col4, " + number_text_sql("p_retailprice") + " AS col5 FROM part",
     "excel_bytes": "SELECT CAST(c_custkey AS VARCHAR) AS col0, c_name AS col1, CAST(c_nationkey AS VARCHAR) AS col2, "
                    + number_text_sql("c_acctbal") + " AS col3, c_mktsegment AS col4 FROM customer",
+    "parquet_bytes": "SELECT * FROM orders",
     "sql_copy_filtered": ORDERS_1997,
     "jdbc_query": ORDERS_1997,
     "jdbc_partitioned": "SELECT * FROM orders",

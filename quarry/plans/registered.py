@@ -23,6 +23,7 @@ from quarry.plans.copy_job import copy_data, copy_sql
 from quarry.plans.fixtures import (
     csv_bodies,
     event_bodies,
+    parquet_payloads,
     workbooks_from,
     write_avro_files,
     write_with_preamble,
@@ -34,6 +35,7 @@ from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.excel import parse_workbook_bytes, read_excel
 from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
+from quarry.sources.payload import parse_parquet_bytes
 from quarry.sources.text import parse_csv_text, read_csv, read_text
 
 
@@ -208,6 +210,13 @@ def q_excel_bytes(spark, sf_dir):
     return parse_workbook_bytes(books, "content").where(F.col("col0") != "c_custkey")
 
 
+def q_parquet_bytes(spark, sf_dir):
+    """S9 for columnar bytes: Parquet files held in a column are landed under
+    the checkpoint directory and scanned."""
+    payloads = parquet_payloads(table(spark, sf_dir, "orders"), rows_per_file=2000)
+    return parse_parquet_bytes(payloads, "content")
+
+
 # ------------------------------------------------------------------ SQL / JDBC
 
 
@@ -279,6 +288,7 @@ QUERIES = {
     "avro_read": q_avro_read,
     "excel_read": q_excel_read,
     "excel_bytes": q_excel_bytes,
+    "parquet_bytes": q_parquet_bytes,
     "sql_copy_filtered": q_sql_copy_filtered,
     "jdbc_query": q_jdbc_query,
     "jdbc_partitioned": q_jdbc_partitioned,

@@ -97,3 +97,25 @@ def test_workbook_bytes_column(spark):
     books = spark.createDataFrame([("b1", xlsx_bytes([[["a"], ["b"]]]))], "book string, content binary")
     df = parse_workbook_bytes(books, "content", source="book")
     assert [tuple(r) for r in df.orderBy("row_no").collect()] == [("b1", 0, "a"), ("b1", 1, "b")]
+
+
+def test_columnar_payloads(spark, tmp):
+    import io
+
+    import pyarrow as pa
+    import pyarrow.orc as po
+    import pyarrow.parquet as pq
+
+    from quarry.sources.payload import parse_avro_bytes, parse_orc_bytes, parse_parquet_bytes
+
+    table = pa.table({"id": pa.array([1, 2, 3], pa.int64()), "s": ["a", None, "c"]})
+    pbuf, obuf = io.BytesIO(), io.BytesIO()
+    pq.write_table(table, pbuf)
+    po.write_table(table, obuf)
+    abytes = avro_container([{"id": 1, "s": "a"}, {"id": 2, "s": None}],
+                            T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType())]))
+    df = spark.createDataFrame([(pbuf.getvalue(), obuf.getvalue(), abytes)], "p binary, o binary, a binary")
+    assert sorted(parse_parquet_bytes(df, "p", tmp + "/p").collect(), key=repr) == sorted(
+        [(1, "a"), (2, None), (3, "c")], key=repr)
+    assert parse_orc_bytes(df, "o", tmp + "/o").count() == 3
+    assert sorted(r.id for r in parse_avro_bytes(df, "a", tmp + "/a").collect()) == [1, 2]
