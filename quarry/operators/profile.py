@@ -150,11 +150,11 @@ def file_order_key(df: DataFrame) -> Column:
 def _quiet_probe():
     """Silence PySpark's query-context error log while probing a column."""
     logger = logging.getLogger("DataFrameQueryContextLogger")
-    level, logger.disabled = logger.disabled, True
+    was_disabled, logger.disabled = logger.disabled, True
     try:
         yield
     finally:
-        logger.disabled = level
+        logger.disabled = was_disabled
 
 
 def _metadata_fields(df: DataFrame) -> set[str] | None:

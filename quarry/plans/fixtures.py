@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 
 # ------------------------------------------------------------------ delimited text
 
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: int) -> None:
     """Lay ``df`` out as delimited text where every file starts with
@@ -35,7 +37,7 @@ def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: in
     preamble = "".join(f"junk line {i + 1} of the export\n" for i in range(junk_lines))
     preamble += header + "\n## exported rows follow\n"
     row_in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    line = F.to_csv(F.struct(*df.columns), {"sep": delimiter, "quote": '"', "escape": '"'})
+    line = F.to_csv(F.struct(*df.columns), {"sep": delimiter, "quote": '"', "escape": '"', **KEEP_SPACES})
     text = (
         F.when(row_in_part == 0, F.concat(F.lit(preamble), line))
         .when(row_in_part == 5, F.concat(F.lit("## checkpoint comment\n"), line))
@@ -50,7 +52,7 @@ def csv_bodies(df: DataFrame, key: str, per_body: int = 25) -> DataFrame:
     rendered by ``to_csv``."""
     header = ",".join(df.columns)
     block = F.floor(F.col(key) / per_body).alias("block")
-    line = F.to_csv(F.struct(*df.columns), {"quote": '"', "escape": '"'})
+    line = F.to_csv(F.struct(*df.columns), {"quote": '"', "escape": '"', **KEEP_SPACES})
     grouped = df.groupBy(block).agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("l")))).alias("rows"))
     return grouped.select(
         "block",

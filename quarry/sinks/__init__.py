@@ -28,13 +28,17 @@ def _writer(df: DataFrame, partition_by=None, num_files: int | None = None) -> D
 def write_csv(df: DataFrame, path: str, *, header: bool = True, delimiter: str = ",",
               partition_by=None, num_files: int | None = None) -> None:
     """K1: CSV with a header, comma, quoting when needed; an embedded quote is
-    doubled, null is an empty field and an empty string is ``""``."""
+    doubled, null is an empty field, an empty string is ``""``, and leading or
+    trailing spaces are kept."""
     (
         _writer(df, partition_by, num_files)
         .option("header", str(header).lower())
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
+        # Spark's CSV writer trims values by default; keep them as they are.
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
 
