@@ -24,9 +24,7 @@ known on the driver before anything runs, so the broadcast is bounded.
 from __future__ import annotations
 
 import json
-import logging
 import math
-from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +47,7 @@ from quarry.functions.encoding import (
     nan_free,
     qcol,
 )
+from quarry.functions.order import file_order_key, metadata_fields
 from quarry.session import materialize_frame
 
 SAMPLE_COUNT = 3
@@ -126,50 +125,8 @@ def _minmax_struct(value_int: Column | None, value_float: Column | None) -> Colu
     )
 
 
-def file_order_key(df: DataFrame) -> Column:
-    """A sort key for "row order" when the caller gives none.
-
-    Parquet scans expose ``_metadata.row_index``: (file, row) is exact file
-    order. Other file scans get (file, split start, monotonically increasing id),
-    which is file order within a split. Anything else falls back to the
-    partition order of ``monotonically_increasing_id``.
-    """
-    names = _metadata_fields(df)
-    if names is None:  # not a file scan
-        return F.monotonically_increasing_id()
-    if "row_index" in names:
-        return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return F.struct(
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
-    )
-
-
-@contextmanager
-def _quiet_probe():
-    """Silence PySpark's query-context error log while probing a column."""
-    logger = logging.getLogger("DataFrameQueryContextLogger")
-    was_disabled, logger.disabled = logger.disabled, True
-    try:
-        yield
-    finally:
-        logger.disabled = was_disabled
-
-
-def _metadata_fields(df: DataFrame) -> set[str] | None:
-    """Fields of ``df._metadata`` when ``df`` is a file scan seen through
-    projections and filters, else None."""
-    try:
-        with _quiet_probe():
-            meta = df.select("_metadata").schema.fields[0].dataType
-        return set(meta.fieldNames())
-    except Exception:
-        return None
-
-
 def is_file_backed(df: DataFrame) -> bool:
-    return _metadata_fields(df) is not None
+    return metadata_fields(df) is not None
 
 
 COLUMNAR_SUFFIXES = (".orc",)
@@ -183,7 +140,7 @@ def should_materialize(df: DataFrame, passes: int) -> bool:
     on every pass, and a derived frame (join, aggregate, ...) recomputed."""
     if passes <= 1:
         return False
-    names = _metadata_fields(df)
+    names = metadata_fields(df)
     if names is None:
         return not df.isLocal()
     if "row_index" in names:  # Parquet

@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 
 from quarry.functions.encoding import qcol
+from quarry.functions.order import file_order_key
 
 
 def select_columns(df: DataFrame, columns) -> DataFrame:
@@ -28,19 +29,23 @@ def select_columns(df: DataFrame, columns) -> DataFrame:
     return df.select(*[qcol(c) for c in columns])
 
 
-def limit_rows(df: DataFrame, limit: int, order_by=None) -> DataFrame:
+def limit_rows(df: DataFrame, limit: int, order_by=None, *, file_order: bool = False) -> DataFrame:
     """The first ``limit`` rows.
 
     Spark rows have no inherent order, so without ``order_by`` any ``limit``
     rows are returned (``CollectLimit``/``GlobalLimit``: the scan stops early).
     With ``order_by`` the result is deterministic when the key is unique and is
     planned as ``TakeOrderedAndProject``: a per-task bounded heap, never a
-    global sort.
+    global sort. ``file_order=True`` orders by position in the input files
+    (file path, then row), the reference's "first rows of the frame".
     """
     if isinstance(limit, bool) or not isinstance(limit, int):
         raise TypeError("limit must be an int")
     if limit < 0:
         raise ValueError("limit must be >= 0")
+    if file_order:
+        key = "__quarry_file_order"
+        return df.withColumn(key, file_order_key(df)).orderBy(key).limit(limit).drop(key)
     if order_by is None:
         return df.limit(limit)
     if isinstance(order_by, (str, Column)):

@@ -74,3 +74,60 @@ def test_csv_round_trip(spark, tmp_path_factory, data):
     back = read_csv(spark, out + "/c", multiline=True)
     assert back.columns == ["id", "s"]
     assert sorted(back.collect(), key=repr) == sorted((tuple(r) for r in data), key=repr)
+
+
+line_word = st.sampled_from(["x", "y z", "q"])
+file_body = st.lists(st.tuples(st.integers(0, 999), line_word), min_size=0, max_size=12)
+preamble = st.lists(st.sampled_from(["junk", "## c", "", "a|b", "1|x"]), min_size=0, max_size=3)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(preamble, file_body, st.lists(st.integers(0, 12), max_size=2)), min_size=1, max_size=3),
+       st.integers(0, 3))
+def test_text_line_stage_matches_brute_force(spark, tmp_path_factory, files, skip):
+    import json as _json
+
+    d = str(tmp_path_factory.mktemp("txt"))
+    expected = []
+    for n, (junk, body, comment_at) in enumerate(files):
+        lines = list(junk[:skip]) + ["junk"] * (skip - len(junk[:skip])) + ["a|b"]
+        for j, (k, w) in enumerate(body):
+            if j in comment_at:
+                lines.append("## note")
+            lines.append(f"{k}|{w}")
+        with open(f"{d}/f{n}.txt", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        expected += body
+    from quarry.sources.text import read_text
+
+    if not any(body for _, body, _ in files):
+        return
+    df = read_text(spark, d, delimiter="|", comment_prefix="##", skip_rows=skip)
+    assert df.columns == ["a", "b"]
+    assert sorted(df.collect()) == sorted(expected), _json.dumps(files)
+
+
+records = st.lists(st.fixed_dictionaries({"a": st.integers(-1000, 1000), "b": st.sampled_from(["p", "q r", "é"])}),
+                   min_size=1, max_size=6)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(records, st.booleans()), min_size=1, max_size=5))
+def test_json_bodies_match_brute_force(spark, bodies):
+    import json as _json
+
+    from pyspark.sql import types as T
+
+    from quarry.sources.json import parse_json_text
+
+    rows = []
+    for i, (recs, as_array) in enumerate(bodies):
+        text = _json.dumps(recs) if as_array else "\n".join(_json.dumps(r) for r in recs)
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "k int, body string")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    got = sorted(tuple(r) for r in parse_json_text(df, "body", schema=schema, keep=["k"]).collect())
+    want = sorted((i, r["a"], r["b"]) for i, (recs, _) in enumerate(bodies) for r in recs)
+    assert got == want
+    inferred = sorted(tuple(r) for r in parse_json_text(df, "body", keep=["k"]).select("k", "a", "b").collect())
+    assert inferred == want

@@ -64,3 +64,17 @@ def test_select_prunes_parquet_scan(spark, tmp):
     out = select_columns(read_parquet(spark, tmp + "/p"), ["b"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<b:bigint>" in plan
+
+
+def test_limit_in_file_order(spark, tmp):
+    # two files of different sizes: Spark packs the larger one first, file
+    # order still starts with the lexically first file
+    spark.range(0, 5).coalesce(1).write.parquet(tmp + "/p/a")
+    spark.range(100, 400).coalesce(1).write.parquet(tmp + "/p/b")
+    from quarry.sources.columnar import read_parquet
+
+    df = read_parquet(spark, [tmp + "/p/a", tmp + "/p/b"])
+    out = limit_rows(df, 7, file_order=True)
+    assert [r.id for r in out.collect()] == [0, 1, 2, 3, 4, 100, 101]
+    assert out.columns == ["id"]
+    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
