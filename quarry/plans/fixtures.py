@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import local_dir, task_file_name, write_file_atomic
+
 # ------------------------------------------------------------------ delimited text
 
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -191,7 +193,8 @@ def write_avro_files(df: DataFrame, directory: str) -> int:
     """One Avro file per partition of ``df`` under a local/mounted
     ``directory``; returns the number of files."""
     schema = df.schema
-    os.makedirs(directory, exist_ok=True)
+    target = local_dir(directory)
+    os.makedirs(target, exist_ok=True)
 
     def run(batches):
         import pyarrow as pa
@@ -200,9 +203,13 @@ def write_avro_files(df: DataFrame, directory: str) -> int:
         for b in batches:
             rows.extend(b.to_pylist())
         if rows:
-            name = os.path.join(directory, f"part-{uuid.uuid4().hex}.avro")
-            with open(name, "wb") as fh:
-                fh.write(avro_container(rows, schema))
+            import hashlib
+
+            name = task_file_name(0, ".avro")
+            # Deterministic but high-entropy sync marker: a retried task writes
+            # the same bytes, and the marker does not occur in the data.
+            sync = hashlib.md5(name.encode()).digest()
+            write_file_atomic(target, name, avro_container(rows, schema, sync=sync))
         yield pa.RecordBatch.from_pydict({"rows": [len(rows)]}, schema=pa.schema([("rows", pa.int64())]))
 
     return df.mapInArrow(run, "rows bigint").where("rows > 0").count()
@@ -302,7 +309,7 @@ def workbooks_from(df: DataFrame, rows_per_book: int = 5000) -> DataFrame:
         for lo in range(0, len(pending), rows_per_book):
             chunk = pending[lo:lo + rows_per_book]
             books.append(xlsx_bytes([[list(names)] + chunk], shared=(len(books) % 2 == 0)))
-        ids = [uuid.uuid4().hex for _ in books]
+        ids = [task_file_name(k, "") for k in range(len(books))]
         yield pa.RecordBatch.from_pydict(
             {"book": ids, "content": books}, schema=pa.schema([("book", pa.string()), ("content", pa.binary())])
         )
@@ -334,7 +341,7 @@ def parquet_payloads(df: DataFrame, rows_per_file: int = 2000) -> DataFrame:
                 return
             buf = _io.BytesIO()
             pq.write_table(pa.Table.from_batches(pending), buf)
-            files.append(uuid.uuid4().hex)
+            files.append(task_file_name(len(files), ".parquet"))
             blobs.append(buf.getvalue())
             pending, count = [], 0
 

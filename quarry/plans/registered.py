@@ -35,7 +35,7 @@ from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.excel import parse_workbook_bytes, read_excel
 from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
-from quarry.sources.payload import parse_parquet_bytes
+from quarry.sources.payload import land_bytes, parse_parquet_bytes
 from quarry.sources.text import parse_csv_text, read_csv, read_text
 
 
@@ -176,31 +176,16 @@ def q_avro_read(spark, sf_dir):
     return read_avro(spark, out)
 
 
-def _land_workbooks(spark, books: DataFrame, directory: str) -> None:
-    """Write workbook bytes as ``.xlsx`` files (fixture for S6)."""
-    import os
-
-    os.makedirs(directory, exist_ok=True)
-
-    def run(batches):
-        import pyarrow as pa
-
-        n = 0
-        for b in batches:
-            for book, content in zip(b.column("book").to_pylist(), b.column("content").to_pylist()):
-                with open(os.path.join(directory, f"{book}.xlsx"), "wb") as fh:
-                    fh.write(content)
-                n += 1
-        yield pa.RecordBatch.from_pydict({"n": [n]}, schema=pa.schema([("n", pa.int64())]))
-
-    books.mapInArrow(run, "n bigint").collect()
+def _land_workbooks(books: DataFrame, directory: str) -> None:
+    """Land workbook bytes as ``.xlsx`` files (fixture for S6)."""
+    land_bytes(books.select("content"), "content", directory, ".xlsx")
 
 
 def q_excel_read(spark, sf_dir):
     """S6 over workbooks built from ``part`` (500 rows each); every
     workbook's header row is kept as data by the reader and dropped here."""
     out = scratch_dir(spark, "xlsx")
-    _land_workbooks(spark, workbooks_from(table(spark, sf_dir, "part"), rows_per_book=500), out)
+    _land_workbooks(workbooks_from(table(spark, sf_dir, "part"), rows_per_book=500), out)
     return read_excel(spark, out).where(F.col("col0") != "p_partkey")
 
 

@@ -94,3 +94,43 @@ def materialize_frame(df: DataFrame, name: str = "materialized") -> DataFrame:
         return spark.read.parquet(path)
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def local_dir(path: str) -> str:
+    """The local-file-API form of ``path`` for writers that run in Python on
+    the executors. Only ``file:`` paths and plain paths qualify; on a cluster
+    they must name a shared mount. Other schemes (``hdfs://``, ``s3a://``)
+    are rejected rather than silently created as a local folder."""
+    if "://" in path and not path.startswith("file://"):
+        raise ValueError(
+            f"{path!r} is not a local or mounted path; Python-side writers need one "
+            "(set spark.checkpoint.dir to a shared mount or pass a directory)"
+        )
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
+
+
+def task_file_name(sequence: int, suffix: str) -> str:
+    """A file name that is the same on every attempt of the current task
+    (partition id + sequence within the partition), so a retried or
+    speculative attempt replaces its own files instead of adding copies."""
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    pid = ctx.partitionId() if ctx is not None else 0
+    return f"part-{pid:05d}-{sequence:07d}{suffix}"
+
+
+def write_file_atomic(directory: str, name: str, data: bytes) -> None:
+    """Write via a temporary name and rename, so readers never see a
+    partial file and a repeated write replaces the earlier one."""
+    import os
+
+    final = os.path.join(directory, name)
+    tmp = os.path.join(directory, f".{name}.tmp")
+    with open(tmp, "wb") as fh:
+        fh.write(data)
+    os.replace(tmp, final)

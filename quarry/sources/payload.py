@@ -2,7 +2,9 @@
 
 Spark can only scan these formats from files, so the bytes are first landed:
 each executor writes the payloads of its own partition, one file per row, into
-a directory (``mapInArrow``; the driver sees only a count per partition). The
+a directory (``mapInArrow``; the driver sees only a count per partition). File
+names are fixed by partition and position, so a retried task overwrites its
+own earlier attempt. The
 directory must be one the executors' Python can write and the cluster can read
 (a shared mount); by default it is a fresh folder under ``spark.checkpoint.dir``.
 The landed files are then read by the ordinary readers (S5, S8, S7).
@@ -14,27 +16,22 @@ Text payloads need no landing: see ``parse_csv_text``, ``parse_json_text`` and
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.encoding import qcol
-from quarry.session import scratch_dir
+from quarry.session import local_dir, scratch_dir, task_file_name, write_file_atomic
 from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 
 
-def _local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def land_bytes(df: DataFrame, content: str, directory: str | None = None, suffix: str = ".bin") -> str:
     """Write every non-null ``content`` value of ``df`` as its own file under
     ``directory`` and return the directory."""
     spark = df.sparkSession
     directory = directory or scratch_dir(spark, "payload")
-    target = _local_path(directory)
+    target = local_dir(directory)
     os.makedirs(target, exist_ok=True)
 
     def run(batches):
@@ -45,10 +42,9 @@ def land_bytes(df: DataFrame, content: str, directory: str | None = None, suffix
             for blob in batch.column(0).to_pylist():
                 if blob is None:
                     continue
-                name = os.path.join(target, f"part-{uuid.uuid4().hex}{suffix}")
-                with open(name + ".tmp", "wb") as fh:
-                    fh.write(blob)
-                os.replace(name + ".tmp", name)  # readers never see a partial file
+                # Same name on every attempt of this task: a retry replaces,
+                # never duplicates.
+                write_file_atomic(target, task_file_name(n, suffix), blob)
                 n += 1
         yield pa.RecordBatch.from_pydict({"files": [n]}, schema=pa.schema([("files", pa.int64())]))
 

@@ -119,3 +119,17 @@ def test_columnar_payloads(spark, tmp):
         [(1, "a"), (2, None), (3, "c")], key=repr)
     assert parse_orc_bytes(df, "o", tmp + "/o").count() == 3
     assert sorted(r.id for r in parse_avro_bytes(df, "a", tmp + "/a").collect()) == [1, 2]
+
+
+def test_land_bytes_is_idempotent_and_rejects_remote_paths(spark, tmp):
+    import os
+
+    from quarry.sources.payload import land_bytes
+
+    df = spark.createDataFrame([(b"one",), (b"two",)], "c binary").coalesce(1)
+    land_bytes(df, "c", tmp + "/land", ".bin")
+    land_bytes(df, "c", tmp + "/land", ".bin")  # a re-run (or a retried task) replaces, never adds
+    names = sorted(n for n in os.listdir(tmp + "/land") if not n.startswith("."))
+    assert names == ["part-00000-0000000.bin", "part-00000-0000001.bin"]
+    with pytest.raises(ValueError, match="not a local or mounted path"):
+        land_bytes(df, "c", "hdfs://nn/x")
