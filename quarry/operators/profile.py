@@ -6,13 +6,17 @@ A profile is a DataFrame with one row per input column, ordered by
 * approximate mode: one wide single-row aggregate: row count, null counts,
   encoded min/max and HyperLogLog distinct counts. Partial aggregation makes
   each task ship one row; nothing grows with the data.
-* exact mode: one ``groupBy(value).count()`` per column, unioned. Each is a
-  hash aggregate keyed by that column alone, combined map-side before the
-  shuffle, so a hot value costs one row per task; the shuffle carries a single
-  narrow column instead of the N-wide rows Catalyst's ``Expand`` rewrite of
-  several ``count(DISTINCT ..)`` would produce. Nulls, min/max and the row
-  count fall out of the same groups, so each column is read exactly once
-  (Parquet/ORC scans read only that column).
+* exact mode: per-value counts, ``groupBy(position, value).count()``. Columns
+  of one type family (64-bit ints and the Int encodings, doubles, strings and
+  decimals as text, binary) share one scan: each row is exploded into one
+  ``(position, value)`` row per column. The aggregate is combined map-side, so
+  a hot value costs one row per task, and partitioned on the value, so a
+  high-cardinality column spreads over all reducers. Rows stay two fields wide,
+  unlike the N-wide rows of Catalyst's ``Expand`` for several
+  ``count(DISTINCT ..)``, and the number of scans and shuffles is at most four
+  whatever the column count. Nulls, min/max and the row count fall out of the
+  same groups. Nested and other types get one keyed aggregate each
+  (``exact_plan="per_column"`` does that for every column).
 * samples: per string column ``orderBy(key).limit(3)``, which plans as
   ``TakeOrderedAndProject``: every task keeps a 3-row heap, the final merge sees
   3 rows per task.
@@ -77,6 +81,7 @@ DETAILED_SCHEMA = T.StructType(
 )
 
 DISTINCT_MODES = ("exact", "approx", "exact_single_pass")
+EXACT_PLANS = ("narrow", "per_column")
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -283,6 +288,133 @@ def _per_column_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
     return out
 
 
+# Typed slots of the narrow single-scan plan: every scalar value travels in
+# the slot of its family, so one shuffle serves columns of different types.
+SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string", "b": "binary"}
+
+
+def _slot(dtype: T.DataType) -> str | None:
+    """Which slot carries a column's values without changing their equality."""
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType,
+                          T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "l"  # the Int encoding of P2d is one-to-one, so distinctness is kept
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "d"
+    if isinstance(dtype, T.StringType) and dtype.simpleString() == "string":
+        return "s"  # default collation only: a collated string keeps its own equality
+    if isinstance(dtype, T.DecimalType):
+        return "s"  # fixed scale per column, so the text form is one-to-one
+    if isinstance(dtype, T.BinaryType):
+        return "b"
+    return None
+
+
+def _slot_value(c: Column, dtype: T.DataType, slot: str) -> Column:
+    if slot == "l":
+        return encoded_int(c, dtype)
+    if slot == "d":
+        return c.cast("double")
+    if slot == "s":
+        return c.cast("string")
+    return c
+
+
+def _narrow_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
+    """Exact mode, one scan and one shuffle for all scalar columns.
+
+    Each input row becomes one narrow row per column, ``(position, slot)``,
+    where only the column's type-family slot is set. ``groupBy(position,
+    slots).count()`` is combined map-side (a hot value costs one row per task)
+    and hash-partitioned on the value, so a high-cardinality column spreads
+    over all reducers; a second, partially aggregated ``groupBy(position)``
+    turns the groups into ``unique``, ``nulls``, the row count and min/max.
+    Unlike Catalyst's ``Expand`` for several ``count(DISTINCT ..)``, the rows
+    stay a few fields wide however many columns there are, and unlike one
+    job per column, the input is scanned once.
+    """
+    spark = df.sparkSession
+    used = sorted({_slot(f.dataType) for _, f in fields}, key=list(SLOT_TYPES).index)
+    entries = []
+    for i, f in fields:
+        slot = _slot(f.dataType)
+        value = _slot_value(qcol(f.name), f.dataType, slot)
+        parts = [F.lit(i).cast("int").alias("pos")]
+        for name in used:
+            parts.append((value if name == slot else F.lit(None)).cast(SLOT_TYPES[name]).alias(name))
+        entries.append(F.struct(*parts))
+    exploded = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    per_value = exploded.groupBy("pos", *used).agg(F.count(F.lit(1)).alias("n"))
+    is_null = None
+    for name in used:
+        cond = F.col(name).isNull()
+        is_null = cond if is_null is None else (is_null & cond)
+    aggs = [
+        F.count(F.lit(1)).alias("unique"),
+        F.sum("n").alias("row_count"),
+        F.sum(F.when(is_null, F.col("n"))).alias("nulls"),
+    ]
+    if "l" in used:
+        aggs += [F.min("l").alias("min_l"), F.max("l").alias("max_l")]
+    if "d" in used:
+        d = F.col("d")
+        aggs += [F.min(nan_free(d)).alias("min_d"), F.max(nan_free(d)).alias("max_d"),
+                 F.count_if(F.isnan(d)).alias("nans")]
+    agg = per_value.groupBy("pos").agg(*aggs)
+
+    # One row per column, known on the driver: the frame even an empty input
+    # reports on.
+    meta = spark.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), is_sample_type(f.dataType), minmax_kind(f.dataType, strict_parity))
+         for i, f in fields],
+        "pos int, column string, dtype string, has_samples boolean, kind string",
+    )
+    joined = meta.join(F.broadcast(agg), "pos", "left")
+    kind = F.col("kind")
+
+    def col_or_null(name, t):
+        return F.col(name) if name in agg.columns else F.lit(None).cast(t)
+
+    min_l, max_l = col_or_null("min_l", "bigint"), col_or_null("max_l", "bigint")
+    min_d, max_d = col_or_null("min_d", "double"), col_or_null("max_d", "double")
+    nan = F.when(col_or_null("nans", "bigint") > 0, F.lit(float("nan")))
+    none = _minmax_struct(None, None)
+    lo = (F.when(kind == INT_KIND, _minmax_struct(min_l, None))
+          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(min_d, nan))).otherwise(none))
+    hi = (F.when(kind == INT_KIND, _minmax_struct(max_l, None))
+          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(max_d, nan))).otherwise(none))
+    return joined.select(
+        F.col("pos").alias("position"),
+        "column",
+        "dtype",
+        "has_samples",
+        F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.coalesce(F.col("nulls"), F.lit(0)).cast("bigint").alias("nulls"),
+        F.coalesce(F.col("unique"), F.lit(0)).cast("bigint").alias("unique"),
+        lo.alias("min"),
+        hi.alias("max"),
+    )
+
+
+def _exact_stats(df: DataFrame, fields, strict_parity: bool, plan: str) -> DataFrame:
+    """Exact statistics: scalar columns through the narrow single scan (or one
+    job per column with ``plan="per_column"``), other columns per column."""
+    if plan == "per_column":
+        return _per_column_stats(df, fields, strict_parity)
+    other = [(i, f) for i, f in fields if _slot(f.dataType) is None]
+    parts = []
+    # One narrow scan per type family: rows stay (position, value).
+    for slot in SLOT_TYPES:
+        family = [(i, f) for i, f in fields if _slot(f.dataType) == slot]
+        if family:
+            parts.append(_narrow_stats(df, family, strict_parity))
+    if other:
+        parts.append(_per_column_stats(df, other, strict_parity))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _wide_stats(df: DataFrame, fields, strict_parity: bool, distinct: str) -> DataFrame:
     """Approximate / single-pass mode: every statistic in one wide aggregate."""
     aggs = [F.count(F.lit(1)).alias("q_rows")]
@@ -323,6 +455,7 @@ def profile_detailed(
     strict_parity: bool = False,
     samples: bool = True,
     materialize: bool | None = None,
+    exact_plan: str = "narrow",
 ) -> DataFrame:
     """Detailed profile, one row per column.
 
@@ -331,6 +464,9 @@ def profile_detailed(
     ``"exact_single_pass"`` (Catalyst ``Expand`` of several distinct aggregates;
     one shuffle but rows as wide as the column count).
 
+    ``exact_plan``: ``"narrow"`` (one scan per type family, the default) or
+    ``"per_column"`` (one scan and shuffle per column).
+
     ``order_by``: columns that define row order for ``sample_values``;
     defaults to file order (see ``file_order_key``).
 
@@ -349,9 +485,15 @@ def profile_detailed(
     fields = list(enumerate(df.schema.fields))
     if not fields:
         return _empty(spark, DETAILED_SCHEMA)
-    if distinct == "exact":
+    if exact_plan not in EXACT_PLANS:
+        raise ValueError(f"exact_plan must be one of {EXACT_PLANS}, got {exact_plan!r}")
+    if distinct == "exact" and exact_plan == "per_column":
         passes = sum(1 for _, f in fields if distinct_supported(f.dataType))
         passes += any(not distinct_supported(f.dataType) for _, f in fields)
+    elif distinct == "exact":
+        passes = int(any(_slot(f.dataType) for _, f in fields))
+        passes += sum(1 for _, f in fields if _slot(f.dataType) is None and distinct_supported(f.dataType))
+        passes += any(not distinct_supported(f.dataType) for _, f in fields)
     else:
         passes = 1
     if samples:
@@ -369,7 +511,7 @@ def profile_detailed(
             key = F.col(ORDER_COL)
 
     if distinct == "exact":
-        stats = _per_column_stats(df, fields, strict_parity)
+        stats = _exact_stats(df, fields, strict_parity, exact_plan)
     else:
         stats = _wide_stats(df, fields, strict_parity, distinct)
 

@@ -208,3 +208,25 @@ def test_row_format_input_is_landed_once_and_keeps_file_order(spark, tmp):
     assert p["k"]["unique"] == 30 and p["k"]["max"]["Int"] == 29
     plan = prof._jdf.queryExecution().executedPlan().toString()
     assert "FileScan csv" not in plan and "Scan csv" not in plan
+
+
+def test_exact_plans_agree(spark):
+    df = spark.sql(
+        """
+        SELECT id, CAST(id % 3 AS INT) AS i, IF(id % 4 = 0, NULL, id * 0.5D) AS d,
+               IF(id % 5 = 0, NULL, CAST(id % 7 AS STRING)) AS s, CAST(id % 2 = 0 AS BOOLEAN) AS b,
+               DATE_ADD(DATE'2020-01-01', CAST(id % 9 AS INT)) AS dt, CAST(id % 6 AS DECIMAL(10, 2)) AS dec,
+               CAST(CAST(id % 3 AS STRING) AS BINARY) AS bin, array(id % 2) AS arr,
+               IF(id = 3, CAST('NaN' AS DOUBLE), CAST(-0.0 AS DOUBLE)) AS z
+        FROM range(0, 200)
+        """
+    )
+    narrow = sorted(profile_detailed(df, exact_plan="narrow").collect(), key=lambda r: r["position"])
+    per_col = sorted(profile_detailed(df, exact_plan="per_column").collect(), key=lambda r: r["position"])
+    assert [r.asDict() for r in narrow][:-1] == [r.asDict() for r in per_col][:-1]
+    z_n, z_p = narrow[-1], per_col[-1]
+    assert z_n["unique"] == z_p["unique"] == 2 and z_n["min"]["Float"] == 0.0
+    p = {r["column"]: r for r in narrow}
+    assert p["d"]["nulls"] == 50 and p["s"]["unique"] == 8 and p["dec"]["unique"] == 6 and p["bin"]["unique"] == 3
+    plan = profile_detailed(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") >= 4  # one narrow explode per type family
