@@ -1,8 +1,8 @@
-import datetime as dt
 import json
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry import export_profile_json, profile_basic, profile_detailed, profile_json_text
 from quarry.operators.profile import _format_float
@@ -53,9 +53,8 @@ def test_all_types(spark):
            named_struct('f', 2), CAST(2 AS SMALLINT))
         AS t(i, l, f, d, b, dt, ts, s, dec, arr, m, st, sm)
         """
-    ).withColumn("ts_ltz", __import__("pyspark.sql.functions", fromlist=["x"]).expr(
-        "TIMESTAMP'1970-01-01 00:00:02 UTC'")).withColumn(
-        "v", __import__("pyspark.sql.functions", fromlist=["x"]).expr("parse_json('{\"a\":1}')"))
+    ).withColumn("ts_ltz", F.expr("TIMESTAMP'1970-01-01 00:00:02 UTC'")).withColumn(
+        "v", F.expr("parse_json('{\"a\":1}')"))
     p = by_name(profile_detailed(df))
     assert (p["i"]["min"]["Int"], p["i"]["max"]["Int"]) == (1, 3)
     assert (p["l"]["min"]["Int"], p["l"]["max"]["Int"]) == (10, 30)

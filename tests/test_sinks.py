@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
@@ -18,7 +20,7 @@ def test_csv_round_trip(spark, frame, tmp):
     write_csv(frame, tmp + "/c")
     back = read_csv(spark, tmp + "/c", multiline=True)
     assert sorted(back.collect()) == sorted(frame.collect())
-    raw = "".join(open(p).read() for p in sorted(__import__("glob").glob(tmp + "/c/part-*")))
+    raw = "".join(open(p).read() for p in sorted(glob.glob(tmp + "/c/part-*")))
     assert '"say ""hi"""' in raw and '""' in raw
 
 
@@ -30,7 +32,7 @@ def test_csv_overwrites(spark, frame, tmp):
 
 def test_json_round_trip_keeps_nulls(spark, frame, tmp):
     write_json(frame, tmp + "/j")
-    text = "".join(open(p).read() for p in __import__("glob").glob(tmp + "/j/part-*"))
+    text = "".join(open(p).read() for p in glob.glob(tmp + "/j/part-*"))
     assert '"s":null' in text
     back = read_json(spark, tmp + "/j").select("id", "s", "x")
     assert sorted(back.collect()) == sorted(frame.collect())

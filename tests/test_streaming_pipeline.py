@@ -7,7 +7,7 @@ from conftest import write_text
 from quarry.plans.pipeline import run_file_pipeline
 from quarry.sources.columnar import read_parquet
 from quarry.sources.json import read_json
-from quarry.sources.text import parse_csv_text, read_csv
+from quarry.sources.text import parse_csv_text
 from quarry.streaming.landing import stream_file_copy, stream_http_bodies
 
 
