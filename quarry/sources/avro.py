@@ -48,8 +48,13 @@ def read_avro(
     *,
     native: bool | None = None,
     schema: T.StructType | None = None,
+    infer_schema_length: int | None = 100,
 ) -> DataFrame:
-    """Avro file(s) or directory. A missing local path is an error."""
+    """Avro file(s) or directory. A missing local path is an error.
+
+    On the JSON route the schema comes from the first ``infer_schema_length``
+    records (a bounded ``take``), not from a pass over every record; ``None``
+    lets Spark infer over all of them."""
     paths = _paths(path)
     for p in paths:
         if "://" not in p and not any(ch in p for ch in "*?[") and not os.path.exists(p):
@@ -63,6 +68,11 @@ def read_avro(
     sc = spark.sparkContext
     records = sc.hadoopFile(",".join(paths), AVRO_TEXT_FORMAT, TEXT, TEXT).keys()
     reader = spark.read.option("mode", "FAILFAST")
+    if schema is None and infer_schema_length is not None:
+        sample = records.take(infer_schema_length)
+        if not sample:
+            raise ValueError(f"no Avro records in {path}")
+        schema = reader.json(sc.parallelize(sample, 1)).schema
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(records)
