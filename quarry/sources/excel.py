@@ -76,8 +76,16 @@ def number_text(raw: str) -> str:
 
 
 def _text_of(el) -> str:
-    """Text of a shared or inline string item (plain ``<t>`` or rich runs)."""
-    parts = [t.text or "" for t in el.iter(_q("t"))]
+    """Text of a shared or inline string item: its own ``<t>`` or the ``<t>``
+    of its rich-text runs ``<r>``. Phonetic runs (``<rPh>``) are not text."""
+    parts = []
+    for child in el:
+        if child.tag == _q("t"):
+            parts.append(child.text or "")
+        elif child.tag == _q("r"):
+            t = child.find(_q("t"))
+            if t is not None:
+                parts.append(t.text or "")
     return "".join(parts)
 
 

@@ -133,3 +133,24 @@ def test_land_bytes_is_idempotent_and_rejects_remote_paths(spark, tmp):
     assert names == ["part-00000-0000000.bin", "part-00000-0000001.bin"]
     with pytest.raises(ValueError, match="not a local or mounted path"):
         land_bytes(df, "c", "hdfs://nn/x")
+
+
+def test_rich_and_phonetic_shared_strings():
+    import io
+    import zipfile
+
+    data = xlsx_bytes([[["placeholder"]]])
+    src = zipfile.ZipFile(io.BytesIO(data))
+    out = io.BytesIO()
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    sst = (f'<sst xmlns="{ns}"><si><r><t>bold</t></r><r><t xml:space="preserve"> text</t></r></si>'
+           f'<si><t>漢字</t><rPh sb="0" eb="2"><t>かんじ</t></rPh></si></sst>')
+    sheet = (f'<worksheet xmlns="{ns}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c>'
+             f'<c r="B1" t="s"><v>1</v></c></row></sheetData></worksheet>')
+    with zipfile.ZipFile(out, "w") as zf:
+        for name in src.namelist():
+            if name == "xl/sharedStrings.xml":
+                continue
+            zf.writestr(name, sheet if name.endswith("sheet1.xml") else src.read(name))
+        zf.writestr("xl/sharedStrings.xml", sst)
+    assert workbook_rows(out.getvalue()) == [["bold text", "漢字"]]
