@@ -122,6 +122,24 @@ def _first_sheet_part(zf: zipfile.ZipFile) -> str:
     raise ValueError("first sheet has no part in the workbook relations")
 
 
+def _cell_text(c, shared: list[str]) -> str:
+    """A cell's value as text (shared/inline strings, booleans, errors,
+    formula strings, ISO dates as stored, numbers as a Rust float prints)."""
+    t = c.get("t", "n")
+    v = c.find(_q("v"))
+    raw = v.text if v is not None else None
+    if t == "s":
+        return shared[int(raw)] if raw is not None else ""
+    if t == "inlineStr":
+        is_el = c.find(_q("is"))
+        return _text_of(is_el) if is_el is not None else ""
+    if t == "b":
+        return "" if raw is None else ("true" if raw.strip() in ("1", "true") else "false")
+    if t in ("str", "e", "d"):
+        return raw or ""
+    return "" if raw is None else number_text(raw)
+
+
 def workbook_rows(data: bytes) -> list[list[str]]:
     """Rows of the first sheet of an xlsx workbook, every cell as text."""
     zf = _check_format(data)
@@ -129,39 +147,30 @@ def workbook_rows(data: bytes) -> list[list[str]]:
     if SHARED_STRINGS in zf.namelist():
         sst = ET.fromstring(zf.read(SHARED_STRINGS))
         shared = [_text_of(si) for si in sst.iter(_q("si"))]
-    sheet = ET.fromstring(zf.read(_first_sheet_part(zf)))
     cells: dict[tuple[int, int], str] = {}
-    data_el = sheet.find(_q("sheetData"))
     next_row = 0
-    for row in (data_el if data_el is not None else []):
-        r = row.get("r")
-        row_idx = int(r) - 1 if r else next_row
-        next_row = row_idx + 1
-        next_col = 0
-        for c in row.iter(_q("c")):
-            ref = c.get("r")
-            if ref:
-                m = _REF.match(ref)
-                col_idx = _col_index(m.group(1))
-            else:
-                col_idx = next_col
-            next_col = col_idx + 1
-            t = c.get("t", "n")
-            v = c.find(_q("v"))
-            raw = v.text if v is not None else None
-            if t == "s":
-                text = shared[int(raw)] if raw is not None else ""
-            elif t == "inlineStr":
-                is_el = c.find(_q("is"))
-                text = _text_of(is_el) if is_el is not None else ""
-            elif t == "b":
-                text = "" if raw is None else ("true" if raw.strip() in ("1", "true") else "false")
-            elif t in ("str", "e", "d"):
-                text = raw or ""
-            else:
-                text = "" if raw is None else number_text(raw)
-            if text != "":
-                cells[(row_idx, col_idx)] = text
+    # Stream the sheet: each <row> is read and then cleared, so memory holds
+    # the cell texts, not the sheet's XML tree.
+    with zf.open(_first_sheet_part(zf)) as fh:
+        for _, row in ET.iterparse(fh, events=("end",)):
+            if row.tag != _q("row"):
+                continue
+            r = row.get("r")
+            row_idx = int(r) - 1 if r else next_row
+            next_row = row_idx + 1
+            next_col = 0
+            for c in row.iter(_q("c")):
+                ref = c.get("r")
+                if ref:
+                    m = _REF.match(ref)
+                    col_idx = _col_index(m.group(1))
+                else:
+                    col_idx = next_col
+                next_col = col_idx + 1
+                text = _cell_text(c, shared)
+                if text != "":
+                    cells[(row_idx, col_idx)] = text
+            row.clear()
     if not cells:
         raise ValueError("No data in Excel sheet")
     rows = [k[0] for k in cells]
