@@ -26,8 +26,6 @@ nulls.
 
 from __future__ import annotations
 
-import csv as _pycsv
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -249,7 +247,34 @@ def _preamble_filter(skip_rows: int, comment: str | None, has_header: bool):
 
 
 def _split_line(line: str, delimiter: str, quote: str) -> list[str]:
-    return next(_pycsv.reader([line], delimiter=delimiter, quotechar=quote))
+    """Fields of one delimited line (any separator length; a doubled quote
+    inside quotes is a literal quote). Used for the header and the bounded
+    inference sample only; the data itself is parsed by ``from_csv``."""
+    fields, buf, i, in_quotes, n, k = [], [], 0, False, len(line), len(delimiter)
+    while i < n:
+        ch = line[i]
+        if in_quotes:
+            if ch == quote and i + 1 < n and line[i + 1] == quote:
+                buf.append(quote)
+                i += 2
+                continue
+            if ch == quote:
+                in_quotes = False
+            else:
+                buf.append(ch)
+            i += 1
+        elif ch == quote and not buf:
+            in_quotes = True
+            i += 1
+        elif line.startswith(delimiter, i):
+            fields.append("".join(buf))
+            buf = []
+            i += k
+        else:
+            buf.append(ch)
+            i += 1
+    fields.append("".join(buf))
+    return fields
 
 
 def _read_lines_route(

@@ -125,3 +125,10 @@ def test_filter_reaches_csv_scan(spark, tmp):
     df = read_csv(spark, stock_csv(tmp + "/s.csv", 20))
     plan = df.where("Volume > 0").select("Open")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
+
+
+def test_multi_char_separator(spark, tmp):
+    path = write_text(tmp + "/m.txt", "skip me\na||b\n1||x\n2||y\n")
+    direct = read_text(spark, write_text(tmp + "/d.txt", "a||b\n1||x\n2||y\n"), delimiter="||")
+    lines = read_text(spark, path, delimiter="||", skip_rows=1)
+    assert sorted(direct.collect()) == sorted(lines.collect()) == [(1, "x"), (2, "y")]
