@@ -26,6 +26,10 @@ DOCS_LABELS_NARROW = [
     ("doc_id", "bigint"), ("lang", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"),
 ]
 CUSTOMER_STRINGS = ["c_name", "c_mktsegment"]
+# lineitem as read back from CSV: ints widen to bigint, timestamps stay text.
+LINEITEM_FROM_CSV = [
+    (c, {"int": "bigint", "timestamp_ntz": "string"}.get(t, t)) for c, t in LINEITEM
+]
 
 INT_TYPES = {"bigint", "int", "boolean"}
 EPOCH_TYPES = {"timestamp_ntz", "timestamp"}
@@ -112,10 +116,14 @@ ORACLES = {
     "profile_json": json_profile_sql(),
     "select_columns": "SELECT p_name, p_partkey, p_retailprice FROM part",
     "limit_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
+    "limit_file_order": "SELECT * FROM lineitem LIMIT 100",
     "csv_roundtrip": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "csv_no_header": "SELECT CAST(r_regionkey AS BIGINT) AS column_1, r_name AS column_2 FROM region",
     "text_pipe_options": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
                          "p_retailprice FROM part",
+    "text_tab_comment": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+                        "c_mktsegment FROM customer",
+    "profile_csv_input": detailed_profile_sql("lineitem", LINEITEM_FROM_CSV),
     "csv_payloads": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "file_pipeline": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag "
                      "FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000",

@@ -99,6 +99,11 @@ def q_limit_rows(spark, sf_dir):
     return limit_rows(table(spark, sf_dir, "orders"), 100, order_by="o_orderkey")
 
 
+def q_limit_file_order(spark, sf_dir):
+    """T2 as the reference's head-N: the first rows in file order."""
+    return limit_rows(table(spark, sf_dir, "lineitem"), 100, file_order=True)
+
+
 # ------------------------------------------------------------------ text
 
 
@@ -120,6 +125,21 @@ def q_text_pipe_options(spark, sf_dir):
     return read_text(spark, out, delimiter="|", has_header=True, comment_prefix="##", skip_rows=2)
 
 
+def q_text_tab_comment(spark, sf_dir):
+    """S2 on the direct CSV scan: tab separator, one-character comment prefix."""
+    out = scratch_dir(spark, "tsv")
+    write_with_preamble(table(spark, sf_dir, "customer"), out, "\t", 0)
+    return read_text(spark, out, delimiter="\t", comment_prefix="#")
+
+
+def q_profile_csv_input(spark, sf_dir):
+    """P2 over a CSV-backed frame: the input is landed once as Parquet and
+    profiled column family by column family; shipdate stays text."""
+    out = scratch_dir(spark, "csv-profile")
+    write_csv(table(spark, sf_dir, "lineitem"), out)
+    return flatten_profile(profile_detailed(read_csv(spark, out), samples=False))
+
+
 def q_csv_payloads(spark, sf_dir):
     """CSV documents held in a string column, one per block of suppliers."""
     bodies = csv_bodies(table(spark, sf_dir, "supplier"), "s_suppkey")
@@ -260,9 +280,12 @@ QUERIES = {
     "profile_json": q_profile_json,
     "select_columns": q_select_columns,
     "limit_rows": q_limit_rows,
+    "limit_file_order": q_limit_file_order,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_no_header": q_csv_no_header,
     "text_pipe_options": q_text_pipe_options,
+    "text_tab_comment": q_text_tab_comment,
+    "profile_csv_input": q_profile_csv_input,
     "csv_payloads": q_csv_payloads,
     "file_pipeline": q_file_pipeline,
     "json_lines_roundtrip": q_json_lines_roundtrip,
