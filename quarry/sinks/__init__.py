@@ -11,14 +11,25 @@ from pyspark.sql import DataFrame, DataFrameWriter
 
 
 def _writer(df: DataFrame, partition_by=None, num_files: int | None = None) -> DataFrameWriter:
+    """Common writer setup.
+
+    With ``partition_by`` the rows are laid out by Spark's ``REBALANCE`` hint
+    on those columns: AQE hash-partitions them, splits a partition value that
+    holds a large share of the rows over several tasks and merges small ones,
+    so one hot value does not become one giant task and files come out near
+    the advisory size. ``num_files`` sets the partition count instead.
+    """
     if not df.columns:
         raise ValueError("cannot write a frame with no columns")
-    if num_files is not None:
-        if num_files < 1:
-            raise ValueError("num_files must be >= 1")
+    if num_files is not None and num_files < 1:
+        raise ValueError("num_files must be >= 1")
+    if partition_by:
+        args = ([num_files] if num_files is not None else []) + list(partition_by)
+        df = df.hint("rebalance", *args)
+    elif num_files is not None:
         # repartition, not coalesce: coalesce would also shrink the upstream
         # stage to num_files tasks.
-        df = df.repartition(num_files, *(partition_by or []))
+        df = df.repartition(num_files)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

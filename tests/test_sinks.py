@@ -53,3 +53,13 @@ def test_orc_missing_path(spark, tmp):
 def test_zero_column_frame_is_error(spark, tmp):
     with pytest.raises(ValueError):
         write_json(spark.range(1).select(), tmp + "/z")
+
+
+def test_partitioned_write_rebalances_hot_values(spark, tmp):
+    # one partition value holds most rows; the rebalance hint lets AQE split it
+    df = spark.range(0, 20000).selectExpr("id", "IF(id < 15000, 'hot', CAST(id % 3 AS STRING)) AS p")
+    write_parquet(df, tmp + "/p", partition_by=["p"])
+    back = read_parquet(spark, tmp + "/p")
+    assert back.count() == 20000 and back.where("p = 'hot'").count() == 15000
+    plan = df.hint("rebalance", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
