@@ -4,13 +4,8 @@ Readers return lazy DataFrames, transforms and profiles are DataFrame to
 DataFrame, sinks write with Spark's own committers.
 """
 
-from quarry.operators.profile import (
-    export_profile_json,
-    flatten_profile,
-    profile_basic,
-    profile_detailed,
-    profile_json_text,
-)
+from quarry.operators.export import export_profile_json, profile_json_text
+from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed
 from quarry.operators.transform import limit_rows, select_columns
 
 __all__ = [

@@ -12,12 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.profile import (
-    export_profile_json,
-    flatten_profile,
-    profile_basic,
-    profile_detailed,
-)
+from quarry.operators.export import export_profile_json
+from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql
 from quarry.plans.fixtures import (

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry import export_profile_json, profile_basic, profile_detailed, profile_json_text
-from quarry.operators.profile import _format_float
+from quarry.operators.export import _format_float
 
 
 def by_name(df):
