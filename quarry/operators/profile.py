@@ -454,10 +454,11 @@ def profile_detailed(
 ) -> DataFrame:
     """Detailed profile, one row per column.
 
-    ``distinct``: ``"exact"`` (one keyed aggregate per column), ``"approx"``
-    (HyperLogLog++ in the single wide pass; ~2% error, no extra shuffle) or
-    ``"exact_single_pass"`` (Catalyst ``Expand`` of several distinct aggregates;
-    one shuffle but rows as wide as the column count).
+    ``distinct``: ``"exact"`` (per-value counts, see ``exact_plan``),
+    ``"approx"`` (HyperLogLog++ in one wide single-row aggregate; a few percent
+    error, no value shuffle) or ``"exact_single_pass"`` (Catalyst ``Expand`` of
+    several distinct aggregates; one shuffle but rows as wide as the column
+    count).
 
     ``exact_plan``: ``"narrow"`` (one scan per type family, the default) or
     ``"per_column"`` (one scan and shuffle per column).
@@ -486,7 +487,7 @@ def profile_detailed(
         passes = sum(1 for _, f in fields if distinct_supported(f.dataType))
         passes += any(not distinct_supported(f.dataType) for _, f in fields)
     elif distinct == "exact":
-        passes = int(any(_slot(f.dataType) for _, f in fields))
+        passes = len({_slot(f.dataType) for _, f in fields} - {None})
         passes += sum(1 for _, f in fields if _slot(f.dataType) is None and distinct_supported(f.dataType))
         passes += any(not distinct_supported(f.dataType) for _, f in fields)
     else:
