@@ -19,8 +19,9 @@ from quarry.functions.encoding import MINMAX_FLOAT, MINMAX_INT, MINMAX_NONE, MIN
 
 
 def _format_float(x: float):
-    """Shortest round-trip text in the style of a ryu/serde float writer:
-    ``1.0``, ``0.001``, ``1e21``, ``1.5e-7``; NaN and infinities become null."""
+    """Shortest round-trip digits; plain notation from 1e-6 up to below 1e21
+    (``1.0``, ``0.001``, ``100000000000000000000.0``), exponent notation
+    outside it (``1e21``, ``1.5e-7``); NaN and infinities become null."""
     if math.isnan(x) or math.isinf(x):
         return None
     if x == 0:
