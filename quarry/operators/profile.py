@@ -6,17 +6,17 @@ A profile is a DataFrame with one row per input column, ordered by
 * approximate mode: one wide single-row aggregate: row count, null counts,
   encoded min/max and HyperLogLog distinct counts. Partial aggregation makes
   each task ship one row; nothing grows with the data.
-* exact mode: per-value counts, ``groupBy(position, value).count()``. Columns
-  of one type family (64-bit ints and the Int encodings, doubles, strings and
-  decimals as text, binary) share one scan: each row is exploded into one
-  ``(position, value)`` row per column. The aggregate is combined map-side, so
-  a hot value costs one row per task, and partitioned on the value, so a
-  high-cardinality column spreads over all reducers. Rows stay two fields wide,
-  unlike the N-wide rows of Catalyst's ``Expand`` for several
-  ``count(DISTINCT ..)``, and the number of scans and shuffles is at most four
-  whatever the column count. Nulls, min/max and the row count fall out of the
-  same groups. Nested and other types get one keyed aggregate each
-  (``exact_plan="per_column"`` does that for every column).
+* exact mode: per-value counts. Each column gets ``groupBy(value).count()``
+  (one scan of that column, one shuffle). The aggregate is combined map-side,
+  so a hot value costs one row per task, and partitioned on the value, so a
+  high-cardinality column spreads over all reducers. Nulls, min/max and the
+  row count fall out of the same groups. For wide tables
+  (``WIDE_TABLE_COLUMNS``) the columns of one type family (64-bit ints and the
+  Int encodings, doubles, strings and decimals as text, binary) share one
+  scan instead: each row is exploded into one ``(position, value)`` row per
+  column, so scans, shuffles and plan size stay at most four whatever the
+  column count. Either way rows stay narrow, unlike the N-wide rows of
+  Catalyst's ``Expand`` for several ``count(DISTINCT ..)``.
 * samples: per string column ``orderBy(key).limit(3)``, which plans as
   ``TakeOrderedAndProject``: every task keeps a 3-row heap, the final merge sees
   3 rows per task.
@@ -76,7 +76,11 @@ DETAILED_SCHEMA = T.StructType(
 )
 
 DISTINCT_MODES = ("exact", "approx", "exact_single_pass")
-EXACT_PLANS = ("narrow", "per_column")
+EXACT_PLANS = ("auto", "narrow", "per_column")
+# Above this many groupable columns "auto" switches from one job per column to
+# one narrow scan per type family: the per-column plan's scan count, task count
+# and plan size grow with the column count, the family plan's do not.
+WIDE_TABLE_COLUMNS = 32
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -450,7 +454,7 @@ def profile_detailed(
     strict_parity: bool = False,
     samples: bool = True,
     materialize: bool | None = None,
-    exact_plan: str = "narrow",
+    exact_plan: str = "auto",
 ) -> DataFrame:
     """Detailed profile, one row per column.
 
@@ -460,8 +464,10 @@ def profile_detailed(
     several distinct aggregates; one shuffle but rows as wide as the column
     count).
 
-    ``exact_plan``: ``"narrow"`` (one scan per type family, the default) or
-    ``"per_column"`` (one scan and shuffle per column).
+    ``exact_plan``: ``"per_column"`` (one scan and shuffle per column),
+    ``"narrow"`` (one scan and shuffle per type family, whatever the column
+    count) or ``"auto"`` (per column up to ``WIDE_TABLE_COLUMNS`` groupable
+    columns, narrow above).
 
     ``order_by``: columns that define row order for ``sample_values``;
     defaults to file order (see ``file_order_key``).
@@ -483,6 +489,9 @@ def profile_detailed(
         return _empty(spark, DETAILED_SCHEMA)
     if exact_plan not in EXACT_PLANS:
         raise ValueError(f"exact_plan must be one of {EXACT_PLANS}, got {exact_plan!r}")
+    if exact_plan == "auto":
+        groupable = sum(1 for _, f in fields if distinct_supported(f.dataType))
+        exact_plan = "narrow" if groupable > WIDE_TABLE_COLUMNS else "per_column"
     if distinct == "exact" and exact_plan == "per_column":
         passes = sum(1 for _, f in fields if distinct_supported(f.dataType))
         passes += any(not distinct_supported(f.dataType) for _, f in fields)

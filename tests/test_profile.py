@@ -227,5 +227,18 @@ def test_exact_plans_agree(spark):
     assert z_n["unique"] == z_p["unique"] == 2 and z_n["min"]["Float"] == 0.0
     p = {r["column"]: r for r in narrow}
     assert p["d"]["nulls"] == 50 and p["s"]["unique"] == 8 and p["dec"]["unique"] == 6 and p["bin"]["unique"] == 3
-    plan = profile_detailed(df)._jdf.queryExecution().executedPlan().toString()
+    plan = profile_detailed(df, exact_plan="narrow")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate") >= 4  # one narrow explode per type family
+
+
+def test_auto_plan_switches_for_wide_tables(spark):
+    from quarry.operators import profile as prof
+
+    wide = spark.range(50).selectExpr(*[f"id % {k + 2} AS c{k}" for k in range(prof.WIDE_TABLE_COLUMNS + 1)])
+    plan = profile_detailed(wide, samples=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1  # one narrow scan for the single type family
+    p = {r["column"]: r["unique"] for r in profile_detailed(wide, samples=False).collect()}
+    assert p["c0"] == 2 and p[f"c{prof.WIDE_TABLE_COLUMNS}"] == prof.WIDE_TABLE_COLUMNS + 2
+    narrow = spark.range(50).selectExpr("id", "id % 3 AS m")
+    plan = profile_detailed(narrow, samples=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
