@@ -1,6 +1,6 @@
 """CSV and delimited text readers.
 
-Two routes, both fully lazy after schema discovery:
+Three routes, all lazy after schema discovery:
 
 * direct: Spark's CSV scan with an explicit schema. Used whenever Spark's own
   options express the request (any separator, quote, one-character comment,
@@ -11,6 +11,9 @@ Two routes, both fully lazy after schema discovery:
   the first lines of each file's first split and marks the header, and
   ``from_csv`` parses the rest. No shuffle; only the first split of a file is
   counted.
+* whole file: skipped lines together with quoted newlines (``multiline=True``).
+  Each file is one task (``binaryFile``), as in Spark's own multi-line CSV
+  scan, parsed by the standard CSV parser and cast by Spark.
 
 Schema discovery: one bounded ``limit(1 + infer_schema_length)`` job fetches
 the header (or first row) together with the inference sample; the types come
@@ -125,9 +128,9 @@ def read_text(
     needs_lines = skip_rows > 0 or (comment_prefix is not None and len(comment_prefix) > 1)
     if needs_lines:
         if multiline:
-            raise ValueError(
-                "skip_rows or a multi-character comment prefix cannot be combined with "
-                "multiline=True: quoted newlines need the CSV scan, which cannot skip lines"
+            return _read_whole_files_route(
+                spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
+                infer_schema_length, infer_dates, on_ragged, schema, encoding,
             )
         return _read_lines_route(
             spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
@@ -322,6 +325,89 @@ def _read_lines_route(
 
 
 
+# ------------------------------------------------------------ whole-file stage
+
+
+def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding, chunk=8192):
+    """mapInArrow body for quoted newlines plus skipped lines: one file per
+    row (``binaryFile``), parsed in one task like Spark's own multi-line CSV.
+    The first ``skip_rows`` physical lines and comment lines are dropped, then
+    the records are read with the standard CSV parser, header flagged."""
+
+    def run(batches):
+        import csv
+        import io
+
+        import pyarrow as pa
+
+        schema = pa.schema([("is_header", pa.bool_()), ("cells", pa.list_(pa.string()))])
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                if blob is None:
+                    continue
+                text = io.StringIO(bytes(blob).decode(encoding), newline="")
+                kept = (
+                    line for n, line in enumerate(text)
+                    if n >= skip_rows and not (comment and line.startswith(comment))
+                )
+                records = csv.reader(kept, delimiter=delimiter, quotechar=quote, doublequote=True)
+                flags, cells, first = [], [], has_header
+                for rec in records:
+                    if not rec or rec == [""]:
+                        continue
+                    flags.append(first)
+                    cells.append([None if v == "" else v for v in rec])
+                    first = False
+                    if len(cells) >= chunk:
+                        yield pa.RecordBatch.from_pydict({"is_header": flags, "cells": cells}, schema=schema)
+                        flags, cells = [], []
+                if cells:
+                    yield pa.RecordBatch.from_pydict({"is_header": flags, "cells": cells}, schema=schema)
+
+    return run
+
+
+def _read_whole_files_route(
+    spark, paths, delimiter, has_header, quote_char, comment, skip_rows,
+    infer_schema_length, infer_dates, on_ragged, schema, encoding,
+):
+    if len(delimiter) != 1:
+        raise ValueError("multiline=True with skip_rows needs a one-character delimiter")
+    quote = quote_char or '"'
+    files = spark.read.format("binaryFile").load(paths).select("content")
+    recs = files.mapInArrow(
+        _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding),
+        "is_header boolean, cells array<string>",
+    )
+    body = recs.where(~F.col("is_header"))
+    if schema is None:
+        sample_n = infer_schema_length if infer_schema_length is not None else 0
+        got = recs.limit(1 + sample_n).collect()
+        header = next((r["cells"] for r in got if r["is_header"]), None)
+        data = [r["cells"] for r in got if not r["is_header"]]
+        if has_header and header is None:
+            hit = recs.where("is_header").limit(1).collect()
+            header = hit[0]["cells"] if hit else None
+        first = header if has_header else (data[0] if data else None)
+        if first is None:
+            raise ValueError(f"no rows in delimited input: {paths}")
+        names = header_names(first) if has_header else generated_names(len(first))
+        if infer_schema_length is not None:
+            types = infer_types_from_rows(spark, names, data[:sample_n], infer_dates=infer_dates)
+        else:
+            strings = body.select(*[F.get("cells", i).alias(n) for i, n in enumerate(names)])
+            types = infer_types(strings, names, infer_dates=infer_dates)
+        schema = _typed(names, types)
+    n = len(schema.fields)
+    typed = body.select(
+        *[F.get("cells", i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
+        F.when(F.size("cells") > n, F.lit("long")).alias(EXTRA),
+    )
+    if on_ragged != "error":
+        typed = typed.drop(EXTRA)
+    return _check_ragged(typed, on_ragged)
+
+
 # ------------------------------------------------------------------ payloads
 
 

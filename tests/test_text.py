@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
@@ -132,3 +134,18 @@ def test_multi_char_separator(spark, tmp):
     direct = read_text(spark, write_text(tmp + "/d.txt", "a||b\n1||x\n2||y\n"), delimiter="||")
     lines = read_text(spark, path, delimiter="||", skip_rows=1)
     assert sorted(direct.collect()) == sorted(lines.collect()) == [(1, "x"), (2, "y")]
+
+
+def test_skip_rows_with_quoted_newlines(spark, tmp):
+    text = 'junk 1\njunk "2\n## note\nid,s,x\n1,"two\nlines",1.5\n## mid\n2,"say ""hi""",\n3,,2.5\n'
+    write_text(tmp + "/q1.csv", text)
+    write_text(tmp + "/q2.csv", 'junk\nother junk\nid,s,x\n4,"a,b",0.5\n')
+    df = read_text(spark, tmp, comment_prefix="##", skip_rows=2, multiline=True)
+    assert df.columns == ["id", "s", "x"]
+    assert [f.dataType for f in df.schema.fields] == [T.LongType(), T.StringType(), T.DoubleType()]
+    got = sorted(df.collect())
+    assert got == [(1, "two\nlines", 1.5), (2, 'say "hi"', None), (3, None, 2.5), (4, "a,b", 0.5)]
+    os.makedirs(tmp + "/long")
+    long_row = write_text(tmp + "/long/l.csv", "skip\na,b\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields"):
+        read_text(spark, long_row, skip_rows=1, multiline=True).collect()
