@@ -225,10 +225,16 @@ def cells_to_columns(cells: DataFrame, width: int | None = None, keep_source: bo
     return cells.where(guard).select(*extra, *cols)
 
 
-def read_excel(spark: SparkSession, path, *, width: int | None = None, keep_source: bool = False) -> DataFrame:
-    """The first sheet of each workbook under ``path`` as text columns."""
+def read_excel(spark: SparkSession, path, *, width: int | None = None, keep_source: bool = False,
+               path_glob: str | None = None) -> DataFrame:
+    """The first sheet of each workbook under ``path`` as text columns.
+    ``path_glob`` (for example ``"*.xlsx"``) keeps other files of a directory
+    out."""
     paths = [path] if isinstance(path, str) else list(path)
-    files = spark.read.format("binaryFile").load(paths)
+    reader = spark.read.format("binaryFile")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    files = reader.load(paths)
     return cells_to_columns(workbook_cells(files, "content", "path"), width, keep_source)
 
 

@@ -154,3 +154,11 @@ def test_rich_and_phonetic_shared_strings():
             zf.writestr(name, sheet if name.endswith("sheet1.xml") else src.read(name))
         zf.writestr("xl/sharedStrings.xml", sst)
     assert workbook_rows(out.getvalue()) == [["bold text", "漢字"]]
+
+
+def test_read_excel_glob(spark, tmp):
+    with open(tmp + "/a.xlsx", "wb") as fh:
+        fh.write(xlsx_bytes([[["x"]]]))
+    with open(tmp + "/notes.txt", "w") as fh:
+        fh.write("not a workbook")
+    assert read_excel(spark, tmp, path_glob="*.xlsx").collect()[0][0] == "x"
