@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.encoding import qcol
+from quarry.session import scratch_dir
 
 FAILFAST = {"mode": "FAILFAST"}
 
@@ -75,14 +76,19 @@ def json_records(df: DataFrame, body) -> DataFrame:
 
 def infer_json_schema(spark: SparkSession, records: DataFrame, limit: int | None = 100) -> T.StructType:
     """Schema of JSON record text: the leading ``limit`` records are inferred
-    by Spark's JSON reader (a bounded sample; ``None`` infers from all)."""
-    col = records.select(F.col("record").cast("string"))
+    by Spark's JSON reader (a bounded sample). With ``None`` every record is
+    used: the record text is written once under the shared checkpoint
+    directory and Spark's JSON reader infers over those files, on the
+    executors, with nothing passing through Python or the driver."""
+    col = records.select(F.col("record").cast("string").alias("value"))
+    reader = spark.read.option("mode", "FAILFAST")
     if limit is not None:
         sample = [r[0] for r in col.limit(limit).collect()]
-        rdd = spark.sparkContext.parallelize(sample, 1)
+        schema = reader.json(spark.sparkContext.parallelize(sample, 1)).schema
     else:
-        rdd = col.rdd.map(lambda r: r[0])
-    schema = spark.read.option("mode", "FAILFAST").json(rdd).schema
+        path = scratch_dir(spark, "json-records")
+        col.write.mode("overwrite").text(path)
+        schema = reader.json(path).schema
     if not schema.fields:
         raise ValueError("no JSON records to infer a schema from")
     return schema

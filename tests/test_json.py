@@ -64,3 +64,12 @@ def test_http_bodies_status_filter(spark):
     df = parse_http_bodies(landed, keep=["url"])
     assert "name" in df.columns
     assert sorted(r.name for r in df.collect()) == ["ann", "bob"]
+
+
+def test_text_full_inference(spark):
+    bodies = spark.createDataFrame(
+        [(1, '[{"a": 1}]'), (2, '{"a": 2, "late": 1.5}')], "k int, body string"
+    )
+    df = parse_json_text(bodies, "body", infer_schema_length=None, keep=["k"])
+    assert dict((f.name, f.dataType) for f in df.schema.fields)["late"] == T.DoubleType()
+    assert sorted(df.collect()) == [(1, 1, None), (2, 2, 1.5)]
