@@ -87,6 +87,14 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _check_names(df: DataFrame) -> None:
+    seen, dupes = set(), set()
+    for name in df.columns:
+        (dupes if name in seen else seen).add(name)
+    if dupes:
+        raise ValueError(f"cannot profile a frame with duplicate column names: {sorted(dupes)}")
+
+
 # --------------------------------------------------------------------------- P1
 
 
@@ -96,6 +104,7 @@ def profile_basic(df: DataFrame) -> DataFrame:
     One aggregate pass; the single result row is turned into one row per
     column with ``inline``.
     """
+    _check_names(df)
     fields = df.schema.fields
     if not fields:
         return _empty(df.sparkSession, BASIC_SCHEMA)
@@ -483,6 +492,7 @@ def profile_detailed(
     """
     if distinct not in DISTINCT_MODES:
         raise ValueError(f"distinct must be one of {DISTINCT_MODES}, got {distinct!r}")
+    _check_names(df)
     spark = df.sparkSession
     fields = list(enumerate(df.schema.fields))
     if not fields:

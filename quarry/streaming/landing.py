@@ -45,13 +45,13 @@ def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
 
 
 def _sink(df: DataFrame, sink_path: str, checkpoint: str, available_now: bool,
-          partition_by=None, query_name: str | None = None) -> StreamingQuery:
+          partition_by=None, query_name: str | None = None, interval: str = "30 seconds") -> StreamingQuery:
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start(sink_path)
 
 
@@ -67,13 +67,15 @@ def stream_file_copy(
     available_now: bool = True,
     source_options: dict | None = None,
     partition_by=None,
+    interval: str = "30 seconds",
 ) -> StreamingQuery:
-    """J4 on a stream: files -> optional column selection (T1) -> Parquet."""
+    """J4 on a stream: files -> optional column selection (T1) -> Parquet.
+    ``interval`` is the micro-batch trigger when ``available_now`` is False."""
     df = read_stream(spark, source_format, source_path, schema, source_options)
     if columns is not None:
         df = select_columns(df, columns)
     checkpoint = checkpoint or default_checkpoint(spark, "file-copy")
-    return _sink(df, sink_path, checkpoint, available_now, partition_by)
+    return _sink(df, sink_path, checkpoint, available_now, partition_by, interval=interval)
 
 
 LANDED_SCHEMA = T.StructType(
@@ -94,10 +96,11 @@ def stream_http_bodies(
     checkpoint: str | None = None,
     available_now: bool = True,
     keep: list[str] | None = None,
+    interval: str = "30 seconds",
 ) -> StreamingQuery:
     """S11 on a stream: landed responses (JSON lines ``url, status, body``)
     -> successful statuses -> records parsed with ``record_schema`` -> Parquet."""
     landed = read_stream(spark, "json", landing_path, LANDED_SCHEMA)
     parsed = parse_http_bodies(landed, schema=record_schema, keep=keep)
     checkpoint = checkpoint or default_checkpoint(spark, "http-bodies")
-    return _sink(parsed, sink_path, checkpoint, available_now)
+    return _sink(parsed, sink_path, checkpoint, available_now, interval=interval)

@@ -242,3 +242,13 @@ def test_auto_plan_switches_for_wide_tables(spark):
     narrow = spark.range(50).selectExpr("id", "id % 3 AS m")
     plan = profile_detailed(narrow, samples=False)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_duplicate_names_rejected(spark):
+    a = spark.range(3).selectExpr("id", "id AS v")
+    b = spark.range(3).selectExpr("id", "id AS v")
+    joined = a.join(b, a.id == b.id)
+    with pytest.raises(ValueError, match="duplicate column names"):
+        profile_detailed(joined)
+    with pytest.raises(ValueError, match="duplicate column names"):
+        profile_basic(joined)
