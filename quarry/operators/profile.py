@@ -138,14 +138,6 @@ def _minmax_struct(value_int: Column | None, value_float: Column | None) -> Colu
     )
 
 
-def is_file_backed(df: DataFrame) -> bool:
-    return metadata_fields(df) is not None
-
-
-COLUMNAR_SUFFIXES = (".orc",)
-ORDER_COL = "__quarry_order"
-
-
 def should_materialize(df: DataFrame, passes: int) -> bool:
     """Whether to land ``df`` as Parquet before a profile that scans it
     ``passes`` times. Parquet and ORC scans re-read one column per pass, which
@@ -232,72 +224,8 @@ def _minmax_aggs(value: Column, dtype: T.DataType, kind: str) -> list[Column]:
     return [F.lit(None).alias("min_v"), F.lit(None).alias("max_v"), F.lit(0).cast("bigint").alias("nans")]
 
 
-def _per_column_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
-    """Exact mode: one keyed aggregate per column gives everything.
-
-    ``groupBy(value).count()`` is partially aggregated on each task, so the
-    shuffle carries one (value, count) pair per distinct value per task. From
-    the groups: ``unique`` is their number (null is one group), ``nulls`` the
-    null group's count, the row count the sum, min/max the extremes of the
-    distinct values. Each branch reads one column of a Parquet/ORC scan; no
-    other pass over the data is needed.
-    """
-    branches = []
-    unsupported = []
-    for i, f in fields:
-        kind = minmax_kind(f.dataType, strict_parity)
-        if not distinct_supported(f.dataType):
-            unsupported.append((i, f, kind))
-            continue
-        c = qcol(f.name)
-        per_value = df.groupBy(distinct_key(c, f.dataType).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        v = F.col("v")
-        agg = per_value.agg(
-            F.count(F.lit(1)).alias("unique"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.coalesce(F.sum(F.when(v.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
-            *_minmax_aggs(v, f.dataType, kind),
-        )
-        lo, hi = _finish(kind)
-        branches.append(
-            agg.select(
-                *_meta_columns(i, f),
-                F.col("row_count"),
-                F.col("nulls"),
-                F.col("unique").cast("bigint").alias("unique"),
-                lo.alias("min"),
-                hi.alias("max"),
-            )
-        )
-    if unsupported:
-        # Columns Spark cannot group by: nulls and min/max from one plain aggregate.
-        aggs = [F.count(F.lit(1)).alias("q_rows")]
-        rows = []
-        for i, f, kind in unsupported:
-            c = qcol(f.name)
-            aggs.append(F.count_if(c.isNull()).alias(f"q_null_{i}"))
-            rows.append(
-                F.struct(
-                    *_meta_columns(i, f),
-                    F.col(f"q_null_{i}").alias("nulls"),
-                    F.lit(None).cast("bigint").alias("unique"),
-                    _minmax_struct(None, None).alias("min"),
-                    _minmax_struct(None, None).alias("max"),
-                )
-            )
-        branches.append(
-            df.agg(*aggs)
-            .select(F.col("q_rows").alias("row_count"), F.inline(F.array(*rows)))
-            .select("position", "column", "dtype", "has_samples", "row_count", "nulls", "unique", "min", "max")
-        )
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return out
-
-
-# Typed slots of the narrow single-scan plan: every scalar value travels in
-# the slot of its family, so one shuffle serves columns of different types.
+# Typed slots: every scalar value travels in the slot of its family, so the
+# per-value counts of columns of different types share one shape.
 SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string", "b": "binary"}
 
 
@@ -327,50 +255,62 @@ def _slot_value(c: Column, dtype: T.DataType, slot: str) -> Column:
     return c
 
 
-def _narrow_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
-    """Exact mode, one scan and one shuffle for all scalar columns.
+def _counts_shape(pos: Column, v: Column, slot: str | None) -> list[Column]:
+    """Per-value count rows in the common shape ``(pos, l, d, isnull, n)``:
+    ``l``/``d`` keep the value only where min/max can use it."""
+    return [
+        pos.alias("pos"),
+        (v if slot == "l" else F.lit(None)).cast("bigint").alias("l"),
+        (v if slot == "d" else F.lit(None)).cast("double").alias("d"),
+        v.isNull().alias("isnull"),
+        F.col("n"),
+    ]
+
 
-    Each input row becomes one narrow row per column, ``(position, slot)``,
-    where only the column's type-family slot is set. ``groupBy(position,
-    slots).count()`` is combined map-side (a hot value costs one row per task)
-    and hash-partitioned on the value, so a high-cardinality column spreads
-    over all reducers; a second, partially aggregated ``groupBy(position)``
-    turns the groups into ``unique``, ``nulls``, the row count and min/max.
-    Unlike Catalyst's ``Expand`` for several ``count(DISTINCT ..)``, the rows
-    stay a few fields wide however many columns there are, and unlike one
-    job per column, the input is scanned once.
-    """
-    spark = df.sparkSession
-    used = sorted({_slot(f.dataType) for _, f in fields}, key=list(SLOT_TYPES).index)
-    entries = []
-    for i, f in fields:
-        slot = _slot(f.dataType)
-        value = _slot_value(qcol(f.name), f.dataType, slot)
-        parts = [F.lit(i).cast("int").alias("pos")]
-        for name in used:
-            parts.append((value if name == slot else F.lit(None)).cast(SLOT_TYPES[name]).alias(name))
-        entries.append(F.struct(*parts))
+def _column_counts(df: DataFrame, i: int, f: T.StructField) -> DataFrame:
+    """``groupBy(value).count()`` of one column: one scan of that column,
+    combined map-side, shuffled on the value."""
+    slot = _slot(f.dataType)
+    c = qcol(f.name)
+    key = _slot_value(c, f.dataType, slot) if slot else distinct_key(c, f.dataType)
+    per_value = df.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return per_value.select(*_counts_shape(F.lit(i).cast("int"), F.col("v"), slot))
+
+
+def _family_counts(df: DataFrame, fields, slot: str) -> DataFrame:
+    """Per-value counts of all columns of one type family from one scan: each
+    row is exploded into one ``(position, value)`` row per column, then
+    ``groupBy(position, value).count()``. Rows stay two fields wide however
+    many columns the family has."""
+    entries = [
+        F.struct(F.lit(i).cast("int").alias("pos"), _slot_value(qcol(f.name), f.dataType, slot).alias("v"))
+        for i, f in fields
+    ]
     exploded = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    per_value = exploded.groupBy("pos", *used).agg(F.count(F.lit(1)).alias("n"))
-    is_null = None
-    for name in used:
-        cond = F.col(name).isNull()
-        is_null = cond if is_null is None else (is_null & cond)
-    aggs = [
+    per_value = exploded.groupBy("pos", "v").agg(F.count(F.lit(1)).alias("n"))
+    return per_value.select(*_counts_shape(F.col("pos"), F.col("v"), slot))
+
+
+def _finish_counts(counts: DataFrame, fields, strict_parity: bool) -> DataFrame:
+    """Statistics from per-value counts of every column at once: one
+    ``groupBy(position)``, partially aggregated, so each task ships one row
+    per column and the whole profile needs a single extra shuffle. ``unique``
+    is the number of groups (null is one), ``nulls`` the null group's count,
+    the row count their sum, min/max the extremes of the distinct values."""
+    spark = counts.sparkSession
+    d = F.col("d")
+    agg = counts.groupBy("pos").agg(
         F.count(F.lit(1)).alias("unique"),
         F.sum("n").alias("row_count"),
-        F.sum(F.when(is_null, F.col("n"))).alias("nulls"),
-    ]
-    if "l" in used:
-        aggs += [F.min("l").alias("min_l"), F.max("l").alias("max_l")]
-    if "d" in used:
-        d = F.col("d")
-        aggs += [F.min(nan_free(d)).alias("min_d"), F.max(nan_free(d)).alias("max_d"),
-                 F.count_if(F.isnan(d)).alias("nans")]
-    agg = per_value.groupBy("pos").agg(*aggs)
-
+        F.sum(F.when(F.col("isnull"), F.col("n"))).alias("nulls"),
+        F.min("l").alias("min_l"),
+        F.max("l").alias("max_l"),
+        F.min(nan_free(d)).alias("min_d"),
+        F.max(nan_free(d)).alias("max_d"),
+        F.count_if(F.isnan(d)).alias("nans"),
+    )
     # One row per column, known on the driver: the frame even an empty input
-    # reports on.
+    # reports on, and the kind that says which slot holds min/max.
     meta = spark.createDataFrame(
         [(i, f.name, f.dataType.simpleString(), is_sample_type(f.dataType), minmax_kind(f.dataType, strict_parity))
          for i, f in fields],
@@ -378,18 +318,12 @@ def _narrow_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
     )
     joined = meta.join(F.broadcast(agg), "pos", "left")
     kind = F.col("kind")
-
-    def col_or_null(name, t):
-        return F.col(name) if name in agg.columns else F.lit(None).cast(t)
-
-    min_l, max_l = col_or_null("min_l", "bigint"), col_or_null("max_l", "bigint")
-    min_d, max_d = col_or_null("min_d", "double"), col_or_null("max_d", "double")
-    nan = F.when(col_or_null("nans", "bigint") > 0, F.lit(float("nan")))
+    nan = F.when(F.col("nans") > 0, F.lit(float("nan")))
     none = _minmax_struct(None, None)
-    lo = (F.when(kind == INT_KIND, _minmax_struct(min_l, None))
-          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(min_d, nan))).otherwise(none))
-    hi = (F.when(kind == INT_KIND, _minmax_struct(max_l, None))
-          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(max_d, nan))).otherwise(none))
+    lo = (F.when(kind == INT_KIND, _minmax_struct(F.col("min_l"), None))
+          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(F.col("min_d"), nan))).otherwise(none))
+    hi = (F.when(kind == INT_KIND, _minmax_struct(F.col("max_l"), None))
+          .when(kind == FLOAT_KIND, _minmax_struct(None, F.coalesce(F.col("max_d"), nan))).otherwise(none))
     return joined.select(
         F.col("pos").alias("position"),
         "column",
@@ -403,20 +337,52 @@ def _narrow_stats(df: DataFrame, fields, strict_parity: bool) -> DataFrame:
     )
 
 
+def _ungroupable_stats(df: DataFrame, fields) -> DataFrame:
+    """Columns Spark cannot group by (``variant``): nulls from one plain
+    aggregate, ``unique`` and min/max left empty."""
+    aggs = [F.count(F.lit(1)).alias("q_rows")]
+    rows = []
+    for i, f in fields:
+        aggs.append(F.count_if(qcol(f.name).isNull()).alias(f"q_null_{i}"))
+        rows.append(
+            F.struct(
+                *_meta_columns(i, f),
+                F.col(f"q_null_{i}").alias("nulls"),
+                F.lit(None).cast("bigint").alias("unique"),
+                _minmax_struct(None, None).alias("min"),
+                _minmax_struct(None, None).alias("max"),
+            )
+        )
+    return (
+        df.agg(*aggs)
+        .select(F.col("q_rows").alias("row_count"), F.inline(F.array(*rows)))
+        .select("position", "column", "dtype", "has_samples", "row_count", "nulls", "unique", "min", "max")
+    )
+
+
 def _exact_stats(df: DataFrame, fields, strict_parity: bool, plan: str) -> DataFrame:
-    """Exact statistics: scalar columns through the narrow single scan (or one
-    job per column with ``plan="per_column"``), other columns per column."""
+    """Exact statistics from per-value counts: one keyed aggregate per column
+    (``plan="per_column"``) or one per type family (``"narrow"``; nested types
+    still per column), then a single shared ``groupBy(position)``."""
+    groupable = [(i, f) for i, f in fields if distinct_supported(f.dataType)]
+    ungroupable = [(i, f) for i, f in fields if not distinct_supported(f.dataType)]
     if plan == "per_column":
-        return _per_column_stats(df, fields, strict_parity)
-    other = [(i, f) for i, f in fields if _slot(f.dataType) is None]
+        counts = [_column_counts(df, i, f) for i, f in groupable]
+    else:
+        counts = []
+        for slot in SLOT_TYPES:
+            family = [(i, f) for i, f in groupable if _slot(f.dataType) == slot]
+            if family:
+                counts.append(_family_counts(df, family, slot))
+        counts += [_column_counts(df, i, f) for i, f in groupable if _slot(f.dataType) is None]
     parts = []
-    # One narrow scan per type family: rows stay (position, value).
-    for slot in SLOT_TYPES:
-        family = [(i, f) for i, f in fields if _slot(f.dataType) == slot]
-        if family:
-            parts.append(_narrow_stats(df, family, strict_parity))
-    if other:
-        parts.append(_per_column_stats(df, other, strict_parity))
+    if counts:
+        union = counts[0]
+        for c in counts[1:]:
+            union = union.unionByName(c)
+        parts.append(_finish_counts(union, groupable, strict_parity))
+    if ungroupable:
+        parts.append(_ungroupable_stats(df, ungroupable))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
