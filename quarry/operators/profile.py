@@ -9,8 +9,9 @@ A profile is a DataFrame with one row per input column, ordered by
 * exact mode: per-value counts. Each column gets ``groupBy(value).count()``
   (one scan of that column, one shuffle). The aggregate is combined map-side,
   so a hot value costs one row per task, and partitioned on the value, so a
-  high-cardinality column spreads over all reducers. Nulls, min/max and the
-  row count fall out of the same groups. For wide tables
+  high-cardinality column spreads over all reducers. The per-value counts of
+  all columns share one shape and one final ``groupBy(position)``; nulls,
+  min/max and the row count fall out of the same groups. For wide tables
   (``WIDE_TABLE_COLUMNS``) the columns of one type family (64-bit ints and the
   Int encodings, doubles, strings and decimals as text, binary) share one
   scan instead: each row is exploded into one ``(position, value)`` row per
