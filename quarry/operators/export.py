@@ -84,7 +84,7 @@ def profile_json_text(profile: DataFrame) -> str:
     The profile holds one row per input column, a size fixed by the schema,
     so it is gathered on the driver to render one document.
     """
-    rows = profile.orderBy("position").collect()
+    rows = sorted(profile.collect(), key=lambda r: r["position"])
     out = []
     for r in rows:
         out.append(
