@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import local_dir, task_file_name, write_file_atomic
+from quarry.session import local_dir, ship_package, task_file_name, write_file_atomic
 
 # ------------------------------------------------------------------ delimited text
 
@@ -130,42 +130,65 @@ def avro_schema(schema: T.StructType, name: str = "row") -> dict:
     }
 
 
-def _encode(value, dt: T.DataType, out: bytearray) -> None:
-    """A nullable value: union branch 0 = null, 1 = the type."""
+def _encoder(dt: T.DataType):
+    """A function appending one nullable value of type ``dt`` (union branch
+    0 = null, 1 = the type), chosen once per field rather than per value."""
     import datetime as dt_mod
 
-    if value is None:
-        out += _zigzag(0)
-        return
-    out += _zigzag(1)
+    null, present = _zigzag(0), _zigzag(1)
     if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        out += _zigzag(int(value))
+        def body(v, out):
+            out += _zigzag(int(v))
     elif isinstance(dt, T.DoubleType):
-        out += struct.pack("<d", value)
+        pack = struct.Struct("<d").pack
+
+        def body(v, out):
+            out += pack(v)
     elif isinstance(dt, T.FloatType):
-        out += struct.pack("<f", value)
+        pack = struct.Struct("<f").pack
+
+        def body(v, out):
+            out += pack(v)
     elif isinstance(dt, T.BooleanType):
-        out += b"\x01" if value else b"\x00"
+        def body(v, out):
+            out += b"\x01" if v else b"\x00"
     elif isinstance(dt, T.BinaryType):
-        out += _zigzag(len(value)) + bytes(value)
+        def body(v, out):
+            out += _zigzag(len(v)) + bytes(v)
     elif isinstance(dt, T.DateType):
-        out += _zigzag((value - dt_mod.date(1970, 1, 1)).days)
+        epoch_day = dt_mod.date(1970, 1, 1)
+
+        def body(v, out):
+            out += _zigzag((v - epoch_day).days)
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        epoch = dt_mod.datetime(1970, 1, 1, tzinfo=value.tzinfo)
-        delta = value - epoch
-        out += _zigzag((delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds)
+        def body(v, out):
+            delta = v - dt_mod.datetime(1970, 1, 1, tzinfo=v.tzinfo)
+            out += _zigzag((delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds)
     elif isinstance(dt, T.MapType):
-        items = list(value.items()) if isinstance(value, dict) else list(value)
-        if items:
-            out += _zigzag(len(items))
-            for k, v in items:
-                kb = str(k).encode()
-                out += _zigzag(len(kb)) + kb
-                _encode(v, dt.valueType, out)
-        out += _zigzag(0)
+        value_enc = _encoder(dt.valueType)
+
+        def body(v, out):
+            items = list(v.items()) if isinstance(v, dict) else list(v)
+            if items:
+                out += _zigzag(len(items))
+                for k, x in items:
+                    kb = str(k).encode()
+                    out += _zigzag(len(kb)) + kb
+                    value_enc(x, out)
+            out += null
     else:
-        b = str(value).encode()
-        out += _zigzag(len(b)) + b
+        def body(v, out):
+            b = str(v).encode()
+            out += _zigzag(len(b)) + b
+
+    def encode(v, out):
+        if v is None:
+            out += null
+        else:
+            out += present
+            body(v, out)
+
+    return encode
 
 
 def avro_container(rows, schema: T.StructType, sync: bytes | None = None, block_rows: int = 1000) -> bytes:
@@ -178,13 +201,13 @@ def avro_container(rows, schema: T.StructType, sync: bytes | None = None, block_
         kb = k.encode()
         out += _zigzag(len(kb)) + kb + _zigzag(len(v)) + v
     out += _zigzag(0) + sync
-    fields = schema.fields
+    encoders = [(f.name, _encoder(f.dataType)) for f in schema.fields]
     for lo in range(0, len(rows), block_rows):
         block = bytearray()
         chunk = rows[lo:lo + block_rows]
         for r in chunk:
-            for f in fields:
-                _encode(r[f.name], f.dataType, block)
+            for name, enc in encoders:
+                enc(r[name], block)
         out += _zigzag(len(chunk)) + _zigzag(len(block)) + block + sync
     return bytes(out)
 
@@ -193,6 +216,7 @@ def write_avro_files(df: DataFrame, directory: str) -> int:
     """One Avro file per partition of ``df`` under a local/mounted
     ``directory``; returns the number of files."""
     schema = df.schema
+    ship_package(df.sparkSession)
     target = local_dir(directory)
     os.makedirs(target, exist_ok=True)
 
@@ -297,6 +321,7 @@ def workbooks_from(df: DataFrame, rows_per_book: int = 5000) -> DataFrame:
     becomes workbooks of at most ``rows_per_book`` data rows, each with the
     column names as its first row; odd books use inline strings."""
     names = df.columns
+    ship_package(df.sparkSession)
 
     def run(batches):
         import pyarrow as pa
@@ -324,6 +349,7 @@ def parquet_payloads(df: DataFrame, rows_per_file: int = 2000) -> DataFrame:
     """Parquet files as bytes ``(file, content)`` built from ``df``, at most
     ``rows_per_file`` rows each, written by pyarrow inside each task."""
     out_schema = "file string, content binary"
+    ship_package(df.sparkSession)
 
     def run(batches):
         import io as _io

@@ -43,6 +43,7 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -134,3 +135,36 @@ def write_file_atomic(directory: str, name: str, data: bytes) -> None:
     with open(tmp, "wb") as fh:
         fh.write(data)
     os.replace(tmp, final)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable by the Python workers of this application.
+
+    Functions that run in ``mapInArrow`` refer to helpers of this package, so
+    the workers must be able to import it. When the package is not installed
+    on the executors, it is zipped once on the driver and handed to
+    ``SparkContext.addPyFile`` (Spark distributes it, as with ``--py-files``).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    import quarry
+
+    pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
+    root = os.path.dirname(pkg_dir)
+    target = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

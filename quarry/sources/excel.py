@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.encoding import qcol
-from quarry.session import materialize_frame
+from quarry.session import materialize_frame, ship_package
 
 # Fixed XML namespaces and part names of the xlsx (Office Open XML) package.
 NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -204,6 +204,7 @@ def _parse_batches(source_col: str, content_col: str, chunk: int = 8192):
 def workbook_cells(df: DataFrame, content: str = "content", source: str | None = None) -> DataFrame:
     """Rows ``(source, row_no, cells)`` of every workbook held in ``content``
     (binary). ``source`` names a column identifying the workbook."""
+    ship_package(df.sparkSession)
     src = qcol(source).cast("string") if source else F.lit(None).cast("string")
     base = df.select(src.alias("__src"), qcol(content).alias("__content"))
     return base.mapInArrow(_parse_batches("__src", "__content"), ROWS_SCHEMA)

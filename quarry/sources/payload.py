@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.encoding import qcol
-from quarry.session import local_dir, scratch_dir, task_file_name, write_file_atomic
+from quarry.session import local_dir, scratch_dir, ship_package, task_file_name, write_file_atomic
 from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 
@@ -30,6 +30,7 @@ def land_bytes(df: DataFrame, content: str, directory: str | None = None, suffix
     """Write every non-null ``content`` value of ``df`` as its own file under
     ``directory`` and return the directory."""
     spark = df.sparkSession
+    ship_package(spark)
     directory = directory or scratch_dir(spark, "payload")
     target = local_dir(directory)
     os.makedirs(target, exist_ok=True)

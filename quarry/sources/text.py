@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from quarry.functions.encoding import qcol
 from quarry.functions.inference import infer_types, infer_types_from_rows
 from quarry.functions.naming import generated_names, header_names
+from quarry.session import ship_package
 
 EXTRA = "__quarry_extra__"
 # The parser reports an unquoted empty field as ``nullValue`` and a quoted one
@@ -284,6 +285,7 @@ def _read_lines_route(
     spark, paths, delimiter, has_header, quote_char, comment, skip_rows,
     infer_schema_length, infer_dates, on_ragged, schema, mode,
 ):
+    ship_package(spark)
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
@@ -374,6 +376,7 @@ def _read_whole_files_route(
     if len(delimiter) != 1:
         raise ValueError("multiline=True with skip_rows needs a one-character delimiter")
     quote = quote_char or '"'
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(paths).select("content")
     recs = files.mapInArrow(
         _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding),
