@@ -7,13 +7,59 @@ DataFrame, sinks write with Spark's own committers.
 from quarry.operators.export import export_profile_json, profile_json_text
 from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed
 from quarry.operators.transform import limit_rows, select_columns
+from quarry.plans.copy_job import copy_data, copy_sql, sql_extract, validate_parameters
+from quarry.plans.pipeline import run_file_pipeline
+from quarry.sinks import write_csv, write_json, write_orc, write_parquet
+from quarry.sources import (
+    land_bytes,
+    parse_avro_bytes,
+    parse_csv_text,
+    parse_http_bodies,
+    parse_json_text,
+    parse_orc_bytes,
+    parse_parquet_bytes,
+    parse_workbook_bytes,
+    read_avro,
+    read_csv,
+    read_excel,
+    read_jdbc,
+    read_json,
+    read_orc,
+    read_parquet,
+    read_text,
+)
 
 __all__ = [
+    "copy_data",
+    "copy_sql",
     "export_profile_json",
     "flatten_profile",
+    "land_bytes",
     "limit_rows",
+    "parse_avro_bytes",
+    "parse_csv_text",
+    "parse_http_bodies",
+    "parse_json_text",
+    "parse_orc_bytes",
+    "parse_parquet_bytes",
+    "parse_workbook_bytes",
     "profile_basic",
     "profile_detailed",
     "profile_json_text",
+    "read_avro",
+    "read_csv",
+    "read_excel",
+    "read_jdbc",
+    "read_json",
+    "read_orc",
+    "read_parquet",
+    "read_text",
+    "run_file_pipeline",
     "select_columns",
+    "sql_extract",
+    "validate_parameters",
+    "write_csv",
+    "write_json",
+    "write_orc",
+    "write_parquet",
 ]
