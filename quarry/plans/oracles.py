@@ -26,6 +26,8 @@ DOCS_LABELS_NARROW = [
     ("doc_id", "bigint"), ("lang", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"),
 ]
 CUSTOMER_STRINGS = ["c_name", "c_mktsegment"]
+DOCUMENT_STRINGS = ["text", "lang", "source"]
+EMBEDDINGS = [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")]
 # lineitem as read back from CSV: ints widen to bigint, timestamps stay text.
 LINEITEM_FROM_CSV = [
     (c, {"int": "bigint", "timestamp_ntz": "string"}.get(t, t)) for c, t in LINEITEM
@@ -75,12 +77,12 @@ def basic_profile_sql(source: str, cols) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def samples_sql() -> str:
+def samples_sql(table: str = "customer", key: str = "c_custkey", columns=None) -> str:
     parts = [
         f"SELECT '{c}' AS \"column\", CAST(rn - 1 AS INTEGER) AS sample_pos, v AS value FROM "
-        f"(SELECT {c} AS v, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer WHERE {c} IS NOT NULL) "
+        f"(SELECT {c} AS v, row_number() OVER (ORDER BY {key}) AS rn FROM {table} WHERE {c} IS NOT NULL) "
         f"WHERE rn <= 3"
-        for c in CUSTOMER_STRINGS
+        for c in (columns or CUSTOMER_STRINGS)
     ]
     return "\nUNION ALL\n".join(parts)
 
@@ -113,6 +115,8 @@ ORACLES = {
     "profile_basic_nulls": basic_profile_sql(DOCS_JOIN, DOCS_LABELS),
     "profile_detailed_nulls": detailed_profile_sql(DOCS_JOIN_NARROW, DOCS_LABELS_NARROW),
     "profile_samples": samples_sql(),
+    "profile_detailed_embeddings": detailed_profile_sql("embeddings", EMBEDDINGS),
+    "profile_samples_documents": samples_sql("documents", "doc_id", DOCUMENT_STRINGS),
     "profile_json": json_profile_sql(),
     "select_columns": "SELECT p_name, p_partkey, p_retailprice FROM part",
     "limit_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",

@@ -77,6 +77,19 @@ def q_profile_samples(spark, sf_dir):
     )
 
 
+def q_profile_detailed_embeddings(spark, sf_dir):
+    """P2 over an array column (grouped by value, no min/max) and an int."""
+    return flatten_profile(profile_detailed(table(spark, sf_dir, "embeddings")))
+
+
+def q_profile_samples_documents(spark, sf_dir):
+    """P2e over whole documents: the first three texts by doc_id, untruncated."""
+    prof = profile_detailed(table(spark, sf_dir, "documents"), order_by="doc_id")
+    return prof.where(F.col("sample_values").isNotNull()).select(
+        "column", F.posexplode("sample_values").alias("sample_pos", "value")
+    )
+
+
 def q_profile_json(spark, sf_dir):
     out = scratch_dir(spark, "profile-json")
     export_profile_json(profile_detailed(table(spark, sf_dir, "nation")), out)
@@ -273,6 +286,8 @@ QUERIES = {
     "profile_basic_nulls": q_profile_basic_nulls,
     "profile_detailed_nulls": q_profile_detailed_nulls,
     "profile_samples": q_profile_samples,
+    "profile_detailed_embeddings": q_profile_detailed_embeddings,
+    "profile_samples_documents": q_profile_samples_documents,
     "profile_json": q_profile_json,
     "select_columns": q_select_columns,
     "limit_rows": q_limit_rows,
