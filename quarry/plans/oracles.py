@@ -123,6 +123,7 @@ ORACLES = {
     "limit_file_order": "SELECT * FROM lineitem LIMIT 100",
     "csv_roundtrip": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "csv_no_header": "SELECT CAST(r_regionkey AS BIGINT) AS column_1, r_name AS column_2 FROM region",
+    "csv_multiline_pages": "SELECT page_id, url, html FROM pages",
     "text_pipe_options": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
                          "p_retailprice FROM part",
     "text_tab_comment": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
@@ -133,6 +134,7 @@ ORACLES = {
                      "FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000",
     "json_lines_roundtrip": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
                             "c_mktsegment FROM customer",
+    "json_lines_conversations": "SELECT conv_id, turn, role, text FROM conversations",
     "json_from_text": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "json_bodies": "SELECT event_id, event_type, value FROM events",
     "parquet_copy": "SELECT * FROM lineitem",

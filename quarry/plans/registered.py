@@ -128,6 +128,14 @@ def q_csv_no_header(spark, sf_dir):
     return read_csv(spark, out, has_header=False)
 
 
+def q_csv_multiline_pages(spark, sf_dir):
+    """K1 + S1 with whole raw web pages: quotes, commas and newlines inside
+    fields survive the round trip (``multiline=True``)."""
+    out = scratch_dir(spark, "csv-pages")
+    write_csv(table(spark, sf_dir, "pages"), out)
+    return read_csv(spark, out, multiline=True)
+
+
 def q_text_pipe_options(spark, sf_dir):
     out = scratch_dir(spark, "pipe")
     write_with_preamble(table(spark, sf_dir, "part"), out, "|", 2)
@@ -175,6 +183,13 @@ def q_json_lines_roundtrip(spark, sf_dir):
     return read_json(spark, out)
 
 
+def q_json_lines_conversations(spark, sf_dir):
+    """K3 + S3 with free text (quotes, newlines, non-ASCII)."""
+    out = scratch_dir(spark, "jsonl-conv")
+    write_json(table(spark, sf_dir, "conversations"), out)
+    return read_json(spark, out)
+
+
 def q_json_from_text(spark, sf_dir):
     return parse_json_text(table(spark, sf_dir, "events"), "props", keep=["event_id"])
 
@@ -294,12 +309,14 @@ QUERIES = {
     "limit_file_order": q_limit_file_order,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_no_header": q_csv_no_header,
+    "csv_multiline_pages": q_csv_multiline_pages,
     "text_pipe_options": q_text_pipe_options,
     "text_tab_comment": q_text_tab_comment,
     "profile_csv_input": q_profile_csv_input,
     "csv_payloads": q_csv_payloads,
     "file_pipeline": q_file_pipeline,
     "json_lines_roundtrip": q_json_lines_roundtrip,
+    "json_lines_conversations": q_json_lines_conversations,
     "json_from_text": q_json_from_text,
     "json_bodies": q_json_bodies,
     "parquet_copy": q_parquet_copy,
