@@ -128,6 +128,7 @@ ORACLES = {
                          "p_retailprice FROM part",
     "text_tab_comment": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
                         "c_mktsegment FROM customer",
+    "text_skip_multiline": "SELECT item_id, text FROM benchmark",
     "profile_csv_input": detailed_profile_sql("lineitem", LINEITEM_FROM_CSV),
     "csv_payloads": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "file_pipeline": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag "

@@ -142,6 +142,14 @@ def q_text_pipe_options(spark, sf_dir):
     return read_text(spark, out, delimiter="|", has_header=True, comment_prefix="##", skip_rows=2)
 
 
+def q_text_skip_multiline(spark, sf_dir):
+    """S2 whole-file route: skipped junk lines, ``##`` comments and quoted
+    newlines together, over the benchmark passages."""
+    out = scratch_dir(spark, "bench-text")
+    write_with_preamble(table(spark, sf_dir, "benchmark"), out, ",", 2)
+    return read_text(spark, out, comment_prefix="##", skip_rows=2, multiline=True)
+
+
 def q_text_tab_comment(spark, sf_dir):
     """S2 on the direct CSV scan: tab separator, one-character comment prefix."""
     out = scratch_dir(spark, "tsv")
@@ -312,6 +320,7 @@ QUERIES = {
     "csv_multiline_pages": q_csv_multiline_pages,
     "text_pipe_options": q_text_pipe_options,
     "text_tab_comment": q_text_tab_comment,
+    "text_skip_multiline": q_text_skip_multiline,
     "profile_csv_input": q_profile_csv_input,
     "csv_payloads": q_csv_payloads,
     "file_pipeline": q_file_pipeline,
