@@ -336,6 +336,19 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
     The first ``skip_rows`` physical lines and comment lines are dropped, then
     the records are read with the standard CSV parser, header flagged."""
 
+    def _kept_lines(lines):
+        # A line is a comment only outside a quoted field: quote parity tells
+        # (an escaped quote is doubled, so it toggles twice).
+        in_quotes = False
+        for n, line in enumerate(lines):
+            if n < skip_rows:
+                continue
+            if not in_quotes and comment and line.startswith(comment):
+                continue
+            if line.count(quote) % 2:
+                in_quotes = not in_quotes
+            yield line
+
     def run(batches):
         import csv
         import io
@@ -348,11 +361,7 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
                 if blob is None:
                     continue
                 text = io.StringIO(bytes(blob).decode(encoding), newline="")
-                kept = (
-                    line for n, line in enumerate(text)
-                    if n >= skip_rows and not (comment and line.startswith(comment))
-                )
-                records = csv.reader(kept, delimiter=delimiter, quotechar=quote, doublequote=True)
+                records = csv.reader(_kept_lines(text), delimiter=delimiter, quotechar=quote, doublequote=True)
                 flags, cells, first = [], [], has_header
                 for rec in records:
                     if not rec or rec == [""]:

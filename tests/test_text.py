@@ -149,3 +149,10 @@ def test_skip_rows_with_quoted_newlines(spark, tmp):
     long_row = write_text(tmp + "/long/l.csv", "skip\na,b\n1,2,3\n")
     with pytest.raises(Exception, match="more fields"):
         read_text(spark, long_row, skip_rows=1, multiline=True).collect()
+
+
+def test_whole_file_comment_only_outside_quotes(spark, tmp):
+    text = 'skip\nid,s\n1,"first\n## not a comment, inside quotes"\n## a comment\n2,x\n'
+    path = write_text(tmp + "/c.csv", text)
+    df = read_text(spark, path, comment_prefix="##", skip_rows=1, multiline=True)
+    assert sorted(df.collect()) == [(1, "first\n## not a comment, inside quotes"), (2, "x")]
