@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarry.operators.transform import select_columns
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources.json import parse_http_bodies
+from quarry.sources.text import NULL_SENTINEL
 
 STREAM_FORMATS = ("csv", "json", "parquet", "orc", "text")
 
@@ -37,8 +38,11 @@ def read_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
     reader = spark.readStream.format(fmt).schema(schema)
     opts = dict(options or {})
     if fmt == "csv":
+        # same text rules as the batch reader: doubled-quote escapes, and an
+        # empty field is null while a quoted "" stays an empty string
         opts.setdefault("header", "true")
         opts.setdefault("escape", '"')
+        opts.setdefault("nullValue", NULL_SENTINEL)
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     return reader.options(**opts).load(path)
