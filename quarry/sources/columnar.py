@@ -11,6 +11,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Fixed value: the message for a missing ORC path.
+ORC_NOT_FOUND = "ORC file not found: {}"
+
+
 def _paths(path) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
@@ -27,5 +31,5 @@ def read_orc(spark: SparkSession, path, *, merge_schema: bool = False) -> DataFr
     paths = _paths(path)
     for p in paths:
         if "://" not in p and not any(ch in p for ch in "*?[") and not os.path.exists(p):
-            raise FileNotFoundError(f"ORC file not found: {p}")
+            raise FileNotFoundError(ORC_NOT_FOUND.format(p))
     return spark.read.option("mergeSchema", str(merge_schema).lower()).orc(*paths)

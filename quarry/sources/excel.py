@@ -36,6 +36,10 @@ WORKBOOK_PART = "xl/workbook.xml"
 WORKBOOK_RELS = "xl/_rels/workbook.xml.rels"
 SHARED_STRINGS = "xl/sharedStrings.xml"
 COLUMN_FORMAT = "col{}"
+# The reader's error messages for an empty sheet and a
+# workbook without sheets.
+NO_DATA = "No data in Excel sheet"
+NO_SHEET = "No sheet found"
 
 _REF = re.compile(r"^([A-Z]+)([0-9]+)$")
 ROWS_SCHEMA = "source string, row_no bigint, cells array<string>"
@@ -110,7 +114,7 @@ def _first_sheet_part(zf: zipfile.ZipFile) -> str:
     wb = ET.fromstring(zf.read(WORKBOOK_PART))
     sheets = wb.find(_q("sheets"))
     if sheets is None or len(sheets) == 0:
-        raise ValueError("No sheet found")
+        raise ValueError(NO_SHEET)
     rid = sheets[0].get(f"{{{NS_REL}}}id")
     rels = ET.fromstring(zf.read(WORKBOOK_RELS))
     for rel in rels.iter(f"{{{NS_PKG_REL}}}Relationship"):
@@ -172,7 +176,7 @@ def workbook_rows(data: bytes) -> list[list[str]]:
                     cells[(row_idx, col_idx)] = text
             row.clear()
     if not cells:
-        raise ValueError("No data in Excel sheet")
+        raise ValueError(NO_DATA)
     rows = [k[0] for k in cells]
     cols = [k[1] for k in cells]
     r0, r1, c0, c1 = min(rows), max(rows), min(cols), max(cols)
@@ -216,7 +220,7 @@ def cells_to_columns(cells: DataFrame, width: int | None = None, keep_source: bo
         cells = materialize_frame(cells, "xlsx-cells")
         width = cells.agg(F.max(F.size("cells"))).first()[0]
         if not width:
-            raise ValueError("No data in Excel sheet")
+            raise ValueError(NO_DATA)
     guard = F.when(
         F.size("cells") > width,
         F.raise_error(F.lit("workbook row is wider than the requested width")),
