@@ -73,13 +73,66 @@ def infer_types(strings: DataFrame, columns, *, limit=None, infer_dates: bool =
     return out
 
 
+def _py_flags(values, infer_dates: bool) -> dict:
+    import datetime as dt
+    import re
+
+    int_re, float_re = re.compile(INT_PATTERN), re.compile(FLOAT_PATTERN)
+    date_re, ts_re = re.compile(DATE_PATTERN), re.compile(TIMESTAMP_PATTERN)
+
+    def is_int(v):
+        return bool(int_re.match(v)) and -(2**63) <= int(v) < 2**63
+
+    def is_date(v):
+        if not date_re.match(v):
+            return False
+        try:
+            dt.date.fromisoformat(v)
+            return True
+        except ValueError:
+            return False
+
+    def is_ts(v):
+        if not ts_re.match(v):
+            return False
+        try:
+            dt.datetime.fromisoformat(v)
+            return True
+        except ValueError:
+            return False
+
+    present = [v for v in values if v is not None and v != ""]
+    return {
+        "n": len(present),
+        "i": all(is_int(v) for v in present),
+        "f": all(float_re.match(v) for v in present),
+        "b": all(v.lower() in BOOL_VALUES for v in present),
+        "d": infer_dates and all(is_date(v) for v in present),
+        "t": infer_dates and all(is_ts(v) for v in present),
+    }
+
+
 def infer_types_from_rows(spark, columns, rows, *, infer_dates: bool = False) -> dict:
-    """The same rules over a bounded list of string rows already fetched with
-    a ``limit`` job (header discovery and the sample share that one job)."""
+    """The same rules applied on the driver to a bounded list of string rows
+    already fetched with a ``limit`` job (header discovery and the sample
+    share that one job), so no further Spark job is needed."""
     n = len(columns)
-    tmp = [f"c{i}" for i in range(n)]
-    schema = T.StructType([T.StructField(t, T.StringType(), True) for t in tmp])
-    data = [tuple((list(r) + [None] * n)[:n]) for r in rows]
-    df = spark.createDataFrame(data, schema)
-    got = infer_types(df, tmp, infer_dates=infer_dates)
-    return {name: got[t] for name, t in zip(columns, tmp)}
+    data = [(list(r) + [None] * n)[:n] for r in rows]
+    out = {}
+    for i, name in enumerate(columns):
+        flags = _py_flags([r[i] for r in data], infer_dates)
+        if flags["n"] == 0:
+            out[name] = T.StringType()
+        elif flags["i"]:
+            out[name] = T.LongType()
+        elif flags["f"]:
+            out[name] = T.DoubleType()
+        elif flags["b"]:
+            out[name] = T.BooleanType()
+        elif flags["d"]:
+            out[name] = T.DateType()
+        elif flags["t"]:
+            out[name] = T.TimestampNTZType()
+        else:
+            out[name] = T.StringType()
+    return out

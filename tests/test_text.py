@@ -156,3 +156,18 @@ def test_whole_file_comment_only_outside_quotes(spark, tmp):
     path = write_text(tmp + "/c.csv", text)
     df = read_text(spark, path, comment_prefix="##", skip_rows=1, multiline=True)
     assert sorted(df.collect()) == [(1, "first\n## not a comment, inside quotes"), (2, "x")]
+
+
+def test_driver_and_spark_inference_agree(spark):
+    from quarry.functions.inference import infer_types, infer_types_from_rows
+
+    columns = ["a", "b", "c", "d", "e", "f", "g", "h"]
+    rows = [
+        ("1", "1.5", "true", "2020-01-31", "2020-01-31 10:00:00", "x", None, "99999999999999999999"),
+        ("-2", "3", "FALSE", "2020-02-30", "2020-01-31T10:00:00.123", "1", None, "1"),
+        ("", "NaN", "true", "2021-12-01", "2020-01-31 10:00", "", None, "2"),
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    for dates in (False, True):
+        assert infer_types(df, columns, infer_dates=dates) == infer_types_from_rows(
+            spark, columns, rows, infer_dates=dates)
