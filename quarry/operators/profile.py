@@ -28,7 +28,7 @@ known on the driver before anything runs, so the broadcast is bounded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,23 +169,41 @@ def _order_key(df: DataFrame, order_by) -> Column:
 
 
 def _samples(df: DataFrame, fields, key: Column) -> DataFrame | None:
-    """First three non-null values per string column, in ``key`` order (P2e)."""
-    parts = []
-    for i, f in fields:
-        c = qcol(f.name)
-        part = (
-            df.select(key.alias("k"), c.alias("v"))
+    """First three non-null values per string column, in ``key`` order (P2e).
+
+    Up to ``WIDE_TABLE_COLUMNS`` string columns: one ``orderBy(key).limit(3)``
+    per column, planned as ``TakeOrderedAndProject`` (a 3-row heap per task).
+    Beyond that, one scan: rows are exploded to ``(position, key, value)`` and
+    ``row_number() over (partition by position order by key) <= 3`` keeps the
+    first three; Spark inserts a partial ``WindowGroupLimit`` before the
+    shuffle, so each task ships at most three rows per column.
+    """
+    if not fields:
+        return None
+    if len(fields) > WIDE_TABLE_COLUMNS:
+        entries = [F.struct(F.lit(i).cast("int").alias("position"), qcol(f.name).alias("v")) for i, f in fields]
+        exploded = (
+            df.select(key.alias("k"), F.explode(F.array(*entries)).alias("e"))
+            .select("e.position", "k", "e.v")
             .where(F.col("v").isNotNull())
-            .orderBy("k")
-            .limit(SAMPLE_COUNT)
-            .select(F.lit(i).cast("int").alias("position"), "k", "v")
         )
-        parts.append(part)
-    if not parts:
-        return None
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
+        rank = F.row_number().over(Window.partitionBy("position").orderBy("k"))
+        union = exploded.withColumn("rn", rank).where(F.col("rn") <= SAMPLE_COUNT).drop("rn")
+    else:
+        parts = []
+        for i, f in fields:
+            c = qcol(f.name)
+            part = (
+                df.select(key.alias("k"), c.alias("v"))
+                .where(F.col("v").isNotNull())
+                .orderBy("k")
+                .limit(SAMPLE_COUNT)
+                .select(F.lit(i).cast("int").alias("position"), "k", "v")
+            )
+            parts.append(part)
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
     # At most SAMPLE_COUNT rows per position reach this aggregate.
     return union.groupBy("position").agg(
         F.transform(

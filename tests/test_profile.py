@@ -252,3 +252,19 @@ def test_duplicate_names_rejected(spark):
         profile_detailed(joined)
     with pytest.raises(ValueError, match="duplicate column names"):
         profile_basic(joined)
+
+
+def test_wide_samples_single_scan(spark, tmp):
+    from quarry.operators import profile as prof
+
+    n = prof.WIDE_TABLE_COLUMNS + 2
+    cols = [f"IF(id % {k + 2} = 0, NULL, CONCAT('c{k}_', id)) AS s{k}" for k in range(n)]
+    spark.range(40).selectExpr("id", *cols).coalesce(1).write.parquet(tmp + "/w")
+    df = spark.read.parquet(tmp + "/w")
+    p = profile_detailed(df)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" not in plan
+    got = {r["column"]: r["sample_values"] for r in p.collect()}
+    for k in range(n):
+        want = [f"c{k}_{i}" for i in range(40) if i % (k + 2) != 0][:3]
+        assert got[f"s{k}"] == want
