@@ -412,7 +412,7 @@ def _exact_stats(df: DataFrame, fields, strict_parity: bool, plan: str) -> DataF
     return out
 
 
-def _wide_stats(df: DataFrame, fields, strict_parity: bool, distinct: str) -> DataFrame:
+def _wide_stats(df: DataFrame, fields, strict_parity: bool, distinct: str, rsd: float = 0.05) -> DataFrame:
     """Approximate / single-pass mode: every statistic in one wide aggregate."""
     aggs = [F.count(F.lit(1)).alias("q_rows")]
     stacked = []
@@ -426,9 +426,10 @@ def _wide_stats(df: DataFrame, fields, strict_parity: bool, distinct: str) -> Da
         if not distinct_supported(f.dataType):
             unique = F.lit(None).cast("bigint")
         else:
-            count = F.approx_count_distinct if distinct == "approx" else F.count_distinct
+            key = distinct_key(c, f.dataType)
+            count = F.approx_count_distinct(key, rsd) if distinct == "approx" else F.count_distinct(key)
             aggs += [
-                count(distinct_key(c, f.dataType)).alias(f"q_ad_{i}"),
+                count.alias(f"q_ad_{i}"),
                 F.max(c.isNull().cast("int")).alias(f"q_hn_{i}"),
             ]
             unique = F.col(f"q_ad_{i}") + F.coalesce(F.col(f"q_hn_{i}"), F.lit(0))
@@ -453,12 +454,13 @@ def profile_detailed(
     samples: bool = True,
     materialize: bool | None = None,
     exact_plan: str = "auto",
+    approx_rsd: float = 0.05,
 ) -> DataFrame:
     """Detailed profile, one row per column.
 
     ``distinct``: ``"exact"`` (per-value counts, see ``exact_plan``),
-    ``"approx"`` (HyperLogLog++ in one wide single-row aggregate; a few percent
-    error, no value shuffle) or ``"exact_single_pass"`` (Catalyst ``Expand`` of
+    ``"approx"`` (HyperLogLog++ in one wide single-row aggregate with relative
+    standard deviation ``approx_rsd``; no value shuffle) or ``"exact_single_pass"`` (Catalyst ``Expand`` of
     several distinct aggregates; one shuffle but rows as wide as the column
     count).
 
@@ -517,7 +519,7 @@ def profile_detailed(
     if distinct == "exact":
         stats = _exact_stats(df, fields, strict_parity, exact_plan)
     else:
-        stats = _wide_stats(df, fields, strict_parity, distinct)
+        stats = _wide_stats(df, fields, strict_parity, distinct, approx_rsd)
 
     sampled = _samples(df, sample_fields, key) if sample_fields else None
     if sampled is not None:
