@@ -460,9 +460,9 @@ def profile_detailed(
 
     ``distinct``: ``"exact"`` (per-value counts, see ``exact_plan``),
     ``"approx"`` (HyperLogLog++ in one wide single-row aggregate with relative
-    standard deviation ``approx_rsd``; no value shuffle) or ``"exact_single_pass"`` (Catalyst ``Expand`` of
-    several distinct aggregates; one shuffle but rows as wide as the column
-    count).
+    standard deviation ``approx_rsd``; no value shuffle) or
+    ``"exact_single_pass"`` (Catalyst ``Expand`` of several distinct
+    aggregates; one shuffle but rows as wide as the column count).
 
     ``exact_plan``: ``"per_column"`` (one scan and shuffle per column),
     ``"narrow"`` (one scan and shuffle per type family, whatever the column
