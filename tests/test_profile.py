@@ -268,3 +268,17 @@ def test_wide_samples_single_scan(spark, tmp):
     for k in range(n):
         want = [f"c{k}_{i}" for i in range(40) if i % (k + 2) != 0][:3]
         assert got[f"s{k}"] == want
+
+
+def test_unusual_types(spark):
+    df = spark.sql(
+        """SELECT id, NULL AS nul, make_interval(0, 0, 0, CAST(id AS INT), 0, 0, 0) AS ci,
+                  make_dt_interval(CAST(id AS INT)) AS dti, make_ym_interval(1, CAST(id AS INT)) AS ymi,
+                  CAST(IF(id % 2 = 0, 'A', 'a') AS STRING COLLATE UTF8_LCASE) AS coll
+           FROM range(5)"""
+    )
+    p = by_name(profile_detailed(df))
+    assert p["nul"]["unique"] == 1 and p["nul"]["nulls"] == 5 and p["nul"]["dtype"] == "void"
+    assert p["ci"]["unique"] == p["dti"]["unique"] == p["ymi"]["unique"] == 5
+    assert p["coll"]["unique"] == 1  # 'A' and 'a' are equal under this collation
+    assert p["coll"]["sample_values"] == ["A", "a", "A"]
