@@ -5,7 +5,7 @@ DataFrame, sinks write with Spark's own committers.
 """
 
 from quarry.operators.export import export_profile_json, profile_json_text
-from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed
+from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed, profile_with_count
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql, sql_extract, validate_parameters
 from quarry.plans.pipeline import run_file_pipeline
@@ -46,6 +46,7 @@ __all__ = [
     "profile_basic",
     "profile_detailed",
     "profile_json_text",
+    "profile_with_count",
     "read_avro",
     "read_csv",
     "read_excel",

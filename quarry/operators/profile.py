@@ -538,6 +538,18 @@ def profile_detailed(
     return stats.select(*[f.name for f in DETAILED_SCHEMA.fields]).coalesce(1).sortWithinPartitions("position")
 
 
+def profile_with_count(df: DataFrame, *, detailed: bool = True, **options) -> tuple[int, DataFrame]:
+    """The reference's return shape: ``(row_count, profile)``. Runs the
+    profile (one row per column, collected) to read the count; a frame with
+    no columns still reports its row count."""
+    profile = profile_detailed(df, **options) if detailed else profile_basic(df)
+    if not df.columns:
+        return df.count(), profile
+    rows = profile.collect()
+    spark = df.sparkSession
+    return rows[0]["row_count"], spark.createDataFrame(rows, profile.schema)
+
+
 def flatten_profile(profile: DataFrame) -> DataFrame:
     """Flat columns for comparison with SQL engines: ``min_int``, ``max_int``,
     ``min_float``, ``max_float`` instead of the tagged structs."""

@@ -282,3 +282,12 @@ def test_unusual_types(spark):
     assert p["ci"]["unique"] == p["dti"]["unique"] == p["ymi"]["unique"] == 5
     assert p["coll"]["unique"] == 1  # 'A' and 'a' are equal under this collation
     assert p["coll"]["sample_values"] == ["A", "a", "A"]
+
+
+def test_profile_with_count(spark):
+    from quarry import profile_with_count
+
+    n, prof = profile_with_count(spark.range(7).selectExpr("id", "CAST(id AS STRING) AS s"))
+    assert n == 7 and [r["column"] for r in prof.collect()] == ["id", "s"]
+    n, prof = profile_with_count(spark.range(4).select(), detailed=False)
+    assert n == 4 and prof.count() == 0
