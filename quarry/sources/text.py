@@ -430,37 +430,63 @@ def parse_csv_text(
     delimiter: str = ",",
     has_header: bool = True,
     quote_char: str | None = None,
+    comment_prefix: str | None = None,
+    skip_rows: int = 0,
     schema: T.StructType | None = None,
     infer_schema_length: int | None = 100,
     infer_dates: bool = False,
     on_ragged: str = "error",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """S9 for CSV: each row of ``df`` holds a whole CSV document in ``body``
-    (bytes landed in a table). Documents are split into lines on the executors
-    (``posexplode``); with ``has_header`` the first line of every document is
-    its header and is dropped; the rest is parsed by ``from_csv``. Quoted
-    newlines inside a document are not supported on this route."""
-    if on_ragged not in RAGGED_MODES:
-        raise ValueError(f"on_ragged must be one of {RAGGED_MODES}")
+    """S9 for delimited text: each row of ``df`` holds a whole document in
+    ``body`` (bytes landed in a table). Every document is handled inside its
+    own row with array functions, so nothing is shuffled: split into lines,
+    the first ``skip_rows`` dropped, blank and comment lines filtered out, the
+    first remaining line taken as that document's header, the rest exploded
+    and parsed by ``from_csv``. Quoted newlines inside a document are not
+    supported on this route."""
+    _validate(delimiter, quote_char, skip_rows, on_ragged)
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_SENTINEL}
     keep = list(keep or [])
-    lines = df.select(*[qcol(k) for k in keep], F.posexplode(F.split(qcol(body), r"\r?\n")).alias("line_no", "value"))
+    lines = F.split(qcol(body), r"\r?\n")
+    after_skip = F.slice(lines, skip_rows + 1, F.greatest(F.size(lines) - skip_rows, F.lit(0)))
+
+    def wanted(x):
+        cond = x != ""
+        if comment_prefix:
+            cond = cond & ~x.startswith(comment_prefix)
+        return cond
+
+    kept = F.filter(after_skip, wanted)
+    docs = df.select(*[qcol(k) for k in keep], kept.alias("__lines"))
     if has_header:
-        header_lines = lines.where(F.col("line_no") == 0)
-        lines = lines.where(F.col("line_no") > 0)
-    lines = lines.where(F.col("value") != "")
+        header = F.get(F.col("__lines"), 0)
+        data = F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(0)))
+    else:
+        header = F.lit(None).cast("string")
+        data = F.col("__lines")
+    rows = docs.select(*[qcol(k) for k in keep], F.explode(data).alias("value"))
     if schema is None:
-        got = (header_lines if has_header else lines).where(F.col("value") != "").select("value").limit(1).collect()
-        if not got:
+        if has_header:
+            got = docs.select(header.alias("h")).where(F.col("h").isNotNull()).limit(1).collect()
+            first = got[0][0] if got else None
+        else:
+            got = rows.select("value").limit(1).collect()
+            first = got[0][0] if got else None
+        if first is None:
             raise ValueError("no CSV rows in the payload column")
-        raw = _split_line(got[0][0], delimiter, quote)
+        raw = _split_line(first, delimiter, quote)
         names = header_names(raw) if has_header else generated_names(len(raw))
-        strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        strings = lines.select(F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r")).select("r.*")
-        schema = _typed(names, infer_types(strings, names, limit=infer_schema_length, infer_dates=infer_dates))
-    parsed = lines.select(
+        if infer_schema_length is not None:
+            sample = [_split_line(r[0], delimiter, quote) for r in rows.select("value").limit(infer_schema_length).collect()]
+            types = infer_types_from_rows(df.sparkSession, names, sample, infer_dates=infer_dates)
+        else:
+            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+            strings = rows.select(F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r"))
+            types = infer_types(strings.select("r.*"), names, infer_dates=infer_dates)
+        schema = _typed(names, types)
+    parsed = rows.select(
         *[qcol(k) for k in keep], F.from_csv("value", _ddl(_with_extra(schema, on_ragged)), opts).alias("r")
     ).select(*[qcol(k) for k in keep], "r.*")
     return _check_ragged(parsed, on_ragged)

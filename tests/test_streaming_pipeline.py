@@ -64,3 +64,12 @@ def test_stream_http_bodies(spark, tmp):
     stream_http_bodies(spark, land, schema, out, checkpoint=tmp + "/ck", keep=["url"]).awaitTermination()
     got = sorted((r.url, r.name) for r in read_parquet(spark, out).collect())
     assert got == [("/a", "ann"), ("/a", "bob"), ("/c", "cy"), ("/c", "di")]
+
+
+def test_csv_payloads_with_text_options(spark):
+    docs = spark.createDataFrame(
+        [(1, "junk\n// note\na|b\n1|x\n\n// mid\n2|y\n"), (2, "junk\na|b\n3|z")], "doc int, body string"
+    )
+    df = parse_csv_text(docs, "body", delimiter="|", comment_prefix="//", skip_rows=1, keep=["doc"])
+    assert df.columns == ["doc", "a", "b"]
+    assert sorted(df.collect()) == [(1, 1, "x"), (1, 2, "y"), (2, 3, "z")]
