@@ -40,6 +40,25 @@ def _norm(v):
     return v
 
 
+# Spark type label -> DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "binary": "BLOB", "array<float>": "FLOAT[]", "array<string>": "VARCHAR[]", "array<bigint>": "BIGINT[]",
+}
+
+
+def type_mismatches(spark_schema, duck_types: dict) -> list:
+    out = []
+    for f in spark_schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and str(got).upper() != want:
+            out.append((f.name, f.dataType.simpleString(), str(got)))
+    return out
+
+
 def rows_key(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
@@ -70,6 +89,10 @@ def compare(spark, name, fn, sql, sf_dir, con):
     drows = cur.fetchall()
     if sorted(scols) != sorted(dcols):
         return False, f"{name}: COLUMNS spark={sorted(scols)} duck={sorted(dcols)}"
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad_types = type_mismatches(df.schema, dtypes)
+    if bad_types:
+        return False, f"{name}: TYPES {bad_types}"
     if len(srows) != len(drows):
         return False, f"{name}: ROWCOUNT spark={len(srows)} duck={len(drows)}"
     a, b = rows_key(scols, srows), rows_key(dcols, drows)
