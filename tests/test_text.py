@@ -171,3 +171,13 @@ def test_driver_and_spark_inference_agree(spark):
     for dates in (False, True):
         assert infer_types(df, columns, infer_dates=dates) == infer_types_from_rows(
             spark, columns, rows, infer_dates=dates)
+
+
+def test_empty_and_header_only_csv(spark, tmp):
+    with pytest.raises(ValueError, match="no rows"):
+        read_csv(spark, write_text(tmp + "/e.csv", ""))
+    df = read_csv(spark, write_text(tmp + "/h.csv", "a,b\n"))
+    assert df.columns == ["a", "b"] and df.count() == 0
+    assert [f.dataType for f in df.schema.fields] == [T.StringType(), T.StringType()]
+    with pytest.raises(ValueError, match="no rows"):
+        read_text(spark, write_text(tmp + "/s.txt", "junk\n"), skip_rows=1)
