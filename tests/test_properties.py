@@ -46,7 +46,12 @@ def same(a, b):
 def test_profile_matches_brute_force(spark, data):
     data = [(i,) + r for i, r in enumerate(data)]
     df = spark.createDataFrame(data, "k int, i bigint, x double, s string")
-    prof = {r["column"]: r for r in profile_detailed(df, order_by="k").collect()}
+    for plan in ("per_column", "narrow"):
+        prof = {r["column"]: r for r in profile_detailed(df, order_by="k", exact_plan=plan).collect()}
+        _check_against_brute(prof, data)
+
+
+def _check_against_brute(prof, data):
     for col, idx, kind in (("i", 1, "int"), ("x", 2, "float"), ("s", 3, "str")):
         nulls, unique, lo, hi, samples = brute([r[idx] for r in data], kind)
         p = prof[col]
