@@ -42,10 +42,20 @@ def read_json(
 
     Without ``schema`` the types come from the first ``infer_schema_length``
     records (a bounded sample fetched by a ``limit`` job, so no full pass over
-    the input); ``None`` lets Spark infer over all records (``sampling_ratio``
-    < 1 reads a fraction). Array files are always inferred by Spark.
+    the input); for array files, from the first file. ``None`` lets Spark
+    infer over all records (``sampling_ratio`` < 1 reads a fraction).
     Malformed records fail; an empty input is an error."""
     paths = _paths(path)
+    if schema is None and array and infer_schema_length is not None:
+        # Array files are whole JSON documents: infer from the first file (by
+        # path) instead of reading every file twice. The listing reads no
+        # file content.
+        first = spark.read.format("binaryFile").load(paths).agg(F.min("path")).first()[0]
+        if first is None:
+            raise ValueError(f"empty JSON input: {path}")
+        schema = spark.read.option("mode", "FAILFAST").option("multiLine", "true").json(first).schema
+        if not schema.fields:
+            raise ValueError(f"empty JSON input: {path}")
     if schema is None and not array and infer_schema_length is not None:
         lines = spark.read.text(paths).where(F.trim(F.col("value")) != "")
         sample = [r[0] for r in lines.limit(infer_schema_length).collect()]

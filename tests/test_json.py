@@ -73,3 +73,14 @@ def test_text_full_inference(spark):
     df = parse_json_text(bodies, "body", infer_schema_length=None, keep=["k"])
     assert dict((f.name, f.dataType) for f in df.schema.fields)["late"] == T.DoubleType()
     assert sorted(df.collect()) == [(1, 1, None), (2, 2, 1.5)]
+
+
+def test_array_files_infer_from_first_file(spark, tmp):
+    import os
+
+    os.makedirs(tmp + "/arr")
+    write_text(tmp + "/arr/a.json", '[{"id": 1, "name": "a"}, {"id": 2, "name": "b"}]')
+    write_text(tmp + "/arr/b.json", '[{"id": 3, "name": "c"}]')
+    df = read_json(spark, tmp + "/arr", array=True)
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3]
+    assert dict((f.name, f.dataType) for f in df.schema.fields) == {"id": T.LongType(), "name": T.StringType()}
