@@ -316,30 +316,27 @@ def xlsx_bytes(sheets: list[list[list]], shared: bool = True) -> bytes:
     return buf.getvalue()
 
 
-def workbooks_from(df: DataFrame, rows_per_book: int = 5000) -> DataFrame:
-    """Workbook bytes ``(book, content)`` built from ``df``: every partition
-    becomes workbooks of at most ``rows_per_book`` data rows, each with the
-    column names as its first row; odd books use inline strings."""
+def workbooks_from(df: DataFrame, key: str, rows_per_book: int = 500) -> DataFrame:
+    """Workbook bytes ``(book, content)`` built from ``df``: one workbook per
+    block of ``rows_per_book`` consecutive ``key`` values (so a book never
+    holds more than that many rows, and the number of books follows from the
+    data alone), each with the column names as its first row. Books of odd
+    blocks use inline strings, even ones the shared string table."""
     names = df.columns
     ship_package(df.sparkSession)
 
-    def run(batches):
-        import pyarrow as pa
+    def build(pdf):
+        import pandas as pd
 
-        pending: list[list] = []
-        books = []
-        for b in batches:
-            cols = [b.column(n).to_pylist() for n in names]
-            pending.extend(list(r) for r in zip(*cols))
-        for lo in range(0, len(pending), rows_per_book):
-            chunk = pending[lo:lo + rows_per_book]
-            books.append(xlsx_bytes([[list(names)] + chunk], shared=(len(books) % 2 == 0)))
-        ids = [task_file_name(k, "") for k in range(len(books))]
-        yield pa.RecordBatch.from_pydict(
-            {"book": ids, "content": books}, schema=pa.schema([("book", pa.string()), ("content", pa.binary())])
-        )
+        block = int(pdf["__block"].iloc[0])
+        body = pdf.sort_values(key)[names]
+        rows = [[None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r]
+                for r in body.itertuples(index=False, name=None)]
+        content = xlsx_bytes([[list(names)] + rows], shared=(block % 2 == 0))
+        return pd.DataFrame({"book": [f"book-{block:07d}"], "content": [content]})
 
-    return df.mapInArrow(run, "book string, content binary")
+    blocks = df.withColumn("__block", F.floor(F.col(key) / rows_per_book))
+    return blocks.groupBy("__block").applyInPandas(build, "book string, content binary")
 
 
 # ------------------------------------------------------------------ Parquet bytes

@@ -106,6 +106,13 @@ def number_text_sql(c: str) -> str:
     return f"regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '')"
 
 
+def header_rows_sql(table: str, key: str, per_book: int, names) -> str:
+    """One header row (the column names as text) per workbook; a workbook
+    holds one block of ``per_book`` consecutive key values."""
+    cols = ", ".join(f"'{n}' AS col{i}" for i, n in enumerate(names))
+    return f"SELECT {cols} FROM (SELECT DISTINCT floor({key} / {per_book}) AS b FROM {table})"
+
+
 ORDERS_1997 = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'"
 
 ORACLES = {
@@ -143,9 +150,13 @@ ORACLES = {
     "avro_read": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_us(o_orderdate) AS o_orderdate, "
                  "o_orderpriority FROM orders",
     "excel_read": "SELECT CAST(p_partkey AS VARCHAR) AS col0, p_name AS col1, p_brand AS col2, p_type AS col3, "
-                  "CAST(p_size AS VARCHAR) AS col4, " + number_text_sql("p_retailprice") + " AS col5 FROM part",
+                  "CAST(p_size AS VARCHAR) AS col4, " + number_text_sql("p_retailprice") + " AS col5 FROM part "
+                  "UNION ALL " + header_rows_sql("part", "p_partkey", 500,
+                                                 ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]),
     "excel_bytes": "SELECT CAST(c_custkey AS VARCHAR) AS col0, c_name AS col1, CAST(c_nationkey AS VARCHAR) AS col2, "
-                   + number_text_sql("c_acctbal") + " AS col3, c_mktsegment AS col4 FROM customer",
+                   + number_text_sql("c_acctbal") + " AS col3, c_mktsegment AS col4 FROM customer "
+                   "UNION ALL " + header_rows_sql("customer", "c_custkey", 400,
+                                                  ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
     "parquet_bytes": "SELECT * FROM orders",
     "sql_copy_filtered": ORDERS_1997,
     "jdbc_query": ORDERS_1997,
