@@ -355,25 +355,35 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
 
         import pyarrow as pa
 
-        schema = pa.schema([("is_header", pa.bool_()), ("cells", pa.list_(pa.string()))])
+        def emit(batch, idx, flags, cells):
+            take = pa.array(idx, pa.int64())
+            carried = [batch.column(j).take(take) for j in range(1, batch.num_columns)]
+            return pa.RecordBatch.from_arrays(
+                carried + [pa.array(flags, pa.bool_()), pa.array(cells, pa.list_(pa.string()))],
+                names=batch.schema.names[1:] + ["is_header", "cells"],
+            )
+
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
+            idx, flags, cells = [], [], []
+            for i, blob in enumerate(batch.column(0).to_pylist()):
                 if blob is None:
                     continue
-                text = io.StringIO(bytes(blob).decode(encoding), newline="")
+                raw = blob if isinstance(blob, str) else bytes(blob).decode(encoding)
+                text = io.StringIO(raw, newline="")
                 records = csv.reader(_kept_lines(text), delimiter=delimiter, quotechar=quote, doublequote=True)
-                flags, cells, first = [], [], has_header
+                first = has_header
                 for rec in records:
                     if not rec or rec == [""]:
                         continue
+                    idx.append(i)
                     flags.append(first)
                     cells.append([None if v == "" else v for v in rec])
                     first = False
                     if len(cells) >= chunk:
-                        yield pa.RecordBatch.from_pydict({"is_header": flags, "cells": cells}, schema=schema)
-                        flags, cells = [], []
-                if cells:
-                    yield pa.RecordBatch.from_pydict({"is_header": flags, "cells": cells}, schema=schema)
+                        yield emit(batch, idx, flags, cells)
+                        idx, flags, cells = [], [], []
+            if cells:
+                yield emit(batch, idx, flags, cells)
 
     return run
 
@@ -391,6 +401,13 @@ def _read_whole_files_route(
         _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding),
         "is_header boolean, cells array<string>",
     )
+    return _records_to_columns(spark, recs, [], has_header, infer_schema_length, infer_dates, on_ragged,
+                               schema, str(paths))
+
+
+def _records_to_columns(spark, recs, carried, has_header, infer_schema_length, infer_dates, on_ragged,
+                        schema, what):
+    """Typed columns from parsed records ``(carried..., is_header, cells)``."""
     body = recs.where(~F.col("is_header"))
     if schema is None:
         sample_n = infer_schema_length if infer_schema_length is not None else 0
@@ -402,7 +419,7 @@ def _read_whole_files_route(
             header = hit[0]["cells"] if hit else None
         first = header if has_header else (data[0] if data else None)
         if first is None:
-            raise ValueError(f"no rows in delimited input: {paths}")
+            raise ValueError(f"no rows in delimited input: {what}")
         names = header_names(first) if has_header else generated_names(len(first))
         if infer_schema_length is not None:
             types = infer_types_from_rows(spark, names, data[:sample_n], infer_dates=infer_dates)
@@ -412,6 +429,7 @@ def _read_whole_files_route(
         schema = _typed(names, types)
     n = len(schema.fields)
     typed = body.select(
+        *[F.col(c) for c in carried],
         *[F.get("cells", i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
         F.when(F.size("cells") > n, F.lit("long")).alias(EXTRA),
     )
@@ -437,18 +455,37 @@ def parse_csv_text(
     infer_dates: bool = False,
     on_ragged: str = "error",
     keep: list[str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """S9 for delimited text: each row of ``df`` holds a whole document in
     ``body`` (bytes landed in a table). Every document is handled inside its
     own row with array functions, so nothing is shuffled: split into lines,
     the first ``skip_rows`` dropped, blank and comment lines filtered out, the
     first remaining line taken as that document's header, the rest exploded
-    and parsed by ``from_csv``. Quoted newlines inside a document are not
-    supported on this route."""
+    and parsed by ``from_csv``. With ``multiline=True`` (quoted newlines
+    inside documents) each document is read by the CSV parser in a Python
+    task instead, the ``keep`` columns carried along with Arrow ``take``."""
     _validate(delimiter, quote_char, skip_rows, on_ragged)
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_SENTINEL}
     keep = list(keep or [])
+    if multiline:
+        if len(delimiter) != 1:
+            raise ValueError("multiline=True needs a one-character delimiter")
+        ship_package(df.sparkSession)
+        carried = [f"__k{j}" for j in range(len(keep))]
+        base = df.select(qcol(body).cast("string").alias("__body"),
+                         *[qcol(k).alias(c) for k, c in zip(keep, carried)])
+        ddl = ", ".join([f"{c} {df.schema[k].dataType.simpleString()}" for k, c in zip(keep, carried)]
+                        + ["is_header boolean", "cells array<string>"])
+        recs = base.mapInArrow(
+            _whole_file_records(skip_rows, comment_prefix, has_header, delimiter, quote, "utf-8"), ddl
+        )
+        out = _records_to_columns(df.sparkSession, recs, carried, has_header, infer_schema_length,
+                                  infer_dates, on_ragged, schema, "payload column")
+        for k, c in zip(keep, carried):
+            out = out.withColumnRenamed(c, k)
+        return out
     lines = F.split(qcol(body), r"\r?\n")
     after_skip = F.slice(lines, skip_rows + 1, F.greatest(F.size(lines) - skip_rows, F.lit(0)))
 

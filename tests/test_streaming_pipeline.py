@@ -73,3 +73,12 @@ def test_csv_payloads_with_text_options(spark):
     df = parse_csv_text(docs, "body", delimiter="|", comment_prefix="//", skip_rows=1, keep=["doc"])
     assert df.columns == ["doc", "a", "b"]
     assert sorted(df.collect()) == [(1, 1, "x"), (1, 2, "y"), (2, 3, "z")]
+
+
+def test_csv_payloads_multiline(spark):
+    docs = spark.createDataFrame(
+        [(7, 'skip\nid,s\n1,"two\nlines"\n## c\n2,x\n'), (8, 'skip\nid,s\n3,"a,b"\n')], "doc long, body string"
+    )
+    df = parse_csv_text(docs, "body", skip_rows=1, comment_prefix="##", multiline=True, keep=["doc"])
+    assert df.columns == ["doc", "id", "s"]
+    assert sorted(df.collect()) == [(7, 1, "two\nlines"), (7, 2, "x"), (8, 3, "a,b")]
