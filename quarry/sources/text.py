@@ -331,10 +331,12 @@ def _read_lines_route(
 
 
 def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding, chunk=8192):
-    """mapInArrow body for quoted newlines plus skipped lines: one file per
-    row (``binaryFile``), parsed in one task like Spark's own multi-line CSV.
-    The first ``skip_rows`` physical lines and comment lines are dropped, then
-    the records are read with the standard CSV parser, header flagged."""
+    """mapInArrow body for quoted newlines plus skipped lines. Column 0 holds
+    one whole document per row (file bytes from ``binaryFile``, or text from
+    a payload column), parsed in one task like Spark's own multi-line CSV;
+    any further columns are carried to every record of their document. The
+    first ``skip_rows`` physical lines and comment lines are dropped, then the
+    records are read with the standard CSV parser, header flagged."""
 
     def _kept_lines(lines):
         # A line is a comment only outside a quoted field: quote parity tells
