@@ -260,12 +260,15 @@ def q_parquet_bytes(spark, sf_dir):
 
 def q_sql_copy_filtered(spark, sf_dir):
     out = scratch_dir(spark, "sqlcopy")
+    # a view name of its own, so a caller's view called "orders" is left alone
+    view = f"orders_{uuid.uuid4().hex[:8]}"
     copy_sql(
         spark,
-        "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00';",
+        f"SELECT * FROM {view} WHERE o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00';",
         out,
-        tables={"orders": table(spark, sf_dir, "orders")},
+        tables={view: table(spark, sf_dir, "orders")},
     )
+    spark.catalog.dropTempView(view)
     return read_parquet(spark, out)
 
 
