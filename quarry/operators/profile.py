@@ -20,7 +20,10 @@ A profile is a DataFrame with one row per input column, ordered by
   Catalyst's ``Expand`` for several ``count(DISTINCT ..)``.
 * samples: per string column ``orderBy(key).limit(3)``, which plans as
   ``TakeOrderedAndProject``: every task keeps a 3-row heap, the final merge sees
-  3 rows per task.
+  3 rows per task. For wide tables one scan with ``row_number() <= 3`` per
+  column instead, cut by a partial ``WindowGroupLimit`` before the shuffle.
+* inputs that are costly to re-read (derived frames, row-format files) are
+  landed once as Parquet under ``spark.checkpoint.dir`` first.
 
 The pieces are joined on ``position``. Their size is the number of columns,
 known on the driver before anything runs, so the broadcast is bounded.
