@@ -181,3 +181,10 @@ def test_empty_and_header_only_csv(spark, tmp):
     assert [f.dataType for f in df.schema.fields] == [T.StringType(), T.StringType()]
     with pytest.raises(ValueError, match="no rows"):
         read_text(spark, write_text(tmp + "/s.txt", "junk\n"), skip_rows=1)
+
+
+def test_latin1_encoding(spark, tmp):
+    with open(tmp + "/l.csv", "wb") as fh:
+        fh.write("name,n\ncafé,1\nnaïve,2\n".encode("latin-1"))
+    df = read_csv(spark, tmp + "/l.csv", encoding="ISO-8859-1")
+    assert sorted(df.collect()) == [("café", 1), ("naïve", 2)]
