@@ -32,3 +32,14 @@ def write_text(path, text, newline="\n"):
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="quarry-test-")
+
+
+def plan_text(df) -> str:
+    """The physical plan as ``DataFrame.explain`` prints it (public API)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

@@ -29,9 +29,16 @@ from quarry.sources.text import read_csv  # noqa: E402
 
 
 def plan_text(df) -> str:
-    # executedPlan of the final (AQE) plan after running, so stage shapes are real
+    """``DataFrame.explain`` after running the query, so the adaptive plan
+    shown is the final one (real stage shapes)."""
+    import contextlib
+    import io
+
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def main(argv):

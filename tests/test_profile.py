@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry import export_profile_json, profile_basic, profile_detailed, profile_json_text
 from quarry.operators.export import _format_float
+from conftest import plan_text
 
 
 def by_name(df):
@@ -169,7 +170,7 @@ def test_json_export_nan_is_null(spark):
 def test_profile_plan_shape(spark, tmp):
     spark.range(100).selectExpr("id", "CAST(id AS STRING) AS s", "id * 1.5 AS d").write.parquet(tmp + "/p")
     df = spark.read.parquet(tmp + "/p")
-    plan = profile_detailed(df)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(profile_detailed(df))
     assert "TakeOrderedAndProject" in plan  # samples: bounded per-task heap
     assert "Expand" not in plan  # no row x column blow-up in exact mode
 
@@ -184,7 +185,7 @@ def test_materialize_derived_input(spark, tmp):
     assert not should_materialize(joined, 1)
     p = by_name(profile_detailed(joined))
     assert p["v"]["nulls"] == 100 and p["s"]["unique"] == 7 and p["id"]["unique"] == 200
-    plan = profile_detailed(joined)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(profile_detailed(joined))
     assert "Range" not in plan  # the join ran once, into the checkpoint
     left.write.parquet(tmp + "/p")
     assert not should_materialize(spark.read.parquet(tmp + "/p").where("id > 3").select("s"), 5)
@@ -205,7 +206,7 @@ def test_row_format_input_is_landed_once_and_keeps_file_order(spark, tmp):
     p = by_name(prof)
     assert p["s"]["sample_values"] == ["v0", "v1", "v2"]
     assert p["k"]["unique"] == 30 and p["k"]["max"]["Int"] == 29
-    plan = prof._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(prof)
     assert "FileScan csv" not in plan and "Scan csv" not in plan
 
 
@@ -227,7 +228,7 @@ def test_exact_plans_agree(spark):
     assert z_n["unique"] == z_p["unique"] == 2 and z_n["min"]["Float"] == 0.0
     p = {r["column"]: r for r in narrow}
     assert p["d"]["nulls"] == 50 and p["s"]["unique"] == 8 and p["dec"]["unique"] == 6 and p["bin"]["unique"] == 3
-    plan = profile_detailed(df, exact_plan="narrow")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(profile_detailed(df, exact_plan="narrow"))
     assert plan.count("Generate") >= 4  # one narrow explode per type family
 
 
@@ -235,12 +236,12 @@ def test_auto_plan_switches_for_wide_tables(spark):
     from quarry.operators import profile as prof
 
     wide = spark.range(50).selectExpr(*[f"id % {k + 2} AS c{k}" for k in range(prof.WIDE_TABLE_COLUMNS + 1)])
-    plan = profile_detailed(wide, samples=False)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(profile_detailed(wide, samples=False))
     assert plan.count("Generate") == 1  # one narrow scan for the single type family
     p = {r["column"]: r["unique"] for r in profile_detailed(wide, samples=False).collect()}
     assert p["c0"] == 2 and p[f"c{prof.WIDE_TABLE_COLUMNS}"] == prof.WIDE_TABLE_COLUMNS + 2
     narrow = spark.range(50).selectExpr("id", "id % 3 AS m")
-    plan = profile_detailed(narrow, samples=False)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(profile_detailed(narrow, samples=False))
     assert "Generate" not in plan
 
 
@@ -262,7 +263,7 @@ def test_wide_samples_single_scan(spark, tmp):
     spark.range(40).selectExpr("id", *cols).coalesce(1).write.parquet(tmp + "/w")
     df = spark.read.parquet(tmp + "/w")
     p = profile_detailed(df)
-    plan = p._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(p)
     assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" not in plan
     got = {r["column"]: r["sample_values"] for r in p.collect()}
     for k in range(n):

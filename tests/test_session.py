@@ -1,6 +1,7 @@
 import pytest
 
 from quarry.session import ensure_checkpoint_dir, local_dir, materialize_frame, scratch_dir
+from conftest import plan_text
 
 
 def test_checkpoint_dir_is_kept(spark):
@@ -21,7 +22,7 @@ def test_materialize_parquet_and_checkpoint(spark):
     df = spark.range(5).selectExpr("id", "id * 2 AS v")
     landed = materialize_frame(df, "t")
     assert sorted(landed.collect()) == sorted(df.collect())
-    assert "parquet" in landed._jdf.queryExecution().executedPlan().toString().lower()
+    assert "parquet" in plan_text(landed).lower()
     intervals = spark.range(3).selectExpr("id", "make_interval(0, 0, 0, 0, 0, 0, id) AS i")
     kept = materialize_frame(intervals, "t2")  # intervals cannot go to Parquet: checkpoint()
     assert kept.count() == 3

@@ -6,6 +6,7 @@ from quarry.sinks import write_csv, write_json, write_orc, write_parquet
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.json import read_json
 from quarry.sources.text import read_csv
+from conftest import plan_text
 
 
 @pytest.fixture()
@@ -61,5 +62,5 @@ def test_partitioned_write_rebalances_hot_values(spark, tmp):
     write_parquet(df, tmp + "/p", partition_by=["p"])
     back = read_parquet(spark, tmp + "/p")
     assert back.count() == 20000 and back.where("p = 'hot'").count() == 15000
-    plan = df.hint("rebalance", "p")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df.hint("rebalance", "p"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan

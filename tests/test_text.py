@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from conftest import write_text
+from conftest import plan_text, write_text
 from quarry.sources.text import read_csv, read_text
 
 
@@ -94,7 +94,7 @@ def test_one_char_comment_uses_csv_scan(spark, tmp):
     path = write_text(tmp + "/t.txt", "a\tb\n#c\n1\t2\n")
     df = read_text(spark, path, delimiter="\t", comment_prefix="#")
     assert df.collect() == [(1, 2)]
-    assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan_text(df)
 
 
 def test_skip_rows_without_header(spark, tmp):
@@ -125,7 +125,7 @@ def test_explicit_schema(spark, tmp):
 
 def test_filter_reaches_csv_scan(spark, tmp):
     df = read_csv(spark, stock_csv(tmp + "/s.csv", 20))
-    plan = df.where("Volume > 0").select("Open")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df.where("Volume > 0").select("Open"))
     assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
 
 

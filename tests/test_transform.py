@@ -1,6 +1,7 @@
 import pytest
 
 from quarry import limit_rows, select_columns
+from conftest import plan_text
 
 
 @pytest.fixture()
@@ -53,7 +54,7 @@ def test_limit_ordered_is_deterministic_and_topk(spark):
     df = spark.range(1000).selectExpr("id", "(id * 7919) % 1000 AS k")
     out = limit_rows(df, 5, order_by="k")
     assert [r.k for r in out.collect()] == [0, 1, 2, 3, 4]
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "TakeOrderedAndProject" in plan
 
 
@@ -62,7 +63,7 @@ def test_select_prunes_parquet_scan(spark, tmp):
     from quarry.sources.columnar import read_parquet
 
     out = select_columns(read_parquet(spark, tmp + "/p"), ["b"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "ReadSchema: struct<b:bigint>" in plan
 
 
@@ -77,4 +78,4 @@ def test_limit_in_file_order(spark, tmp):
     out = limit_rows(df, 7, file_order=True)
     assert [r.id for r in out.collect()] == [0, 1, 2, 3, 4, 100, 101]
     assert out.columns == ["id"]
-    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan_text(out)
