@@ -72,10 +72,13 @@ def stream_file_copy(
     source_options: dict | None = None,
     partition_by=None,
     interval: str = "30 seconds",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """J4 on a stream: files -> optional column selection (T1) -> Parquet.
-    ``interval`` is the micro-batch trigger when ``available_now`` is False."""
-    df = read_stream(spark, source_format, source_path, schema, source_options)
+    ``interval`` is the micro-batch trigger when ``available_now`` is False;
+    ``max_files_per_trigger`` bounds each micro-batch when a backlog lands at
+    once (``available_now`` still drains all of it, in bounded batches)."""
+    df = read_stream(spark, source_format, source_path, schema, source_options, max_files_per_trigger)
     if columns is not None:
         df = select_columns(df, columns)
     checkpoint = checkpoint or default_checkpoint(spark, "file-copy")

@@ -82,3 +82,15 @@ def test_csv_payloads_multiline(spark):
     df = parse_csv_text(docs, "body", skip_rows=1, comment_prefix="##", multiline=True, keep=["doc"])
     assert df.columns == ["doc", "id", "s"]
     assert sorted(df.collect()) == [(7, 1, "two\nlines"), (7, 2, "x"), (8, 3, "a,b")]
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp):
+    land, out, ck = tmp + "/land", tmp + "/out", tmp + "/ck"
+    os.makedirs(land)
+    for i in range(4):
+        write_text(f"{land}/{i}.csv", f"a,b\n{i},x\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    q = stream_file_copy(spark, "csv", land, schema, out, checkpoint=ck, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert sorted(r.a for r in read_parquet(spark, out).collect()) == [0, 1, 2, 3]
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per micro-batch
