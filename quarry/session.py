@@ -8,6 +8,7 @@ known before anything cuts lineage.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,16 +51,30 @@ def local_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint directory.
 
-    A cluster names it in ``spark.checkpoint.dir``; we use that and never
-    replace it. Only when it is unset (local tests) do we create one under the
-    system temp folder, which is fine for a single-machine session.
+    In order: the launch setting ``spark.checkpoint.dir``, a directory the
+    caller gave the context, and, only for a ``local`` master (tests), a fresh
+    one under the system temp folder. Without any of them on a cluster this
+    raises: a machine-local folder would not be visible to other executors.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        # the context adds a directory of its own below the one that was set
+        return current
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not configured:
+        configured = _local_checkpoint_dir(sc.master)
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
+
+
+def _local_checkpoint_dir(master: str) -> str:
+    if not master.split("[")[0] == "local":
+        raise ValueError(
+            f"{CHECKPOINT_CONF} is not set: intermediate data needs a folder that all "
+            f"executors of {master!r} share"
+        )
+    return tempfile.mkdtemp(prefix="quarry-ckpt-")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -71,6 +86,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a directory made by ``scratch_dir``; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _parquet_writable(dt: T.DataType) -> bool:
     if isinstance(dt, (T.NullType, T.CalendarIntervalType, T.YearMonthIntervalType, T.DayTimeIntervalType)):
         return False
@@ -102,7 +124,7 @@ def local_dir(path: str) -> str:
     the executors. Only ``file:`` paths and plain paths qualify; on a cluster
     they must name a shared mount. Other schemes (``hdfs://``, ``s3a://``)
     are rejected rather than silently created as a local folder."""
-    if "://" in path and not path.startswith("file://"):
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", path) and not path.startswith("file:"):
         raise ValueError(
             f"{path!r} is not a local or mounted path; Python-side writers need one "
             "(set spark.checkpoint.dir to a shared mount or pass a directory)"
