@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.mixing import mix_sources
+from quarry.llm.toxicity import classify
 from quarry.llm.url_filter import filter_urls
 
 # Fixed values of the URL query.
@@ -31,6 +33,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -38,5 +48,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_toxicity": op7_toxicity,
+    "op9_fingerprint": op9_fingerprint,
     "op10_exact_dedup": op10_exact_dedup,
 }
