@@ -55,6 +55,15 @@ def drop_stages(spark: SparkSession, paths: list[str]) -> None:
         remove_dir(spark, path)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(narrow: DataFrame) -> DataFrame:
+    """Mark a staged table of a few numbers per row for broadcast, if it has at
+    most ``BROADCAST_ROWS`` rows (some 20 MB); else the join shuffles."""
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.mixing import mix_sources
+from quarry.llm.ngram_join import near_duplicates
 from quarry.llm.toxicity import classify
 from quarry.llm.url_filter import filter_urls
 
@@ -25,6 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
 
@@ -46,6 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_mixing": op3_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity": op7_toxicity,
