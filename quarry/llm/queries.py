@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.fingerprint import neighbour_fingerprints
+from quarry.llm.hmm_score import score_documents
 from quarry.llm.mixing import mix_sources
 from quarry.llm.ngram_join import near_duplicates
 from quarry.llm.toxicity import classify
@@ -42,6 +43,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op8_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity": op7_toxicity,
+    "op8_hmm_score": op8_hmm_score,
     "op9_fingerprint": op9_fingerprint,
     "op10_exact_dedup": op10_exact_dedup,
 }
