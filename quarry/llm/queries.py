@@ -3,6 +3,7 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import exact_dedup
@@ -10,8 +11,16 @@ from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.hmm_score import score_documents
 from quarry.llm.mixing import mix_sources
 from quarry.llm.ngram_join import near_duplicates
+from quarry.llm.packing import pack_documents
+from quarry.llm.packing import with_checksum as packed_checksum
+from quarry.llm.token_file import read_tokens, write_tokens
+from quarry.llm.token_file import with_checksum as token_checksum
 from quarry.llm.toxicity import classify
 from quarry.llm.url_filter import filter_urls
+from quarry.session import scratch_dir
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 # Fixed values of the URL query.
 URL_RULES = [
@@ -31,10 +40,20 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_checksum(pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, 2048))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
 
 
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "tokens")
+    write_tokens(_table(spark, sf_dir, "documents"), WORD_BPE, folder)
+    return token_checksum(read_tokens(spark, folder))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -57,7 +76,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_token_file": op4_token_file,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity": op7_toxicity,
     "op8_hmm_score": op8_hmm_score,
