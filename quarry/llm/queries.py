@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.hmm_score import score_documents
+from quarry.llm.license_scan import scan_licenses
 from quarry.llm.mixing import mix_sources
 from quarry.llm.ngram_join import near_duplicates
 from quarry.llm.packing import pack_documents
@@ -54,6 +55,10 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_checksum(read_tokens(spark, folder))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op4_token_file": op4_token_file,
+    "op5_license_scan": op5_license_scan,
     "op6_url_filter": op6_url_filter,
     "op7_toxicity": op7_toxicity,
     "op8_hmm_score": op8_hmm_score,
