@@ -1,0 +1,101 @@
+import numpy as np
+from llm_helpers import plan_text
+
+from quarry.llm.queries import URL_RULES
+from quarry.llm.url_filter import filter_urls, host_links, personalised_rank
+
+SCHEMA = "page_id long, url string, html string, host string, rule int, trust string, src string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, "t", "s") for r in rows], SCHEMA)
+
+
+def anchor(*urls):
+    return "<p>" + "".join(f'<a class="x" href="{u}">t</a>' for u in urls)
+
+
+def test_hosts_paths_and_rules(spark):
+    rows = [
+        (1, "http://A.Example.ORG/es/1?x=/en/1", None),
+        (2, "https://example.org/en/17#a", ""),
+        (3, "https://notexample.org/en/17", ""),
+        (4, "http://b.org", ""),
+        (5, "HTTP://x.com/fr/?q", ""),
+        (6, "http://x.com/de/", ""),
+        (7, None, None),
+        (8, "no scheme.org/es/", ""),
+        (9, "http://http://x.org/", ""),
+        (9, "http://http://x.org/", ""),
+        (None, "http://x.com/de", None),
+        (11, "http://q.org?/es/", ""),
+    ]
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in filter_urls(pages(spark, rows), URL_RULES).collect()}
+    assert got == {
+        (1, "a.example.org", "/es/1", "example.org/es/", "block"),
+        (2, "example.org", "/en/17", "example.org/en/1", "block"),
+        (3, "notexample.org", "/en/17", "org/", "allow"),
+        (4, "b.org", "", None, "allow"),
+        (5, "x.com", "/fr/", "com/fr/", "allow"),
+        (6, "x.com", "/de/", "com/de/", "block"),
+        (7, "", "", None, "allow"),
+        (8, "", "", None, "allow"),
+        (9, "http:", "//x.org/", None, "allow"),
+        (None, "x.com", "/de", None, "allow"),
+        (11, "q.org", "", None, "allow"),
+    }
+
+
+def test_links(spark):
+    rows = [
+        (1, "http://a.net/1", anchor("http://B.net/x", "//c.net", "/local", "#top", "http://a.net/2")),
+        (2, "http://a.net/2", "<A data-x='1' HREF='https://b.net?q'>"),
+        (3, None, anchor("http://b.net")),
+    ]
+    assert {tuple(r) for r in host_links(pages(spark, rows)).collect()} == {("a.net", "b.net"), ("a.net", "c.net")}
+
+
+def test_rank_against_numpy(spark):
+    links = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c"), ("c", "e")]
+    names = "abcde"
+    m = np.zeros((5, 5))
+    for s, t in links:
+        m[names.index(t), names.index(s)] = 1 / sum(x == s for x, _ in links)
+    start = np.array([0.75, 0, 0, 0.25, 0])
+    rank = start.copy()
+    for _ in range(60):
+        flow = 0.85 * (m @ rank)
+        rank = flow + (1 - flow.sum()) * start
+    got = personalised_rank(
+        spark.createDataFrame(links, "src string, dst string"),
+        spark.createDataFrame([("a", 0.75), ("d", 0.25)], "host string, share double"),
+        0.85, 60, 1e-9,
+    ).collect()
+    assert {r.host for r in got} == set("abcde")
+    for r in got:
+        assert abs(r["rank"] - rank[names.index(r.host)]) < 1e-6
+
+
+def test_trust_and_distrust_flow(spark):
+    rules = [("allow", "good.net/"), ("block", "bad.net/")]
+    rows = [
+        (1, "http://good.net/", anchor("http://friend.net/")),
+        (2, "http://friend.net/", anchor("http://second.net/")),
+        (3, "http://second.net/", None),
+        (4, "http://bad.net/", None),
+        (5, "http://spam.net/", anchor("http://bad.net/")),
+        (6, "http://farm.net/", anchor("http://spam.net/")),
+        (7, "http://alone.net/", anchor("http://alone.net/")),
+    ]
+    got = {r.page_id: (r.verdict, r.rule) for r in filter_urls(pages(spark, rows), rules).collect()}
+    assert got == {
+        1: ("allow", "good.net/"), 2: ("allow", None), 3: ("allow", None),
+        4: ("block", "bad.net/"), 5: ("block", None), 6: ("block", None), 7: ("allow", None),
+    }
+
+
+def test_empty_table_and_native_plan(spark):
+    result = filter_urls(pages(spark, []), URL_RULES)
+    assert result.count() == 0
+    plan = plan_text(filter_urls(pages(spark, [(1, "http://a.org/", "")]), URL_RULES))
+    assert "Python" not in plan and "ArrowEval" not in plan
