@@ -281,6 +281,39 @@ def _slot_value(c: Column, dtype: T.DataType, slot: str) -> Column:
     return c
 
 
+# A value longer than this is counted under its digest.
+DIGEST_BYTES = 32
+
+
+def _digest(raw: Column) -> Column:
+    """A short stand-in for bytes: themselves when short, else their SHA-256;
+    the first byte tells which, so the two never meet."""
+    return F.when(F.octet_length(raw) <= DIGEST_BYTES, F.concat(F.lit(b"\x00"), raw)).otherwise(
+        F.concat(F.lit(b"\x01"), F.unhex(F.sha2(raw, 256)))
+    )
+
+
+def _group_key(c: Column, dtype: T.DataType, slot: str | None) -> Column:
+    """What the distinct count groups by. Texts, bytes and arrays of plain
+    values are shuffled as digests, never whole."""
+    if slot in ("s", "b"):
+        return _digest(_slot_value(c, dtype, slot).cast("binary"))
+    if slot:
+        return _slot_value(c, dtype, slot)
+    if isinstance(dtype, T.ArrayType):
+        element = dtype.elementType
+        if isinstance(element, (T.FloatType, T.DoubleType)):
+            # one text for both zeros, as grouping has it
+            plain = F.transform(c, lambda x: x + F.lit(0.0).cast(element))
+        elif isinstance(element, T.StringType) and element.simpleString() == "string" or _slot(element) == "l":
+            plain = c
+        else:
+            return distinct_key(c, dtype)
+        text = F.to_json(F.struct(plain.alias("v")), {"ignoreNullFields": "false"})
+        return F.when(c.isNotNull(), _digest(text.cast("binary")))
+    return distinct_key(c, dtype)
+
+
 def _counts_shape(pos: Column, v: Column, slot: str | None) -> list[Column]:
     """Per-value count rows in the common shape ``(pos, l, d, isnull, n)``:
     ``l``/``d`` keep the value only where min/max can use it."""
@@ -295,10 +328,10 @@ def _counts_shape(pos: Column, v: Column, slot: str | None) -> list[Column]:
 
 def _column_counts(df: DataFrame, i: int, f: T.StructField) -> DataFrame:
     """``groupBy(value).count()`` of one column: one scan of that column,
-    combined map-side, shuffled on the value."""
+    combined map-side, shuffled on the value or its digest."""
     slot = _slot(f.dataType)
     c = qcol(f.name)
-    key = _slot_value(c, f.dataType, slot) if slot else distinct_key(c, f.dataType)
+    key = _group_key(c, f.dataType, slot)
     per_value = df.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("n"))
     return per_value.select(*_counts_shape(F.lit(i).cast("int"), F.col("v"), slot))
 
@@ -309,7 +342,7 @@ def _family_counts(df: DataFrame, fields, slot: str) -> DataFrame:
     ``groupBy(position, value).count()``. Rows stay two fields wide however
     many columns the family has."""
     entries = [
-        F.struct(F.lit(i).cast("int").alias("pos"), _slot_value(qcol(f.name), f.dataType, slot).alias("v"))
+        F.struct(F.lit(i).cast("int").alias("pos"), _group_key(qcol(f.name), f.dataType, slot).alias("v"))
         for i, f in fields
     ]
     exploded = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")

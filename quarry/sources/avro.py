@@ -8,19 +8,22 @@ Two routes:
 * JSON route (default when the package is absent, and the reference's own
   semantics): Hadoop's ``AvroAsTextInputFormat`` from the bundled
   ``avro-mapred`` turns each record into JSON text, split by Avro sync markers
-  across tasks, and Spark's JSON reader infers the frame. As in the reference,
-  maps become structs, logical dates stay integers and bytes become text. The
-  record text crosses into Python once on its way to the JSON reader.
+  across tasks, and the JVM writes that text to the shared checkpoint folder,
+  where Spark's JSON reader infers the frame from all records. As in the
+  reference, maps become structs, logical dates stay integers and bytes become
+  text. No record passes through Python.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quarry.session import scratch_dir
+from quarry.sources.columnar import missing_as
+
 AVRO_TEXT_FORMAT = "org.apache.avro.mapred.AvroAsTextInputFormat"
+AVRO_NOT_FOUND = "Avro file not found: {}"
 TEXT = "org.apache.hadoop.io.Text"
 
 
@@ -48,34 +51,32 @@ def read_avro(
     *,
     native: bool | None = None,
     schema: T.StructType | None = None,
-    infer_schema_length: int | None = 100,
 ) -> DataFrame:
-    """Avro file(s) or directory. A missing local path is an error.
-
-    On the JSON route the schema comes from the first ``infer_schema_length``
-    records (a bounded ``take``), not from a pass over every record; ``None``
-    lets Spark infer over all of them."""
+    """Avro file(s) or directory. A missing path is an error."""
     paths = _paths(path)
-    for p in paths:
-        if "://" not in p and not any(ch in p for ch in "*?[") and not os.path.exists(p):
-            raise FileNotFoundError(f"Avro file not found: {p}")
+    with missing_as(AVRO_NOT_FOUND, path):
+        # lists the files with Spark's own file systems; reads none
+        spark.read.format("binaryFile").load(paths)
     if native is not False:
         df = _native(spark, paths, schema)
         if df is not None:
             return df
         if native:
             raise RuntimeError("the avro data source is not on the classpath (spark-avro package)")
-    sc = spark.sparkContext
-    records = sc.hadoopFile(",".join(paths), AVRO_TEXT_FORMAT, TEXT, TEXT).keys()
+    landed = _land_as_text(spark, paths)
     reader = spark.read.option("mode", "FAILFAST")
-    if schema is None and infer_schema_length is not None:
-        sample = records.take(infer_schema_length)
-        if not sample:
-            raise ValueError(f"no Avro records in {path}")
-        schema = reader.json(sc.parallelize(sample, 1)).schema
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.json(records)
+    df = reader.json(landed)
     if not df.schema.fields:
         raise ValueError(f"no Avro records in {path}")
     return df
+
+
+def _land_as_text(spark: SparkSession, paths) -> str:
+    """One line of JSON per record, written by the JVM's tasks."""
+    sc = spark.sparkContext
+    named = [sc._jvm.java.lang.Class.forName(n) for n in (AVRO_TEXT_FORMAT, TEXT, TEXT)]
+    out = scratch_dir(spark, "avro-text")
+    sc._jsc.hadoopFile(",".join(paths), *named).keys().saveAsTextFile(out)
+    return out

@@ -6,8 +6,9 @@ column pruning decided by Catalyst from whatever is stacked on top.
 
 from __future__ import annotations
 
-import os
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,9 +28,18 @@ def read_parquet(spark: SparkSession, path, *, merge_schema: bool = False) -> Da
 
 def read_orc(spark: SparkSession, path, *, merge_schema: bool = False) -> DataFrame:
     """A real ORC read (the reference ships a stub returning an empty
-    frame). A missing local path keeps the reference's message."""
-    paths = _paths(path)
-    for p in paths:
-        if "://" not in p and not any(ch in p for ch in "*?[") and not os.path.exists(p):
-            raise FileNotFoundError(ORC_NOT_FOUND.format(p))
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).orc(*paths)
+    frame). A missing path keeps the reference's message."""
+    with missing_as(ORC_NOT_FOUND, path):
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).orc(*_paths(path))
+
+
+@contextmanager
+def missing_as(message: str, path):
+    """A path that Spark does not find raises ``FileNotFoundError``; whether
+    it exists is the file system's business, not the driver's."""
+    try:
+        yield
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise FileNotFoundError(message.format(path)) from e

@@ -6,9 +6,8 @@
 * ``parse_json_text``: a column operator. Each row holds one JSON body, a
   table holds many: a body that is a JSON array gives one row per element,
   any other body is read as NDJSON, one row per non-blank line. Everything runs
-  in ``from_json`` / ``explode`` on the executors; only a bounded sample of
-  records reaches the driver for schema inference, and none when a schema is
-  given.
+  in ``from_json`` / ``explode`` on the executors. White space around a body
+  (spaces, tabs, newlines) does not matter.
 * ``parse_http_bodies``: landed HTTP responses ``(url, status, body)``: keep
   successful statuses, then ``parse_json_text``.
 """
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.encoding import qcol
-from quarry.session import scratch_dir
+from quarry.session import remove_dir, scratch_dir
 
 FAILFAST = {"mode": "FAILFAST"}
 
@@ -35,16 +34,17 @@ def read_json(
     *,
     array: bool = False,
     schema: T.StructType | None = None,
-    infer_schema_length: int | None = 100,
+    infer_schema_length: int | None = None,
     sampling_ratio: float | None = None,
 ) -> DataFrame:
     """S3: JSON lines (``array=True``: each file is one JSON array).
 
-    Without ``schema`` the types come from the first ``infer_schema_length``
-    records (a bounded sample fetched by a ``limit`` job, so no full pass over
-    the input); for array files, from the first file. ``None`` lets Spark
-    infer over all records (``sampling_ratio`` < 1 reads a fraction).
-    Malformed records fail; an empty input is an error."""
+    Without ``schema`` the types come from all records of all files, so no
+    field is missed: one more pass over the input, in Spark. A caller who knows
+    that the first records have every field may say so with
+    ``infer_schema_length`` (for array files: the first file) or
+    ``sampling_ratio``; at scale, give a ``schema``. Malformed records fail; an
+    empty input is an error."""
     paths = _paths(path)
     if schema is None and array and infer_schema_length is not None:
         # Array files are whole JSON documents: infer from the first file (by
@@ -57,7 +57,7 @@ def read_json(
         if not schema.fields:
             raise ValueError(f"empty JSON input: {path}")
     if schema is None and not array and infer_schema_length is not None:
-        lines = spark.read.text(paths).where(F.trim(F.col("value")) != "")
+        lines = spark.read.text(paths).where(_stripped(F.col("value")) != "")
         sample = [r[0] for r in lines.limit(infer_schema_length).collect()]
         if not sample:
             raise ValueError(f"empty JSON input: {path}")
@@ -73,23 +73,27 @@ def read_json(
     return df
 
 
+def _stripped(c):
+    """Without JSON white space at both ends."""
+    return F.btrim(c, F.lit(" \t\r\n"))
+
+
 def json_records(df: DataFrame, body) -> DataFrame:
     """One row per JSON record of each body, as text in column ``record``,
     next to the input's other columns."""
     c = qcol(body) if isinstance(body, str) else body
-    t = F.trim(c)
+    t = _stripped(c)
     is_array = t.startswith("[") & t.endswith("]")
     pieces = F.when(is_array, F.from_json(t, "array<string>", FAILFAST)).otherwise(F.split(t, r"\r?\n"))
     out = df.select("*", F.explode(pieces).alias("record"))
-    return out.where(F.trim(F.col("record")) != "")
+    return out.where(_stripped(F.col("record")) != "")
 
 
-def infer_json_schema(spark: SparkSession, records: DataFrame, limit: int | None = 100) -> T.StructType:
-    """Schema of JSON record text: the leading ``limit`` records are inferred
-    by Spark's JSON reader (a bounded sample). With ``None`` every record is
-    used: the record text is written once under the shared checkpoint
-    directory and Spark's JSON reader infers over those files, on the
-    executors, with nothing passing through Python or the driver."""
+def infer_json_schema(spark: SparkSession, records: DataFrame, limit: int | None = None) -> T.StructType:
+    """Schema of JSON record text, from every record: the text is written once
+    under the shared checkpoint directory, Spark's JSON reader infers over
+    those files on the executors, and they are deleted. With ``limit`` the
+    leading records are used instead (a bounded sample)."""
     col = records.select(F.col("record").cast("string").alias("value"))
     reader = spark.read.option("mode", "FAILFAST")
     if limit is not None:
@@ -97,8 +101,12 @@ def infer_json_schema(spark: SparkSession, records: DataFrame, limit: int | None
         schema = reader.json(spark.sparkContext.parallelize(sample, 1)).schema
     else:
         path = scratch_dir(spark, "json-records")
-        col.write.mode("overwrite").text(path)
-        schema = reader.json(path).schema
+        # a pretty-printed record is one line here: JSON strings hold no raw newlines
+        col.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).write.text(path)
+        try:
+            schema = reader.json(path).schema
+        finally:
+            remove_dir(spark, path)
     if not schema.fields:
         raise ValueError("no JSON records to infer a schema from")
     return schema
@@ -109,7 +117,7 @@ def parse_json_text(
     body,
     *,
     schema: T.StructType | None = None,
-    infer_schema_length: int | None = 100,
+    infer_schema_length: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Parse JSON bodies held in a string column (S9 for JSON payloads).
@@ -122,9 +130,9 @@ def parse_json_text(
     # One parse per record: an array body goes straight to array<struct>, an
     # NDJSON body is split and each non-blank line parsed to the struct.
     c = qcol(body) if isinstance(body, str) else body
-    t = F.trim(c)
+    t = _stripped(c)
     is_array = t.startswith("[") & t.endswith("]")
-    lines = F.filter(F.split(t, r"\r?\n"), lambda x: F.trim(x) != "")
+    lines = F.filter(F.split(t, r"\r?\n"), lambda x: _stripped(x) != "")
     parsed = F.when(is_array, F.from_json(t, T.ArrayType(schema), FAILFAST)).otherwise(
         F.transform(lines, lambda x: F.from_json(x, schema, FAILFAST))
     )

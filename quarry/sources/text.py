@@ -19,11 +19,20 @@ Schema discovery: one bounded ``limit(1 + infer_schema_length)`` job fetches
 the header (or first row) together with the inference sample; the types come
 from the rules in ``quarry.functions.inference`` applied to that sample. With
 ``infer_schema_length=None`` they come from one aggregate over all rows
-instead. The final scan always carries an explicit schema, so filters and
-column pruning reach the CSV parser.
+instead. Types that come from a sample are checked on every row: a value that does
+not fit raises when it is read, it is never turned into null. Column pruning
+reaches the CSV parser in any case; filters do when the types hold for all rows (a
+given schema, or ``infer_schema_length=None``).
 
-Long rows are an error by default: the schema carries one extra trailing
-string column; a row that fills it raises when it is read. Short rows get
+Quoted fields may hold newlines by default (``multiline``); files are then not
+split. ``multiline=False`` splits large files and raises on a line whose quotes
+do not balance.
+
+Several files (or payload documents) must agree in their headers; payloads
+read with ``multiline`` match columns by name instead. A file with another header
+raises.
+
+Long rows are an error by default and raise when they are read. Short rows get
 nulls.
 """
 
@@ -93,6 +102,42 @@ def _typed(names, types) -> T.StructType:
     return T.StructType([T.StructField(n, types[n], True) for n in names])
 
 
+def _fitting(name: str, kind: T.DataType):
+    """Column ``name`` (a string) as the inferred type; a non-empty value that
+    does not fit raises."""
+    c = qcol(name)
+    if isinstance(kind, T.StringType):
+        return c.alias(name)
+    parsed = c.try_cast(kind)
+    wrong = F.concat(
+        F.lit(f"column {name}: value '"), c,
+        F.lit(f"' does not fit the type {kind.simpleString()} inferred from the first rows; "
+              "pass a schema or infer_schema_length=None"),
+    )
+    return F.when(c.isNull() | (c == ""), F.lit(None)).when(parsed.isNotNull(), parsed).otherwise(
+        F.raise_error(wrong)
+    ).cast(kind).alias(name)
+
+
+def _fit_columns(df: DataFrame, schema: T.StructType, carried=()) -> DataFrame:
+    rest = [c for c in df.columns if c == EXTRA]
+    return df.select(
+        *[qcol(c) for c in carried], *[_fitting(f.name, f.dataType) for f in schema.fields], *[qcol(c) for c in rest]
+    )
+
+
+def _strings(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+
+
+def _balanced(value, quote: str):
+    """``value``, or an error if a quoted field goes on in the next line."""
+    quotes = F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))
+    return F.when(quotes % 2 == 0, value).otherwise(
+        F.raise_error(F.lit("a quoted field holds a newline: read with multiline=True"))
+    )
+
+
 def _validate(delimiter, quote_char, skip_rows, on_ragged):
     if not delimiter:
         raise ValueError("delimiter must not be empty")
@@ -116,7 +161,7 @@ def read_text(
     *,
     infer_dates: bool = False,
     on_ragged: str = "error",
-    multiline: bool = False,
+    multiline: bool | None = None,
     schema: T.StructType | None = None,
     encoding: str = "UTF-8",
     mode: str = "PERMISSIVE",
@@ -129,16 +174,23 @@ def read_text(
     needs_lines = skip_rows > 0 or (comment_prefix is not None and len(comment_prefix) > 1)
     if needs_lines:
         if multiline:
+            if mode != "PERMISSIVE":
+                raise ValueError("skip_rows with multiline=True supports mode='PERMISSIVE' only")
             return _read_whole_files_route(
                 spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
                 infer_schema_length, infer_dates, on_ragged, schema, encoding,
             )
+        if encoding.upper().replace("-", "") not in ("UTF8", "USASCII", "ASCII"):
+            raise ValueError(f"skipped lines and long comment prefixes need UTF-8 or multiline=True, not {encoding}")
         return _read_lines_route(
             spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
             infer_schema_length, infer_dates, on_ragged, schema, mode,
         )
+    multiline = True if multiline is None else multiline
     opts = _options(delimiter, quote_char, comment_prefix, multiline, encoding, mode)
     reader = spark.read.options(**opts)
+    inferred = schema is None
+    raw = None
     if schema is None:
         # One bounded job fetches the first record (header or first data row)
         # and the inference sample together.
@@ -153,22 +205,33 @@ def read_text(
             sample = [r for r in rows[1:] if list(r) != raw] if has_header else rows[:sample_n]
             types = infer_types_from_rows(spark, names, sample, infer_dates=infer_dates)
         else:
-            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-            strings = (
-                spark.read.options(**opts)
-                .option("header", str(has_header).lower())
-                .schema(_with_extra(strings_schema, on_ragged))
-                .csv(paths)
+            types = infer_types(
+                _scan(spark, opts, paths, _typed(names, dict.fromkeys(names, T.StringType())), has_header, raw, on_ragged),
+                names, infer_dates=infer_dates,
             )
-            types = infer_types(strings, names, infer_dates=infer_dates)
         schema = _typed(names, types)
-    df = (
-        spark.read.options(**opts)
-        .option("header", str(has_header).lower())
-        .schema(_with_extra(schema, on_ragged))
-        .csv(paths)
-    )
-    return _check_ragged(df, on_ragged)
+    if inferred and infer_schema_length is not None and mode != "DROPMALFORMED":
+        return _fit_columns(_scan(spark, opts, paths, _strings(schema), has_header, raw, on_ragged), schema)
+    return _scan(spark, opts, paths, schema, has_header, raw, on_ragged)
+
+
+def _scan(spark, opts, paths, schema, has_header, raw, on_ragged) -> DataFrame:
+    """Spark's CSV scan. The parser keeps a row whose number of fields differs
+    in one more column; of those the long ones are an error. When the schema
+    has the header's names, each file's header is compared with it."""
+    reader = spark.read.options(**opts).option("header", str(has_header).lower())
+    if has_header and raw is not None and [f.name for f in schema.fields] == raw:
+        reader = reader.option("enforceSchema", "false").option("caseSensitive", "true")
+    if on_ragged != "error":
+        return reader.schema(schema).csv(paths)
+    marked = T.StructType(schema.fields + [T.StructField(EXTRA, T.StringType(), True)])
+    df = reader.option("columnNameOfCorruptRecord", EXTRA).schema(marked).csv(paths)
+    one_more = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema.fields) + 1)])
+    last = F.from_csv(F.col(EXTRA), _ddl(one_more), {k: v for k, v in opts.items() if k not in ("encoding", "mode")})
+    # Spark reads the kept text of a row only next to another column
+    first = F.coalesce(qcol(schema.fields[0].name).cast("string"), F.lit(""))
+    over = F.when(F.col(EXTRA).isNotNull(), F.concat(last[f"c{len(schema.fields)}"], F.lit(" in row "), first))
+    return _check_ragged(df.withColumn(EXTRA, over), on_ragged)
 
 
 def read_csv(
@@ -179,7 +242,7 @@ def read_csv(
     infer_schema_length: int | None = 100,
     infer_dates: bool = False,
     on_ragged: str = "error",
-    multiline: bool = False,
+    multiline: bool | None = None,
     schema: T.StructType | None = None,
     encoding: str = "UTF-8",
     mode: str = "PERMISSIVE",
@@ -294,9 +357,21 @@ def _read_lines_route(
     marked = lines.mapInArrow(
         _preamble_filter(skip_rows, comment, has_header), "value string, is_header boolean"
     )
-    body = marked.where(~F.col("is_header") & (F.col("value") != ""))
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode, "nullValue": NULL_SENTINEL}
+    inferred = schema is None
+
+    def rows_under(header_line):
+        """Data lines; another file's header line must be the same."""
+        keep = ~F.col("is_header")
+        if header_line is not None:
+            keep = F.when(
+                F.col("is_header") & (F.col("value") != F.lit(header_line)),
+                F.raise_error(F.lit("files with different headers cannot be read together")),
+            ).otherwise(keep)
+        return marked.where(keep & (F.col("value") != "")).select(_balanced(F.col("value"), quote).alias("value"))
+
+    body = rows_under(None)
     if schema is None:
         sample_n = infer_schema_length if infer_schema_length is not None else 0
         got = marked.where(F.col("value") != "").limit(1 + sample_n).collect()
@@ -310,6 +385,7 @@ def _read_lines_route(
             raise ValueError(f"no rows in delimited input: {paths}")
         raw = _split_line(first, delimiter, quote)
         names = header_names(raw) if has_header else generated_names(len(raw))
+        body = rows_under(header_line if has_header else None)
         if infer_schema_length is not None:
             sample = [_split_line(line, delimiter, quote) for line in data_lines[:sample_n]]
             types = infer_types_from_rows(spark, names, sample, infer_dates=infer_dates)
@@ -320,23 +396,25 @@ def _read_lines_route(
             ).select("r.*")
             types = infer_types(strings, names, infer_dates=infer_dates)
         schema = _typed(names, types)
-    parsed = body.select(F.from_csv("value", _ddl(_with_extra(schema, on_ragged)), opts).alias("r")).select(
-        "r.*"
-    )
-    return _check_ragged(parsed, on_ragged)
-
+    strict = inferred and infer_schema_length is not None and mode != "DROPMALFORMED"
+    read_as = _strings(schema) if strict else schema
+    parsed = body.select(F.from_csv("value", _ddl(_with_extra(read_as, on_ragged)), opts).alias("r")).select("r.*")
+    return _check_ragged(_fit_columns(parsed, schema) if strict else parsed, on_ragged)
 
 
 # ------------------------------------------------------------ whole-file stage
 
 
-def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding, chunk=8192):
+def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding, names=None, chunk=8192):
     """mapInArrow body for quoted newlines plus skipped lines. Column 0 holds
     one whole document per row (file bytes from ``binaryFile``, or text from
     a payload column), parsed in one task like Spark's own multi-line CSV;
     any further columns are carried to every record of their document. The
     first ``skip_rows`` physical lines and comment lines are dropped, then the
-    records are read with the standard CSV parser, header flagged."""
+    records are read with the standard CSV parser, header flagged. An unquoted
+    empty field is null, a quoted one the empty string. With ``names`` each
+    document's cells are put in that order by its own header; a header with
+    other names raises."""
 
     def _kept_lines(lines):
         # A line is a comment only outside a quoted field: quote parity tells
@@ -354,9 +432,19 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
     def run(batches):
         import csv
         import io
+        import sys
 
         import pyarrow as pa
 
+        csv.field_size_limit(sys.maxsize)
+
+        def places(header):
+            """For each cell of a record its place in ``names``; extra cells follow."""
+            own = header_names(header)
+            if sorted(own) != sorted(names):
+                raise ValueError(f"a document has the header {own}, another {list(names)}")
+            return None if own == list(names) else [own.index(n) for n in names]
+
         def emit(batch, idx, flags, cells):
             take = pa.array(idx, pa.int64())
             carried = [batch.column(j).take(take) for j in range(1, batch.num_columns)]
@@ -372,14 +460,21 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
                     continue
                 raw = blob if isinstance(blob, str) else bytes(blob).decode(encoding)
                 text = io.StringIO(raw, newline="")
-                records = csv.reader(_kept_lines(text), delimiter=delimiter, quotechar=quote, doublequote=True)
-                first = has_header
+                records = csv.reader(
+                    _kept_lines(text), delimiter=delimiter, quotechar=quote, doublequote=True,
+                    quoting=csv.QUOTE_NOTNULL,
+                )
+                first, order = has_header, None
                 for rec in records:
-                    if not rec or rec == [""]:
+                    if not rec:
                         continue
+                    if first and names is not None:
+                        order = places(rec)
+                    elif order:
+                        rec = [rec[j] if j < len(rec) else None for j in order] + rec[len(order):]
                     idx.append(i)
                     flags.append(first)
-                    cells.append([None if v == "" else v for v in rec])
+                    cells.append(rec)
                     first = False
                     if len(cells) >= chunk:
                         yield emit(batch, idx, flags, cells)
@@ -399,42 +494,62 @@ def _read_whole_files_route(
     quote = quote_char or '"'
     ship_package(spark)
     files = spark.read.format("binaryFile").load(paths).select("content")
-    recs = files.mapInArrow(
-        _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding),
-        "is_header boolean, cells array<string>",
-    )
-    return _records_to_columns(spark, recs, [], has_header, infer_schema_length, infer_dates, on_ragged,
+
+    def records(names):
+        return files.mapInArrow(
+            _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encoding, names),
+            "is_header boolean, cells array<string>",
+        )
+
+    return _records_to_columns(spark, records, [], has_header, infer_schema_length, infer_dates, on_ragged,
                                schema, str(paths))
 
 
-def _records_to_columns(spark, recs, carried, has_header, infer_schema_length, infer_dates, on_ragged,
+def _records_to_columns(spark, records, carried, has_header, infer_schema_length, infer_dates, on_ragged,
                         schema, what):
-    """Typed columns from parsed records ``(carried..., is_header, cells)``."""
-    body = recs.where(~F.col("is_header"))
+    """Typed columns from parsed records. ``records(names)``: the frame
+    ``(carried..., is_header, cells)`` with cells in the order of ``names``."""
+    inferred = schema is None
+    names = None
     if schema is None:
+        recs = records(None)
         sample_n = infer_schema_length if infer_schema_length is not None else 0
         got = recs.limit(1 + sample_n).collect()
         header = next((r["cells"] for r in got if r["is_header"]), None)
-        data = [r["cells"] for r in got if not r["is_header"]]
         if has_header and header is None:
             hit = recs.where("is_header").limit(1).collect()
             header = hit[0]["cells"] if hit else None
+        data = [r["cells"] for r in got if not r["is_header"]]
         first = header if has_header else (data[0] if data else None)
         if first is None:
             raise ValueError(f"no rows in delimited input: {what}")
-        names = header_names(first) if has_header else generated_names(len(first))
+        found = header_names(first) if has_header else generated_names(len(first))
+        names = found if has_header else None
         if infer_schema_length is not None:
-            types = infer_types_from_rows(spark, names, data[:sample_n], infer_dates=infer_dates)
+            if has_header:  # the sample may come from documents in another order
+                data = [r["cells"] for r in records(names).limit(1 + sample_n).collect() if not r["is_header"]]
+            types = infer_types_from_rows(spark, found, data[:sample_n], infer_dates=infer_dates)
         else:
-            strings = body.select(*[F.get("cells", i).alias(n) for i, n in enumerate(names)])
-            types = infer_types(strings, names, infer_dates=infer_dates)
-        schema = _typed(names, types)
+            body = records(names).where(~F.col("is_header"))
+            types = infer_types(
+                body.select(*[F.get("cells", i).alias(n) for i, n in enumerate(found)]), found, infer_dates=infer_dates
+            )
+        schema = _typed(found, types)
+    body = records(names).where(~F.col("is_header"))
     n = len(schema.fields)
-    typed = body.select(
+    cells = body.select(
         *[F.col(c) for c in carried],
-        *[F.get("cells", i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
+        *[F.get("cells", i).alias(f.name) for i, f in enumerate(schema.fields)],
         F.when(F.size("cells") > n, F.lit("long")).alias(EXTRA),
     )
+    if inferred:
+        typed = _fit_columns(cells, schema, carried)
+    else:
+        typed = cells.select(
+            *[F.col(c) for c in carried],
+            *[qcol(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+            EXTRA,
+        )
     if on_ragged != "error":
         typed = typed.drop(EXTRA)
     return _check_ragged(typed, on_ragged)
@@ -457,20 +572,24 @@ def parse_csv_text(
     infer_dates: bool = False,
     on_ragged: str = "error",
     keep: list[str] | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """S9 for delimited text: each row of ``df`` holds a whole document in
-    ``body`` (bytes landed in a table). Every document is handled inside its
-    own row with array functions, so nothing is shuffled: split into lines,
-    the first ``skip_rows`` dropped, blank and comment lines filtered out, the
-    first remaining line taken as that document's header, the rest exploded
-    and parsed by ``from_csv``. With ``multiline=True`` (quoted newlines
-    inside documents) each document is read by the CSV parser in a Python
-    task instead, the ``keep`` columns carried along with Arrow ``take``."""
+    ``body`` (bytes landed in a table). Nothing is shuffled: each document is
+    read by the CSV parser in the task that has its row (``multiline``, the
+    default for a one-character delimiter: quoted newlines are allowed and
+    columns are matched by each document's own header), the ``keep`` columns
+    carried along with Arrow ``take``. With ``multiline=False`` documents are
+    handled by array functions instead: split into lines, the first
+    ``skip_rows`` dropped, blank and comment lines filtered out, the first
+    remaining line taken as the header, which all documents must share, the
+    rest exploded and parsed by ``from_csv``."""
     _validate(delimiter, quote_char, skip_rows, on_ragged)
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_SENTINEL}
     keep = list(keep or [])
+    if multiline is None:
+        multiline = len(delimiter) == 1
     if multiline:
         if len(delimiter) != 1:
             raise ValueError("multiline=True needs a one-character delimiter")
@@ -480,10 +599,13 @@ def parse_csv_text(
                          *[qcol(k).alias(c) for k, c in zip(keep, carried)])
         ddl = ", ".join([f"{c} {df.schema[k].dataType.simpleString()}" for k, c in zip(keep, carried)]
                         + ["is_header boolean", "cells array<string>"])
-        recs = base.mapInArrow(
-            _whole_file_records(skip_rows, comment_prefix, has_header, delimiter, quote, "utf-8"), ddl
-        )
-        out = _records_to_columns(df.sparkSession, recs, carried, has_header, infer_schema_length,
+
+        def records(names):
+            return base.mapInArrow(
+                _whole_file_records(skip_rows, comment_prefix, has_header, delimiter, quote, "utf-8", names), ddl
+            )
+
+        out = _records_to_columns(df.sparkSession, records, carried, has_header, infer_schema_length,
                                   infer_dates, on_ragged, schema, "payload column")
         for k, c in zip(keep, carried):
             out = out.withColumnRenamed(c, k)
@@ -498,19 +620,25 @@ def parse_csv_text(
         return cond
 
     kept = F.filter(after_skip, wanted)
+    inferred = schema is None
     docs = df.select(*[qcol(k) for k in keep], kept.alias("__lines"))
     if has_header:
         header = F.get(F.col("__lines"), 0)
+        if schema is None:
+            got = docs.select(header.alias("h")).where(F.col("h").isNotNull()).limit(1).collect()
+            first = got[0][0] if got else None
+            if first is not None:
+                other = F.raise_error(F.lit("documents with different headers cannot be read together"))
+                same = header.isNull() | (header == F.lit(first))
+                docs = docs.withColumn("__lines", F.when(same, F.col("__lines")).otherwise(other))
         data = F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(0)))
     else:
         header = F.lit(None).cast("string")
         data = F.col("__lines")
     rows = docs.select(*[qcol(k) for k in keep], F.explode(data).alias("value"))
+    rows = rows.withColumn("value", _balanced(F.col("value"), quote))
     if schema is None:
-        if has_header:
-            got = docs.select(header.alias("h")).where(F.col("h").isNotNull()).limit(1).collect()
-            first = got[0][0] if got else None
-        else:
+        if not has_header:
             got = rows.select("value").limit(1).collect()
             first = got[0][0] if got else None
         if first is None:
@@ -525,7 +653,8 @@ def parse_csv_text(
             strings = rows.select(F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r"))
             types = infer_types(strings.select("r.*"), names, infer_dates=infer_dates)
         schema = _typed(names, types)
+    read_as = _strings(schema) if inferred else schema
     parsed = rows.select(
-        *[qcol(k) for k in keep], F.from_csv("value", _ddl(_with_extra(schema, on_ragged)), opts).alias("r")
+        *[qcol(k) for k in keep], F.from_csv("value", _ddl(_with_extra(read_as, on_ragged)), opts).alias("r")
     ).select(*[qcol(k) for k in keep], "r.*")
-    return _check_ragged(parsed, on_ragged)
+    return _check_ragged(_fit_columns(parsed, schema, keep) if inferred else parsed, on_ragged)

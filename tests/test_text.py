@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from conftest import plan_text, write_text
-from quarry.sources.text import read_csv, read_text
+from quarry.sources.text import parse_csv_text, read_csv, read_text
 
 
 def stock_csv(path, n=263):
@@ -124,7 +124,8 @@ def test_explicit_schema(spark, tmp):
 
 
 def test_filter_reaches_csv_scan(spark, tmp):
-    df = read_csv(spark, stock_csv(tmp + "/s.csv", 20))
+    # types that hold for every row need no check, so the filter is the scan's
+    df = read_csv(spark, stock_csv(tmp + "/s.csv", 20), infer_schema_length=None)
     plan = plan_text(df.where("Volume > 0").select("Open"))
     assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
 
@@ -188,3 +189,89 @@ def test_latin1_encoding(spark, tmp):
         fh.write("name,n\ncafé,1\nnaïve,2\n".encode("latin-1"))
     df = read_csv(spark, tmp + "/l.csv", encoding="ISO-8859-1")
     assert sorted(df.collect()) == [("café", 1), ("naïve", 2)]
+
+
+# ---------------------------------------------- values and headers past the sample
+
+
+def _late_bad_value(with_header=True):
+    lines = ["a,b"] * with_header + [f"{i},{i}" for i in range(150)] + ["150,abc"]
+    return "\n".join(lines) + "\n"
+
+
+@pytest.mark.parametrize("options", [
+    {},
+    {"multiline": False},
+    {"skip_rows": 1},
+    {"skip_rows": 1, "multiline": True},
+])
+def test_value_past_the_sample_that_does_not_fit_raises(spark, tmp, options):
+    text = ("junk\n" if options.get("skip_rows") else "") + _late_bad_value()
+    path = write_text(f"{tmp}/a.csv", text)
+    df = read_text(spark, path, **options)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "bigint"}
+    with pytest.raises(Exception, match="abc"):
+        df.collect()
+    whole = read_text(spark, path, infer_schema_length=None, **options)
+    assert dict(whole.dtypes)["b"] == "string" and whole.where("b = 'abc'").count() == 1
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_payload_value_that_does_not_fit_raises(spark, multiline):
+    df = spark.createDataFrame([(_late_bad_value(),)], "body string")
+    with pytest.raises(Exception, match="abc"):
+        parse_csv_text(df, "body", multiline=multiline).collect()
+
+
+@pytest.mark.parametrize("options", [{}, {"skip_rows": 1}])
+def test_files_with_other_headers_raise(spark, tmp, options):
+    lead = "junk\n" if options else ""
+    a = write_text(f"{tmp}/a.csv", lead + "a,b\n1,2\n")
+    b = write_text(f"{tmp}/b.csv", lead + "b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_text(spark, [a, b], **options).collect()
+
+
+def test_whole_files_and_payloads_match_columns_by_name(spark, tmp):
+    a = write_text(f"{tmp}/a.csv", "junk\na,b\n1,x\n")
+    b = write_text(f"{tmp}/b.csv", "junk\nb,a\ny,3\n")
+    got = read_text(spark, [a, b], skip_rows=1, multiline=True).select("a", "b").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "x"), (3, "y")]
+    bodies = spark.createDataFrame([("a,b\n1,x\n",), ("b,a\ny,3\n",)], "body string")
+    got = parse_csv_text(bodies, "body").select("a", "b").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "x"), (3, "y")]
+    with pytest.raises(Exception, match="(?i)header"):
+        parse_csv_text(bodies, "body", multiline=False).collect()
+    other = spark.createDataFrame([("a,b\n1,x\n",), ("a,c\n3,y\n",)], "body string")
+    with pytest.raises(Exception, match="(?i)header"):
+        parse_csv_text(other, "body").collect()
+
+
+def test_quoted_newlines_by_default(spark, tmp):
+    path = write_text(f"{tmp}/a.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    assert [tuple(r) for r in read_csv(spark, path).orderBy("a").collect()] == [(1, "x\ny"), (2, "z")]
+    df = spark.createDataFrame([('a,b\n1,"x\ny"\n2,z\n',)], "body string")
+    assert [tuple(r) for r in parse_csv_text(df, "body").orderBy("a").collect()] == [(1, "x\ny"), (2, "z")]
+    skipped = write_text(f"{tmp}/b.csv", 'junk\na,b\n1,"x\ny"\n')
+    with pytest.raises(Exception, match="multiline"):
+        read_text(spark, skipped, skip_rows=1).collect()
+
+
+def test_fields_of_any_length_and_quoted_empty_fields(spark, tmp):
+    long_ = "z" * 300_000
+    path = write_text(f"{tmp}/a.csv", f'junk\na,b\n1,"{long_}"\n2,""\n3,\n')
+    got = read_text(spark, path, skip_rows=1, multiline=True).orderBy("a").collect()
+    assert [(r.a, r.b) for r in got] == [(1, long_), (2, ""), (3, None)]
+    one = write_text(f"{tmp}/b.csv", 'junk\na\n""\nx\n')
+    assert [r.a for r in read_text(spark, one, skip_rows=1, multiline=True).collect()] == ["", "x"]
+
+
+def test_encoding_and_mode_are_not_ignored(spark, tmp):
+    with open(f"{tmp}/l.csv", "wb") as fh:
+        fh.write("junk\na\ncafé\n".encode("latin-1"))
+    with pytest.raises(ValueError, match="UTF-8"):
+        read_text(spark, f"{tmp}/l.csv", skip_rows=1, encoding="ISO-8859-1")
+    got = read_text(spark, f"{tmp}/l.csv", skip_rows=1, encoding="ISO-8859-1", multiline=True)
+    assert got.collect()[0].a == "café"
+    with pytest.raises(ValueError, match="mode"):
+        read_text(spark, f"{tmp}/l.csv", skip_rows=1, multiline=True, mode="FAILFAST")
