@@ -51,14 +51,18 @@ def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: in
 def csv_bodies(df: DataFrame, key: str, per_body: int = 25) -> DataFrame:
     """CSV documents ``(block, body)`` built from ``df``: one document per
     block of ``per_body`` consecutive ``key`` values, header first, rows
-    rendered by ``to_csv``."""
-    header = ",".join(df.columns)
-    block = F.floor(F.col(key) / per_body).alias("block")
-    line = F.to_csv(F.struct(*df.columns), {"quote": '"', "escape": '"', **KEEP_SPACES})
-    grouped = df.groupBy(block).agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("l")))).alias("rows"))
+    rendered by ``to_csv``. Odd blocks have their columns in reverse order."""
+    block = F.floor(F.col(key) / per_body)
+    options = {"quote": '"', "escape": '"', **KEEP_SPACES}
+    odd = block % 2 == 1
+    back = df.columns[::-1]
+    line = F.when(odd, F.to_csv(F.struct(*back), options)).otherwise(F.to_csv(F.struct(*df.columns), options))
+    header = F.when(F.col("block") % 2 == 1, F.lit(",".join(back))).otherwise(F.lit(",".join(df.columns)))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("l")))).alias("rows")
+    grouped = df.groupBy(block.alias("block")).agg(rows)
     return grouped.select(
         "block",
-        F.concat(F.lit(header + "\n"), F.array_join(F.transform("rows", lambda r: r["l"]), "\n")).alias("body"),
+        F.concat(header, F.lit("\n"), F.array_join(F.transform("rows", lambda r: r["l"]), "\n")).alias("body"),
     )
 
 
@@ -68,19 +72,27 @@ def csv_bodies(df: DataFrame, key: str, per_body: int = 25) -> DataFrame:
 def event_bodies(events: DataFrame, per_body: int = 100) -> DataFrame:
     """Landed responses ``(url, status, body)`` built from ``events``: one
     body per user and block of ``per_body`` event ids (so a body never holds
-    more than ``per_body`` records, however hot the user). Even blocks are JSON
-    arrays, odd blocks NDJSON."""
+    more than ``per_body`` records, however hot the user). Every tenth block was
+    refused (404) or failed (500), with a body that is not JSON. Of the others,
+    even blocks are pretty-printed JSON arrays framed by newlines, odd blocks
+    NDJSON with a last newline."""
     block = F.floor(F.col("event_id") / per_body)
-    rec = F.struct("event_id", "event_type", "value")
+    rec = F.struct("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "user_id",
+                   "event_type", "value", "props")
     grouped = events.groupBy("user_id", block.alias("block")).agg(
         F.sort_array(F.collect_list(rec)).alias("recs")
     )
-    as_array = F.to_json(F.col("recs"))
-    as_lines = F.array_join(F.transform(F.col("recs"), lambda r: F.to_json(r)), "\n")
+    lines = F.transform(F.col("recs"), lambda r: F.to_json(r))
+    as_array = F.concat(F.lit("\n[\n  "), F.array_join(lines, ",\n  "), F.lit("\n]\r\n"))
+    as_lines = F.concat(F.array_join(lines, "\n"), F.lit("\n"))
+    status = (
+        F.when(F.col("block") % 10 == 3, F.lit(404)).when(F.col("block") % 10 == 8, F.lit(500)).otherwise(F.lit(200))
+    )
+    good = F.when(F.col("block") % 2 == 0, as_array).otherwise(as_lines)
     return grouped.select(
         F.concat(F.lit("/users/"), F.col("user_id"), F.lit("/events?block="), F.col("block")).alias("url"),
-        F.lit(200).alias("status"),
-        F.when(F.col("block") % 2 == 0, as_array).otherwise(as_lines).alias("body"),
+        status.alias("status"),
+        F.when(status == 200, good).otherwise(F.lit("<html>no events</html>")).alias("body"),
     )
 
 

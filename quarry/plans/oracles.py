@@ -17,14 +17,14 @@ LINEITEM = [
     ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
     ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
 ]
-NATION = [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")]
+SUPPLIER = [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")]
+DOCUMENTS = [
+    ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"),
+]
 DOCS_LABELS = [
     ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
     ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"),
 ]
-DOCS_LABELS_NARROW = [
-    ("doc_id", "bigint"), ("lang", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"),
-]
 CUSTOMER_STRINGS = ["c_name", "c_mktsegment"]
 DOCUMENT_STRINGS = ["text", "lang", "source"]
 EMBEDDINGS = [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")]
@@ -87,19 +87,24 @@ def samples_sql(table: str = "customer", key: str = "c_custkey", columns=None) -
     return "\nUNION ALL\n".join(parts)
 
 
-def json_profile_sql() -> str:
-    parts = [
-        f"SELECT '{c}' AS \"column\", '{t}' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
-        f"CAST({_unique(c)} AS BIGINT) AS \"unique\" FROM nation"
-        for c, t in NATION
-    ]
+def json_profile_sql(table: str = "supplier", key: str = "s_suppkey") -> str:
+    """The exported document: extremes as numbers, samples joined by ``|``."""
+    parts = []
+    for c, t in SUPPLIER:
+        ends = _minmax(c, t)
+        names = ("min_int", "max_int", "min_float", "max_float")
+        cells = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for e, n in zip(ends, names))
+        first = f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL ORDER BY {key} LIMIT 3)"
+        samples = f"(SELECT string_agg({c}, '|') FROM {first})" if t == "string" else "CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", '{t}' AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+            f"CAST({_unique(c)} AS BIGINT) AS \"unique\", {cells}, {samples} AS samples FROM {table}"
+        )
     return "\nUNION ALL\n".join(parts)
 
 
 DOCS_JOIN = "(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic " \
             "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
-DOCS_JOIN_NARROW = "(SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic " \
-                   "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 
 def number_text_sql(c: str) -> str:
     """A double as the xlsx reader prints it: shortest digits, no ``.0``."""
@@ -118,9 +123,11 @@ ORDERS_1997 = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 0
 ORACLES = {
     "profile_detailed_orders": detailed_profile_sql("orders", ORDERS),
     "profile_detailed_lineitem": detailed_profile_sql("lineitem", LINEITEM),
-    "profile_approx_lineitem": detailed_profile_sql("lineitem", LINEITEM, with_unique=False),
+    "profile_approx_lineitem": "SELECT *, true AS unique_close FROM ("
+                               + detailed_profile_sql("lineitem", LINEITEM, with_unique=False) + ")",
     "profile_basic_nulls": basic_profile_sql(DOCS_JOIN, DOCS_LABELS),
-    "profile_detailed_nulls": detailed_profile_sql(DOCS_JOIN_NARROW, DOCS_LABELS_NARROW),
+    "profile_detailed_nulls": detailed_profile_sql(DOCS_JOIN, DOCS_LABELS),
+    "profile_detailed_documents": detailed_profile_sql("documents", DOCUMENTS),
     "profile_samples": samples_sql(),
     "profile_detailed_embeddings": detailed_profile_sql("embeddings", EMBEDDINGS),
     "profile_samples_documents": samples_sql("documents", "doc_id", DOCUMENT_STRINGS),
@@ -136,6 +143,7 @@ ORACLES = {
     "text_tab_comment": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
                         "c_mktsegment FROM customer",
     "text_skip_multiline": "SELECT item_id, text FROM benchmark",
+    "text_skip_multiline_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "profile_csv_input": detailed_profile_sql("lineitem", LINEITEM_FROM_CSV),
     "csv_payloads": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "file_pipeline": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag "
@@ -144,7 +152,10 @@ ORACLES = {
                             "c_mktsegment FROM customer",
     "json_lines_conversations": "SELECT conv_id, turn, role, text FROM conversations",
     "json_from_text": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
-    "json_bodies": "SELECT event_id, event_type, value FROM events",
+    "json_bodies": "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events "
+                   "WHERE floor(event_id / 100) % 10 NOT IN (3, 8)",
+    "json_late_fields": "SELECT event_id, event_type, CASE WHEN event_id % 1000 = 999 THEN value END AS late_value, "
+                        "CASE WHEN event_id % 1000 = 999 THEN props END AS late_props FROM events",
     "parquet_copy": "SELECT * FROM lineitem",
     "orc_roundtrip": "SELECT * FROM nation",
     "avro_read": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_us(o_orderdate) AS o_orderdate, "

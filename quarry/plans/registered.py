@@ -51,10 +51,15 @@ def q_profile_detailed_lineitem(spark, sf_dir):
 
 
 def q_profile_approx_lineitem(spark, sf_dir):
-    """P2 with HyperLogLog distinct counts; ``unique`` is approximate, so it
-    is left out of the comparable columns."""
-    prof = flatten_profile(profile_detailed(table(spark, sf_dir, "lineitem"), distinct="approx"))
-    return prof.drop("unique")
+    """P2 with HyperLogLog distinct counts. ``unique`` is compared with the
+    exact count: within five standard deviations of the stated error."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    prof = flatten_profile(profile_detailed(lineitem, distinct="approx", approx_rsd=0.02))
+    exact = flatten_profile(profile_detailed(lineitem, samples=False)).select(
+        "position", F.col("unique").alias("exact")
+    )
+    close = F.abs(F.col("unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.1 * F.col("exact"))
+    return prof.join(exact, "position").withColumn("unique_close", close).drop("unique", "exact")
 
 
 def q_profile_basic_nulls(spark, sf_dir):
@@ -65,9 +70,14 @@ def q_profile_basic_nulls(spark, sf_dir):
 
 def q_profile_detailed_nulls(spark, sf_dir):
     """P2 over a frame with nulls (labels cover part of the documents)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    return flatten_profile(profile_detailed(docs.join(labels, "doc_id", "left"), samples=False))
+    return flatten_profile(profile_detailed(docs.join(labels, "doc_id", "left"), order_by="doc_id"))
+
+
+def q_profile_detailed_documents(spark, sf_dir):
+    """P2 over whole texts: distinct counts move digests, not documents."""
+    return flatten_profile(profile_detailed(table(spark, sf_dir, "documents"), order_by="doc_id"))
 
 
 def q_profile_samples(spark, sf_dir):
@@ -92,9 +102,19 @@ def q_profile_samples_documents(spark, sf_dir):
 
 def q_profile_json(spark, sf_dir):
     out = scratch_dir(spark, "profile-json")
-    export_profile_json(profile_detailed(table(spark, sf_dir, "nation")), out)
-    back = spark.read.option("multiLine", "true").json(out)
-    return back.select("column", "dtype", "nulls", "unique")
+    export_profile_json(profile_detailed(table(spark, sf_dir, "supplier"), order_by="s_suppkey"), out)
+    back = spark.read.schema(
+        "column string, dtype string, nulls bigint, `unique` bigint, min string, max string, "
+        "sample_values array<string>"
+    ).option("multiLine", "true").json(out)
+    return back.select(
+        "column", "dtype", "nulls", "unique",
+        *[
+            F.get_json_object(end, f"$.{kind}").cast("double").alias(f"{end}_{kind.lower()}")
+            for end in ("min", "max") for kind in ("Int", "Float")
+        ],
+        F.array_join("sample_values", "|").alias("samples"),
+    )
 
 
 # ------------------------------------------------------------------ transforms
@@ -150,6 +170,15 @@ def q_text_skip_multiline(spark, sf_dir):
     return read_text(spark, out, comment_prefix="##", skip_rows=2, multiline=True)
 
 
+def q_text_skip_multiline_documents(spark, sf_dir):
+    """S2 whole-file route over all documents: texts of any length, quotes,
+    commas and newlines, after skipped lines."""
+    out = scratch_dir(spark, "docs-text")
+    docs = table(spark, sf_dir, "documents").repartition(8, "doc_id")
+    write_with_preamble(docs.select("doc_id", "text", "lang", "source", "n_chars"), out, ",", 2)
+    return read_text(spark, out, comment_prefix="##", skip_rows=2, multiline=True)
+
+
 def q_text_tab_comment(spark, sf_dir):
     """S2 on the direct CSV scan: tab separator, one-character comment prefix."""
     out = scratch_dir(spark, "tsv")
@@ -204,7 +233,21 @@ def q_json_from_text(spark, sf_dir):
 
 def q_json_bodies(spark, sf_dir):
     bodies = event_bodies(table(spark, sf_dir, "events"))
-    return parse_http_bodies(bodies).select("event_id", "event_type", "value")
+    return parse_http_bodies(bodies)
+
+
+def q_json_late_fields(spark, sf_dir):
+    """S3 where two fields occur in few records only, none of them among the
+    first of a file: the schema comes from all records."""
+    events = table(spark, sf_dir, "events")
+    rare = F.col("event_id") % 1000 == 999
+    out = scratch_dir(spark, "jsonl-late")
+    write_json(
+        events.select("event_id", "event_type", F.when(rare, F.col("value")).alias("late_value"),
+                      F.when(rare, F.col("props")).alias("late_props")),
+        out,
+    )
+    return read_json(spark, out)
 
 
 # ------------------------------------------------------------------ columnar
@@ -312,6 +355,7 @@ QUERIES = {
     "profile_approx_lineitem": q_profile_approx_lineitem,
     "profile_basic_nulls": q_profile_basic_nulls,
     "profile_detailed_nulls": q_profile_detailed_nulls,
+    "profile_detailed_documents": q_profile_detailed_documents,
     "profile_samples": q_profile_samples,
     "profile_detailed_embeddings": q_profile_detailed_embeddings,
     "profile_samples_documents": q_profile_samples_documents,
@@ -325,6 +369,7 @@ QUERIES = {
     "text_pipe_options": q_text_pipe_options,
     "text_tab_comment": q_text_tab_comment,
     "text_skip_multiline": q_text_skip_multiline,
+    "text_skip_multiline_documents": q_text_skip_multiline_documents,
     "profile_csv_input": q_profile_csv_input,
     "csv_payloads": q_csv_payloads,
     "file_pipeline": q_file_pipeline,
@@ -332,6 +377,7 @@ QUERIES = {
     "json_lines_conversations": q_json_lines_conversations,
     "json_from_text": q_json_from_text,
     "json_bodies": q_json_bodies,
+    "json_late_fields": q_json_late_fields,
     "parquet_copy": q_parquet_copy,
     "orc_roundtrip": q_orc_roundtrip,
     "avro_read": q_avro_read,
