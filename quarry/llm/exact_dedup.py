@@ -1,7 +1,7 @@
 """Exact deduplication by sorting contents.
 
 Sampled splitters range-partition the normalised bytes (``repartitionByRange``
-samples them), an external sort within each partition places equal texts next
+samples them; they compare the beginning of a text), an external sort within each partition places equal texts next
 to each other, and a window over that order compares each row's whole text with
 its neighbour's. A spread derived from the identifier is part of the sort key, so a text with very many
 copies spans several ranges instead of one; its runs, one per range it touches,
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import lower_ascii, shuffle_partitions, stage
 
+# Splitters are sampled to the driver, so they hold the beginning of a text only.
+SPLITTER_CHARS = 32
+
 
 def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, payload: list) -> DataFrame:
     """Rows sorted by content with what their run says: its size, its best
@@ -30,11 +33,16 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, payload: list)
     if keep not in ("min", "max"):
         raise ValueError("keep is 'min' or 'max'")
     spread = F.pmod(F.xxhash64(id_col), F.lit(max(16, shuffle_partitions(docs.sparkSession))))
+    norm = lower_ascii(F.col(text_col))
     rows = docs.select(
-        F.col(id_col).alias("__id"), lower_ascii(F.col(text_col)).alias("__norm"), spread.alias("__spread"), *payload
+        F.col(id_col).alias("__id"),
+        norm.alias("__norm"),
+        F.substring(norm, 1, SPLITTER_CHARS).alias("__begin"),
+        spread.alias("__spread"),
+        *payload,
     )
-    ranged = rows.repartitionByRange("__norm", "__spread")
-    run = Window.partitionBy("__norm", "__spread")
+    ranged = rows.repartitionByRange("__begin", "__spread")
+    run = Window.partitionBy("__begin", "__norm", "__spread")
     best_first = F.col("__id").asc_nulls_last() if keep == "min" else F.col("__id").desc_nulls_last()
     best = F.min if keep == "min" else F.max
     return ranged.select(
