@@ -7,7 +7,7 @@ DataFrame, sinks write with Spark's own committers.
 from quarry.operators.export import export_profile_json, profile_json_text
 from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed, profile_with_count
 from quarry.operators.transform import limit_rows, select_columns
-from quarry.plans.copy_job import copy_data, copy_sql, sql_extract, validate_parameters
+from quarry.plans.copy_job import CopyRequest, copy_data, copy_sql, sql_extract
 from quarry.plans.pipeline import run_file_pipeline
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
 from quarry.sources import (
@@ -58,7 +58,7 @@ __all__ = [
     "run_file_pipeline",
     "select_columns",
     "sql_extract",
-    "validate_parameters",
+    "CopyRequest",
     "write_csv",
     "write_json",
     "write_orc",

@@ -61,8 +61,9 @@ def run_file_pipeline(
     order_by=None,
     source_options: dict | None = None,
     sink_options: dict | None = None,
-) -> DataFrame:
-    """Run extract -> transform -> load; returns the transformed (lazy) frame."""
+) -> None:
+    """Run extract -> transform -> load. What was written is at ``sink_path``;
+    the plan is not returned, since a limit without an order could give other
+    rows when it runs again."""
     df = transform(extract(spark, source_format, source_path, **(source_options or {})), columns, limit, order_by)
     load(df, sink_format, sink_path, **(sink_options or {}))
-    return df

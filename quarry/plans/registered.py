@@ -333,7 +333,7 @@ ORDERS_SINCE_1997 = 'SELECT * FROM ORDERS WHERE "o_orderdate" >= \'1997-01-01 00
 def q_jdbc_query(spark, sf_dir):
     url = derby_with(spark, table(spark, sf_dir, "orders"), "orders")
     out = scratch_dir(spark, "jdbc")
-    copy_data(spark, url, ORDERS_SINCE_1997, out, driver=DERBY_DRIVER,
+    copy_data(spark, url, ORDERS_SINCE_1997, out, driver=DERBY_DRIVER, single_connection=True,
               options={"preferTimestampNTZ": "true"})
     return read_parquet(spark, out)
 

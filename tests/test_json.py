@@ -84,3 +84,23 @@ def test_array_files_infer_from_first_file(spark, tmp):
     df = read_json(spark, tmp + "/arr", array=True)
     assert sorted(r.id for r in df.collect()) == [1, 2, 3]
     assert dict((f.name, f.dataType) for f in df.schema.fields) == {"id": T.LongType(), "name": T.StringType()}
+
+
+def test_fields_past_the_first_records_and_files_are_kept(spark, tmp):
+    lines = [f'{{"a": {i}}}' for i in range(150)] + ['{"a": 150, "late": "x"}']
+    path = write_text(tmp + "/a.json", "\n".join(lines))
+    df = read_json(spark, path)
+    assert df.columns == ["a", "late"] and df.where("late = 'x'").count() == 1
+    one = write_text(tmp + "/1.json", '[{"a": 1}]')
+    two = write_text(tmp + "/2.json", '[{"a": 2, "b": 3}]')
+    got = read_json(spark, [one, two], array=True)
+    assert sorted(tuple(r) for r in got.select("a", "b").na.fill(0).collect()) == [(1, 0), (2, 3)]
+    bodies = spark.createDataFrame([("\n".join(lines),)], "body string")
+    assert parse_json_text(bodies, "body").where("late = 'x'").count() == 1
+
+
+def test_bodies_framed_by_newlines(spark):
+    bodies = spark.createDataFrame(
+        [('[{"a":1},{"a":2}]\n',), ('\r\n[\n  {"a": 3},\n  {"a":\n 4}\n]\n\t',), ('{"a":5}\n\n',)], "body string"
+    )
+    assert sorted(r.a for r in parse_json_text(bodies, "body").collect()) == [1, 2, 3, 4, 5]

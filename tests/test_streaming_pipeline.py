@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import types as T
 
 from conftest import write_text
@@ -13,10 +14,10 @@ from quarry.streaming.landing import stream_file_copy, stream_http_bodies
 
 def test_file_pipeline(spark, tmp):
     spark.range(100).selectExpr("id", "id * 2 AS b", "'x' AS c").write.parquet(tmp + "/in")
-    df = run_file_pipeline(spark, "parquet", tmp + "/in", "json", tmp + "/out",
-                           columns=["b", "id"], limit=5, order_by="id")
-    assert df.columns == ["b", "id"]
+    run_file_pipeline(spark, "parquet", tmp + "/in", "json", tmp + "/out",
+                      columns=["b", "id"], limit=5, order_by="id")
     back = read_json(spark, tmp + "/out")
+    assert back.columns == ["b", "id"]
     assert sorted(r.id for r in back.collect()) == [0, 1, 2, 3, 4]
 
 
@@ -94,3 +95,19 @@ def test_stream_backlog_in_bounded_batches(spark, tmp):
     q.awaitTermination()
     assert sorted(r.a for r in read_parquet(spark, out).collect()) == [0, 1, 2, 3]
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per micro-batch
+
+
+def test_a_lost_or_foreign_checkpoint_is_refused(spark, tmp):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    out = tmp + "/out"
+    for name in ("one", "two"):
+        spark.range(3).withColumnRenamed("id", "a").coalesce(1).write.parquet(f"{tmp}/{name}")
+    stream_file_copy(spark, "parquet", f"{tmp}/one", schema, out).awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    # the same pair again: nothing new
+    stream_file_copy(spark, "parquet", f"{tmp}/one", schema, out).awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    with pytest.raises(ValueError, match="checkpoint"):
+        stream_file_copy(spark, "parquet", f"{tmp}/two", schema, out)
+    with pytest.raises(ValueError, match="checkpoint"):
+        stream_file_copy(spark, "parquet", f"{tmp}/one", schema, out, checkpoint=f"{tmp}/lost")
