@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from quarry.functions.encoding import qcol
-from quarry.functions.order import file_order_key
+from quarry.functions.order import file_order_key, metadata_fields
 
 
 def select_columns(df: DataFrame, columns) -> DataFrame:
@@ -29,6 +30,22 @@ def select_columns(df: DataFrame, columns) -> DataFrame:
     return df.select(*[qcol(c) for c in columns])
 
 
+def _first_files(df: DataFrame, limit: int) -> DataFrame:
+    """The rows of the shortest run of files, in path order, with ``limit``
+    rows. Every counted file has a row, so at most ``limit`` counts are fetched."""
+    if metadata_fields(df) is None or limit == 0:
+        return df
+    path = F.col("_metadata.file_path")
+    counts = df.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n")).orderBy("path").limit(limit).collect()
+    files, rows = [], 0
+    for r in counts:
+        files.append(r["path"])
+        rows += r["n"]
+        if rows >= limit:
+            break
+    return df.where(path.isin(files)) if files else df
+
+
 def limit_rows(df: DataFrame, limit: int, order_by=None, *, file_order: bool = False) -> DataFrame:
     """The first ``limit`` rows.
 
@@ -37,7 +54,9 @@ def limit_rows(df: DataFrame, limit: int, order_by=None, *, file_order: bool = F
     With ``order_by`` the result is deterministic when the key is unique and is
     planned as ``TakeOrderedAndProject``: a per-task bounded heap, never a
     global sort. ``file_order=True`` orders by position in the input files
-    (file path, then row), the reference's "first rows of the frame".
+    (file path, then row), the reference's "first rows of the frame": rows are
+    first counted per file, without reading a column of a bare scan, and only
+    the first files in path order that hold ``limit`` rows are read.
     """
     if isinstance(limit, bool) or not isinstance(limit, int):
         raise TypeError("limit must be an int")
@@ -45,6 +64,7 @@ def limit_rows(df: DataFrame, limit: int, order_by=None, *, file_order: bool = F
         raise ValueError("limit must be >= 0")
     if file_order:
         key = "__quarry_file_order"
+        df = _first_files(df, limit)
         return df.withColumn(key, file_order_key(df)).orderBy(key).limit(limit).drop(key)
     if order_by is None:
         return df.limit(limit)

@@ -79,3 +79,17 @@ def test_limit_in_file_order(spark, tmp):
     assert [r.id for r in out.collect()] == [0, 1, 2, 3, 4, 100, 101]
     assert out.columns == ["id"]
     assert "TakeOrderedAndProject" in plan_text(out)
+
+
+def test_limit_in_file_order_reads_the_first_files_only(spark, tmp):
+    from quarry.operators import transform
+
+    for i in range(6):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(f"{tmp}/t/p{i}")
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp}/t")
+    got = limit_rows(df, 15, file_order=True)
+    assert [r.id for r in got.collect()] == list(range(15))
+    assert transform._first_files(df, 15).count() == 20
+    filtered = limit_rows(df.where("id % 7 = 0"), 4, file_order=True)
+    assert [r.id for r in filtered.collect()] == [0, 7, 14, 21]
+    assert limit_rows(df.where("id < 0"), 4, file_order=True).count() == 0
