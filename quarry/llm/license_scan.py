@@ -12,7 +12,7 @@ One pass of ``mapInArrow`` over whole texts, without a shuffle; the templates ar
 a parameter of the job.
 
 Defined results: null and empty texts have no licence; each pair of document and
-licence is reported once, at its best and then first place; repeated rows are
+licence is reported once, at its best, then first, then longest place; repeated rows are
 reported as often as they occur; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -141,7 +141,7 @@ class Templates:
         for i, s in enumerate(sets):
             for b in s:
                 self.index.setdefault(b, []).append(i)
-        ratio = (2 - threshold) / threshold
+        ratio = (2 - threshold) / threshold * (1 + 1e-9)
         self.least, self.most = min(self.sizes) / ratio, max(self.sizes) * ratio
         self.ratio = ratio
 
@@ -174,10 +174,10 @@ class Templates:
                 done.add(m.span())
                 hit = self.best(bigrams(m.group()))
                 if hit:
-                    spot = (-hit[0], m.start(), m.end() - m.start())
+                    spot = (-hit[0], m.start(), m.start() - m.end())
                     if hit[1] not in found or spot < found[hit[1]]:
                         found[hit[1]] = spot
-        return [(name, -s[0], s[1], s[2]) for name, s in sorted(found.items())]
+        return [(name, -s[0], s[1], -s[2]) for name, s in sorted(found.items())]
 
 
 def scan_licenses(

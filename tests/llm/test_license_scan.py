@@ -1,0 +1,64 @@
+import random
+
+import pytest
+from llm_helpers import awkward_rows, make_docs, prose
+
+from quarry.llm.license_scan import TEXTS, Templates, bigrams, default_templates, normalise, scan_licenses
+
+
+@pytest.fixture(scope="module")
+def known():
+    return Templates(default_templates(), 0.8)
+
+
+@pytest.mark.parametrize("line, name", [
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Released under the MIT License.", "MIT"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+])
+def test_notices_in_prose(known, line, name):
+    text = prose(random.Random(1), 80) + ".\n" + line + "\nİ " + prose(random.Random(2), 50)
+    found = known.scan(text)
+    assert [(f[0], f[1]) for f in found] == [(name, 1.0)]
+    _, _, start, length = found[0]
+    assert line.startswith(text[start : start + length].strip().rstrip("."))
+
+
+def test_full_texts_with_small_changes(known):
+    for name, text in TEXTS.items():
+        changed = "Copyright (c) 2031 Someone\n\n" + " ".join(text.split()).replace("copies", "copy")
+        assert name in [f[0] for f in known.scan(prose(random.Random(3), 60) + "\n\n" + changed)]
+
+
+def test_other_texts_have_none(known):
+    assert known.scan(prose(random.Random(4), 500)) == []
+    assert known.scan("") == []
+    assert known.scan("The licence of the shop was under the counter.") == []
+
+
+def test_pruning_loses_no_template(known):
+    """Against comparing every unit with every template."""
+    rng = random.Random(5)
+    templates = [(n, bigrams(normalise(t))) for n, t in default_templates()]
+    for _ in range(150):
+        _, text = rng.choice(default_templates())
+        words = text.lower().split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice(["the", "x", "software"])
+        found = bigrams(normalise(" ".join(words)))
+        best = max((2 * len(found & t) / (len(found) + len(t)) if found or t else 0.0) for _, t in templates)
+        got = known.best(found)
+        assert (got is None) == (best < 0.8) and (got is None or got[0] == best)
+
+
+def test_awkward_rows(spark, awkward):
+    assert scan_licenses(awkward).count() == 0
+    rows = awkward_rows() + [(900, "Released under the MIT License.", "s")] * 2
+    got = scan_licenses(make_docs(spark, rows)).collect()
+    assert [(r.doc_id, r.license, r.dice, r.start, r.length) for r in got] == [(900, "MIT", 1.0, 0, 31)] * 2
+
+
+def test_empty_table(no_docs):
+    assert scan_licenses(no_docs).count() == 0
