@@ -93,6 +93,14 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application landed in the shared folder. Frames
+    that still read from it can no longer be computed."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        remove_dir(spark, current)
+
+
 def _parquet_writable(dt: T.DataType) -> bool:
     if isinstance(dt, (T.NullType, T.CalendarIntervalType, T.YearMonthIntervalType, T.DayTimeIntervalType)):
         return False
