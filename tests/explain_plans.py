@@ -1,6 +1,6 @@
 """Print the physical plans of the main operators as Markdown.
 
-    python tests/explain_plans.py [sf_dir] > PLANS.md
+    python tests/explain_plans.py [sf_dir]
 
 Each section shows Spark's executed plan (simple form) for one operator over
 the driver tables, so scans (ReadSchema, PushedFilters), shuffles (Exchange),
