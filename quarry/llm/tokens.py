@@ -2,20 +2,25 @@
 
 The ids of a text are those that the ``tokenizers`` library gives for the whole
 text. The tokenizers used here split a text before they merge, and always
-before a single space between two non-space characters. So a text is cut there
-and each distinct piece is encoded once per task; most pieces repeat. A text
-with other runs of white space next to a space is encoded whole.
+before a single space between two non-space characters, and between a letter
+and a punctuation mark. So a text is cut there and each distinct piece is
+encoded once, as long as a worker remembers it; most pieces repeat. A text with
+other white space next to a space is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+from unicodedata import is_normalized
 
 import numpy as np
 
 END_ID = 1
-_PIECES = 400_000  # distinct pieces remembered per task
-_BLOCK = 256  # texts whose new pieces are encoded together
+_PIECES = 500_000  # distinct pieces remembered per worker
+_JOINED = 1000  # new pieces encoded in one text
+_MARKS = ",.;:!?"
+_HEAD = " "  # stands for the first piece of a text, which no space precedes
+_BLOCK = 512  # texts whose new pieces are encoded together
 
 _LOADED: dict[str, Encoder] = {}
 
@@ -35,20 +40,91 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         # strings that look like special tokens are ordinary text here
         self._tokenizer.encode_special_tokens = True
-        self._first: dict[str, bytes | None] = {}
-        self._next: dict[str, bytes | None] = {}
+        # ids of pieces that follow a space; None: not to be encoded on their own
+        self._pieces: dict[str, bytes | None] = {}
+        self._used: set[str] = set()
+        names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
+        begins = np.array([n.startswith("\u0120") for n in names])
+        two_words = np.frombuffer(self._whole([" a bc"])[0], "<u4")
+        self._begins = begins if begins[two_words].sum() == 2 else None
+        self._ends = np.array([n.endswith("</w>") for n in names])
+        # a tokenizer that lower-cases gives a word its small letters' ids
+        self._lowers = self._whole([" A"]) == self._whole([" a"])
+        self._marks = {m: self._whole([m])[0] for m in _MARKS}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, table: dict, pieces: set[str], before: str) -> None:
-        if len(table) + len(pieces) > _PIECES:
-            table.clear()
-        new = list(pieces - table.keys())
-        regular = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        table.update(dict.fromkeys(new))  # None: not to be encoded on its own
-        table.update(zip(regular, self._whole([before + p for p in regular]), strict=True))
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece after a space, from one text of all of them."""
+        text = " " + " ".join(pieces)
+        if self._begins is not None or all(map(str.isalpha, pieces)):
+            # a piece has one id that begins with the space, or a word one that ends it
+            raw = self._whole([text])[0]
+            ids = np.frombuffer(raw, "<u4")
+            if self._begins is not None:
+                cuts = np.append(np.flatnonzero(self._begins[ids]), len(ids))
+            else:
+                cuts = np.append(0, np.flatnonzero(self._ends[ids]) + 1)
+            if len(cuts) != len(pieces) + 1:
+                return self._whole([" " + p for p in pieces])
+        else:
+            # the ids of a piece are those whose place in the text is within it
+            found = self._tokenizer.encode(text, add_special_tokens=False)
+            raw = np.array(found.ids, dtype="<u4").tobytes()
+            places = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+            cuts = np.append(0, np.searchsorted(places, np.cumsum([len(p) + 1 for p in pieces])))
+        cuts = (4 * cuts).tolist()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        table = self._pieces
+        table[_HEAD] = b""
+        new = pieces.difference(table)
+        if len(table) > _PIECES // 2:
+            self._used |= pieces - new
+        if len(table) + len(new) > _PIECES:
+            # those met once only make room
+            kept = {p: table[p] for p in self._used if p in table}
+            table = self._pieces = kept if len(kept) < _PIECES // 2 else {}
+            self._used = set()
+            table[_HEAD] = b""
+            new = pieces.difference(table)
+        plain: list[str] = []
+        marked: list[str] = []
+        odd: list[str] = []
+        like: list[tuple[str, str]] = []
+        for p in new:
+            if p.isascii() and p.isprintable() or p.isprintable() and is_normalized("NFC", p) and "\u0130" not in p:
+                if not p:
+                    table[p] = None
+                elif p[-1] in _MARKS and p[-2:-1].isalpha():
+                    # a mark after a letter is a piece of its own for the tokenizer
+                    marked.append(p)
+                elif self._lowers and p.isascii() and not p.islower():
+                    like.append((p, p.lower()))
+                else:
+                    plain.append(p)
+            elif p[0].isspace() or p[-1].isspace():
+                table[p] = None
+            else:
+                odd.append(p)
+        if self._lowers:
+            marks = [(p, p[:-1].lower() if p.isascii() else p[:-1]) for p in marked]
+        else:
+            marks = [(p, p[:-1]) for p in marked]
+        stems = {q for _, q in marks}.union(q for _, q in like)
+        plain += stems.difference(table).difference(plain)
+        plain.sort(key=str.isalpha)  # words apart from the rest
+        for at in range(0, len(plain), _JOINED):
+            some = plain[at : at + _JOINED]
+            table.update(zip(some, self._joined(some), strict=True))
+        for p, q in marks:
+            table[p] = table[q] + self._marks[p[-1]]
+        for p, q in like:
+            table[p] = table[q]
+        table.update(zip(odd, self._whole([" " + p for p in odd]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -56,12 +132,16 @@ class Encoder:
         for at in range(0, len(texts), _BLOCK):
             block = texts[at : at + _BLOCK]
             cut = [t.split(" ") for t in block]
-            self._learn(self._next, set().union(*(c[1:] for c in cut)), " ")
-            self._learn(self._first, {c[0] for c in cut}, "")
-            for text, parts in zip(block, cut, strict=True):
+            heads = [c[0] for c in cut]
+            head_ids = self._whole(heads)
+            for c in cut:
+                c[0] = _HEAD
+            self._learn(set().union(*cut))
+            for text, parts, head, ids in zip(block, cut, heads, head_ids, strict=True):
                 try:
-                    head = self._first[parts[0]]
-                    out.append(head + b"".join(map(self._next.__getitem__, parts[1:])))
+                    if head[-1:].isspace():
+                        raise TypeError
+                    out.append(ids + b"".join(map(self._pieces.__getitem__, parts)))
                 except TypeError:
                     out += self._whole([text])
         return out
