@@ -41,12 +41,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split()
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read
     it back: cuts the lineage, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -68,40 +68,50 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 # --------------------------------------------------------------------------- the files
 
-_RAW = "doc_id bigint, n bigint, ids binary"
+# the last row of a task has no ids but the task's counts of ids
+_RAW = "doc_id bigint, n bigint, ids binary, counts binary"
 _BLOCKS = "part int, block int, docs int, total bigint, doc_ids binary, counts binary, control binary, data binary"
 
 
 def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
+    names = [f.split()[0] for f in _RAW.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
+        counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             texts, doc_ids = column_of(batch, "text"), column_of(batch, "doc_id")
-            for at in range(0, len(batch), 256):
-                raw = encode([x or "" for x in texts.slice(at, 256).to_pylist()])
+            for at in range(0, len(batch), 512):
+                raw = encode([x or "" for x in texts.slice(at, 512).to_pylist()])
                 ids = [np.append(np.frombuffer(r, "<u4"), np.uint32(END_ID)) for r in raw]
+                found = np.bincount(np.concatenate(ids), minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_ids.slice(at, 256),
+                        doc_ids.slice(at, 512),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([pack_ids(x) for x in ids], pa.binary()),
+                        pa.nulls(len(ids), pa.binary()),
                     ],
-                    ["doc_id", "n", "ids"],
+                    names,
                 )
+        if len(counts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([counts.astype("<i8").tobytes()], pa.binary())],
+                names,
+            )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _RAW)
 
 
 def _id_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for packed in column_of(batch, "ids"):
-            found = np.bincount(unpack_ids(packed.as_py()))
-            if len(found) > len(counts):
-                counts = np.append(counts, np.zeros(len(found) - len(counts), np.int64))
-            counts[: len(found)] += found
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["id", "n"])
+        for blob in column_of(batch, "counts"):
+            counts = np.frombuffer(blob.as_buffer(), "<i8")
+            used = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["id", "n"])
 
 
 def _write_blocks(rank_of: np.ndarray):
@@ -142,9 +152,11 @@ def _write_blocks(rank_of: np.ndarray):
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> None:
     """Encode every document, append the end id, and write a token folder."""
     spark = docs.sparkSession
-    raw, raw_path = stage(_tokenised(docs, tokenizer), "raw-ids")
+    rows, raw_path = stage(_tokenised(docs, tokenizer), "raw-ids", compression="zstd")
+    counted = rows.select("counts").where("counts is not null").mapInArrow(_id_counts, "id bigint, n bigint")
+    raw = rows.where("ids is not null").drop("counts")
     # at most one row per id of the vocabulary
-    counted = raw.select("ids").mapInArrow(_id_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = counted.groupBy("id").agg(F.sum("n").alias("n"))
     ranked = [r["id"] for r in counted.orderBy(F.desc("n"), "id").collect()]
     rank_of = np.zeros(max(ranked, default=0) + 1, dtype=np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -152,7 +164,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> None:
     ordered = raw.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "n", "ids"
     )
-    ordered.select("doc_id", "ids").mapInArrow(_write_blocks(rank_of), _BLOCKS).write.parquet(f"{folder}/blocks")
+    blocks = ordered.select("doc_id", "ids").mapInArrow(_write_blocks(rank_of), _BLOCKS)
+    blocks.write.parquet(f"{folder}/blocks", compression="zstd")
     drop_stages(spark, [raw_path])
 
 
