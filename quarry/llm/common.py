@@ -23,7 +23,7 @@ from quarry.session import remove_dir, scratch_dir
 
 SHINGLE_WORDS = 5
 # Text bytes that are hashed at once; the temporary arrays take about 40 times as much.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 # SQL form of the word rule, for the operators that use built-in functions only.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"

@@ -55,7 +55,9 @@ from quarry.llm.common import (
 
 NUMERATOR, DENOMINATOR = 80, 100  # the threshold, exactly
 # Shingles that one search task holds at once.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+# Documents whose sets, or whose postings, are made at once.
+POSTED_ROWS = 1_000
 PIVOTS = 32
 _MERGE_COST = 0.0085  # relative cost of a binary search step, for the number of long lists
 
@@ -90,6 +92,10 @@ def _sets(batch: pa.RecordBatch, name: str = "text") -> list[np.ndarray]:
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(at, POSTED_ROWS) for b in batches for at in range(0, len(b), POSTED_ROWS))
+
+
 def _set_id(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
@@ -99,7 +105,7 @@ def _set_id(shingles: np.ndarray) -> bytes:
 
 def _set_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = _sets(batch)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -123,7 +129,7 @@ def _post_prefixes(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _slices(batches):
             table: dict[bytes, np.ndarray] = {}
             sizes = []
             for s in _sets(batch):
@@ -246,7 +252,7 @@ def _left_sets(docs: DataFrame, left: DataFrame) -> DataFrame:
     """``node, n, hashes`` of the sets left. ``left``: ``node, sid``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             nodes, sids = column_of(batch, "node").to_pylist(), column_of(batch, "sid").to_pylist()
             rows = [
                 (node, len(s), s.tobytes())
