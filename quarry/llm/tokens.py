@@ -16,11 +16,11 @@ from unicodedata import is_normalized
 import numpy as np
 
 END_ID = 1
-_PIECES = 500_000  # distinct pieces remembered per worker
+_PIECES = 350_000  # distinct pieces remembered per worker
 _JOINED = 1000  # new pieces encoded in one text
 _MARKS = ",.;:!?"
 _HEAD = " "  # stands for the first piece of a text, which no space precedes
-_BLOCK = 512  # texts whose new pieces are encoded together
+_BLOCK = 1024  # texts whose new pieces are encoded together
 
 _LOADED: dict[str, Encoder] = {}
 
@@ -50,6 +50,8 @@ class Encoder:
         self._ends = np.array([n.endswith("</w>") for n in names])
         # a tokenizer that lower-cases gives a word its small letters' ids
         self._lowers = self._whole([" A"]) == self._whole([" a"])
+        # and one that drops white space gives a first word the ids it has later on
+        self._spaceless = self._whole(["a"]) == self._whole([" a"])
         self._marks = {m: self._whole([m])[0] for m in _MARKS}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -95,8 +97,11 @@ class Encoder:
         marked: list[str] = []
         odd: list[str] = []
         like: list[tuple[str, str]] = []
+        simple = plain.append
         for p in new:
-            if p.isascii() and p.isprintable() or p.isprintable() and is_normalized("NFC", p) and "\u0130" not in p:
+            if p.isalpha() and p.isascii() and p.islower():
+                simple(p)
+            elif p.isascii() and p.isprintable() or p.isprintable() and is_normalized("NFC", p) and "\u0130" not in p:
                 if not p:
                     table[p] = None
                 elif p[-1] in _MARKS and p[-2:-1].isalpha():
@@ -132,10 +137,13 @@ class Encoder:
         for at in range(0, len(texts), _BLOCK):
             block = texts[at : at + _BLOCK]
             cut = [t.split(" ") for t in block]
-            heads = [c[0] for c in cut]
-            head_ids = self._whole(heads)
-            for c in cut:
-                c[0] = _HEAD
+            if self._spaceless:
+                heads, head_ids = [""] * len(cut), [b""] * len(cut)
+            else:
+                heads = [c[0] for c in cut]
+                head_ids = self._whole(heads)
+                for c in cut:
+                    c[0] = _HEAD
             self._learn(set().union(*cut))
             for text, parts, head, ids in zip(block, cut, heads, head_ids, strict=True):
                 try:
