@@ -1,12 +1,17 @@
 """Licence scans: the Dice coefficient of word bigrams against templates.
 
-Compared are the whole text and its paragraphs, lines and sentences, after
-lower-casing, dropping punctuation and copyright lines. With ``a`` and ``b``
-distinct bigrams, a coefficient of at least ``threshold`` needs
-``b >= a * threshold / (2 - threshold)`` and the reverse, so a unit is compared
-only with templates in that range of sizes, and only with those that an
-inverted index of the templates' bigrams shows to share enough of them. Of the
-templates that fit a unit the one with the highest coefficient counts.
+The text is cut into segments at ends of lines and sentences, after
+lower-casing, dropping punctuation and copyright lines. Compared are runs of
+consecutive segments, so sentences, lines, paragraphs and several of them, as
+well as sentences wrapped over lines. With ``a`` and ``b`` distinct bigrams, a
+coefficient of at least ``threshold`` needs ``b >= a * threshold / (2 -
+threshold)`` and the reverse, and as many shared ones. An inverted index of the
+templates' bigrams gives the templates that share enough with the whole text;
+for each of them, runs are tried that begin and end where it has bigrams and
+that are not too large for it. Of the runs with one beginning the best end
+counts, and of the templates that fit a run the one with the highest
+coefficient. A place that lies by half or more in a better place of another
+licence is not reported: the notices of related licences differ in a few words.
 
 One pass of ``mapInArrow`` over whole texts, without a shuffle; the templates are
 a parameter of the job.
@@ -20,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,7 +54,10 @@ NAMES = {
     "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
     "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
     "CC-BY-ND-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"],
-    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0"],
+    "CC-BY-NC-SA-4.0": [
+        "CC BY-NC-SA 4.0",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ],
     "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
     "Unlicense": ["The Unlicense"],
     "Zlib": ["zlib License"],
@@ -101,16 +110,79 @@ TEXTS = {
         product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered
         source versions must be plainly marked as such, and must not be misrepresented as being the original
         software. 3. This notice may not be removed or altered from any source distribution.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE
+        COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED
+        TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+        EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY
+        WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright
+        holder nor the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+        CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+        CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+        USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+        THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
+        the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at
+        your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+        the GNU General Public License for more details.""",
+    "LGPL-2.1": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version. This library is distributed in the hope that it will be
+        useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "LGPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "AGPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Affero General Public License for more details.""",
+    "CC0-1.0": """To the extent possible under law, the author(s) have dedicated all copyright and related and
+        neighboring rights to this software to the public domain worldwide. This software is distributed without any
+        warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software. If
+        not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+        compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that
+        recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in
+        the software to the public domain. We make this dedication for the benefit of the public at large and to the
+        detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in
+        perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED
+        "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For
+        more information, please refer to <https://unlicense.org>""",
 }
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.+][a-z0-9]+)*")
-_COPYRIGHT = re.compile(r"(?m)^[ \t]*(?:copyright|\(c\)|©).*$")
-_UNITS = (
-    re.compile(r"(?s).+"),
-    re.compile(r"[^\n]+(?:\n[^\n]+)*"),
-    re.compile(r"[^\n]+"),
-    re.compile(r"[^.!?\n]+(?:[.!?](?=\S)[^.!?\n]*)*"),
+# Not the lines of a wrapped text that happen to begin with "copyright holders" and the like.
+_COPYRIGHT = re.compile(
+    r"(?m)^[ \t]*(?:copyright(?!\s+(?:holders?|owners?|notices?|laws?|interests?|licen[cs]es?|and|or|in)\b)|\(c\)|©).*$"
 )
+# Up to the end of a line or sentence; a dot within a word does not end one.
+_SEGMENT = re.compile(r"[^.!?\n]+(?:[.!?](?=\S)[^.!?\n]*)*[.!?]*")
 
 
 def default_templates() -> list[tuple[str, str]]:
@@ -135,7 +207,7 @@ class Templates:
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         self.threshold = threshold
         self.names = [name for name, _ in templates]
-        sets = [bigrams(normalise(text)) for _, text in templates]
+        self.sets = sets = [bigrams(normalise(text)) for _, text in templates]
         self.sizes = [len(s) for s in sets]
         self.index: dict[tuple[str, str], list[int]] = {}
         for i, s in enumerate(sets):
@@ -145,16 +217,20 @@ class Templates:
         self.least, self.most = min(self.sizes) / ratio, max(self.sizes) * ratio
         self.ratio = ratio
 
+    def shared(self, found: set[tuple[str, str]]) -> dict[int, int]:
+        """The number of bigrams that each template shares with ``found``."""
+        counts: dict[int, int] = {}
+        for b in found & self.index.keys():
+            for i in self.index[b]:
+                counts[i] = counts.get(i, 0) + 1
+        return counts
+
     def best(self, found: set[tuple[str, str]]) -> tuple[float, str] | None:
         n = len(found)
         if not self.least <= n <= self.most:
             return None
-        shared: dict[int, int] = {}
-        for b in found & self.index.keys():
-            for i in self.index[b]:
-                shared[i] = shared.get(i, 0) + 1
         best = None
-        for i, k in shared.items():
+        for i, k in self.shared(found).items():
             size = self.sizes[i]
             if n <= size * self.ratio and size <= n * self.ratio:
                 dice = 2 * k / (n + size)
@@ -162,21 +238,74 @@ class Templates:
                     best = dice, self.names[i]
         return best
 
+    def runs(self, i: int, pairs: list[tuple[str, str]], ends: list[int]) -> Iterator[tuple[int, int]]:
+        """First and last segment of the best run for template ``i`` from each
+        beginning. ``ends``: for each segment, the number of words up to its end.
+
+        A run whose first segment shares nothing that is not shared again later
+        in it is no better than the run without that segment, so extending stops
+        there; repeated lines stay cheap."""
+        template, size = self.sets[i], self.sizes[i]
+        places = [j for j, p in enumerate(pairs) if p in template]
+        # Segments that hold the first word, and those that hold the second word, of a shared bigram.
+        firsts = sorted({bisect_left(ends, j + 1) for j in places})
+        lasts = sorted({bisect_left(ends, j + 2) for j in places})
+        most = size * self.ratio
+        for first in firsts:
+            begin = ends[first - 1] if first else 0
+            seen: set[tuple[str, str]] = set()
+            k, j, best = 0, begin, None
+            head = {p for p in pairs[begin : ends[first]] if p in template}
+            for last in lasts[bisect_left(lasts, first) :]:
+                for p in pairs[j : ends[last] - 1]:
+                    if j >= ends[first]:
+                        head.discard(p)
+                    if p not in seen:
+                        seen.add(p)
+                        k += p in template
+                        if len(seen) > most:
+                            break
+                    j += 1
+                if len(seen) > most:
+                    break
+                dice = 2 * k / (len(seen) + size)
+                if dice >= self.threshold and (best is None or dice >= best[0]):
+                    best = dice, last
+                if not head:
+                    break
+            if best:
+                yield first, best[1]
+
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """``license, dice, start, length`` (code points), best place per licence."""
         lowered = normalise(text)
+        words = _WORD.findall(lowered)
+        pairs = list(zip(words, words[1:], strict=False))
+        likely = [i for i, k in self.shared(set(pairs)).items() if k * self.ratio >= self.sizes[i]]
+        if not likely:
+            return []
+        spans, ends = [], []
+        starts = [m.start() for m in _WORD.finditer(lowered)]
+        for m in _SEGMENT.finditer(lowered):
+            n = bisect_left(starts, m.end())
+            if n > (ends[-1] if ends else 0):  # segments without words are passed over
+                spans.append(m.span())
+                ends.append(n)
+        hits = set()
+        for first, last in {run for i in likely for run in self.runs(i, pairs, ends)}:
+            hit = self.best(set(pairs[ends[first - 1] if first else 0 : ends[last] - 1]))
+            if hit:
+                start, end = spans[first][0], spans[last][1]
+                hits.add((-hit[0], start, start - end, hit[1]))
+        places: list[tuple[int, int, str]] = []
         found: dict[str, tuple[float, int, int]] = {}
-        done = set()
-        for unit in _UNITS:
-            for m in unit.finditer(lowered):
-                if m.span() in done:
-                    continue
-                done.add(m.span())
-                hit = self.best(bigrams(m.group()))
-                if hit:
-                    spot = (-hit[0], m.start(), m.start() - m.end())
-                    if hit[1] not in found or spot < found[hit[1]]:
-                        found[hit[1]] = spot
+        for cost, start, less, name in sorted(hits):
+            end = start - less
+            if any(n != name and 2 * (min(end, e) - max(start, s)) >= end - start for s, e, n in places):
+                continue
+            if not any(n == name and s <= start and end <= e for s, e, n in places):
+                places.append((start, end, name))
+            found.setdefault(name, (cost, start, less))
         return [(name, -s[0], s[1], -s[2]) for name, s in sorted(found.items())]
 
 

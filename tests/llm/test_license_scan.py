@@ -1,9 +1,11 @@
 import random
+import re
+import textwrap
 
 import pytest
 from llm_helpers import awkward_rows, make_docs, prose
 
-from quarry.llm.license_scan import TEXTS, Templates, bigrams, default_templates, normalise, scan_licenses
+from quarry.llm.license_scan import _SEGMENT, TEXTS, Templates, bigrams, default_templates, normalise, scan_licenses
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,72 @@ def test_full_texts_with_small_changes(known):
         assert name in [f[0] for f in known.scan(prose(random.Random(3), 60) + "\n\n" + changed)]
 
 
+MIT = """Copyright (c) 2031 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def test_published_paragraphs_in_a_longer_document(known):
+    text = prose(random.Random(6), 120) + ".\n\n" + MIT + "\n\n" + prose(random.Random(7), 120)
+    [(name, dice, start, length)] = known.scan(text)
+    assert (name, dice) == ("MIT", 1.0)
+    assert text[start : start + length] == MIT[MIT.index("Permission") :]
+
+
+def test_each_text_in_paragraphs_of_a_longer_document(known):
+    """A paragraph for each sentence, wrapped lines; nothing but the right licence."""
+    for name, text in TEXTS.items():
+        body = "\n\n".join(textwrap.fill(s, 60) for s in re.split(r"(?<=\.)\s+(?=[A-Z1-9])", " ".join(text.split())))
+        doc = prose(random.Random(8), 150) + ".\n\n" + body + "\n\n" + prose(random.Random(9), 150)
+        assert [(f[0], f[1]) for f in known.scan(doc)] == [(name, 1.0)]
+
+
+def test_wrapped_notice_within_a_paragraph(known):
+    text = prose(random.Random(10), 30) + ". This project is licensed under the GNU\nGeneral Public License, version 3. See the"
+    assert [(f[0], f[1]) for f in known.scan(text + "\n" + prose(random.Random(11), 30))] == [("GPL-3.0", 1.0)]
+
+
+def test_two_licences_and_repeated_lines(known):
+    text = "Released under the MIT License.\n" * 3000 + MIT + "\nLicensed under the Apache License, Version 2.0.\n"
+    assert [(f[0], f[1]) for f in known.scan(text)] == [("Apache-2.0", 1.0), ("MIT", 1.0)]
+
+
+def test_runs_against_all_runs(known):
+    """The best place of each text is as good as that of all runs of segments."""
+    rng = random.Random(12)
+    for name, text in TEXTS.items():
+        words = text.split()
+        for _ in range(12):
+            words[rng.randrange(len(words))] = rng.choice(["the", "x", "software"])
+        lines = textwrap.wrap(" ".join(words), 70)
+        doc = [prose(rng, 8) for _ in range(5)] + lines + [prose(rng, 8) for _ in range(5)]
+        template = bigrams(normalise(text))
+        best = 0.0
+        segments = [m.span() for m in _SEGMENT.finditer(normalise("\n".join(doc)))]
+        for a in range(len(segments)):
+            for b in range(a, len(segments)):
+                got = bigrams(normalise("\n".join(doc))[segments[a][0] : segments[b][1]])
+                best = max(best, 2 * len(got & template) / (len(got) + len(template)) if got else 0.0)
+        found = {f[0]: f[1] for f in known.scan("\n".join(doc))}
+        assert max(found.values(), default=0.0) >= best if best >= 0.8 else name not in found
+
+
 def test_other_texts_have_none(known):
     assert known.scan(prose(random.Random(4), 500)) == []
     assert known.scan("") == []
