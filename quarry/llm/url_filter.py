@@ -7,6 +7,10 @@ links, and distrust from the hosts of blocked pages against the links (who
 links to a bad host is suspect). A host is blocked when distrust makes up more
 than ``threshold`` of the two. A host that neither reaches is allowed.
 
+The ranks are summed over paths of growing length until no host's rank grows by
+more than ``tolerance`` of itself, so every host that mass reaches has a rank,
+however many links away; ``rounds`` is a safety limit that raises.
+
 Built-in functions only. Links are reduced to distinct host pairs right after
 they are parsed, so each round moves one row per host pair; ranks are written
 to the shared folder after each round. A host with very many links or pages is
@@ -65,41 +69,44 @@ def personalised_rank(
     """``host, rank`` for the hosts that the seeds' mass reaches.
 
     ``seeds``: ``host, share`` with shares that sum to one (or no row). Mass of
-    hosts without outgoing links returns to the seeds. Stops after ``rounds``
-    or once the ranks change by less than ``tolerance`` in total.
+    hosts without outgoing links returns to the seeds: the ranks are those of
+    mass that is lost there, scaled to a sum of one. Stops once no host's rank
+    grows by more than ``tolerance`` of itself, which a host that is newly
+    reached always does; raises if that takes more than ``rounds``.
     """
     spark = links.sparkSession
     degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     steps, kept = stage(links.join(degree, "src").select("src", "dst", (1 / F.col("degree")).alias("part")), "links")
-    rank, path = stage(seeds.select("host", F.col("share").alias("rank")), "rank")
+    start = seeds.select("host", F.col("share").alias("rank"), F.lit(0.0).alias("old"))
+    rank, path = stage(start, "rank")
     for _ in range(rounds):
         flow = (
             rank.join(steps, rank["host"] == steps["src"])
             .groupBy("dst")
-            .agg(F.sum(F.col("rank") * F.col("part")).alias("flow"))
-            .select(F.col("dst").alias("host"), (damping * F.col("flow")).alias("rank"))
-        )
-        sent = flow.agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("s")).first()["s"]
-        back = seeds.select("host", ((1.0 - sent) * F.col("share")).alias("rank"))
-        new, new_path = stage(flow.union(back).groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
-        moved = (
-            new.join(rank.withColumnRenamed("rank", "old"), "host", "full")
-            .agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("d"))
-            .first()["d"]
+            .agg((damping * F.sum(F.col("rank") * F.col("part"))).alias("rank"))
+            .select(F.col("dst").alias("host"), "rank", F.lit(0.0).alias("old"))
         )
+        old = rank.select("host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
+        summed = flow.union(start).union(old).groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("old").alias("old"))
+        new, new_path = stage(summed, "rank")
+        growing = new.where(F.abs(F.col("rank") - F.col("old")) > tolerance * F.col("rank"))
+        settled = growing.isEmpty()
         drop_stages(spark, [path])
         rank, path = new, new_path
-        if (moved or 0.0) < tolerance:
+        if settled:
             break
+    else:
+        raise RuntimeError(f"ranks of hosts not settled after {rounds} rounds")
     drop_stages(spark, [kept])
-    return rank
+    total = rank.agg(F.sum("rank").alias("t")).first()["t"]
+    return rank.select("host", (F.col("rank") / F.lit(float(total or 1))).alias("rank"))
 
 
 def filter_urls(
     pages: DataFrame,
     rules: list[tuple[str, str]],
     damping: float = 0.85,
-    rounds: int = 20,
+    rounds: int = 2000,
     tolerance: float = 1e-6,
     threshold: float = 0.5,
 ) -> DataFrame:

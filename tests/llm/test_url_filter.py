@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_helpers import plan_text
 
 from quarry.llm.queries import URL_RULES
@@ -94,6 +95,27 @@ def test_trust_and_distrust_flow(spark):
     }
 
 
+def test_long_chain_with_defaults(spark):
+    """Hosts up to 40 links from the blocked host."""
+    n = 40
+    rules = [("allow", "good.net/"), ("block", "bad.net/")]
+    names = [f"h{i}.net" for i in range(n)] + ["bad.net"]
+    rows = [(i, f"http://{names[i]}/", anchor(f"http://{names[i + 1]}/")) for i in range(n)]
+    rows += [(n, "http://bad.net/", None), (n + 1, "http://good.net/", None), (n + 2, "http://alone.net/", None)]
+    got = {r.page_id: r for r in filter_urls(pages(spark, rows), rules).collect()}
+    assert all(got[i].verdict == "block" for i in range(n + 1))
+    assert got[n + 1].verdict == got[n + 2].verdict == "allow"
+    weights = 0.85 ** np.arange(n + 1)
+    for i in range(n + 1):
+        assert abs(got[n - i].distrust / (weights[i] / weights.sum()) - 1) < 1e-5
+
+
+def test_unsettled_ranks_raise(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    with pytest.raises(RuntimeError, match="not settled"):
+        personalised_rank(links, spark.createDataFrame([("a", 1.0)], "host string, share double"), 0.85, 5, 1e-6)
+
+
 def test_empty_table_and_native_plan(spark):
     result = filter_urls(pages(spark, []), URL_RULES)
     assert result.count() == 0
