@@ -29,6 +29,10 @@ from quarry.session import local_dir, ship_package, task_file_name, write_file_a
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+# A file that is read whole by one task; quotes and escapes come on top.
+FILE_BYTES = 16 << 20
+
+
 def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: int) -> None:
     """Lay ``df`` out as delimited text where every file starts with
     ``junk_lines`` junk lines, a header and a ``##`` comment, and has a second
@@ -48,6 +52,14 @@ def write_with_preamble(df: DataFrame, path: str, delimiter: str, junk_lines: in
     df.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def in_bounded_files(df: DataFrame, most: int, least: int = 8) -> DataFrame:
+    """Deal ``df`` evenly over as many partitions, and so files, as its text
+    needs at ``most`` bytes each, ``least`` at least. One pass sums the sizes."""
+    width = F.octet_length(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]))
+    size = df.agg(F.sum(width.cast("long")).alias("size")).first()["size"] or 0
+    return df.repartition(max(least, -(-size // most)))
+
+
 def csv_bodies(df: DataFrame, key: str, per_body: int = 25) -> DataFrame:
     """CSV documents ``(block, body)`` built from ``df``: one document per
     block of ``per_body`` consecutive ``key`` values, header first, rows

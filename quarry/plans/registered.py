@@ -17,8 +17,10 @@ from quarry.operators.profile import flatten_profile, profile_basic, profile_det
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql
 from quarry.plans.fixtures import (
+    FILE_BYTES,
     csv_bodies,
     event_bodies,
+    in_bounded_files,
     parquet_payloads,
     workbooks_from,
     write_avro_files,
@@ -172,10 +174,11 @@ def q_text_skip_multiline(spark, sf_dir):
 
 def q_text_skip_multiline_documents(spark, sf_dir):
     """S2 whole-file route over all documents: texts of any length, quotes,
-    commas and newlines, after skipped lines."""
+    commas and newlines, after skipped lines. Each file is read whole by one
+    task, so their number follows the size of the input."""
     out = scratch_dir(spark, "docs-text")
-    docs = table(spark, sf_dir, "documents").repartition(8, "doc_id")
-    write_with_preamble(docs.select("doc_id", "text", "lang", "source", "n_chars"), out, ",", 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_with_preamble(in_bounded_files(docs, FILE_BYTES), out, ",", 2)
     return read_text(spark, out, comment_prefix="##", skip_rows=2, multiline=True)
 
 

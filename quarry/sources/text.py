@@ -455,11 +455,14 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
 
         for batch in batches:
             idx, flags, cells = [], [], []
-            for i, blob in enumerate(batch.column(0).to_pylist()):
+            for i, scalar in enumerate(batch.column(0)):
+                blob = scalar.as_py()
                 if blob is None:
                     continue
-                raw = blob if isinstance(blob, str) else bytes(blob).decode(encoding)
-                text = io.StringIO(raw, newline="")
+                if isinstance(blob, str):
+                    text = io.StringIO(blob, newline="")
+                else:  # decoded as it is read
+                    text = io.TextIOWrapper(io.BytesIO(blob), encoding=encoding, newline="")
                 records = csv.reader(
                     _kept_lines(text), delimiter=delimiter, quotechar=quote, doublequote=True,
                     quoting=csv.QUOTE_NOTNULL,

@@ -275,3 +275,24 @@ def test_encoding_and_mode_are_not_ignored(spark, tmp):
     assert got.collect()[0].a == "café"
     with pytest.raises(ValueError, match="mode"):
         read_text(spark, f"{tmp}/l.csv", skip_rows=1, multiline=True, mode="FAILFAST")
+
+
+def test_document_files_stay_bounded(spark, tmp, monkeypatch):
+    """More input gives more files, not larger ones; small input still gives eight at most."""
+    from quarry.plans import registered
+
+    rows = [(i if i % 3 else None, f'a "{i}",\n## b ' + "x" * 1000, "en", "s", 1000) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp}/documents.parquet")
+    outs = []
+    write = registered.write_with_preamble
+    monkeypatch.setattr(registered, "write_with_preamble", lambda df, out, *a: (outs.append(out), write(df, out, *a)))
+    for most in (registered.FILE_BYTES, 20_000):
+        monkeypatch.setattr(registered, "FILE_BYTES", most)
+        got = registered.q_text_skip_multiline_documents(spark, tmp)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    sizes = [
+        [r.length for r in spark.read.format("binaryFile").load(out).select("length").collect()] for out in outs
+    ]
+    assert len(sizes[0]) <= 8
+    assert len(sizes[1]) > 20 and max(sizes[1]) < 1.5 * 20_000
