@@ -27,7 +27,7 @@ task.
 
 Defined results: null, empty and wordless texts have an empty set and link with
 nothing; rows without an identifier keep their set size and get no class; rows
-that share an identifier are one document; an empty table gives an empty result;
+that share an identifier are each judged by their own text; an empty table gives an empty result;
 other columns are ignored by ``near_duplicates`` and kept by ``drop_near_duplicates``.
 """
 
@@ -41,6 +41,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import (
     broadcast_if_small,
@@ -249,29 +250,26 @@ def _occurrence_filter(docs: DataFrame) -> DataFrame:
 
 
 def _left_sets(docs: DataFrame, left: DataFrame) -> DataFrame:
-    """``node, n, hashes`` of the sets left. ``left``: ``node, sid``."""
+    """``node, n, hashes`` of the sets left. ``left``: ``sid, low, node``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            nodes, sids = column_of(batch, "node").to_pylist(), column_of(batch, "sid").to_pylist()
-            rows = [
-                (node, len(s), s.tobytes())
-                for node, sid, s in zip(nodes, sids, _sets(batch), strict=True)
-                if _set_id(s) == sid
-            ]
+            sets = _sets(batch)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.binary()),
+                    column_of(batch, "doc_id"),
+                    pa.array([_set_id(s) for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
-                ["node", "n", "hashes"],
+                ["low", "sid", "n", "hashes"],
             )
 
-    found = docs.select("doc_id", "text").join(broadcast_if_small(left), F.col("doc_id") == F.col("node"))
-    return found.select("node", "sid", "text").mapInArrow(run, "node bigint, n bigint, hashes binary").dropDuplicates(
-        ["node"]
-    )
+    small = broadcast_if_small(left)
+    found = docs.select("doc_id", "text").join(small, F.col("doc_id") == F.col("low"), "left_semi")
+    made = found.mapInArrow(run, "low bigint, sid binary, n bigint, hashes binary")
+    # the rows of an identifier may have several sets, and a set several rows
+    return made.join(small, ["low", "sid"]).select("node", "n", "hashes").dropDuplicates(["node"])
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -516,32 +514,69 @@ def _search_groups(sets: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     return first.union(second)
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``,
-    the smallest identifier that links reach."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _classes(docs: DataFrame, block: int) -> DataFrame:
+    """``doc_id, n, sid`` of each row, and ``first``: the smallest identifier of
+    its set's class and the set that has it; null for rows without a class."""
     table, _ = stage(_set_table(docs), "sets")
     nodes = (
-        table.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("node"))
+        table.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("low"))
     )
-    nodes, _ = stage(nodes, "nodes")
+    # a number for each set, as an identifier may have several
+    nodes, _ = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     left, p1 = stage(nodes.join(_occurrence_filter(docs), "sid"), "left")
     sets, p2 = stage(_left_sets(docs, left), "left-sets")
     found = _search_groups(sets, _candidate_groups(sets), block)
     classes, _ = stage(components(found, "a", "b"), "classes")
     drop_stages(docs.sparkSession, [p1, p2])
-    labelled = nodes.join(classes, "node", "left").select("sid", F.coalesce("component", "node").alias("class"))
+    own = F.struct("low", "sid")
+    firsts, _ = stage(
+        classes.join(nodes, "node").groupBy("component").agg(F.min(own).alias("first")), "firsts"
+    )
+    linked = classes.join(broadcast_if_small(firsts), "component").select("node", "first")
+    labelled = nodes.join(linked, "node", "left").select("sid", F.coalesce("first", own).alias("first"))
     return table.join(labelled, "sid", "left").select(
+        "doc_id", "n", "sid", F.when(F.col("doc_id").isNotNull(), F.col("first")).alias("first")
+    )
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``,
+    the smallest identifier that links reach."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _classes(docs, block).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("class")))
-        .otherwise(F.col("doc_id"))
-        .alias("component_id"),
+        F.when(F.col("n") > 0, F.col("first.low")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def _with_set_id(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            sids = pa.array([_set_id(s) for s in _sets(batch)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sids], [*batch.schema.names, "__sid"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__sid", T.BinaryType())]))
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each class, that with the smallest identifier, all columns."""
-    classes = near_duplicates(docs)
-    lost, _ = stage(classes.where("doc_id <> component_id").select("doc_id"), "lost")
-    return docs.join(broadcast_if_small(lost), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each class, that with the smallest identifier, all
+    columns. Of an identifier with several texts only the rows go whose own text
+    has a near copy that stays."""
+    rows = _classes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), BLOCK_SHINGLES)
+    is_lost = (F.col("doc_id") != F.col("first.low")) | (F.col("sid") != F.col("first.sid"))
+    judged, _ = stage(rows.select("doc_id", "sid", F.coalesce(is_lost, F.lit(False)).alias("lost")), "judged")
+    lost, _ = stage(judged.where("lost").select("doc_id", "sid").distinct(), "lost")
+    ids, _ = stage(lost.select("doc_id").distinct(), "lost-ids")
+    all_columns = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(broadcast_if_small(ids), "doc_id", "left_anti").select(*all_columns)
+    # identifiers that lose some of their rows
+    partly, _ = stage(
+        judged.where("not lost").join(broadcast_if_small(ids), "doc_id", "left_semi").select("doc_id").distinct(),
+        "partly-lost",
+    )
+    if partly.isEmpty():
+        return left
+    some = _with_set_id(docs.join(broadcast_if_small(partly), "doc_id", "left_semi").select(*all_columns))
+    kept = some.join(broadcast_if_small(lost.withColumnRenamed("sid", "__sid")), ["doc_id", "__sid"], "left_anti")
+    return left.union(kept.select(*all_columns))

@@ -169,6 +169,22 @@ def test_one_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for (d, _), c in want.items() if d == c)
 
 
+def test_texts_that_share_an_identifier(spark):
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [
+        (3, a + " one", "s"), (5, a, "s"), (5, b, "s"), (5, b, "s"), (5, c, "s"), (5, "", "s"),
+        (8, b + " two", "s"), (9, c + " three", "s"), (9, c + " four", "s"), (None, a, "s"), (None, "", "s"),
+    ]
+    docs = make_docs(spark, rows)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in near_duplicates(docs).collect())
+    assert got == [(0, 0), (0, 0), (3, 3), (5, 3), (5, 5), (5, 5), (5, 5), (5, 5), (8, 5), (9, 5), (9, 5)]
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = [(3, a + " one"), (5, b), (5, b), (5, c), (5, ""), (None, a), (None, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).count() == 0
     assert drop_near_duplicates(no_docs).count() == 0
