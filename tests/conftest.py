@@ -1,10 +1,9 @@
-import os
 import sys
 import tempfile
 
 import pytest
+from helpers import ROOT
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
@@ -23,23 +22,6 @@ def tmp(tmp_path):
     return str(tmp_path)
 
 
-def write_text(path, text, newline="\n"):
-    with open(path, "w", newline="") as fh:
-        fh.write(text.replace("\n", newline))
-    return path
-
-
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="quarry-test-")
-
-
-def plan_text(df) -> str:
-    """The physical plan as ``DataFrame.explain`` prints it (public API)."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from conftest import write_text
+from helpers import write_text
 from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
 
 

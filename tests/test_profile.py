@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry import export_profile_json, profile_basic, profile_detailed, profile_json_text
 from quarry.operators.export import _format_float
-from conftest import plan_text
+from helpers import plan_text
 
 
 def by_name(df):

@@ -1,7 +1,7 @@
 import pytest
 
 from quarry.session import ensure_checkpoint_dir, local_dir, materialize_frame, scratch_dir
-from conftest import plan_text
+from helpers import plan_text
 
 
 def test_checkpoint_dir_is_kept(spark):

@@ -6,7 +6,7 @@ from quarry.sinks import write_csv, write_json, write_orc, write_parquet
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.json import read_json
 from quarry.sources.text import read_csv
-from conftest import plan_text
+from helpers import plan_text
 
 
 @pytest.fixture()

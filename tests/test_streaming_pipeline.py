@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from conftest import write_text
+from helpers import write_text
 from quarry.plans.pipeline import run_file_pipeline
 from quarry.sources.columnar import read_parquet
 from quarry.sources.json import read_json

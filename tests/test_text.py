@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from conftest import plan_text, write_text
+from helpers import plan_text, write_text
 from quarry.sources.text import parse_csv_text, read_csv, read_text
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from quarry import limit_rows, select_columns
-from conftest import plan_text
+from helpers import plan_text
 
 
 @pytest.fixture()

@@ -2,7 +2,7 @@ import subprocess
 import sys
 import textwrap
 
-from conftest import ROOT
+from helpers import ROOT
 
 
 def test_python_stages_run_from_another_directory(tmp_path):
