@@ -12,9 +12,14 @@ number of such pieces in earlier tasks.
 The tokenised pieces are written to the shared folder once and read back; nothing
 of the size of the documents is shuffled.
 
-Defined results: null and empty texts are the end id alone; repeated rows
-are packed as often as they occur; an empty table gives an empty result; other
-columns are ignored.
+A sequence that ends at a power of two needs no padding. Full ones are such;
+beyond that the packing does not steer towards such ends.
+
+Defined results: null and empty texts are the end id alone; very long texts are
+cut into as many full sequences as they fill; which of two pieces of equal length
+comes first is decided by their task and place in it; repeated rows are packed as
+often as they occur; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,9 +35,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_ROWS, column_of, stage
-from quarry.llm.tokens import END_ID, encoder
+from quarry.llm.tokens import encoder
 
 SIZE = 2048
+_ROWS = 2000  # documents encoded at once
 
 _PIECE = "doc_id bigint, start bigint, length int, doc_tokens bigint, task int, place bigint, ids binary"
 
@@ -43,16 +49,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame
     the same length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_all
         task = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
             texts, doc_ids = column_of(batch, "text"), column_of(batch, "doc_id").to_pylist()
-            for at in range(0, len(batch), 256):
-                part = [x or "" for x in texts.slice(at, 256).to_pylist()]
+            for at in range(0, len(batch), _ROWS):
                 rows: list[tuple] = []
-                for doc_id, raw in zip(doc_ids[at : at + 256], encode(part), strict=True):
-                    ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(END_ID))
+                for doc_id, ids in zip(doc_ids[at : at + _ROWS], encode(texts.slice(at, _ROWS)), strict=True):
                     for start in range(0, len(ids), size):
                         piece = ids[start : start + size]
                         length = len(piece)

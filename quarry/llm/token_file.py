@@ -14,8 +14,10 @@ order is a range partitioning of the identifiers; ``part`` and ``block`` number
 the blocks.
 
 Defined results: null and empty texts are the end id alone; rows without an
-identifier come first; repeated rows are stored as often as they occur; an empty
-table gives an empty folder and result; other columns are ignored.
+identifier come first; rows that agree in identifier are ordered by their number
+of ids and the ids, and repeated rows are stored as often as they occur; a very
+long text makes a block of its own; an empty table gives an empty folder and
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import column_of, drop_stages, stage
 from quarry.llm.packing import pack_ids, unpack_ids
-from quarry.llm.tokens import END_ID, encoder
+from quarry.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 18
+_ROWS = 2000  # documents encoded at once
 
 # ------------------------------------------------------------------------- the coding
 
@@ -77,19 +80,18 @@ def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
     names = [f.split()[0] for f in _RAW.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_all
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             texts, doc_ids = column_of(batch, "text"), column_of(batch, "doc_id")
-            for at in range(0, len(batch), 512):
-                raw = encode([x or "" for x in texts.slice(at, 512).to_pylist()])
-                ids = [np.append(np.frombuffer(r, "<u4"), np.uint32(END_ID)) for r in raw]
+            for at in range(0, len(batch), _ROWS):
+                ids = encode(texts.slice(at, _ROWS))
                 found = np.bincount(np.concatenate(ids), minlength=len(counts))
                 found[: len(counts)] += counts
                 counts = found
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_ids.slice(at, 512),
+                        doc_ids.slice(at, _ROWS),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([pack_ids(x) for x in ids], pa.binary()),
                         pa.nulls(len(ids), pa.binary()),

@@ -1,155 +1,368 @@
 """Encoding texts with a public tokenizer inside tasks.
 
 The ids of a text are those that the ``tokenizers`` library gives for the whole
-text. The tokenizers used here split a text before they merge, and always
-before a single space between two non-space characters, and between a letter
-and a punctuation mark. So a text is cut there and each distinct piece is
-encoded once, as long as a worker remembers it; most pieces repeat. A text with
-other white space next to a space is encoded whole.
+text. Such a tokenizer cuts a text into pieces (a word, a number, a run of
+marks) before it merges, and a piece's ids depend on nothing around it. So the
+bytes of a whole Arrow column are classed and cut with numpy at the same places,
+the pieces are numbered by dictionary encoding, each distinct piece is merged
+once by the library's model, as long as a worker remembers it, and the ids of
+all texts are gathered with numpy.
+
+Texts go to the library whole where the pieces could come out otherwise: if
+they hold the string of an added token, or a character that Unicode versions
+class differently or that normalisation may join to another. So does every text
+of a tokenizer whose file is of no known form.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from unicodedata import is_normalized
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 1
-_PIECES = 350_000  # distinct pieces remembered per worker
-_JOINED = 1000  # new pieces encoded in one text
-_MARKS = ",.;:!?"
-_HEAD = " "  # stands for the first piece of a text, which no space precedes
-_BLOCK = 1024  # texts whose new pieces are encoded together
+_PIECES = 400_000  # distinct pieces remembered per worker
+_JOINED = 1000  # new pieces merged in one call
+_BLOCK_BYTES = 1 << 22  # text that is cut at once
+
+# Unicode's white space.
+_SPACES = frozenset([*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+_STRIP = "".join(map(chr, sorted(_SPACES)))
+
+# Classes of characters: letter, number, other, the space, other white space,
+# those to be left to the library, and those not looked up yet.
+_L, _N, _O, _S, _W, _ODD, _NEW = range(7)
+_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")  # that go with an apostrophe before them
+
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+_LOADED: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(path: str, special: bool = True) -> Encoder:
+    """The task's encoder for a tokenizer file; loaded once per worker. Strings
+    of added tokens get their ids as by the library's default, or with
+    ``special=False`` are ordinary text."""
+    key = (path, special)
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(path, special)
+    return _LOADED[key]
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in same]
+    return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-_LOADED: dict[str, Encoder] = {}
 
+def _kind(c: str, data) -> int:
+    if ord(c) in _SPACES:
+        return _S if c == " " else _W
+    return {"L": _L, "N": _N}.get(data.category(c)[0], _O)
 
-def encoder(path: str) -> Encoder:
-    """The task's encoder for a tokenizer file; loaded once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+
+def _class_of(c: str, joins: bool) -> int:
+    """The class of a character, if all Unicode versions since 3.2 agree and, with
+    ``joins``, normalisation leaves it and its neighbours alone and small letters
+    are one to one."""
+    kind = _kind(c, unicodedata)
+    if c.isascii():
+        return kind
+    if kind != _kind(c, unicodedata.ucd_3_2_0) or unicodedata.category(c) == "Cn":
+        return _ODD
+    if joins and (
+        unicodedata.category(c)[0] == "M" or 0x1100 <= ord(c) <= 0x11FF or c == "\u03a3"
+        or len(c.lower()) != 1 or not unicodedata.is_normalized("NFC", c)
+    ):
+        return _ODD
+    return kind
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        # strings that look like special tokens are ordinary text here
-        self._tokenizer.encode_special_tokens = True
-        # ids of pieces that follow a space; None: not to be encoded on their own
-        self._pieces: dict[str, bytes | None] = {}
-        self._used: set[str] = set()
+        self._tokenizer.encode_special_tokens = not special
+        with open(path, encoding="utf-8") as fh:
+            described = json.load(fh)
+        added = described.get("added_tokens") or []
+        self._added = [t["content"] for t in added] if special else []
+        self._form = self._known_form(described)
+        if any(not t["special"] for t in added):
+            self._form = None
+        self._words = self._form == "words"
+        # the model alone, over pieces that are written in its letters already
+        self._bare = Tokenizer(self._tokenizer.model)
+        self._bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        letters = byte_letters()
+        self._letters = {b: letters[b] for b in range(256)}
         names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
-        begins = np.array([n.startswith("\u0120") for n in names])
-        two_words = np.frombuffer(self._whole([" a bc"])[0], "<u4")
-        self._begins = begins if begins[two_words].sum() == 2 else None
-        self._ends = np.array([n.endswith("</w>") for n in names])
-        # a tokenizer that lower-cases gives a word its small letters' ids
-        self._lowers = self._whole([" A"]) == self._whole([" a"])
-        # and one that drops white space gives a first word the ids it has later on
-        self._spaceless = self._whole(["a"]) == self._whole([" a"])
-        self._marks = {m: self._whole([m])[0] for m in _MARKS}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        self._id_bytes = np.array([len(n.removesuffix("</w>") if self._words else n) for n in names], dtype=np.int64)
+        self._classes = np.full(0x110000, _NEW, dtype=np.uint8)
+        self._forget()
+
+    @staticmethod
+    def _known_form(described: dict) -> str | None:
+        model, pre, norm = described["model"], described["pre_tokenizer"] or {}, described["normalizer"] or {}
+        if model["type"] != "BPE" or model["dropout"] or model["byte_fallback"] or model["ignore_merges"]:
+            return None
+        if model["continuing_subword_prefix"] or model["unk_token"]:
+            return None
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+        if pre == byte_level | {"use_regex": True} and not norm and not model["end_of_word_suffix"]:
+            return "bytes"
+        split = {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True}
+        lower = [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ]
+        if (
+            pre == {"type": "Sequence", "pretokenizers": [split, byte_level | {"use_regex": False}]}
+            and norm == {"type": "Sequence", "normalizers": lower}
+            and model["end_of_word_suffix"] == "</w>"
+        ):
+            return "words"
+        return None
+
+    # ------------------------------------------------------------- pieces and their ids
+
+    def _forget(self) -> None:
+        """An empty table; entry 0 has no ids."""
+        self._at: dict[str, int] = {"": 0}
+        self._ids = np.zeros(1 << 16, dtype=np.uint32)
+        self._start = np.zeros(1 << 14, dtype=np.int64)
+        self._count = np.zeros(1 << 14, dtype=np.int64)
+        self._blocks = np.zeros(1 << 14, dtype=np.int64)  # blocks that a piece occurred in
+        self._held, self._used = 1, 0
+
+    def _shrink(self) -> None:
+        """Keep the pieces that more than one block held, if these are few enough."""
+        at, ids, start, count, blocks = self._at, self._ids, self._start, self._count, self._blocks
+        kept = [(p, i) for p, i in at.items() if i > 0 and blocks[i] > 1]
+        self._forget()
+        if len(kept) <= _PIECES // 2:
+            slots = np.array([i for _, i in kept], dtype=np.int64)
+            self._append([p for p, _ in kept], gather(ids, start[slots], count[slots]), count[slots])
+
+    def _append(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        held, used = self._held, self._used
+        while held + len(pieces) > len(self._start):
+            for name in ("_start", "_count", "_blocks"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        while used + len(ids) > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        self._ids[used : used + len(ids)] = ids
+        end = held + len(pieces)
+        self._count[held:end] = counts
+        self._start[held:end] = used + np.cumsum(counts) - counts
+        self._blocks[held:end] = 0
+        self._at.update(zip(pieces, range(held, end), strict=True))
+        self._held, self._used = end, used + len(ids)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Merge new pieces. All are joined to one text for the model; an id covers
+        a known number of bytes, which tells where a piece's ids end."""
+        written, named, sizes = [], [], []
+        letters = self._letters
+        for p in pieces:
+            raw = p
+            if self._words:
+                raw = p.strip(_STRIP).lower()
+                if not raw:
+                    self._at[p] = 0
+                    continue
+            if not raw.isascii() or not raw.isprintable() or " " in raw:
+                raw = raw.encode("utf-8").decode("latin-1").translate(letters)
+            written.append(raw)
+            named.append(p)
+            sizes.append(len(raw))
+        for at in range(0, len(named), _JOINED):
+            some = slice(at, at + _JOINED)
+            found = self._bare.encode_batch_fast([" ".join(written[some])], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype=np.uint32)
+            ends = np.searchsorted(np.cumsum(self._id_bytes[ids]), np.cumsum(sizes[some])) + 1
+            self._append(named[some], ids, np.diff(ends, prepend=0))
+
+    def _slots(self, dictionary: pa.Array) -> np.ndarray:
+        pieces = dictionary.to_pylist()
+        if self._held + len(pieces) > _PIECES:
+            self._shrink()
+        new = [p for p in pieces if p not in self._at]
+        if new:
+            self._learn(new)
+        at = self._at
+        return np.fromiter((at[p] for p in pieces), dtype=np.int64, count=len(pieces))
+
+    # --------------------------------------------------------------------------- texts
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece after a space, from one text of all of them."""
-        text = " " + " ".join(pieces)
-        if self._begins is not None or all(map(str.isalpha, pieces)):
-            # a piece has one id that begins with the space, or a word one that ends it
-            raw = self._whole([text])[0]
-            ids = np.frombuffer(raw, "<u4")
-            if self._begins is not None:
-                cuts = np.append(np.flatnonzero(self._begins[ids]), len(ids))
-            else:
-                cuts = np.append(0, np.flatnonzero(self._ends[ids]) + 1)
-            if len(cuts) != len(pieces) + 1:
-                return self._whole([" " + p for p in pieces])
-        else:
-            # the ids of a piece are those whose place in the text is within it
-            found = self._tokenizer.encode(text, add_special_tokens=False)
-            raw = np.array(found.ids, dtype="<u4").tobytes()
-            places = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.append(0, np.searchsorted(places, np.cumsum([len(p) + 1 for p in pieces])))
-        cuts = (4 * cuts).tolist()
-        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        table = self._pieces
-        table[_HEAD] = b""
-        new = pieces.difference(table)
-        if len(table) > _PIECES // 2:
-            self._used |= pieces - new
-        if len(table) + len(new) > _PIECES:
-            # those met once only make room
-            kept = {p: table[p] for p in self._used if p in table}
-            table = self._pieces = kept if len(kept) < _PIECES // 2 else {}
-            self._used = set()
-            table[_HEAD] = b""
-            new = pieces.difference(table)
-        plain: list[str] = []
-        marked: list[str] = []
-        odd: list[str] = []
-        like: list[tuple[str, str]] = []
-        simple = plain.append
-        for p in new:
-            if p.isalpha() and p.isascii() and p.islower():
-                simple(p)
-            elif p.isascii() and p.isprintable() or p.isprintable() and is_normalized("NFC", p) and "\u0130" not in p:
-                if not p:
-                    table[p] = None
-                elif p[-1] in _MARKS and p[-2:-1].isalpha():
-                    # a mark after a letter is a piece of its own for the tokenizer
-                    marked.append(p)
-                elif self._lowers and p.isascii() and not p.islower():
-                    like.append((p, p.lower()))
-                else:
-                    plain.append(p)
-            elif p[0].isspace() or p[-1].isspace():
-                table[p] = None
-            else:
-                odd.append(p)
-        if self._lowers:
-            marks = [(p, p[:-1].lower() if p.isascii() else p[:-1]) for p in marked]
+        return [np.array(e.ids, dtype=np.uint32) for e in found]
+
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of some texts begin, and which texts are to go to the
+        library. ``data``: the texts' UTF-8 bytes; ``offsets``: where each begins."""
+        n = len(data)
+        at, where = _code_points(data)
+        classes = np.empty(n, dtype=np.uint8)
+        self._look_up(np.arange(128))
+        np.take(self._classes[:256], data, out=classes)
+        self._look_up(at)
+        classes[where] = self._classes[at]
+        text = np.searchsorted(offsets, np.flatnonzero(classes == _ODD), side="right") - 1
+        # classes of whole characters, by their first bytes
+        first = np.flatnonzero((data & 0xC0) != 0x80)
+        c = classes[first]
+        begin = np.zeros(n + 1, dtype=bool)
+        begin[offsets] = True
+        begin = begin[:n][first]
+        white = (c == _S) | (c == _W)
+        change = np.ones(len(c), dtype=bool)
+        change[1:] = c[1:] != c[:-1]
+        starts = change.copy()
+        starts[1:] &= ~(white[1:] & white[:-1])
+        if self._form == "words":
+            starts |= c == _N
         else:
-            marks = [(p, p[:-1]) for p in marked]
-        stems = {q for _, q in marks}.union(q for _, q in like)
-        plain += stems.difference(table).difference(plain)
-        plain.sort(key=str.isalpha)  # words apart from the rest
-        for at in range(0, len(plain), _JOINED):
-            some = plain[at : at + _JOINED]
-            table.update(zip(some, self._joined(some), strict=True))
-        for p, q in marks:
-            table[p] = table[q] + self._marks[p[-1]]
-        for p, q in like:
-            table[p] = table[q]
-        table.update(zip(odd, self._whole([" " + p for p in odd]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), _BLOCK):
-            block = texts[at : at + _BLOCK]
-            cut = [t.split(" ") for t in block]
-            if self._spaceless:
-                heads, head_ids = [""] * len(cut), [b""] * len(cut)
-            else:
-                heads = [c[0] for c in cut]
-                head_ids = self._whole(heads)
-                for c in cut:
-                    c[0] = _HEAD
-            self._learn(set().union(*cut))
-            for text, parts, head, ids in zip(block, cut, heads, head_ids, strict=True):
-                try:
-                    if head[-1:].isspace():
-                        raise TypeError
-                    out.append(ids + b"".join(map(self._pieces.__getitem__, parts)))
-                except TypeError:
-                    out += self._whole([text])
-        return out
+            # the last white space before something else stands apart, and
+            # a space goes with what follows
+            last = np.zeros(len(c), dtype=bool)
+            last[:-1] = white[:-1] & ~white[1:] & ~begin[1:]
+            starts |= last
+            after = np.zeros(len(c), dtype=bool)
+            after[1:] = (c[:-1] == _S) & ~white[1:]
+            starts &= ~after
+        starts |= begin
+        self._endings(data, first, begin, starts)
+        return first[starts], text
+
+    def _endings(self, data: np.ndarray, first: np.ndarray, begin: np.ndarray, starts: np.ndarray) -> None:
+        """An apostrophe that begins a piece takes a following ending with it."""
+        marks = np.flatnonzero(starts & (data[first] == ord("'")))
+        if not len(marks):
+            return
+        chars = np.append(data[first], [0, 0]).astype(np.uint8)
+        if self._form == "words":
+            chars = np.where((chars >= 65) & (chars <= 90), chars + 32, chars)
+        edge = np.append(begin, [True, True])
+        for ending in _ENDINGS:
+            fits = np.ones(len(marks), dtype=bool)
+            for k, letter in enumerate(ending, 1):
+                fits &= (chars[np.minimum(marks + k, len(chars) - 1)] == ord(letter)) & ~edge[
+                    np.minimum(marks + k, len(edge) - 1)
+                ]
+            found = marks[fits]
+            starts[found + 1] = False
+            end = found + len(ending) + 1
+            starts[end[end < len(starts)]] = True
+
+    def _look_up(self, points: np.ndarray) -> None:
+        new = np.unique(points[self._classes[points] == _NEW])
+        self._classes[new] = [_class_of(chr(p), self._words) for p in new.tolist()]
+
+    def _block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        n = len(column)
+        if self._form is None:
+            return join_arrays(self._whole(column.to_pylist()))
+        data, ends = bytes_of(column)
+        starts, left = self._cuts(data, ends)
+        odd = np.zeros(n, dtype=bool)
+        odd[left] = True
+        for string in self._added:
+            odd |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
+        pieces = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)
+        )
+        at = np.searchsorted(starts, ends)  # the first piece of each text
+        row = np.repeat(np.arange(n), np.diff(at))
+        coded = pieces.dictionary_encode()
+        codes = np.asarray(coded.indices)
+        used = np.zeros(len(coded.dictionary), dtype=bool)
+        used[codes[~odd[row]]] = True
+        slots = np.zeros(len(used), dtype=np.int64)
+        slots[used] = self._slots(coded.dictionary.filter(pa.array(used)))
+        self._blocks[slots] += 1
+        slots = slots[codes]
+        if odd.any():
+            slots[odd[row]] = 0  # no ids from pieces
+        counts = self._count[slots]
+        offsets = np.append(0, np.cumsum(counts))[at]
+        ids = gather(self._ids, self._start[slots], counts)
+        if not odd.any():
+            return ids, offsets
+        rows = [ids[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        rest = np.flatnonzero(odd)
+        for i, found in zip(rest.tolist(), self._whole(column.take(pa.array(rest)).to_pylist()), strict=True):
+            rows[i] = found
+        return join_arrays(rows)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a string column one after the other, and where
+        each text's begin (with the end as the last). Null counts as empty."""
+        found = [self._block(part) for part in blocks_of(texts)]
+        if not found:
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        sizes = np.concatenate([np.diff(offsets) for _, offsets in found])
+        return np.concatenate([ids for ids, _ in found]), np.append(0, np.cumsum(sizes))
+
+    def encode_all(self, texts: pa.Array, end_id: int = END_ID) -> list[np.ndarray]:
+        """The ids of each text, ``end_id`` after them."""
+        ids, offsets = self.encode(texts)
+        ids = np.insert(ids, offsets[1:], np.uint32(end_id))
+        offsets = (offsets + np.arange(len(offsets))).tolist()
+        return [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def blocks_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of a string column of about ``_BLOCK_BYTES``, or one longer text."""
+    column = texts.fill_null("") if texts.null_count else texts
+    ends = np.cumsum(np.asarray(pc.binary_length(column), dtype=np.int64))
+    row, done = 0, 0
+    while row < len(column):
+        end = max(int(np.searchsorted(ends, done + _BLOCK_BYTES, side="right")), row + 1)
+        yield column.slice(row, end - row)
+        row, done = end, int(ends[end - 1])
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column without nulls, and where each text's begin."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offset_buffer, data_buffer = column.buffers()
+    offsets = np.frombuffer(offset_buffer, dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(data_buffer, dtype=np.uint8) if data_buffer is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all characters beyond ASCII, and the places of their first bytes."""
+    places, points = [], []
+    for low, high, more in ((0xC0, 0xE0, 1), (0xE0, 0xF0, 2), (0xF0, 0xF8, 3)):
+        at = np.flatnonzero((data >= low) & (data < high))
+        point = data[at].astype(np.int64) & (0x3F >> more)
+        for k in range(1, more + 1):
+            point = point << 6 | (data[at + k] & 0x3F)
+        places.append(at)
+        points.append(point)
+    return np.concatenate(points), np.concatenate(places)
+
+
+def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``values[start : start + count]`` of all entries, one after the other."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts - ends + counts, counts) + np.arange(total)]
+
+
+def join_arrays(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(r) for r in rows], dtype=np.int64)
+    return np.concatenate([np.zeros(0, np.uint32), *rows]), np.append(0, np.cumsum(sizes))

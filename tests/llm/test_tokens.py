@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_helpers import awkward_rows, make_docs, prose
 from tokenizers import Tokenizer
@@ -15,29 +16,52 @@ from quarry.llm.token_file import with_checksum as token_checksum
 from quarry.llm.tokens import Encoder
 
 
-def whole_ids(path, texts):
+def whole_ids(path, texts, special=True):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special
     return [np.array(e.ids, dtype="<u4") for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
-def odd_texts(count=1500):
+def odd_texts(count=3000):
     rng = random.Random(7)
-    letters = list("abAB ,.!'\n\té1²İ́    x\x1c")
+    letters = list("abAB ,.!'\n\té1²İ́ \u3000   x\x1c\x0b\x85\xa0") + ["'s", "'re", "'LL", "<|endoftext|>"]
     fixed = [
-        "", " ", "  a  b ", "\n x\n y \n", "it's we're 's x", "İ Σ ς ΑΣ b", "á b́ c", "x\x1cy z \x85 w",
-        "<|endoftext|> a <|startoftext|>", "1,2 3. 4x, ,, ..", "日本語 テキスト、 です。 ok", "👍🏽 a 👍 b", "a ", "²³, x² a²,",
+        "", " ", "  a  b ", "\n x\n y \n", "it's we're 's x", "IT'S we'RE 'S", "x,'s ''t 's's'll'", "İ Σ ς ΑΣ b",
+        "á b́ c", "x\x1cy z \x85 w", "<|endoftext|> a <|startoftext|>", "1,2 3. 4x, ,, ..",
+        "日本語 テキスト、 です。 ok", "👍🏽 a 👍 b", "a ", "²³, x² a²,", "K \u212a ſ 'ſ", "각 각", "«a» — „b“", "ǅ ẞ ß",
+        "a  \n\n  b\n\nc   \n", "🫨 ꟑ \U00031350", "word " * 40_000,
     ]
     return fixed + ["".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(count)]
 
 
+def test_special_strings_get_the_ids_of_the_library():
+    assert [x.tolist() for x in whole_ids(BYTE_BPE, ["a<|endoftext|>"])] == [[64, 50256]]
+    assert [x.tolist() for x in Encoder(BYTE_BPE).encode_all(pa.array(["a<|endoftext|>"]))] == [[64, 50256, 1]]
+
+
+@pytest.mark.parametrize("special", [True, False])
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
-def test_pieces_give_the_ids_of_the_whole_text(path, monkeypatch):
+def test_pieces_give_the_ids_of_the_whole_text(path, special, monkeypatch):
     texts = odd_texts() + [prose(random.Random(i), 200) + "." for i in range(50)]
-    want = [x.tobytes() for x in whole_ids(path, texts)]
-    assert Encoder(path).encode(texts) == want
+    want = [x.tolist() for x in whole_ids(path, texts, special)]
+
+    def found():
+        ids, offsets = Encoder(path, special).encode(pa.array(texts))
+        return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    assert found() == want
     monkeypatch.setattr(tokens, "_PIECES", 300)  # forgets pieces all the time
-    assert Encoder(path).encode(texts) == want
+    monkeypatch.setattr(tokens, "_BLOCK_BYTES", 500)
+    assert found() == want
+
+
+def test_the_encoder_takes_slices_nulls_and_both_string_types():
+    column = pa.array([None, "a b", "", "é, c's"])
+    want = [[], *(x.tolist() for x in whole_ids(BYTE_BPE, ["a b", "", "é, c's"]))]
+    for kind in (pa.string(), pa.large_string()):
+        for first in range(5):
+            got = Encoder(BYTE_BPE).encode_all(column.cast(kind).slice(first))
+            assert [x.tolist() for x in got] == [[*w, 1] for w in want[first:]]
 
 
 def test_packed_ids_round_trip():
