@@ -7,6 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.fill_in_middle import fill_in_middle
+from quarry.llm.fill_in_middle import with_digests as fim_digests
 from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.hmm_score import score_documents
 from quarry.llm.license_scan import scan_licenses
@@ -79,6 +81,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(fill_in_middle(_table(spark, sf_dir, "documents"), salt="7:", rate=100, spm=50))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
@@ -90,4 +96,5 @@ QUERIES = {
     "op8_hmm_score": op8_hmm_score,
     "op9_fingerprint": op9_fingerprint,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
