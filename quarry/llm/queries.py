@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.align import align_documents
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.fill_in_middle import fill_in_middle
 from quarry.llm.fill_in_middle import with_digests as fim_digests
@@ -24,6 +25,7 @@ from quarry.session import scratch_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 # Fixed values of the URL query.
 URL_RULES = [
@@ -85,6 +87,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(fill_in_middle(_table(spark, sf_dir, "documents"), salt="7:", rate=100, spm=50))
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
@@ -97,4 +103,5 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_align": op13_align,
 }
