@@ -38,7 +38,7 @@ from quarry.llm.common import BROADCAST_ROWS, column_of, stage
 from quarry.llm.tokens import encoder
 
 SIZE = 2048
-_ROWS = 2000  # documents encoded at once
+_ROWS = 400  # documents encoded at once
 
 _PIECE = "doc_id bigint, start bigint, length int, doc_tokens bigint, task int, place bigint, ids binary"
 

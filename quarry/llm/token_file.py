@@ -36,7 +36,7 @@ from quarry.llm.packing import pack_ids, unpack_ids
 from quarry.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 18
-_ROWS = 2000  # documents encoded at once
+_ROWS = 400  # documents encoded at once
 
 # ------------------------------------------------------------------------- the coding
 

@@ -26,9 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-_PIECES = 400_000  # distinct pieces remembered per worker
+_PIECES = 350_000  # distinct pieces remembered per worker
 _JOINED = 1000  # new pieces merged in one call
-_BLOCK_BYTES = 1 << 22  # text that is cut at once
+_BLOCK_BYTES = 1 << 21  # text that is cut at once
 
 # Unicode's white space.
 _SPACES = frozenset([*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
@@ -104,7 +104,7 @@ class Encoder:
         self._bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         letters = byte_letters()
         self._letters = {b: letters[b] for b in range(256)}
-        names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
+        names = self.names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
         self._id_bytes = np.array([len(n.removesuffix("</w>") if self._words else n) for n in names], dtype=np.int64)
         self._classes = np.full(0x110000, _NEW, dtype=np.uint8)
         self._forget()
@@ -147,11 +147,13 @@ class Encoder:
     def _shrink(self) -> None:
         """Keep the pieces that more than one block held, if these are few enough."""
         at, ids, start, count, blocks = self._at, self._ids, self._start, self._count, self._blocks
-        kept = [(p, i) for p, i in at.items() if i > 0 and blocks[i] > 1]
+        again = blocks > 1
+        pieces = [p for p, i in at.items() if again[i] and i]
+        slots = np.array([at[p] for p in pieces], dtype=np.int64)
+        del at
         self._forget()
-        if len(kept) <= _PIECES // 2:
-            slots = np.array([i for _, i in kept], dtype=np.int64)
-            self._append([p for p, _ in kept], gather(ids, start[slots], count[slots]), count[slots])
+        if len(pieces) <= _PIECES // 2:
+            self._append(pieces, gather(ids, start[slots], count[slots]), count[slots])
 
     def _append(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         held, used = self._held, self._used
@@ -213,7 +215,7 @@ class Encoder:
         """Where the pieces of some texts begin, and which texts are to go to the
         library. ``data``: the texts' UTF-8 bytes; ``offsets``: where each begins."""
         n = len(data)
-        at, where = _code_points(data)
+        at, where = code_points(data)
         classes = np.empty(n, dtype=np.uint8)
         self._look_up(np.arange(128))
         np.take(self._classes[:256], data, out=classes)
@@ -343,7 +345,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all characters beyond ASCII, and the places of their first bytes."""
     places, points = [], []
     for low, high, more in ((0xC0, 0xE0, 1), (0xE0, 0xF0, 2), (0xF0, 0xF8, 3)):
