@@ -12,6 +12,7 @@ from quarry.llm.fill_in_middle import fill_in_middle
 from quarry.llm.fill_in_middle import with_digests as fim_digests
 from quarry.llm.fingerprint import neighbour_fingerprints
 from quarry.llm.hmm_score import score_documents
+from quarry.llm.language import identify_languages
 from quarry.llm.license_scan import scan_licenses
 from quarry.llm.mixing import mix_sources
 from quarry.llm.ngram_join import near_duplicates
@@ -83,6 +84,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"), folds=3, fold=1).drop("spans")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(fill_in_middle(_table(spark, sf_dir, "documents"), salt="7:", rate=100, spm=50))
 
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_hmm_score": op8_hmm_score,
     "op9_fingerprint": op9_fingerprint,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_language": op11_language,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_align": op13_align,
 }

@@ -325,13 +325,15 @@ class Encoder:
         return [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def blocks_of(texts: pa.Array) -> Iterator[pa.Array]:
-    """Slices of a string column of about ``_BLOCK_BYTES``, or one longer text."""
+def blocks_of(texts: pa.Array, size: int = 0) -> Iterator[pa.Array]:
+    """Slices of a string column of ``size`` bytes at most, or one longer text.
+    Null counts as empty."""
+    size = size or _BLOCK_BYTES
     column = texts.fill_null("") if texts.null_count else texts
     ends = np.cumsum(np.asarray(pc.binary_length(column), dtype=np.int64))
     row, done = 0, 0
     while row < len(column):
-        end = max(int(np.searchsorted(ends, done + _BLOCK_BYTES, side="right")), row + 1)
+        end = max(int(np.searchsorted(ends, done + size, side="right")), row + 1)
         yield column.slice(row, end - row)
         row, done = end, int(ends[end - 1])
 
