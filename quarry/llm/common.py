@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.tokens import bytes_of
 from quarry.session import remove_dir, scratch_dir
 
 SHINGLE_WORDS = 5
@@ -87,6 +88,7 @@ def _byte_values() -> np.ndarray:
 _BASE = 0x2545F4914F6CDD1D
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _VALUES = _byte_values()
+_LOWER = np.frombuffer(ASCII_LOWER, dtype=np.uint8)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _PLACE = _splitmix(np.arange(1000, 1000 + SHINGLE_WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -184,6 +186,37 @@ def shingles_of_text(text: str | None) -> np.ndarray:
     return shingle_hashes(data, np.array([0, len(data)], dtype=np.int64))[0]
 
 
+def word_codes(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of a string column without nulls: the distinct ones (binary),
+    the place of each word among them in text order, and where each text's begin."""
+    data, offsets = bytes_of(column)
+    data = _LOWER[data]
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1] | edge[1:-1]
+    last[:-1] &= ~word[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    # words and what lies between them, alternating
+    edges = np.append(np.stack([starts, ends], axis=1).ravel(), len(data)).astype(np.int64)
+    both = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)]
+    )
+    coded = both.take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
+    codes = np.asarray(coded.indices).astype(np.int64)
+    return coded.dictionary.cast(pa.binary()), codes, np.searchsorted(starts, offsets)
+
+
+def segment_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of ``values[at[i] : at[i + 1]]``; equal segments have equal sums."""
+    out = np.zeros(len(at) - 1, dtype=values.dtype)
+    some = np.flatnonzero(at[1:] > at[:-1])
+    if len(some):
+        out[some] = np.add.reduceat(values, at[some])
+    return out
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

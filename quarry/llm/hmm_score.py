@@ -1,53 +1,63 @@
 """Language-model scores from a hidden Markov model.
 
-The model emits word classes: each of the ``OWN`` most frequent words has a
-class of its own, all other words share ``ENDINGS`` classes by their last three
-bytes, and the end of a text has one. Within a shared class a word has
-``(c + 1) / (N_class + V_class + 1)``, ``c`` its count in training; one unseen
-word per class takes the rest. So the states learn from a bounded number of
-classes, while word counts grow with the corpus and stay in a distributed table.
+The model emits word classes: the most frequent words, ``OWN_SCALE`` times the
+square root of the vocabulary, have a class each, all other words share
+``ENDINGS`` classes by their last three bytes, and the end of a text has one.
+Within a shared class a word has ``(c + 1) / (N_class + V_class + 1)``, ``c`` its
+count in training; one unseen word per class takes the rest. So the states learn
+from classes that grow slowly with the corpus, while word counts grow with it and
+stay in a distributed table.
 
 Training counts all words in Spark and runs Baum-Welch over all training texts:
 tasks run scaled forward-backward recursions over blocks of texts of similar
 length and add up expected counts, which are summed in two steps in Spark; only
-the sums, of fixed size, reach the driver. Scoring is the scaled forward
-recursion (exact likelihood over all state paths) plus, per text, the sum over
-its rarer words, which one join with the word table gives. Frequent words
-(``FREQUENT``) are looked up in the task instead, so that join has no hot keys.
+the sums, a few numbers per class, reach the driver. Rounds go on until one
+raises the likelihood by less than ``GAIN`` of itself; ``MOST_ROUNDS`` without
+that raise an error. Scoring is the scaled forward recursion (exact likelihood over
+all state paths) plus, per text, the sum over its rarer words, which one join with
+the word table gives. Frequent words (``FREQUENT``) are looked up in the task
+instead, so that join has no hot keys.
+
+The states start from the word classes of ``SEED_TEXTS`` whole texts, chosen by
+hash: a bounded sample that decides where the rounds begin, not what they count.
 
 Defined results: null text counts as empty, which is the end token alone; rows
 without an identifier have the identifier null and belong to training; repeated
-rows get equal scores and are counted as often as they occur; an empty
-table gives an empty result; other columns are not read.
+rows get equal scores and are counted as often as they occur; words of equal
+count are ranked by their bytes; a very long text is worked on in pieces of
+``CELLS`` tokens, from the state that the piece before left, so its memory is a
+few bytes a token; an empty table gives an empty result; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import column_of, drop_stages, stage, words_of
+from quarry.llm.common import column_of, drop_stages, segment_sums, stage, word_codes
+from quarry.llm.tokens import blocks_of
 
-OWN = 4096
+OWN_SCALE = 2.0
 ENDINGS = 2048
 FREQUENT = 50_000
 STATES = 6
-ROUNDS = 4
+GAIN = 0.002  # of the log likelihood, by a round
+MOST_ROUNDS = 200
 SEED_TEXTS = 300  # texts that give the states their first, rough, emissions
 CELLS = 300_000  # tokens, with padding, that a recursion works on at once
-CHUNK = 2048  # classes per row of summed counts
+CHUNK = 2048  # numbers per row of summed counts
 SUM_FAN = 32
-CLASSES = OWN + ENDINGS + 1
-END = CLASSES - 1
-_CACHE = 200_000
+_BLOCK_BYTES = 1 << 22
+_ROWS = 200_000  # rows of a batch of counted words
 
 
 def held_out(id_col="doc_id", folds: int = 7, fold: int = 2):
@@ -55,23 +65,8 @@ def held_out(id_col="doc_id", folds: int = 7, fold: int = 2):
     return F.crc32(text.cast("binary")) % folds == fold
 
 
-def shared_class(word: bytes) -> int:
-    return OWN + crc32(word[-3:]) % ENDINGS
-
-
-class _ClassOf(dict):
-    """Class of a word; those of rarer words are remembered up to a bound."""
-
-    def __init__(self, own: dict[bytes, int]):
-        super().__init__(own)
-        self.own = own
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHE + len(self.own):
-            self.clear()
-            self.update(self.own)
-        found = self[word] = shared_class(word)
-        return found
+def ending_of(word: bytes) -> int:
+    return crc32(word[-3:]) % ENDINGS
 
 
 # -------------------------------------------------------------------------- word counts
@@ -79,21 +74,12 @@ class _ClassOf(dict):
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: Counter = Counter()
-        texts = column_of(batch, "text")
-        for i in range(len(texts)):
-            counts.update(words_of(texts[i].as_py()))
-            if len(counts) > 400_000:
-                yield _counted(counts)
-                counts = Counter()
-        if counts:
-            yield _counted(counts)
-
-
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-    )
+        for part in blocks_of(column_of(batch, "text"), _BLOCK_BYTES):
+            words, codes, _ = word_codes(part)
+            counts = pa.array(np.bincount(codes, minlength=len(words)).astype(np.int64))
+            found = pa.RecordBatch.from_arrays([words, counts], ["word", "n"])
+            for at in range(0, len(found), _ROWS):
+                yield found.slice(at, _ROWS)
 
 
 class Corpus:
@@ -107,16 +93,21 @@ class Corpus:
         # the end of a text is a token too
         self.tokens = (row["n"] or 0) + self.texts
         self.distinct = row["v"] + (1 if self.texts else 0)
-        top = self.words.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
-        self.frequent = {bytes(r["word"]): r["c"] for r in top}
-        self.own = {bytes(r["word"]): i for i, r in enumerate(top[:OWN])}
+        own = math.ceil(OWN_SCALE * math.sqrt(row["v"]))
+        top = self.words.orderBy(F.desc("c"), "word").limit(max(FREQUENT, own)).collect()
+        # the words by rank; the first ``own`` have a class each
+        self.frequent = [bytes(r["word"]) for r in top]
+        self.frequent_counts = np.array([r["c"] for r in top], dtype=np.int64)
+        self.own = min(own, len(top))
+        self.classes = self.own + ENDINGS + 1
+        self.end = self.classes - 1
         ending = F.crc32(F.substring("word", -3, 3)) % ENDINGS
         sums = self.words.groupBy(ending.alias("e")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-        self.class_size = np.zeros(CLASSES)
+        self.class_size = np.zeros(self.classes)
         for r in sums:
-            self.class_size[OWN + r["e"]] = r["n"] + r["v"] + 1
-        for word in self.own:
-            self.class_size[shared_class(word)] -= self.frequent[word] + 1
+            self.class_size[self.own + r["e"]] = r["n"] + r["v"] + 1
+        for word, count in zip(self.frequent[: self.own], self.frequent_counts.tolist(), strict=False):
+            self.class_size[self.own + ending_of(word)] -= count + 1
         self.class_size[self.class_size == 0] = 1
 
     @property
@@ -133,82 +124,74 @@ _SEQ = (
 )
 
 
+def _ids_type(classes: int) -> str:
+    return "<u2" if classes <= 1 << 16 else "<u4"
+
+
 def _sequences(docs: DataFrame, corpus: Corpus) -> DataFrame:
     """Per text its classes, and the parts of the scores that frequent words
     and the end give (``base`` and ``inner``: log10 of the numerators; of
     ``inner`` also the denominators of the shared classes)."""
-    own, frequent = corpus.own, corpus.frequent
+    frequent, own, end = corpus.frequent, corpus.own, corpus.end
+    kind = _ids_type(corpus.classes)
     size_log = np.log10(np.maximum(corpus.class_size, 1.0))
-    size_log[:OWN] = size_log[END] = 0.0
+    size_log[:own] = size_log[end] = 0.0
+    logs = np.append(np.log10(corpus.frequent_counts + 1.0), 0.0)  # the last for words that are not frequent
     end_log = math.log10(corpus.texts + 1)
     end_known = 1 if corpus.texts else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class_of = _ClassOf(own)
-        logs = {w: math.log10(c + 1) for w, c in frequent.items()}
+        known_words = pa.array(frequent, pa.binary())
         for batch in batches:
-            texts = column_of(batch, "text")
-            n_tokens, n_known, base, inner, blobs = [], [], [], [], []
-            for i in range(len(texts)):
-                words = words_of(texts[i].as_py())
-                classes = np.fromiter(map(class_of.__getitem__, words), np.uint16, len(words))
-                known, total, within = end_known, end_log, 0.0
-                for w, n in Counter(words).items():
-                    if w in logs:
-                        known += n
-                        total += n * logs[w]
-                        if w not in own:
-                            within += n * logs[w]
-                n_tokens.append(len(words) + 1)
-                n_known.append(known)
-                base.append(total)
-                inner.append(within - float(size_log[classes].sum()))
-                blobs.append(np.append(classes, np.uint16(END)).astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(column_of(batch, c) for c in ("doc_id", "mark", "held_out")),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(inner, pa.float64()),
-                    pa.array(blobs, pa.binary()),
-                ],
-                [f.split()[0] for f in _SEQ.split(", ")],
-            )
+            done = 0
+            for part in blocks_of(column_of(batch, "text"), _BLOCK_BYTES):
+                words, codes, at = word_codes(part)
+                rank = pc.fill_null(pc.index_in(words, known_words), -1).to_numpy().astype(np.int64)
+                has_class = (rank >= 0) & (rank < own)
+                shared = np.array([ending_of(w) for w in words.to_pylist()], dtype=np.int64)
+                classes = np.where(has_class, rank, own + shared)
+                inner = np.where(has_class, 0.0, logs[rank]) - size_log[classes]
+                with_end = np.insert(classes[codes], at[1:], end).astype(kind)
+                cuts = (at + np.arange(len(at))).tolist()
+                blobs = [with_end[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(column_of(batch, c).slice(done, len(part)) for c in ("doc_id", "mark", "held_out")),
+                        pa.array(np.diff(at) + 1),
+                        pa.array(segment_sums((rank >= 0).astype(np.int64)[codes], at) + end_known),
+                        pa.array(segment_sums(logs[rank][codes], at) + end_log),
+                        pa.array(segment_sums(inner[codes], at)),
+                        pa.array(blobs, pa.binary()),
+                    ],
+                    [f.split()[0] for f in _SEQ.split(", ")],
+                )
+                done += len(part)
 
     return docs.mapInArrow(run, _SEQ)
 
 
 def _rare_words(docs: DataFrame, corpus: Corpus) -> DataFrame:
     """``doc_id, mark, word, n`` of the words that are not frequent."""
-    frequent = frozenset(corpus.frequent)
+    frequent = corpus.frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_words = pa.array(frequent, pa.binary())
         for batch in batches:
-            texts = column_of(batch, "text")
-            ids, marks = column_of(batch, "doc_id"), column_of(batch, "mark")
-            places: list[int] = []
-            words: list[bytes] = []
-            times: list[int] = []
-
-            def rows(places=places, words=words, times=times, ids=ids, marks=marks):
-                at = pa.array(places, pa.int64())
-                return pa.RecordBatch.from_arrays(
-                    [ids.take(at), marks.take(at), pa.array(words, pa.binary()), pa.array(times, pa.int32())],
-                    ["doc_id", "mark", "word", "n"],
-                )
-
-            for i in range(len(texts)):
-                found = Counter(words_of(texts[i].as_py()))
-                rare = found.keys() - frequent
-                words += rare
-                times += [found[w] for w in rare]
-                places += [i] * len(rare)
-                if len(words) > 200_000:
-                    yield rows()
-                    places.clear(), words.clear(), times.clear()
-            if words:
-                yield rows()
+            ids, marks, done = column_of(batch, "doc_id"), column_of(batch, "mark"), 0
+            for part in blocks_of(column_of(batch, "text"), _BLOCK_BYTES):
+                words, codes, at = word_codes(part)
+                rare = pc.is_null(pc.index_in(words, known_words)).to_numpy(zero_copy_only=False)[codes]
+                row = np.repeat(np.arange(len(part)), np.diff(at))
+                found, times = np.unique(row[rare] * len(words) + codes[rare], return_counts=True)
+                for first in range(0, len(found), _ROWS):
+                    some = found[first : first + _ROWS]
+                    place = pa.array(some // len(words) + done)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(place), marks.take(place), words.take(pa.array(some % len(words))),
+                         pa.array(times[first : first + _ROWS].astype(np.int32))],
+                        ["doc_id", "mark", "word", "n"],
+                    )
+                done += len(part)
 
     return docs.select("doc_id", "mark", "text").mapInArrow(run, "doc_id bigint, mark bigint, word binary, n int")
 
@@ -218,72 +201,108 @@ def _rare_words(docs: DataFrame, corpus: Corpus) -> DataFrame:
 
 class Parameters:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit  # (K,), (K, K), (CLASSES, K)
+        self.start, self.move, self.emit = start, move, emit  # (K,), (K, K), (classes, K)
+
+    @property
+    def kind(self) -> str:
+        return _ids_type(len(self.emit))
 
 
-def _blocks(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(blobs: list[bytes], kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places, lengths (descending) and padded classes by time of similar texts."""
-    sequences = [np.frombuffer(b, "<u2") for b in blobs]
+    sequences = [np.frombuffer(b, kind) for b in blobs]
     lengths = np.array([len(s) for s in sequences])
     order = np.argsort(-lengths, kind="stable")
     at = 0
     while at < len(order):
         longest = int(lengths[order[at]])
         take = order[at : at + max(1, CELLS // longest)]
-        padded = np.zeros((longest, len(take)), dtype=np.int64)
+        padded = np.zeros((longest, len(take)), dtype=kind)
         for j, i in enumerate(take.tolist()):
             padded[: lengths[i], j] = sequences[i]
         yield take, lengths[take], padded
         at += len(take)
 
 
-def _forward(par: Parameters, lengths: np.ndarray, padded: np.ndarray, keep: bool):
-    """Log likelihoods; with ``keep`` also scaled alphas, scales, emissions."""
+def _pieces(padded: np.ndarray) -> list[slice]:
+    """The steps of a block in pieces of ``CELLS`` tokens; more than one only for
+    a text longer than that."""
+    size = max(1, CELLS // padded.shape[1])
+    return [slice(t, t + size) for t in range(0, len(padded), size)]
+
+
+def _active(lengths: np.ndarray, steps: int) -> np.ndarray:
+    """How many texts are longer than t."""
+    return np.searchsorted(-lengths, -np.arange(steps), side="left")
+
+
+def _forward(par: Parameters, before: np.ndarray | None, active: np.ndarray, padded: np.ndarray, keep: bool):
+    """One piece, from the scaled alphas of the step before it (none: the start).
+    The last alphas, the scales, and with ``keep`` all alphas and the emissions."""
     steps, width = padded.shape
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # texts longer than t
     alphas = np.zeros((steps, width, len(par.start))) if keep else None
     scales = np.ones((steps, width))
     emitted = par.emit[padded]
-    alpha = np.broadcast_to(par.start, (width, len(par.start)))
+    alpha = before
     for t in range(steps):
         a = active[t]
-        alpha = (alpha[:a] @ par.move if t else alpha[:a]) * emitted[t, :a]
+        alpha = (np.broadcast_to(par.start, (a, len(par.start))) if alpha is None else alpha[:a] @ par.move) * emitted[t, :a]
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
         scales[t, :a] = scale
         if keep:
             alphas[t, :a] = alpha
-    return np.log(scales).sum(axis=0), alphas, scales, emitted, active
+    return alpha, scales, alphas, emitted
+
+
+def _likelihoods(par: Parameters, lengths: np.ndarray, padded: np.ndarray) -> np.ndarray:
+    """Log likelihood of each text of a block."""
+    active, alpha, logs = _active(lengths, len(padded)), None, np.zeros(padded.shape[1])
+    for piece in _pieces(padded):
+        alpha, scales, _, _ = _forward(par, alpha, active[piece], padded[piece], keep=False)
+        logs += np.log(scales).sum(axis=0)
+    return logs
 
 
-def _expected(par: Parameters, lengths, padded, sums) -> float:
+def _expected(par: Parameters, lengths: np.ndarray, padded: np.ndarray, sums) -> float:
     """Add one block's expected counts to ``sums``; its log likelihood."""
-    logs, alphas, scales, emitted, active = _forward(par, lengths, padded, keep=True)
-    steps, width, k = alphas.shape
-    beta = np.ones((width, k))
-    moves = np.zeros((k, k))
-    for t in range(steps - 2, -1, -1):
-        a = active[t + 1]
-        ahead = emitted[t + 1, :a] * beta[:a] / scales[t + 1, :a, None]
-        moves += alphas[t, :a].T @ ahead
-        beta[:a] = ahead @ par.move.T
-        alphas[t, :a] *= beta[:a]
+    active, pieces = _active(lengths, len(padded)), _pieces(padded)
+    width, k = padded.shape[1], len(par.start)
+    # the alphas that each piece starts from; the last piece is run once only
+    entries: list = [None]
+    for piece in pieces[:-1]:
+        entries.append(_forward(par, entries[-1], active[piece], padded[piece], keep=False)[0])
     start, move, emit = sums
-    start += alphas[0].sum(axis=0)
+    moves, beta, total = np.zeros((k, k)), np.ones((width, k)), 0.0
+    ahead = None  # emission times beta over scale of the step after, for texts that go on
+    for piece, entry in zip(reversed(pieces), reversed(entries), strict=True):
+        live, classes = active[piece], padded[piece]
+        _, scales, alphas, emitted = _forward(par, entry, live, classes, keep=True)
+        total += float(np.log(scales).sum())
+        for t in range(len(classes) - 1, -1, -1):
+            if ahead is not None:
+                a = len(ahead)
+                moves += alphas[t, :a].T @ ahead
+                beta[:a] = ahead @ par.move.T
+            here = beta[: live[t]]
+            ahead = emitted[t, : live[t]] * here / scales[t, : live[t], None]
+            alphas[t, : live[t]] *= here
+        flat = classes.ravel()
+        for s in range(k):  # padding has alpha 0
+            emit[:, s] += np.bincount(flat, alphas[:, :, s].ravel(), minlength=len(emit))
+        if entry is None:
+            start += alphas[0].sum(axis=0)
     move += moves * par.move
-    flat = padded.ravel()
-    for s in range(k):  # padding has alpha 0
-        emit[:, s] += np.bincount(flat, alphas[:, :, s].ravel(), minlength=CLASSES)
-    return float(logs.sum())
+    return total
 
 
 def _task_sums(par: Parameters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(par.start)
-        sums = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
+        sums = np.zeros(k), np.zeros((k, k)), np.zeros(par.emit.shape)
         likelihood, seen = 0.0, False
         for batch in batches:
-            for _, lengths, padded in _blocks(column_of(batch, "classes").to_pylist()):
+            for _, lengths, padded in _blocks(column_of(batch, "classes").to_pylist(), par.kind):
                 likelihood += _expected(par, lengths, padded, sums)
                 seen = True
         if seen:
@@ -314,11 +333,11 @@ def _round(training: DataFrame, par: Parameters) -> tuple[Parameters, float]:
     schema = "part int, salt int, sums binary"
     tasks = training.select("classes").mapInArrow(_task_sums(par), schema)
     some = tasks.groupBy("part", "salt").applyInArrow(_add, schema)
-    rows = some.groupBy("part").applyInArrow(_add, schema).collect()  # a fixed number of rows
+    rows = some.groupBy("part").applyInArrow(_add, schema).collect()  # a few numbers per class
     flat = np.concatenate([np.frombuffer(r["sums"], np.float64) for r in sorted(rows, key=lambda r: r["part"])])
     k = len(par.start)
     start, move = flat[1 : k + 1], flat[k + 1 : k + 1 + k * k].reshape(k, k)
-    emit = flat[k + 1 + k * k :].reshape(CLASSES, k)
+    emit = flat[k + 1 + k * k :].reshape(-1, k)
     return _normalised(start, move, emit), float(flat[0])
 
 
@@ -327,18 +346,33 @@ def _normalised(start, move, emit) -> Parameters:
     return Parameters(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def _first_guess(training: DataFrame) -> Parameters:
+def _histograms(classes: int):
+    kind = _ids_type(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [
+                np.bincount(np.frombuffer(b.as_buffer(), kind), minlength=classes).astype("<i8").tobytes()
+                for b in column_of(batch, "classes")
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.binary())], ["counts"])
+
+    return run
+
+
+def _first_guess(training: DataFrame, classes: int) -> Parameters:
     """Emissions around texts that differ most, among a few chosen by hash.
     Only the starting point: all counts come from all training texts."""
-    picked = training.where("n_tokens > 1").orderBy(F.xxhash64("doc_id", "mark")).limit(SEED_TEXTS)
-    rows = [np.frombuffer(r["classes"], "<u2")[:5000] for r in picked.select("classes").collect()]
-    every = np.ones(CLASSES) * 0.01
+    picked = training.where("n_tokens > 1").orderBy(F.xxhash64("doc_id", "mark"), "doc_id", "mark").limit(SEED_TEXTS)
+    found = picked.select("classes").mapInArrow(_histograms(classes), "counts binary").collect()
+    rows = [np.frombuffer(r["counts"], "<i8") for r in found]
+    every = np.ones(classes) * 0.01
     for r in rows:
-        every += np.bincount(r, minlength=CLASSES)
+        every += r
     every /= every.sum()
     emit = np.repeat(every[:, None], STATES, axis=1)
     if rows:
-        hist = np.array([np.sqrt(np.bincount(r, minlength=CLASSES) / len(r)) for r in rows])
+        hist = np.array([np.sqrt(r / r.sum()) for r in rows])
         chosen = [int(np.argmax(hist @ np.sqrt(every)))]
         while len(chosen) < min(STATES, len(rows)):
             chosen.append(int(np.argmin((hist @ hist[chosen].T).max(axis=1))))
@@ -349,14 +383,20 @@ def _first_guess(training: DataFrame) -> Parameters:
     return Parameters(np.full(STATES, 1 / STATES), stay / stay.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def fit(training: DataFrame, rounds: int = ROUNDS) -> Parameters:
-    """Baum-Welch over all rows of ``training`` (a staged table of sequences)."""
-    par = _first_guess(training)
+def fit(training: DataFrame, classes: int, gain: float = GAIN, most_rounds: int = MOST_ROUNDS) -> Parameters:
+    """Baum-Welch over all rows of ``training`` (a staged table of sequences),
+    until a round raises the log likelihood by less than ``gain`` of itself."""
+    par = _first_guess(training, classes)
     if training.isEmpty():
         return par
-    for _ in range(rounds):
-        par, _ = _round(training, par)
-    return par
+    last = -math.inf
+    for _ in range(most_rounds):
+        # the likelihood is that of the parameters the round started from
+        par, likelihood = _round(training, par)
+        if likelihood - last < gain * abs(likelihood):
+            return par
+        last = likelihood
+    raise RuntimeError(f"the likelihood still rises after {most_rounds} rounds")
 
 
 def _forward_logs(sequences: DataFrame, par: Parameters) -> DataFrame:
@@ -365,8 +405,8 @@ def _forward_logs(sequences: DataFrame, par: Parameters) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs = np.zeros(len(batch))
-            for places, lengths, padded in _blocks(column_of(batch, "classes").to_pylist()):
-                logs[places] = _forward(par, lengths, padded, keep=False)[0]
+            for places, lengths, padded in _blocks(column_of(batch, "classes").to_pylist(), par.kind):
+                logs[places] = _likelihoods(par, lengths, padded)
             yield pa.RecordBatch.from_arrays(
                 [*(column_of(batch, n) for n in names), pa.array(logs / math.log(10))], [*names, "path"]
             )
@@ -375,7 +415,7 @@ def _forward_logs(sequences: DataFrame, par: Parameters) -> DataFrame:
     return sequences.mapInArrow(run, schema)
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score_documents(docs: DataFrame, gain: float = GAIN) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score`` (log10 probabilities of the whole text)."""
     rows = docs.select(
@@ -386,7 +426,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     corpus = Corpus(rows.where(~F.col("held_out")))
     sequences, path = stage(_sequences(rows, corpus), "sequences")
-    par = fit(sequences.where(~F.col("held_out")), rounds)
+    par = fit(sequences.where(~F.col("held_out")), corpus.classes, gain)
 
     counted = F.coalesce("c", F.lit(0))
     same = ["doc_id", "mark"]

@@ -5,12 +5,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import awkward_rows, make_docs, prose
 
 from quarry.llm import hmm_score
-from quarry.llm.common import words_of
-from quarry.llm.hmm_score import CLASSES, Corpus, Parameters, _blocks, _expected, _forward, fit, held_out, score_documents
+from quarry.llm.common import word_codes, words_of
+from quarry.llm.hmm_score import Corpus, Parameters, _blocks, _expected, _likelihoods, fit, held_out, score_documents
+
+CLASSES = 9
 
 
 def tiny(rng, k=3, classes=5):
@@ -37,16 +40,17 @@ def by_paths(par, seq):
     return total, start / total, move / total, emit / total
 
 
-def test_recursions_against_all_paths(monkeypatch):
-    monkeypatch.setattr(hmm_score, "CELLS", 14)  # several blocks
+@pytest.mark.parametrize("cells", [1, 2, 4, 14, 1000])
+def test_recursions_against_all_paths(monkeypatch, cells):
+    monkeypatch.setattr(hmm_score, "CELLS", cells)  # several blocks, and texts in several pieces
     rng = np.random.default_rng(4)
     par = tiny(rng)
     sequences = [rng.integers(0, 5, n) for n in (1, 2, 3, 5, 6, 1, 4)]
     blobs = [s.astype("<u2").tobytes() for s in sequences]
     sums = np.zeros(3), np.zeros((3, 3)), np.zeros((CLASSES, 3))
     logs, total = np.zeros(len(blobs)), 0.0
-    for places, lengths, padded in _blocks(blobs):
-        logs[places] = _forward(par, lengths, padded, keep=False)[0]
+    for places, lengths, padded in _blocks(blobs, "<u2"):
+        logs[places] = _likelihoods(par, lengths, padded)
         total += _expected(par, lengths, padded, sums)
     want = [by_paths(par, s) for s in sequences]
     assert np.allclose(logs, [math.log(w[0]) for w in want]) and np.isclose(total, logs.sum())
@@ -88,7 +92,7 @@ def check_base(rows, got):
 def test_base_scores_and_held_out_texts(spark, monkeypatch, frequent):
     """Also with a bound that sends nearly all words through the join."""
     monkeypatch.setattr(hmm_score, "FREQUENT", frequent)
-    monkeypatch.setattr(hmm_score, "OWN", min(hmm_score.OWN, frequent))
+    monkeypatch.setattr(hmm_score, "OWN_SCALE", 2.0 if frequent > 20 else 0.2)
     rows = languages(1, 600)
     got = score_documents(make_docs(spark, rows)).collect()
     check_base(rows, got)
@@ -100,7 +104,7 @@ def test_base_scores_and_held_out_texts(spark, monkeypatch, frequent):
 
 def test_awkward_rows(awkward):
     rows = awkward_rows()
-    got = score_documents(awkward, rounds=1).collect()
+    got = score_documents(awkward, gain=1).collect()
     check_base(rows, got)
     assert len({r.score for r in got if r.doc_id == 7}) == 1
 
@@ -109,26 +113,59 @@ def test_rounds_raise_the_likelihood_of_all_training_texts(spark):
     docs = make_docs(spark, languages(2, 300)).selectExpr("doc_id", "text", "false as held_out", "doc_id as mark")
     corpus = Corpus(docs)
     training, _ = hmm_score.stage(hmm_score._sequences(docs, corpus), "t")
-    par, values = hmm_score._first_guess(training), []
+    par, values = hmm_score._first_guess(training, corpus.classes), []
     for _ in range(4):
         par, likelihood = hmm_score._round(training, par)
         values.append(likelihood)
     assert values == sorted(values) and values[-1] > values[0]
     assert np.isclose(par.emit.sum(0), 1).all() and np.isclose(par.move.sum(1), 1).all()
-    again = fit(training.repartition(3), rounds=1)
-    once = fit(training, rounds=1)
+    again = fit(training.repartition(3), corpus.classes, gain=1)
+    once = fit(training, corpus.classes, gain=1)
     assert np.allclose(again.emit, once.emit)
+    # rounds go on while they gain enough, and an error tells if they never stop
+    best = fit(training, corpus.classes, gain=1e-4)
+    assert hmm_score._round(training, best)[1] > values[-1]
+    with pytest.raises(RuntimeError):
+        fit(training, corpus.classes, gain=-1, most_rounds=2)
+
+
+def test_a_very_long_text_is_scored_as_a_whole(spark, monkeypatch):
+    rows = languages(5, 100)
+    rows.append((1000, " ".join(t for _, t, _ in rows) * 30, "x"))
+    want = score_documents(make_docs(spark, rows)).collect()
+    monkeypatch.setattr(hmm_score, "CELLS", 500)
+    got = score_documents(make_docs(spark, rows)).collect()
+    scores = {r.doc_id: r.score for r in want}
+    assert all(math.isclose(r.score, scores[r.doc_id], rel_tol=1e-6) for r in got)
+    assert max(r.n_tokens for r in got) > 50_000
+
+
+def test_words_are_those_of_the_rule():
+    texts = ["A b\tB\x0bc", "", " \n", "É é\x1cx  Y", "z"]
+    words, codes, at = word_codes(pa.array(texts))
+    found = [[words[int(c)].as_py() for c in codes[a:b]] for a, b in itertools.pairwise(at.tolist())]
+    assert found == [words_of(t) for t in texts] and len(set(words.to_pylist())) == len(words)
+
+
+def test_own_classes_grow_with_the_vocabulary(spark):
+    sizes = []
+    for count in (30, 600):
+        docs = make_docs(spark, languages(2, count)).selectExpr("doc_id", "text", "false as held_out", "doc_id as mark")
+        corpus = Corpus(docs)
+        sizes.append(corpus.own)
+        assert corpus.own == math.ceil(2 * math.sqrt(corpus.distinct - 1)) and corpus.classes == corpus.own + 2049
+    assert sizes[0] < sizes[1]
 
 
 def test_the_probability_of_words_sums_to_one():
     """Within each class, known words and one unknown share all mass."""
     rng = random.Random(1)
     counts = {f"w{i}".encode(): rng.randrange(1, 9) for i in range(400)}
-    size, seen = np.zeros(CLASSES), np.zeros(CLASSES)
+    size, seen = np.zeros(hmm_score.ENDINGS), np.zeros(hmm_score.ENDINGS)
     for w, c in counts.items():
-        size[hmm_score.shared_class(w)] += c + 1
+        size[hmm_score.ending_of(w)] += c + 1
     for w, c in counts.items():
-        seen[hmm_score.shared_class(w)] += (c + 1) / (size[hmm_score.shared_class(w)] + 1)
+        seen[hmm_score.ending_of(w)] += (c + 1) / (size[hmm_score.ending_of(w)] + 1)
     used = size > 0
     assert np.allclose(seen[used] + 1 / (size[used] + 1), 1)
 
@@ -140,6 +177,6 @@ def test_folds(spark):
 
 @pytest.mark.parametrize("rows", [[], [(1, None, "s")], [(1, "a b", "s")]])
 def test_tiny_tables(spark, rows):
-    got = score_documents(make_docs(spark, rows), rounds=1).collect()
+    got = score_documents(make_docs(spark, rows), gain=1).collect()
     assert len(got) == len(rows)
     check_base(rows, got)
