@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +78,7 @@ def pack_ids(ids: np.ndarray) -> bytes:
     return bytes([width]) + planes.tobytes()
 
 
-def unpack_ids(packed: bytes) -> np.ndarray:
+def unpack_ids(packed: bytes | pa.Buffer) -> np.ndarray:
     width = packed[0]
     planes = np.frombuffer(packed, np.uint8, offset=1).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype("<u4")
@@ -150,7 +149,8 @@ def pack_histogram(counts: dict[int, int], size: int = SIZE) -> Slots:
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """One row per piece: ``doc_id, start, length, doc_tokens, sequence_id,
-    offset`` and ``ids`` (see ``unpack_ids``). Sequences have at most ``size`` ids."""
+    offset`` and ``ids`` (little-endian unsigned 32 bit). Sequences have at most
+    ``size`` ids."""
     pieces, _ = stage(token_pieces(docs, tokenizer, size), "pieces")
     counts, _ = stage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("k")), "lengths")
     histogram = {r["length"]: r["k"] for r in counts.groupBy("length").agg(F.sum("k").alias("k")).collect()}
@@ -172,7 +172,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFra
                 column_of(batch, "length").to_numpy(), column_of(batch, "rank").to_numpy()
             )
             yield pa.RecordBatch.from_arrays(
-                [*(column_of(batch, n) for n in names), pa.array(sequence), pa.array(offset), column_of(batch, "ids")],
+                [
+                    *(column_of(batch, n) for n in names),
+                    pa.array(sequence),
+                    pa.array(offset),
+                    pa.array([unpack_ids(x.as_buffer()).tobytes() for x in column_of(batch, "ids")], pa.binary()),
+                ],
                 [*names, "sequence_id", "offset", "ids"],
             )
 
@@ -184,14 +189,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFra
 
 def with_checksum(packed: DataFrame) -> DataFrame:
     """The packed pieces with ``ids_crc32`` in place of their ids."""
-    names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [crc32(unpack_ids(x.as_py()).tobytes()) for x in column_of(batch, "ids")]
-            yield pa.RecordBatch.from_arrays(
-                [*(column_of(batch, n) for n in names), pa.array(sums, pa.int64())], [*names, "ids_crc32"]
-            )
-
-    schema = ", ".join(f"{n} bigint" for n in [*names, "ids_crc32"])
-    return packed.mapInArrow(run, schema)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

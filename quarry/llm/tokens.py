@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-_PIECES = 350_000  # distinct pieces remembered per worker
+_PIECES = 300_000  # distinct pieces remembered per worker
 _JOINED = 1000  # new pieces merged in one call
 _BLOCK_BYTES = 1 << 21  # text that is cut at once
 
