@@ -138,6 +138,7 @@ ORACLES = {
     "csv_roundtrip": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
     "csv_no_header": "SELECT CAST(r_regionkey AS BIGINT) AS column_1, r_name AS column_2 FROM region",
     "csv_multiline_pages": "SELECT page_id, url, html FROM pages",
+    "csv_split_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "text_pipe_options": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
                          "p_retailprice FROM part",
     "text_tab_comment": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
@@ -146,6 +147,8 @@ ORACLES = {
     "text_skip_multiline_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "profile_csv_input": detailed_profile_sql("lineitem", LINEITEM_FROM_CSV),
     "csv_payloads": "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier",
+    "csv_payloads_schema": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "limit_first_rows": "SELECT * FROM orders LIMIT 250",
     "file_pipeline": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag "
                      "FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000",
     "json_lines_roundtrip": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "

@@ -158,6 +158,14 @@ def q_csv_multiline_pages(spark, sf_dir):
     return read_csv(spark, out, multiline=True)
 
 
+def q_csv_split_documents(spark, sf_dir):
+    """K1 + S1 over all documents in large files with quoted newlines, each read
+    by many tasks (``multiline="split"``)."""
+    out = scratch_dir(spark, "csv-docs")
+    write_csv(table(spark, sf_dir, "documents"), out)
+    return read_csv(spark, out, multiline="split", schema="doc_id long, text string, lang string, source string, n_chars long")
+
+
 def q_text_pipe_options(spark, sf_dir):
     out = scratch_dir(spark, "pipe")
     write_with_preamble(table(spark, sf_dir, "part"), out, "|", 2)
@@ -165,7 +173,7 @@ def q_text_pipe_options(spark, sf_dir):
 
 
 def q_text_skip_multiline(spark, sf_dir):
-    """S2 whole-file route: skipped junk lines, ``##`` comments and quoted
+    """S2 split records: skipped junk lines, ``##`` comments and quoted
     newlines together, over the benchmark passages."""
     out = scratch_dir(spark, "bench-text")
     write_with_preamble(table(spark, sf_dir, "benchmark"), out, ",", 2)
@@ -173,9 +181,8 @@ def q_text_skip_multiline(spark, sf_dir):
 
 
 def q_text_skip_multiline_documents(spark, sf_dir):
-    """S2 whole-file route over all documents: texts of any length, quotes,
-    commas and newlines, after skipped lines. Each file is read whole by one
-    task, so their number follows the size of the input."""
+    """S2 split records over all documents: texts of any length, quotes,
+    commas and newlines, after skipped lines."""
     out = scratch_dir(spark, "docs-text")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     write_with_preamble(in_bounded_files(docs, FILE_BYTES), out, ",", 2)
@@ -203,6 +210,18 @@ def q_csv_payloads(spark, sf_dir):
     return parse_csv_text(bodies, "body")
 
 
+def q_csv_payloads_schema(spark, sf_dir):
+    """S9 with a given schema, matched by each document's own header."""
+    bodies = csv_bodies(table(spark, sf_dir, "supplier"), "s_suppkey")
+    schema = "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+    return parse_csv_text(bodies, "body", schema=schema)
+
+
+def q_limit_first_rows(spark, sf_dir):
+    """T2 by default: the first rows in file order."""
+    return limit_rows(table(spark, sf_dir, "orders"), 250)
+
+
 def q_file_pipeline(spark, sf_dir):
     """Parquet -> select -> ordered limit -> CSV, read back."""
     out = scratch_dir(spark, "pipeline")
@@ -369,12 +388,15 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "csv_no_header": q_csv_no_header,
     "csv_multiline_pages": q_csv_multiline_pages,
+    "csv_split_documents": q_csv_split_documents,
     "text_pipe_options": q_text_pipe_options,
     "text_tab_comment": q_text_tab_comment,
     "text_skip_multiline": q_text_skip_multiline,
     "text_skip_multiline_documents": q_text_skip_multiline_documents,
     "profile_csv_input": q_profile_csv_input,
     "csv_payloads": q_csv_payloads,
+    "csv_payloads_schema": q_csv_payloads_schema,
+    "limit_first_rows": q_limit_first_rows,
     "file_pipeline": q_file_pipeline,
     "json_lines_roundtrip": q_json_lines_roundtrip,
     "json_lines_conversations": q_json_lines_conversations,

@@ -14,12 +14,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.encoding import qcol
-from quarry.session import remove_dir, scratch_dir
 
 FAILFAST = {"mode": "FAILFAST"}
 
@@ -90,28 +91,48 @@ def json_records(df: DataFrame, body) -> DataFrame:
 
 
 def infer_json_schema(spark: SparkSession, records: DataFrame, limit: int | None = None) -> T.StructType:
-    """Schema of JSON record text, from every record: the text is written once
-    under the shared checkpoint directory, Spark's JSON reader infers over
-    those files on the executors, and they are deleted. With ``limit`` the
-    leading records are used instead (a bounded sample)."""
-    col = records.select(F.col("record").cast("string").alias("value"))
-    reader = spark.read.option("mode", "FAILFAST")
+    """Schema of JSON record text, from every record, in one aggregate: records
+    are parsed to variants, and the schema of variants is merged in the tasks and
+    between them. Nothing is written. With ``limit`` the leading records are used
+    instead (a bounded sample). Malformed records raise."""
+    col = records.select(F.col("record").cast("string").alias("record"))
     if limit is not None:
-        sample = [r[0] for r in col.limit(limit).collect()]
-        schema = reader.json(spark.sparkContext.parallelize(sample, 1)).schema
-    else:
-        path = scratch_dir(spark, "json-records")
-        # a pretty-printed record is one line here: JSON strings hold no raw newlines
-        col.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).write.text(path)
-        try:
-            schema = reader.json(path).schema
-        finally:
-            remove_dir(spark, path)
+        col = col.limit(limit)
+    found = col.agg(F.schema_of_variant_agg(F.parse_json("record"))).first()[0]
+    if found is None or found == "VOID":
+        raise ValueError("no JSON records to infer a schema from")
+    schema = _json_types(_variant_schema(found))
+    if not isinstance(schema, T.StructType):
+        raise ValueError(f"JSON records must be objects, not {found}")
     if not schema.fields:
         raise ValueError("no JSON records to infer a schema from")
     return schema
 
 
+def _variant_schema(text: str) -> T.DataType:
+    """The type that ``schema_of_variant_agg`` writes: ``OBJECT`` stands for a
+    struct, names are quoted with backticks where they need it."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", text)
+    parts[::2] = [re.sub(r"\bOBJECT<", "STRUCT<", p) for p in parts[::2]]
+    return T.StructType.fromDDL(f"r {''.join(parts)}").fields[0].dataType
+
+
+def _json_types(kind: T.DataType) -> T.DataType:
+    """The types that Spark's JSON reader gives such values: fractions are
+    doubles, integers beyond 64 bits decimals, and values of several types, or
+    of none, text."""
+    if isinstance(kind, T.StructType):
+        # null-only members of an object without any known one are text as well
+        return T.StructType([T.StructField(f.name, _json_types(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_json_types(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return kind if kind.scale == 0 and kind.precision > 18 else T.DoubleType()
+    if isinstance(kind, (T.NullType, T.VariantType)):
+        return T.StringType()
+    return kind
+
+
 def parse_json_text(
     df: DataFrame,
     body,

@@ -1,43 +1,44 @@
 """CSV and delimited text readers.
 
-Three routes, all lazy after schema discovery:
+Routes, all lazy after schema discovery:
 
-* direct: Spark's CSV scan with an explicit schema. Used whenever Spark's own
+* scan: Spark's CSV scan with an explicit schema. Used whenever Spark's own
   options express the request (any separator, quote, one-character comment,
-  multi-line quoted fields).
-* line stage: when leading physical lines must be skipped (``skip_rows``) or
-  the comment prefix is longer than one character, which Spark's CSV scan
-  cannot do. Lines are read with the text source, a per-partition counter drops
-  the first lines of each file's first split and marks the header, and
-  ``from_csv`` parses the rest. No shuffle; only the first split of a file is
-  counted.
-* whole file: skipped lines together with quoted newlines (``multiline=True``).
-  Each file is one task (``binaryFile``), as in Spark's own multi-line CSV
-  scan, parsed by the standard CSV parser and cast by Spark.
+  multi-line quoted fields) and no file is larger than a split.
+* split records (``split_csv``): quoted newlines in files that are worth several
+  tasks, or together with skipped lines or a long comment prefix. One more pass
+  finds the quoting state at each split; then records are assembled in their
+  splits and parsed by ``from_csv``. ``multiline="split"`` asks for it.
+* line stage: skipped lines or a comment prefix of several characters without
+  quoted newlines. A per-partition counter drops the first lines of each file's first
+  split and marks the header, and ``from_csv`` parses the rest.
+* whole file: as split records, in other encodings than UTF-8; one task a file.
 
 Schema discovery: one bounded ``limit(1 + infer_schema_length)`` job fetches
 the header (or first row) together with the inference sample; the types come
 from the rules in ``quarry.functions.inference`` applied to that sample. With
-``infer_schema_length=None`` they come from one aggregate over all rows
-instead. Types that come from a sample are checked on every row: a value that does
-not fit raises when it is read, it is never turned into null. Column pruning
-reaches the CSV parser in any case; filters do when the types hold for all rows (a
-given schema, or ``infer_schema_length=None``).
-
-Quoted fields may hold newlines by default (``multiline``); files are then not
-split. ``multiline=False`` splits large files and raises on a line whose quotes
-do not balance.
-
-Several files (or payload documents) must agree in their headers; payloads
-read with ``multiline`` match columns by name instead. A file with another header
-raises.
-
-Long rows are an error by default and raise when they are read. Short rows get
-nulls.
+``infer_schema_length=None``, and where malformed rows are to be dropped, they come
+from one aggregate over all rows instead.
+
+Types, given or inferred, hold for every row: the parser marks rows that it objects
+to, and of those alone the text is looked at again. A value that does not fit its
+type raises, it is never turned into null. Long rows raise as well, unless told
+otherwise; short rows get nulls. Column pruning and filters reach the scan.
+
+Headers must agree: with a given schema, and between files or payload documents.
+Another header raises; where documents or files are parsed on their own (payloads
+and split records) the same columns in another order are matched by name.
+``check_header=False`` goes by position.
+
+``multiline=False`` splits files at every newline and raises on a line whose
+quotes do not balance.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,7 @@ from quarry.functions.encoding import qcol
 from quarry.functions.inference import infer_types, infer_types_from_rows
 from quarry.functions.naming import generated_names, header_names
 from quarry.session import ship_package
+from quarry.sources.split_csv import LineRule, read_records, split_states
 
 EXTRA = "__quarry_extra__"
 # The parser reports an unquoted empty field as ``nullValue`` and a quoted one
@@ -53,6 +55,7 @@ EXTRA = "__quarry_extra__"
 # turn into null; a NUL sentinel keeps them apart: empty field -> null,
 # ``""`` -> "".
 NULL_SENTINEL = "\u0000"
+LAST = "\u0000\u0001last"  # a field that no data holds
 RAGGED_MODES = ("error", "ignore")
 
 
@@ -82,15 +85,46 @@ def _options(delimiter, quote_char, comment, multiline, encoding, mode):
     return opts
 
 
-def _with_extra(schema: T.StructType, on_ragged: str) -> T.StructType:
+def _marked(schema: T.StructType) -> T.StructType:
+    """The schema with the column that keeps the text of rows the parser objects to."""
+    return T.StructType(schema.fields + [T.StructField(EXTRA, T.StringType(), True)])
+
+
+def _checked(df: DataFrame, schema: T.StructType, opts: dict, on_ragged: str) -> DataFrame:
+    """Rows parsed with ``_marked(schema)``, those the parser objected to looked at
+    again. Their text is parsed as strings with one more field at its end: where
+    that comes out tells a long row (an error, unless ragged rows are ignored), a
+    short one (the rest are nulls) and a full one (a value does not fit its type,
+    an error; so is such a value in a short row). Other rows are not looked at."""
+    n = len(schema.fields)
+    texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n + 2)])
+    options = {k: v for k, v in opts.items() if k not in ("encoding", "mode", "comment")}
+    cells = F.from_csv(F.concat(F.col(EXTRA), F.lit(opts["sep"] + LAST)), _ddl(texts), options)
+    full = F.coalesce(cells[f"c{n}"] == LAST, F.lit(False))
+    short = F.lit(False)
+    for i in range(n):
+        short = short | F.coalesce(cells[f"c{i}"] == LAST, F.lit(False))
+    # Spark reads the kept text of a row only next to another column
+    first = F.coalesce(qcol(schema.fields[0].name).cast("string"), F.lit(""))
+    row = F.concat(F.lit(" in row "), F.substring(F.concat(EXTRA, F.substring(first, 1, 0)), 1, 200))
+    problem = F.when(full, F.lit("a value does not fit its type"))
+    for i, f in enumerate(schema.fields):
+        if not isinstance(f.dataType, T.StringType):
+            c = cells[f"c{i}"]
+            wrong = c.isNotNull() & (c != "") & (c != LAST) & c.try_cast(f.dataType).isNull()
+            problem = problem.when(
+                wrong, F.concat(F.lit(f"column {f.name}: value '"), c, F.lit(f"' does not fit the type {f.dataType.simpleString()}"))
+            )
     if on_ragged == "error":
-        return T.StructType(schema.fields + [T.StructField(EXTRA, T.StringType(), True)])
-    return schema
+        problem = problem.when(~short, F.lit("CSV row has more fields than the header"))
+    raised = F.when(problem.isNotNull(), F.raise_error(F.concat(problem, row))).otherwise(F.lit(True))
+    return df.where(F.when(F.col(EXTRA).isNotNull(), raised).otherwise(F.lit(True))).drop(EXTRA)
 
 
-def _check_ragged(df: DataFrame, on_ragged: str) -> DataFrame:
+def _check_long(df: DataFrame, on_ragged: str) -> DataFrame:
+    """Parsed records: ``EXTRA`` says whether one has more fields than columns."""
     if on_ragged != "error":
-        return df
+        return df.drop(EXTRA)
     guard = F.when(
         F.col(EXTRA).isNotNull(),
         F.raise_error(F.lit("CSV row has more fields than the header")),
@@ -98,22 +132,28 @@ def _check_ragged(df: DataFrame, on_ragged: str) -> DataFrame:
     return df.where(guard).drop(EXTRA)
 
 
+def _same_names(schema: T.StructType, raw: list) -> None:
+    """A given schema must name the header's columns, in their order."""
+    found, wanted = header_names(raw), [f.name for f in schema.fields]
+    if found != wanted:
+        raise ValueError(
+            f"the header has the columns {found}, the schema {wanted}: give the schema in the header's order, "
+            "or check_header=False to go by position"
+        )
+
+
 def _typed(names, types) -> T.StructType:
     return T.StructType([T.StructField(n, types[n], True) for n in names])
 
 
 def _fitting(name: str, kind: T.DataType):
-    """Column ``name`` (a string) as the inferred type; a non-empty value that
+    """Column ``name`` (a string) as the given type; a non-empty value that
     does not fit raises."""
     c = qcol(name)
     if isinstance(kind, T.StringType):
         return c.alias(name)
     parsed = c.try_cast(kind)
-    wrong = F.concat(
-        F.lit(f"column {name}: value '"), c,
-        F.lit(f"' does not fit the type {kind.simpleString()} inferred from the first rows; "
-              "pass a schema or infer_schema_length=None"),
-    )
+    wrong = F.concat(F.lit(f"column {name}: value '"), c, F.lit(f"' does not fit the type {kind.simpleString()}"))
     return F.when(c.isNull() | (c == ""), F.lit(None)).when(parsed.isNotNull(), parsed).otherwise(
         F.raise_error(wrong)
     ).cast(kind).alias(name)
@@ -126,10 +166,6 @@ def _fit_columns(df: DataFrame, schema: T.StructType, carried=()) -> DataFrame:
     )
 
 
-def _strings(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-
-
 def _balanced(value, quote: str):
     """``value``, or an error if a quoted field goes on in the next line."""
     quotes = F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))
@@ -161,35 +197,44 @@ def read_text(
     *,
     infer_dates: bool = False,
     on_ragged: str = "error",
-    multiline: bool | None = None,
-    schema: T.StructType | None = None,
+    multiline: bool | str | None = None,
+    schema: T.StructType | str | None = None,
+    check_header: bool = True,
     encoding: str = "UTF-8",
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Delimited text with separator, quote, comment prefix, skipped
     leading lines and an inference length. ``schema`` skips inference (the
-    production path at scale); its field names replace the header names."""
+    production path at scale); its names are compared with each file's header, or
+    replace it with ``check_header=False``. A value that does not fit its type raises."""
     _validate(delimiter, quote_char, skip_rows, on_ragged)
+    schema = _as_struct(schema)
+    if schema is None and mode == "DROPMALFORMED":
+        infer_schema_length = None  # types of a sample would drop good rows
     paths = _paths(path)
     needs_lines = skip_rows > 0 or (comment_prefix is not None and len(comment_prefix) > 1)
     if needs_lines:
-        if multiline:
-            if mode != "PERMISSIVE":
-                raise ValueError("skip_rows with multiline=True supports mode='PERMISSIVE' only")
-            return _read_whole_files_route(
-                spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
-                infer_schema_length, infer_dates, on_ragged, schema, encoding,
-            )
         if encoding.upper().replace("-", "") not in ("UTF8", "USASCII", "ASCII"):
-            raise ValueError(f"skipped lines and long comment prefixes need UTF-8 or multiline=True, not {encoding}")
-        return _read_lines_route(
+            if multiline and mode == "PERMISSIVE":
+                return _read_whole_files_route(
+                    spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
+                    infer_schema_length, infer_dates, on_ragged, schema, check_header, encoding,
+                )
+            raise ValueError(f"skipped lines and long comment prefixes need UTF-8, or multiline=True "
+                             f"and mode='PERMISSIVE', not {encoding}")
+        route = _read_split_route if multiline else _read_lines_route
+        return route(
             spark, paths, delimiter, has_header, quote_char, comment_prefix, skip_rows,
-            infer_schema_length, infer_dates, on_ragged, schema, mode,
+            infer_schema_length, infer_dates, on_ragged, schema, check_header, mode,
+        )
+    if multiline == "split" or (multiline is None and _splits_pay(spark, paths, delimiter, encoding)):
+        return _read_split_route(
+            spark, paths, delimiter, has_header, quote_char, comment_prefix, 0,
+            infer_schema_length, infer_dates, on_ragged, schema, check_header, mode,
         )
     multiline = True if multiline is None else multiline
     opts = _options(delimiter, quote_char, comment_prefix, multiline, encoding, mode)
     reader = spark.read.options(**opts)
-    inferred = schema is None
     raw = None
     if schema is None:
         # One bounded job fetches the first record (header or first data row)
@@ -210,28 +255,48 @@ def read_text(
                 names, infer_dates=infer_dates,
             )
         schema = _typed(names, types)
-    if inferred and infer_schema_length is not None and mode != "DROPMALFORMED":
-        return _fit_columns(_scan(spark, opts, paths, _strings(schema), has_header, raw, on_ragged), schema)
+    elif has_header and check_header:
+        rows = reader.option("header", "false").csv(paths).limit(1).collect()
+        if rows:
+            raw = list(rows[0])
+            _same_names(schema, raw)
     return _scan(spark, opts, paths, schema, has_header, raw, on_ragged)
 
 
+def _splits_pay(spark, paths: list[str], delimiter: str, encoding: str) -> bool:
+    """Whether the files hold more than one split takes, so that reading them in
+    splits brings in more tasks."""
+    if len(delimiter) != 1 or encoding.upper().replace("-", "") != "UTF8":
+        return False
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(conf)
+        total += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(target) or [])
+    most = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ))
+    if total <= most:
+        return False
+    longest = spark.read.format("binaryFile").load(paths).agg(F.max("length")).first()[0]
+    return (longest or 0) > most
+
+
+def _as_struct(schema) -> T.StructType | None:
+    if schema is None or isinstance(schema, T.StructType):
+        return schema
+    return T.StructType.fromDDL(schema)
+
+
 def _scan(spark, opts, paths, schema, has_header, raw, on_ragged) -> DataFrame:
-    """Spark's CSV scan. The parser keeps a row whose number of fields differs
-    in one more column; of those the long ones are an error. When the schema
-    has the header's names, each file's header is compared with it."""
+    """Spark's CSV scan. When the schema has the header's names, each file's
+    header is compared with it."""
     reader = spark.read.options(**opts).option("header", str(has_header).lower())
     if has_header and raw is not None and [f.name for f in schema.fields] == raw:
         reader = reader.option("enforceSchema", "false").option("caseSensitive", "true")
-    if on_ragged != "error":
-        return reader.schema(schema).csv(paths)
-    marked = T.StructType(schema.fields + [T.StructField(EXTRA, T.StringType(), True)])
-    df = reader.option("columnNameOfCorruptRecord", EXTRA).schema(marked).csv(paths)
-    one_more = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema.fields) + 1)])
-    last = F.from_csv(F.col(EXTRA), _ddl(one_more), {k: v for k, v in opts.items() if k not in ("encoding", "mode")})
-    # Spark reads the kept text of a row only next to another column
-    first = F.coalesce(qcol(schema.fields[0].name).cast("string"), F.lit(""))
-    over = F.when(F.col(EXTRA).isNotNull(), F.concat(last[f"c{len(schema.fields)}"], F.lit(" in row "), first))
-    return _check_ragged(df.withColumn(EXTRA, over), on_ragged)
+    df = reader.option("columnNameOfCorruptRecord", EXTRA).schema(_marked(schema)).csv(paths)
+    return _checked(df, schema, opts, on_ragged)
 
 
 def read_csv(
@@ -242,8 +307,9 @@ def read_csv(
     infer_schema_length: int | None = 100,
     infer_dates: bool = False,
     on_ragged: str = "error",
-    multiline: bool | None = None,
-    schema: T.StructType | None = None,
+    multiline: bool | str | None = None,
+    schema: T.StructType | str | None = None,
+    check_header: bool = True,
     encoding: str = "UTF-8",
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
@@ -253,7 +319,7 @@ def read_csv(
     return read_text(
         spark, path, ",", has_header, None, None, 0, infer_schema_length,
         infer_dates=infer_dates, on_ragged=on_ragged, multiline=multiline,
-        schema=schema, encoding=encoding, mode=mode,
+        schema=schema, check_header=check_header, encoding=encoding, mode=mode,
     )
 
 
@@ -346,7 +412,7 @@ def _split_line(line: str, delimiter: str, quote: str) -> list[str]:
 
 def _read_lines_route(
     spark, paths, delimiter, has_header, quote_char, comment, skip_rows,
-    infer_schema_length, infer_dates, on_ragged, schema, mode,
+    infer_schema_length, infer_dates, on_ragged, schema, check_header, mode,
 ):
     ship_package(spark)
     lines = spark.read.text(paths).select(
@@ -357,9 +423,63 @@ def _read_lines_route(
     marked = lines.mapInArrow(
         _preamble_filter(skip_rows, comment, has_header), "value string, is_header boolean"
     )
+    return _from_records(spark, marked, paths, delimiter, has_header, quote_char or '"', infer_schema_length, infer_dates,
+                         on_ragged, schema, check_header, mode, whole=False)
+
+
+def _read_split_route(
+    spark, paths, delimiter, has_header, quote_char, comment, skip_rows,
+    infer_schema_length, infer_dates, on_ragged, schema, check_header, mode,
+):
+    if len(delimiter) != 1:
+        raise ValueError("multiline records are read in splits with a one-character delimiter only")
+    ship_package(spark)
     quote = quote_char or '"'
-    opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode, "nullValue": NULL_SENTINEL}
-    inferred = schema is None
+    rule = LineRule(delimiter, quote, comment, skip_rows, has_header)
+    known = split_states(spark, paths, rule)
+
+    def read(paths, known, infer_schema_length, schema, check_header):
+        records = read_records(spark, paths, rule, known)
+        return _from_records(spark, records, paths, delimiter, has_header, quote, infer_schema_length, infer_dates,
+                             on_ragged, schema, check_header, mode, whole=True)
+
+    headers = sorted({splits.header for splits in known.values() if splits.header}) if has_header else []
+    if len(headers) < 2 or (schema is not None and not check_header):
+        return read(paths, known, infer_schema_length, schema, check_header)
+    # Files with the same columns in another order: each header's files on their own
+    names = {h: header_names(_split_line(h, delimiter, quote)) for h in headers}
+    if len({tuple(sorted(n)) for n in names.values()}) > 1:
+        raise ValueError(f"files with different headers cannot be read together: {headers[:2]}")
+    order = names[next(splits.header for _, splits in sorted(known.items()) if splits.header)]
+
+    def united(kinds):
+        frames = []
+        for header in headers:
+            files = [unquote(f) for f, splits in known.items() if splits.header == header]
+            # fewer files may be split in another way
+            frames.append(read(files, split_states(spark, files, rule), None, _typed(names[header], kinds), True))
+        return reduce(DataFrame.unionByName, frames).select(*map(qcol, order))
+
+    if schema is None:
+        strings = united(dict.fromkeys(order, T.StringType()))
+        kinds = infer_types(strings, order, limit=infer_schema_length, infer_dates=infer_dates)
+    else:
+        _same_names(schema, order)
+        kinds = {f.name: f.dataType for f in schema.fields}
+    return united(kinds)
+
+
+def _from_records(
+    spark, marked, paths, delimiter, has_header, quote, infer_schema_length, infer_dates,
+    on_ragged, schema, check_header, mode, whole,
+):
+    """Typed columns from ``marked``: the text of each record, or of each line
+    unless ``whole``, and whether it is a file's header."""
+    opts = {"sep": delimiter, "quote": quote, "escape": quote, "mode": mode, "nullValue": NULL_SENTINEL,
+            "multiLine": str(whole).lower()}
+
+    def text(value):
+        return value if whole else _balanced(value, quote)
 
     def rows_under(header_line):
         """Data lines; another file's header line must be the same."""
@@ -369,7 +489,7 @@ def _read_lines_route(
                 F.col("is_header") & (F.col("value") != F.lit(header_line)),
                 F.raise_error(F.lit("files with different headers cannot be read together")),
             ).otherwise(keep)
-        return marked.where(keep & (F.col("value") != "")).select(_balanced(F.col("value"), quote).alias("value"))
+        return marked.where(keep & (F.col("value") != "")).select(text(F.col("value")).alias("value"))
 
     body = rows_under(None)
     if schema is None:
@@ -390,16 +510,31 @@ def _read_lines_route(
             sample = [_split_line(line, delimiter, quote) for line in data_lines[:sample_n]]
             types = infer_types_from_rows(spark, names, sample, infer_dates=infer_dates)
         else:
-            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-            strings = body.select(
-                F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r")
-            ).select("r.*")
+            strings = _parsed(body, _typed(names, dict.fromkeys(names, T.StringType())), opts, on_ragged)
             types = infer_types(strings, names, infer_dates=infer_dates)
         schema = _typed(names, types)
-    strict = inferred and infer_schema_length is not None and mode != "DROPMALFORMED"
-    read_as = _strings(schema) if strict else schema
-    parsed = body.select(F.from_csv("value", _ddl(_with_extra(read_as, on_ragged)), opts).alias("r")).select("r.*")
-    return _check_ragged(_fit_columns(parsed, schema) if strict else parsed, on_ragged)
+    elif has_header and check_header:
+        hit = marked.where("is_header").select("value").limit(1).collect()
+        if hit:
+            _same_names(schema, _split_line(hit[0][0], delimiter, quote))
+            body = rows_under(hit[0][0])
+    return _parsed(body, schema, opts, on_ragged)
+
+
+def _parsed(records: DataFrame, schema: T.StructType, opts: dict, on_ragged: str, carried=()) -> DataFrame:
+    """The records in ``value`` as typed columns, after the carried ones."""
+    keep = [qcol(c) for c in carried]
+    if opts.get("mode") == "DROPMALFORMED":
+        # from_csv knows no such mode: rows it objects to are dropped here
+        opts = {k: v for k, v in opts.items() if k != "mode"}
+        marked = _rows_of(records, schema, opts, keep)
+        return marked.where(F.col(EXTRA).isNull()).drop(EXTRA)
+    return _checked(_rows_of(records, schema, opts, keep), schema, opts, on_ragged)
+
+
+def _rows_of(records, schema, opts, keep) -> DataFrame:
+    parse = F.from_csv("value", _ddl(_marked(schema)), opts | {"columnNameOfCorruptRecord": EXTRA})
+    return records.select(*keep, parse.alias("__r")).select(*keep, "__r.*")
 
 
 # ------------------------------------------------------------ whole-file stage
@@ -490,7 +625,7 @@ def _whole_file_records(skip_rows, comment, has_header, delimiter, quote, encodi
 
 def _read_whole_files_route(
     spark, paths, delimiter, has_header, quote_char, comment, skip_rows,
-    infer_schema_length, infer_dates, on_ragged, schema, encoding,
+    infer_schema_length, infer_dates, on_ragged, schema, check_header, encoding,
 ):
     if len(delimiter) != 1:
         raise ValueError("multiline=True with skip_rows needs a one-character delimiter")
@@ -505,15 +640,14 @@ def _read_whole_files_route(
         )
 
     return _records_to_columns(spark, records, [], has_header, infer_schema_length, infer_dates, on_ragged,
-                               schema, str(paths))
+                               schema, check_header, str(paths))
 
 
 def _records_to_columns(spark, records, carried, has_header, infer_schema_length, infer_dates, on_ragged,
-                        schema, what):
+                        schema, check_header, what):
     """Typed columns from parsed records. ``records(names)``: the frame
     ``(carried..., is_header, cells)`` with cells in the order of ``names``."""
-    inferred = schema is None
-    names = None
+    names = [f.name for f in schema.fields] if schema is not None and has_header and check_header else None
     if schema is None:
         recs = records(None)
         sample_n = infer_schema_length if infer_schema_length is not None else 0
@@ -545,17 +679,7 @@ def _records_to_columns(spark, records, carried, has_header, infer_schema_length
         *[F.get("cells", i).alias(f.name) for i, f in enumerate(schema.fields)],
         F.when(F.size("cells") > n, F.lit("long")).alias(EXTRA),
     )
-    if inferred:
-        typed = _fit_columns(cells, schema, carried)
-    else:
-        typed = cells.select(
-            *[F.col(c) for c in carried],
-            *[qcol(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-            EXTRA,
-        )
-    if on_ragged != "error":
-        typed = typed.drop(EXTRA)
-    return _check_ragged(typed, on_ragged)
+    return _check_long(_fit_columns(cells, schema, carried), on_ragged)
 
 
 # ------------------------------------------------------------------ payloads
@@ -570,7 +694,8 @@ def parse_csv_text(
     quote_char: str | None = None,
     comment_prefix: str | None = None,
     skip_rows: int = 0,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
+    check_header: bool = True,
     infer_schema_length: int | None = 100,
     infer_dates: bool = False,
     on_ragged: str = "error",
@@ -588,6 +713,7 @@ def parse_csv_text(
     remaining line taken as the header, which all documents must share, the
     rest exploded and parsed by ``from_csv``."""
     _validate(delimiter, quote_char, skip_rows, on_ragged)
+    schema = _as_struct(schema)
     quote = quote_char or '"'
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_SENTINEL}
     keep = list(keep or [])
@@ -609,7 +735,7 @@ def parse_csv_text(
             )
 
         out = _records_to_columns(df.sparkSession, records, carried, has_header, infer_schema_length,
-                                  infer_dates, on_ragged, schema, "payload column")
+                                  infer_dates, on_ragged, schema, check_header, "payload column")
         for k, c in zip(keep, carried):
             out = out.withColumnRenamed(c, k)
         return out
@@ -623,13 +749,14 @@ def parse_csv_text(
         return cond
 
     kept = F.filter(after_skip, wanted)
-    inferred = schema is None
     docs = df.select(*[qcol(k) for k in keep], kept.alias("__lines"))
     if has_header:
         header = F.get(F.col("__lines"), 0)
-        if schema is None:
+        if schema is None or check_header:
             got = docs.select(header.alias("h")).where(F.col("h").isNotNull()).limit(1).collect()
             first = got[0][0] if got else None
+            if first is not None and schema is not None:
+                _same_names(schema, _split_line(first, delimiter, quote))
             if first is not None:
                 other = F.raise_error(F.lit("documents with different headers cannot be read together"))
                 same = header.isNull() | (header == F.lit(first))
@@ -652,12 +779,7 @@ def parse_csv_text(
             sample = [_split_line(r[0], delimiter, quote) for r in rows.select("value").limit(infer_schema_length).collect()]
             types = infer_types_from_rows(df.sparkSession, names, sample, infer_dates=infer_dates)
         else:
-            strings_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-            strings = rows.select(F.from_csv("value", _ddl(_with_extra(strings_schema, on_ragged)), opts).alias("r"))
-            types = infer_types(strings.select("r.*"), names, infer_dates=infer_dates)
+            strings = _parsed(rows, _typed(names, dict.fromkeys(names, T.StringType())), opts, on_ragged)
+            types = infer_types(strings, names, infer_dates=infer_dates)
         schema = _typed(names, types)
-    read_as = _strings(schema) if inferred else schema
-    parsed = rows.select(
-        *[qcol(k) for k in keep], F.from_csv("value", _ddl(_with_extra(read_as, on_ragged)), opts).alias("r")
-    ).select(*[qcol(k) for k in keep], "r.*")
-    return _check_ragged(_fit_columns(parsed, schema, keep) if inferred else parsed, on_ragged)
+    return _parsed(rows, schema, opts, on_ragged, keep)

@@ -119,15 +119,91 @@ def test_infer_length(spark, tmp):
 def test_explicit_schema(spark, tmp):
     path = write_text(tmp + "/a.csv", "a,b\n1,x\n")
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
-    df = read_csv(spark, path, schema=schema)
+    df = read_csv(spark, path, schema=schema, check_header=False)
     assert df.columns == ["k", "v"] and df.collect() == [(1, "x")]
+    with pytest.raises(ValueError, match="check_header"):
+        read_csv(spark, path, schema=schema)
+
+
+# how each route is reached: (options, lines before the header)
+ROUTES = {
+    "scan": ({}, ""),
+    "split scan": ({"multiline": False}, ""),
+    "lines": ({"skip_rows": 1, "multiline": False}, "junk\n"),
+    "records": ({"skip_rows": 1, "multiline": True}, "junk\n"),
+}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_a_given_schema_neither_swaps_nor_nulls(spark, tmp, route):
+    options, before = ROUTES[route]
+    schema = "a int, b int"
+    os.makedirs(tmp + "/good")
+    os.makedirs(tmp + "/bad")
+    good = write_text(tmp + "/good/1.csv", before + 'a,b\n1,2\n,"3"\n4\n')
+    write_text(tmp + "/good/2.csv", before + "a,b\n5,6\n")
+    got = read_text(spark, tmp + "/good", schema=schema, **options).collect()
+    assert sorted(got, key=str) == sorted([(1, 2), (None, 3), (4, None), (5, 6)], key=str)
+    # columns in another order: in the first file, and in a later one
+    swapped = write_text(tmp + "/swapped.csv", before + "b,a\n3,4\n")
+    with pytest.raises(Exception, match="header"):
+        read_text(spark, swapped, schema=schema, **options).collect()
+    if route == "records":  # by each file's own header
+        got = read_text(spark, [good, swapped], schema=schema, **options).collect()
+        assert sorted(got, key=str) == sorted([(1, 2), (None, 3), (4, None), (4, 3)], key=str)
+    else:
+        with pytest.raises(Exception, match="(?i)header"):
+            read_text(spark, [good, swapped], schema=schema, **options).collect()
+    # values that do not fit
+    for i, row in enumerate(["x,2", "1,2.5", "99999999999,1", "7,x"]):
+        path = write_text(f"{tmp}/bad/{i}.csv", before + f"a,b\n1,2\n{row}\n")
+        with pytest.raises(Exception, match="does not fit"):
+            read_text(spark, path, schema=schema, **options).collect()
+    short = write_text(tmp + "/short.csv", before + "a,b\nx\n")
+    with pytest.raises(Exception, match="does not fit"):
+        read_text(spark, short, schema=schema, **options).collect()
+    long_ = write_text(tmp + "/long.csv", before + "a,b\n1,2,\n")
+    with pytest.raises(Exception, match="more fields"):
+        read_text(spark, long_, schema=schema, **options).collect()
+    assert read_text(spark, long_, schema=schema, on_ragged="ignore", **options).collect() == [(1, 2)]
+    # positions only when asked for
+    assert read_text(spark, swapped, schema=schema, check_header=False, **options).collect() == [(3, 4)]
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_a_given_schema_holds_for_payloads(spark, multiline):
+    def parse(*bodies, **options):
+        df = spark.createDataFrame([(b,) for b in bodies], "body string")
+        return sorted(parse_csv_text(df, "body", schema="a int, b int", multiline=multiline, **options).collect())
+
+    assert parse("a,b\n1,2", "a,b\n3,4") == [(1, 2), (3, 4)]
+    if multiline:  # each document by its own header
+        assert parse("a,b\n1,2", "b,a\n4,3") == [(1, 2), (3, 4)]
+    else:
+        with pytest.raises(Exception, match="header"):
+            parse("a,b\n1,2", "b,a\n4,3")
+    for bad in ("a,c\n1,2", "a,b\nx,2", "a,b\n1,2.5"):
+        with pytest.raises(Exception, match="header|does not fit"):
+            parse(bad)
+    assert parse("b,a\n4,3", check_header=False) == [(4, 3)]
+
+
+def test_sampled_types_and_dropped_rows(spark, tmp):
+    path = write_text(tmp + "/a.csv", "a,b\n" + "1,x\n" * 120 + "2.5,y\n")
+    with pytest.raises(Exception, match="does not fit"):
+        read_csv(spark, path).collect()
+    # rows are only dropped by types that all rows have been asked for
+    df = read_csv(spark, path, mode="DROPMALFORMED")
+    assert df.schema["a"].dataType == T.DoubleType() and df.count() == 121
+    assert read_csv(spark, path, mode="DROPMALFORMED", schema="a int, b string").count() == 120
 
 
 def test_filter_reaches_csv_scan(spark, tmp):
-    # types that hold for every row need no check, so the filter is the scan's
-    df = read_csv(spark, stock_csv(tmp + "/s.csv", 20), infer_schema_length=None)
-    plan = plan_text(df.where("Volume > 0").select("Open"))
-    assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
+    for length in (100, None):
+        df = read_csv(spark, stock_csv(tmp + "/s.csv", 20), infer_schema_length=length)
+        plan = plan_text(df.where("Volume > 0").select("Open"))
+        assert "PushedFilters: [IsNotNull(Volume), GreaterThan(Volume,0)]" in plan
+        assert "ReadSchema: struct<Date:string,Open:double,Volume:bigint,__quarry_extra__:string>" in plan
 
 
 def test_multi_char_separator(spark, tmp):
@@ -274,7 +350,12 @@ def test_encoding_and_mode_are_not_ignored(spark, tmp):
     got = read_text(spark, f"{tmp}/l.csv", skip_rows=1, encoding="ISO-8859-1", multiline=True)
     assert got.collect()[0].a == "café"
     with pytest.raises(ValueError, match="mode"):
-        read_text(spark, f"{tmp}/l.csv", skip_rows=1, multiline=True, mode="FAILFAST")
+        read_text(spark, f"{tmp}/l.csv", skip_rows=1, encoding="ISO-8859-1", multiline=True, mode="FAILFAST")
+    bad = write_text(f"{tmp}/b.csv", "junk\na\nx\n1\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        read_text(spark, bad, skip_rows=1, multiline=True, mode="FAILFAST", schema="a int").collect()
+    got = read_text(spark, bad, skip_rows=1, multiline=True, mode="DROPMALFORMED", schema="a int").collect()
+    assert got == [(1,)]
 
 
 def test_document_files_stay_bounded(spark, tmp, monkeypatch):
