@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from helpers import write_text
-from quarry.sources.json import parse_http_bodies, parse_json_text, read_json
+from quarry.sources.json import infer_json_schema, parse_http_bodies, parse_json_text, read_json
 
 
 def test_ndjson_file(spark, tmp):
@@ -104,3 +104,43 @@ def test_bodies_framed_by_newlines(spark):
         [('[{"a":1},{"a":2}]\n',), ('\r\n[\n  {"a": 3},\n  {"a":\n 4}\n]\n\t',), ('{"a":5}\n\n',)], "body string"
     )
     assert sorted(r.a for r in parse_json_text(bodies, "body").collect()) == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("rows", [
+    ['{"a":1.50}', '{"a":1}'], ['{"a":1.0}'], ['{"a":1e30}'], ['{"a":123456789012345678901}', '{"a":2}'],
+    ['{"a b":[1,"x",null],"OBJECT<":{"z":null,"y":true}}'], ['{"a":{"b":1}}', '{"a":"x"}'],
+    ['{"b":1}', '{"a":[]}', '{"`q":[{"c":1},{"d":2.5}]}'], ['{"a":9223372036854775807}', '{"a":-1}'],
+    ['{"a":null}', '{"a":{"OBJECT<x":[[1],[2.5]]}}'], ['{"t":"2020-01-01"}'],
+])
+def test_one_pass_schema_is_that_of_the_json_reader(spark, rows):
+    records = spark.createDataFrame([(r,) for r in rows], "record string")
+    want = spark.read.json(spark.sparkContext.parallelize(rows)).schema
+    assert infer_json_schema(spark, records).simpleString() == want.simpleString()
+    assert infer_json_schema(spark, records.repartition(3)).simpleString() == want.simpleString()
+
+
+def test_one_pass_schema_reads_its_input_once_and_writes_nothing(spark, tmp):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    bodies = spark.createDataFrame([('[{"a":1},{"a":2}]',), ('{"a":3}\n{"late":"x"}',)], "body string")
+    df = parse_json_text(bodies.mapInArrow(counted, "body string"), "body")
+    assert df.schema.simpleString() == "struct<a:bigint,late:string>"
+    assert seen.value == 2  # once for the schema
+    assert len(df.collect()) == 4 and seen.value == 4  # and once for the records
+
+
+@pytest.mark.parametrize("rows", [['{"a":1'], ["nope"], ['{"a":1}', "[1"]])
+def test_malformed_records_raise_in_the_schema_pass(spark, rows):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        infer_json_schema(spark, spark.createDataFrame([(r,) for r in rows], "record string"))
+
+
+def test_records_that_are_no_objects(spark):
+    for text in ("3", "[1]"):
+        with pytest.raises(ValueError, match="objects"):
+            infer_json_schema(spark, spark.createDataFrame([(text,)], "record string"))
