@@ -81,15 +81,32 @@ def test_limit_in_file_order(spark, tmp):
     assert "TakeOrderedAndProject" in plan_text(out)
 
 
-def test_limit_in_file_order_reads_the_first_files_only(spark, tmp):
+def test_limit_reads_the_first_files_only(spark, tmp, monkeypatch):
     from quarry.operators import transform
 
-    for i in range(6):
-        spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(f"{tmp}/t/p{i}")
+    for i in range(40):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(f"{tmp}/t/p {i:02d}")
     df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp}/t")
-    got = limit_rows(df, 15, file_order=True)
-    assert [r.id for r in got.collect()] == list(range(15))
-    assert transform._first_files(df, 15).count() == 20
-    filtered = limit_rows(df.where("id % 7 = 0"), 4, file_order=True)
+    for n in (0, 1, 10, 15, 95, 399, 400, 1000):  # also without asking for file order
+        assert [r.id for r in limit_rows(df, n).collect()] == list(range(min(n, 400)))
+    # runs of 1, 2, 4, ... files: the prefix is at most twice as long as needed
+    assert transform._first_files(df, 15).count() == 30
+    assert transform._first_files(df, 95).count() == 150
+    first = transform._first_files(df, 15)
+    assert len(first.inputFiles()) == 40  # listed once; the scan itself is bounded by path
+    assert "PartitionFilters" in plan_text(first) and first.select("_metadata.file_path").distinct().count() == 3
+    filtered = limit_rows(df.where("id % 7 = 0"), 4)
     assert [r.id for r in filtered.collect()] == [0, 7, 14, 21]
-    assert limit_rows(df.where("id < 0"), 4, file_order=True).count() == 0
+    assert limit_rows(df.where("id < 0"), 4).count() == 0
+    late = limit_rows(df.where("id >= 390").select((df.id * 2).alias("d")), 4)
+    assert [r.d for r in late.collect()] == [780, 782, 784, 786] and late.columns == ["d"]
+    assert limit_rows(df, 3, file_order=False).count() == 3
+
+
+def test_limit_of_text_files_and_derived_frames(spark, tmp):
+    for i, name in enumerate("ba"):
+        with open(f"{tmp}/{name}.csv", "w") as fh:
+            fh.writelines(f"{name}{j}\n" for j in range(1000 + i))
+    df = spark.read.text(tmp)
+    assert [r.value for r in limit_rows(df, 1003).collect()] == [f"a{j}" for j in range(1001)] + ["b0", "b1"]
+    assert limit_rows(spark.range(5).join(spark.range(3), "id"), 2).count() == 2
