@@ -246,6 +246,9 @@ class Encoder:
             starts &= ~after
         starts |= begin
         self._endings(data, first, begin, starts)
+        if self._form == "words":
+            # white space has no ids: it goes with the word after it
+            starts[1:] &= ~white[:-1] | white[1:] | begin[1:]
         return first[starts], text
 
     def _endings(self, data: np.ndarray, first: np.ndarray, begin: np.ndarray, starts: np.ndarray) -> None:
