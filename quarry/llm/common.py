@@ -42,6 +42,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split()
 
 
+def whole_row(docs: DataFrame):
+    """All columns as one struct, so that none can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def stage(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read
     it back: cuts the lineage, so a lost executor costs no recomputation."""

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import broadcast_if_small, lower_ascii, shuffle_partitions, stage
+from quarry.llm.common import broadcast_if_small, lower_ascii, shuffle_partitions, stage, whole_row
 
 # Splitters are sampled to the driver, so they hold the beginning of a text only.
 SPLITTER_CHARS = 32
@@ -107,8 +107,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The documents that stay, with all their columns."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    runs = _runs(docs, id_col, text_col, keep, [whole]).where("__place = 1")
+    runs = _runs(docs, id_col, text_col, keep, [whole_row(docs).alias("__row")]).where("__place = 1")
     heads, _ = stage(runs.select("__id", "__sha", "__spread", "__run_size", "__run_best", "__head", "__row"), "dedup")
     hot, _ = stage(_hot_groups(heads, keep), "hot-runs")
     lost = heads.select("__id", "__sha", "__spread").join(hot, ["__sha", "__spread"])

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD_REGEX, stage
+from quarry.llm.common import WORD_REGEX, stage, whole_row
 
 FAN_IN = 128
 _EPS = 1e-12
@@ -226,12 +226,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         ),
         "mix-taken",
     )
-    rows = docs.withColumn("__words", text_words()).join(
+    rows = docs.select(whole_row(docs).alias("row"), text_words().alias("words")).join(
         taken,
-        F.col("doc_id").eqNullSafe(F.col("__id"))
-        & F.col("source").eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size")),
-    )
-    return rows.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+        F.col("row.doc_id").eqNullSafe(F.col("__id"))
+        & F.col("row.source").eqNullSafe(F.col("__source"))
+        & (F.col("words") == F.col("__size")),
     )
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("row.*")

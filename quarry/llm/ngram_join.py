@@ -52,6 +52,7 @@ from quarry.llm.common import (
     shuffle_partitions,
     stage,
     text_buffers,
+    whole_row,
 )
 
 NUMERATOR, DENOMINATOR = 80, 100  # the threshold, exactly
@@ -554,9 +555,10 @@ def _with_set_id(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             sids = pa.array([_set_id(s) for s in _sets(batch)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, sids], [*batch.schema.names, "__sid"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, sids], [*batch.schema.names, "sid"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__sid", T.BinaryType())]))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", whole_row(docs).alias("row"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("sid", T.BinaryType())]))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -578,5 +580,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     if partly.isEmpty():
         return left
     some = _with_set_id(docs.join(broadcast_if_small(partly), "doc_id", "left_semi").select(*all_columns))
-    kept = some.join(broadcast_if_small(lost.withColumnRenamed("sid", "__sid")), ["doc_id", "__sid"], "left_anti")
-    return left.union(kept.select(*all_columns))
+    kept = some.join(broadcast_if_small(lost), ["doc_id", "sid"], "left_anti")
+    return left.union(kept.select("row.*"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import column_of, stage
+from quarry.llm.common import column_of, stage, whole_row
 
 MAX_ROWS = 8000
 MAX_FEATURES = 20000
@@ -229,5 +229,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents below the threshold, with all their columns."""
-    scored = score_text(docs, train(docs, labels), score_col="__toxic_score")
-    return scored.where(F.col("__toxic_score") < threshold).drop("__toxic_score")
+    rows = docs.select(whole_row(docs).alias("row"), "text")
+    return score_text(rows, train(docs, labels)).where(F.col("score") < threshold).select("row.*")

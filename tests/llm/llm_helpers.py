@@ -6,9 +6,20 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     # names that the operators use inside
     "n long, sid string, node long, size long, rank int, length string, score double, `range` int, copies int, "
-    "units int, target double, word string, mark int, held_out string, c int, p double, base int, `at` int"
+    "units int, target double, word string, mark int, held_out string, c int, p double, base int, `at` int, "
+    "`row` string, words long, `__words` long, `__n` long, `__toxic_score` string, `__sid` string, `__id` string, "
+    "`__source` int, `__size` string, `__times` int, `__row` int, `__spread` int, `a.b` int"
 )
-_EXTRA = [1, "s", 2, 3, 4, "l", 0.5, 6, 7, 8, 0.25, "w", 9, "h", 10, 0.75, 11, 12]
+_EXTRA = [1, "s", 2, 3, 4, "l", 0.5, 6, 7, 8, 0.25, "w", 9, "h", 10, 0.75, 11, 12,
+          "r", 99, 98, 97, "t", "s", "i", 96, "z", 95, 94, 93, 92]
+EXTRA_NAMES = ["n", "sid", "row", "words", "__words", "__n", "__toxic_score", "__sid", "__id", "__source", "__size",
+               "__times", "__row", "__spread", "a.b"]
+
+
+def extras_are_kept(df):
+    """Whether the columns that only look like an operator's own have their values."""
+    rows = df.select(*[f"`{n}`" for n in EXTRA_NAMES]).distinct().collect()
+    return {tuple(r) for r in rows} <= {(1, "s", "r", 99, 98, 97, "t", "s", "i", 96, "z", 95, 94, 93, 92)}
 
 
 def prose(rng, words, vocabulary=4000):

@@ -2,7 +2,7 @@ import os
 import random
 import sys
 
-from llm_helpers import prose
+from llm_helpers import awkward_rows, extras_are_kept, make_docs, prose
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
@@ -61,3 +61,37 @@ def test_stages_and_run(spark, tmp):
     assert sorted((r.doc_id, r.start, r.ids_crc32) for r in again.collect()) == sorted(
         (r.doc_id, r.start, r.ids_crc32) for r in packed.collect()
     )
+
+
+def write_awkward(spark, folder, rows):
+    docs = make_docs(spark, rows)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(d, 1, d % 2) for d, _, _ in rows if d is not None and d < 130] + [(None, 0, None), (5, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return docs
+
+
+def test_awkward_rows_and_clashing_names(spark, tmp):
+    import corpus_pipeline
+
+    rows = awkward_rows()
+    docs = write_awkward(spark, tmp, rows)
+    columns, texts = docs.columns, {(d, t) for d, t, _ in rows}
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        before = docs.count()
+        stage(spark, docs, tmp).write.parquet(f"{tmp}/{i}")
+        docs = spark.read.parquet(f"{tmp}/{i}")
+        assert docs.columns == columns, name
+        assert extras_are_kept(docs), name
+        assert {(r.doc_id, r.text) for r in docs.collect()} <= texts, name
+        assert docs.count() <= before or name == "mixing sources"
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, tmp)
+    assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
+    assert packed.where("start = 0").count() == docs.count()
+
+
+def test_empty_tables(spark, tmp):
+    import corpus_pipeline
+
+    write_awkward(spark, tmp, [])
+    assert corpus_pipeline.run(spark, tmp).count() == 0
