@@ -49,7 +49,8 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, payload: list)
     if keep not in ("min", "max"):
         raise ValueError("keep is 'min' or 'max'")
     norm = lower_ascii(F.col(text_col))
-    is_hot = F.xxhash64(norm).isin(hot_texts(docs, text_col))
+    # never a constant, which would drop out of the sort key and cost a shuffle
+    is_hot = F.xxhash64(norm).isin(hot_texts(docs, text_col) or [0])
     spread = F.when(is_hot, F.pmod(F.xxhash64(id_col), F.lit(max(16, shuffle_partitions(docs.sparkSession)))))
     rows = docs.select(
         F.col(id_col).alias("__id"),

@@ -103,3 +103,8 @@ def test_no_python_in_the_plan(awkward):
 def test_bad_rule(awkward):
     with pytest.raises(ValueError):
         exact_dedup(awkward, keep="first")
+
+
+def test_texts_are_shuffled_once(awkward):
+    plan = plan_text(_runs(awkward, "doc_id", "text", "max", []))
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
