@@ -6,21 +6,19 @@ A profile is a DataFrame with one row per input column, ordered by
 * approximate mode: one wide single-row aggregate: row count, null counts,
   encoded min/max and HyperLogLog distinct counts. Partial aggregation makes
   each task ship one row; nothing grows with the data.
-* exact mode: per-value counts. Each column gets ``groupBy(value).count()``
-  (one scan of that column, one shuffle). The aggregate is combined map-side,
-  so a hot value costs one row per task, and partitioned on the value, so a
-  high-cardinality column spreads over all reducers. The per-value counts of
-  all columns share one shape and one final ``groupBy(position)``; nulls,
-  min/max and the row count fall out of the same groups. For wide tables
-  (``WIDE_TABLE_COLUMNS``) the columns of one type family (64-bit ints and the
-  Int encodings, doubles, strings and decimals as text, binary) share one
-  scan instead: each row is exploded into one ``(position, value)`` row per
-  column, so scans, shuffles and plan size stay at most four whatever the
-  column count. Either way rows stay narrow, unlike the N-wide rows of
-  Catalyst's ``Expand`` for several ``count(DISTINCT ..)``.
+* exact mode: per-value counts. The columns of one type family (64-bit ints and the
+  Int encodings, doubles, texts and decimals, bytes) share one scan: each row is
+  exploded into one ``(position, value)`` row per column and counted by both, so
+  scans, shuffles and plan size stay at most four whatever the column count. The
+  aggregate is combined map-side, so a hot value costs one row per task, and
+  partitioned on the value, so a high-cardinality column spreads over all reducers.
+  The per-value counts of all families share one shape and one final
+  ``groupBy(position)``; nulls, min/max and the row count fall out of the same
+  groups. Rows stay narrow, unlike the N-wide rows of Catalyst's ``Expand`` for
+  several ``count(DISTINCT ..)``; long values are counted under their digest.
 * samples: per string column ``orderBy(key).limit(3)``, which plans as
   ``TakeOrderedAndProject``: every task keeps a 3-row heap, the final merge sees
-  3 rows per task. For wide tables one scan with ``row_number() <= 3`` per
+  3 rows per task. Beyond ``SAMPLED_APART`` such columns one scan with ``row_number() <= 3`` per
   column instead, cut by a partial ``WindowGroupLimit`` before the shuffle.
 * inputs that are costly to re-read (derived frames, row-format files) are
   landed once as Parquet under ``spark.checkpoint.dir`` first.
@@ -81,10 +79,9 @@ DETAILED_SCHEMA = T.StructType(
 
 DISTINCT_MODES = ("exact", "approx", "exact_single_pass")
 EXACT_PLANS = ("auto", "narrow", "per_column")
-# Above this many groupable columns "auto" switches from one job per column to
-# one narrow scan per type family: the per-column plan's scan count, task count
-# and plan size grow with the column count, the family plan's do not.
-WIDE_TABLE_COLUMNS = 32
+# Samples of more string columns than this come from one scan; it costs a sort,
+# which the scan per column does not need. The result is the same.
+SAMPLED_APART = 32
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -174,7 +171,7 @@ def _order_key(df: DataFrame, order_by) -> Column:
 def _samples(df: DataFrame, fields, key: Column) -> DataFrame | None:
     """First three non-null values per string column, in ``key`` order (P2e).
 
-    Up to ``WIDE_TABLE_COLUMNS`` string columns: one ``orderBy(key).limit(3)``
+    Up to ``SAMPLED_APART`` string columns: one ``orderBy(key).limit(3)``
     per column, planned as ``TakeOrderedAndProject`` (a 3-row heap per task).
     Beyond that, one scan: rows are exploded to ``(position, key, value)`` and
     ``row_number() over (partition by position order by key) <= 3`` keeps the
@@ -183,7 +180,7 @@ def _samples(df: DataFrame, fields, key: Column) -> DataFrame | None:
     """
     if not fields:
         return None
-    if len(fields) > WIDE_TABLE_COLUMNS:
+    if len(fields) > SAMPLED_APART:
         entries = [F.struct(F.lit(i).cast("int").alias("position"), qcol(f.name).alias("v")) for i, f in fields]
         exploded = (
             df.select(key.alias("k"), F.explode(F.array(*entries)).alias("e"))
@@ -285,19 +282,24 @@ def _slot_value(c: Column, dtype: T.DataType, slot: str) -> Column:
 DIGEST_BYTES = 32
 
 
-def _digest(raw: Column) -> Column:
-    """A short stand-in for bytes: themselves when short, else their SHA-256;
-    the first byte tells which, so the two never meet."""
-    return F.when(F.octet_length(raw) <= DIGEST_BYTES, F.concat(F.lit(b"\x00"), raw)).otherwise(
-        F.concat(F.lit(b"\x01"), F.unhex(F.sha2(raw, 256)))
-    )
+def _short_text(c: Column) -> Column:
+    """A text itself when short, else its digest, which is longer than any short
+    one: the two never meet."""
+    return F.when(F.octet_length(c) <= DIGEST_BYTES, c).otherwise(F.sha2(c.cast("binary"), 256))
+
+
+def _short_bytes(c: Column) -> Column:
+    """The same for bytes, whose digest has ``DIGEST_BYTES``."""
+    return F.when(F.octet_length(c) < DIGEST_BYTES, c).otherwise(F.unhex(F.sha2(c, 256)))
 
 
 def _group_key(c: Column, dtype: T.DataType, slot: str | None) -> Column:
     """What the distinct count groups by. Texts, bytes and arrays of plain
     values are shuffled as digests, never whole."""
-    if slot in ("s", "b"):
-        return _digest(_slot_value(c, dtype, slot).cast("binary"))
+    if isinstance(dtype, T.StringType) and slot:
+        return _short_text(c)
+    if slot == "b":
+        return _short_bytes(c)
     if slot:
         return _slot_value(c, dtype, slot)
     if isinstance(dtype, T.ArrayType):
@@ -310,7 +312,7 @@ def _group_key(c: Column, dtype: T.DataType, slot: str | None) -> Column:
         else:
             return distinct_key(c, dtype)
         text = F.to_json(F.struct(plain.alias("v")), {"ignoreNullFields": "false"})
-        return F.when(c.isNotNull(), _digest(text.cast("binary")))
+        return F.when(c.isNotNull(), _short_text(text))
     return distinct_key(c, dtype)
 
 
@@ -501,9 +503,8 @@ def profile_detailed(
     aggregates; one shuffle but rows as wide as the column count).
 
     ``exact_plan``: ``"per_column"`` (one scan and shuffle per column),
-    ``"narrow"`` (one scan and shuffle per type family, whatever the column
-    count) or ``"auto"`` (per column up to ``WIDE_TABLE_COLUMNS`` groupable
-    columns, narrow above).
+    or ``"narrow"`` (one scan and shuffle per type family, whatever the column
+    count; ``"auto"`` is the same).
 
     ``order_by``: columns that define row order for ``sample_values``;
     defaults to file order (see ``file_order_key``).
@@ -527,8 +528,7 @@ def profile_detailed(
     if exact_plan not in EXACT_PLANS:
         raise ValueError(f"exact_plan must be one of {EXACT_PLANS}, got {exact_plan!r}")
     if exact_plan == "auto":
-        groupable = sum(1 for _, f in fields if distinct_supported(f.dataType))
-        exact_plan = "narrow" if groupable > WIDE_TABLE_COLUMNS else "per_column"
+        exact_plan = "narrow"
     if distinct == "exact" and exact_plan == "per_column":
         passes = sum(1 for _, f in fields if distinct_supported(f.dataType))
         passes += any(not distinct_supported(f.dataType) for _, f in fields)

@@ -125,6 +125,9 @@ ORACLES = {
     "profile_detailed_lineitem": detailed_profile_sql("lineitem", LINEITEM),
     "profile_approx_lineitem": "SELECT *, true AS unique_close FROM ("
                                + detailed_profile_sql("lineitem", LINEITEM, with_unique=False) + ")",
+    "profile_state_lineitem": "SELECT *, true AS unique_close FROM ("
+                              + detailed_profile_sql("lineitem", LINEITEM, with_unique=False) + ")",
+    "published_overwrite": "SELECT * FROM orders WHERE o_orderkey % 2 = 0",
     "profile_basic_nulls": basic_profile_sql(DOCS_JOIN, DOCS_LABELS),
     "profile_detailed_nulls": detailed_profile_sql(DOCS_JOIN, DOCS_LABELS),
     "profile_detailed_documents": detailed_profile_sql("documents", DOCUMENTS),

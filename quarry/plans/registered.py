@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.export import export_profile_json
 from quarry.operators.profile import flatten_profile, profile_basic, profile_detailed
+from quarry.operators.profile_state import profile_from_state, update_profile_state
 from quarry.operators.transform import limit_rows, select_columns
 from quarry.plans.copy_job import copy_data, copy_sql
 from quarry.plans.fixtures import (
@@ -29,6 +30,7 @@ from quarry.plans.fixtures import (
 from quarry.plans.pipeline import run_file_pipeline
 from quarry.session import scratch_dir
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
+from quarry.sinks.published import publish, read_published
 from quarry.sources.avro import read_avro
 from quarry.sources.columnar import read_orc, read_parquet
 from quarry.sources.excel import parse_workbook_bytes, read_excel
@@ -64,6 +66,29 @@ def q_profile_approx_lineitem(spark, sf_dir):
     return prof.join(exact, "position").withColumn("unique_close", close).drop("unique", "exact")
 
 
+def q_profile_state_lineitem(spark, sf_dir):
+    """P2 as mergeable state: the table arrives in two parts, each scanned
+    once, and the profile comes from the state alone. ``unique`` and the median are
+    compared with the exact ones."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    data, state = scratch_dir(spark, "grown"), scratch_dir(spark, "profile-state")
+    for part in (0, 1):
+        write_parquet(lineitem.where(F.col("l_orderkey") % 2 == part), f"{data}/{part}")
+        update_profile_state(spark, state, data)
+    exact = flatten_profile(profile_detailed(lineitem, samples=False)).select("position", F.col("unique").alias("exact"))
+    close = F.abs(F.col("unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("exact"))
+    found = profile_from_state(spark.read.parquet(state))
+    return flatten_profile(found).join(exact, "position").withColumn("unique_close", close).drop("unique", "exact")
+
+
+def q_published_overwrite(spark, sf_dir):
+    """K2 published: a table is replaced by a job that reads it, and read back."""
+    path = scratch_dir(spark, "published")
+    publish(table(spark, sf_dir, "orders"), path)
+    publish(read_published(spark, path).where("o_orderkey % 2 = 0"), path)
+    return read_published(spark, path)
+
+
 def q_profile_basic_nulls(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
@@ -375,6 +400,8 @@ QUERIES = {
     "profile_detailed_orders": q_profile_detailed_orders,
     "profile_detailed_lineitem": q_profile_detailed_lineitem,
     "profile_approx_lineitem": q_profile_approx_lineitem,
+    "profile_state_lineitem": q_profile_state_lineitem,
+    "published_overwrite": q_published_overwrite,
     "profile_basic_nulls": q_profile_basic_nulls,
     "profile_detailed_nulls": q_profile_detailed_nulls,
     "profile_detailed_documents": q_profile_detailed_documents,

@@ -232,17 +232,25 @@ def test_exact_plans_agree(spark):
     assert plan.count("Generate") >= 4  # one narrow explode per type family
 
 
-def test_auto_plan_switches_for_wide_tables(spark):
-    from quarry.operators import profile as prof
-
-    wide = spark.range(50).selectExpr(*[f"id % {k + 2} AS c{k}" for k in range(prof.WIDE_TABLE_COLUMNS + 1)])
-    plan = plan_text(profile_detailed(wide, samples=False))
+@pytest.mark.parametrize("columns", [1, 2, 33, 40])
+def test_one_plan_at_every_width(spark, columns):
+    df = spark.range(50).selectExpr(*[f"id % {k + 2} AS c{k}" for k in range(columns)])
+    plan = plan_text(profile_detailed(df, samples=False))
     assert plan.count("Generate") == 1  # one narrow scan for the single type family
-    p = {r["column"]: r["unique"] for r in profile_detailed(wide, samples=False).collect()}
-    assert p["c0"] == 2 and p[f"c{prof.WIDE_TABLE_COLUMNS}"] == prof.WIDE_TABLE_COLUMNS + 2
-    narrow = spark.range(50).selectExpr("id", "id % 3 AS m")
-    plan = plan_text(profile_detailed(narrow, samples=False))
-    assert "Generate" not in plan
+    p = {r["column"]: r["unique"] for r in profile_detailed(df, samples=False).collect()}
+    assert p == {f"c{k}": k + 2 for k in range(columns)}
+
+
+def test_long_and_short_values_never_meet(spark):
+    import hashlib
+
+    long_ = "x" * 33
+    texts = [long_, hashlib.sha256(long_.encode()).hexdigest(), "x" * 32, "x", "", long_, "é" * 16, "é" * 17]
+    df = spark.createDataFrame([(t, t.encode(), hashlib.sha256(t.encode()).digest()) for t in texts], "s string, b binary, d binary")
+    more = df.selectExpr("s", "b").unionAll(df.selectExpr("NULL", "d"))
+    p = by_name(profile_detailed(more))
+    assert p["s"]["unique"] == 7 + 1  # and null
+    assert p["b"]["unique"] == 14
 
 
 def test_duplicate_names_rejected(spark):
@@ -258,7 +266,7 @@ def test_duplicate_names_rejected(spark):
 def test_wide_samples_single_scan(spark, tmp):
     from quarry.operators import profile as prof
 
-    n = prof.WIDE_TABLE_COLUMNS + 2
+    n = prof.SAMPLED_APART + 2
     cols = [f"IF(id % {k + 2} = 0, NULL, CONCAT('c{k}_', id)) AS s{k}" for k in range(n)]
     spark.range(40).selectExpr("id", *cols).coalesce(1).write.parquet(tmp + "/w")
     df = spark.read.parquet(tmp + "/w")
