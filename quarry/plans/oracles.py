@@ -177,5 +177,6 @@ ORACLES = {
     "parquet_bytes": "SELECT * FROM orders",
     "sql_copy_filtered": ORDERS_1997,
     "jdbc_query": ORDERS_1997,
+    "jdbc_resumable": "SELECT * FROM orders",
     "jdbc_partitioned": "SELECT * FROM orders",
 }

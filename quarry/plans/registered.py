@@ -28,6 +28,7 @@ from quarry.plans.fixtures import (
     write_with_preamble,
 )
 from quarry.plans.pipeline import run_file_pipeline
+from quarry.plans.resumable import copy_resumable, read_copied
 from quarry.session import scratch_dir
 from quarry.sinks import write_csv, write_json, write_orc, write_parquet
 from quarry.sinks.published import publish, read_published
@@ -396,6 +397,15 @@ def q_jdbc_partitioned(spark, sf_dir):
     return read_parquet(spark, out)
 
 
+def q_jdbc_resumable(spark, sf_dir):
+    """J1 in balanced ranges, each landed on its own and entered in a ledger."""
+    url = derby_with(spark, table(spark, sf_dir, "orders"), "orders")
+    out = scratch_dir(spark, "jdbc-ranges")
+    options = dict(driver=DERBY_DRIVER, options={"preferTimestampNTZ": "true"})
+    copy_resumable(spark, url, "SELECT * FROM ORDERS", out, '"o_orderkey"', 6, **options)
+    return read_copied(spark, out)
+
+
 QUERIES = {
     "profile_detailed_orders": q_profile_detailed_orders,
     "profile_detailed_lineitem": q_profile_detailed_lineitem,
@@ -439,4 +449,5 @@ QUERIES = {
     "sql_copy_filtered": q_sql_copy_filtered,
     "jdbc_query": q_jdbc_query,
     "jdbc_partitioned": q_jdbc_partitioned,
+    "jdbc_resumable": q_jdbc_resumable,
 }
