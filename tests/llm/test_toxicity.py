@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from llm_helpers import make_docs, prose
 
+from quarry.llm import toxicity
 from quarry.llm.toxicity import Model, classify, drop_toxic, features, fit, swapped_sentences
 
 INSULTS = ["idiot", "moronic", "grubkrat", "grubkrin", "grubklo"]
@@ -126,3 +127,60 @@ def test_labels_without_both_classes(spark, awkward, rows):
 def test_empty_table(spark, no_docs):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert classify(no_docs, labels).count() == 0
+
+
+@pytest.mark.parametrize("bias", [0.0, 0.4])
+def test_fit_against_newton_and_a_numeric_gradient(bias):
+    """The loss (weighted log loss, ridge, squared change of swapped sentences) of the
+    fitted weights is as low as Newton's method brings it on the same features, and
+    its numeric gradient there is next to nothing."""
+    rows = corpus(6, 300, group_bias=bias)
+    texts, toxic = [t for _, t, _ in rows], np.array([y for _, _, y in rows], dtype=float)
+    weight = np.where(toxic == 1, 2.0, 1.0)
+    model = fit(texts, toxic, weight)
+    names = sorted(model.weights)
+    at = {f: i for i, f in enumerate(names)}
+
+    def dense(rows):
+        x = np.zeros((len(rows), len(names)))
+        for i, t in enumerate(rows):
+            x[i, [at[f] for f in features(t) if f in at]] = 1
+        return x
+
+    x = dense(texts)
+    pairs = [p for t in texts for p in swapped_sentences(t)]
+    gaps = dense([p[0] for p in pairs]) - dense([p[1] for p in pairs])
+    share = weight / weight.sum()
+    assert pairs and len(names) > 5
+
+    def loss(v):
+        z = x @ v[:-1] + v[-1]
+        return (
+            (share * (np.logaddexp(0, z) - toxic * z)).sum()
+            + toxicity.RIDGE / 2 * (v[:-1] ** 2).sum()
+            + toxicity.PENALTY * ((gaps @ v[:-1]) ** 2).mean()
+        )
+
+    fitted = np.array([model.weights[f] for f in names] + [model.bias])
+    best = np.append(np.zeros(len(names)), model.bias)
+    full = np.hstack([x, np.ones((len(x), 1))])
+    flat = np.hstack([gaps, np.zeros((len(gaps), 1))])
+    ridge = np.append(np.full(len(names), toxicity.RIDGE), 1e-12)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(full @ best)))
+        gradient = full.T @ (share * (p - toxic)) + ridge * best + 2 * toxicity.PENALTY / len(pairs) * flat.T @ (flat @ best)
+        curve = (full * (share * p * (1 - p))[:, None]).T @ full + np.diag(ridge)
+        curve += 2 * toxicity.PENALTY / len(pairs) * flat.T @ flat
+        step = np.linalg.solve(curve, gradient)
+        rate = 1.0
+        while loss(best - rate * step) > loss(best) and rate > 1e-6:
+            rate /= 2
+        best = best - rate * step
+    start = np.append(np.zeros(len(names)), np.log(share @ toxic / (1 - share @ toxic)))
+    assert loss(fitted) - loss(best) < 0.01 * (loss(start) - loss(best))
+
+    def numeric(v):
+        eye = np.eye(len(v)) * 1e-5
+        return np.array([(loss(v + e) - loss(v - e)) / 2e-5 for e in eye])
+
+    assert np.linalg.norm(numeric(fitted)) < 0.02 * np.linalg.norm(numeric(start))
