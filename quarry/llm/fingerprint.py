@@ -20,7 +20,7 @@ task finds all successors among its own sorted rows and keeps one batch and one
 Defined results: null and wordless texts have the empty fingerprint, which is
 like itself (1.0) and unlike all others (0.0); repeated identifiers are ordered
 by text; rows without an identifier come last; a single document is its own
-successor; an empty table gives an empty result; other columns are ignored.
+successor; a very long text is hashed whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

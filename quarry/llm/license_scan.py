@@ -18,8 +18,8 @@ a parameter of the job.
 
 Defined results: null and empty texts have no licence; each pair of document and
 licence is reported once, at its best, then first, then longest place; repeated rows are
-reported as often as they occur; an empty table gives an empty result; other
-columns are ignored.
+reported as often as they occur; a very long text is compared in all its places; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ blocks; no task sees more than about ``FAN_IN`` documents of a block at once.
 Defined results: null text has size 0 and is never copied beyond the whole part;
 a null source is a source of its own, ordered last; rows that agree in
 identifier, source and size count as one document with their total size and are
-taken alike; an empty table gives an empty result; other columns are ignored by
+taken alike; documents of equal size meet in the order of a hash of their identifiers; a
+very long text weighs by all its words; an empty table gives an empty result; other columns are ignored by
 ``mix_sources`` and returned as they are by ``mixed_documents``.
 """
 

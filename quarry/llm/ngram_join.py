@@ -27,8 +27,10 @@ task.
 
 Defined results: null, empty and wordless texts have an empty set and link with
 nothing; rows without an identifier keep their set size and get no class; rows
-that share an identifier are each judged by their own text; an empty table gives an empty result;
-other columns are ignored by ``near_duplicates`` and kept by ``drop_near_duplicates``.
+that share an identifier are each judged by their own text; a very long text is one
+set of all its shingles; of sets in one class the smallest identifier names it, and of
+equal identifiers the smaller set; an empty table gives an empty result; other columns
+are ignored by ``near_duplicates`` and kept by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations

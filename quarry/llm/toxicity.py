@@ -16,7 +16,8 @@ most ``MAX_FEATURES``) in the task's closure.
 
 Defined results: null and empty texts get the score of a text without words; a
 document with several labels counts as toxic if one says so; null labels are
-ignored; without both classes the score is the share of toxic labels; an empty
+ignored; very long texts are scored whole, and learned from whole; rows of equal hash
+are sampled in the order of their identifiers; without both classes the score is the share of toxic labels; an empty
 table gives an empty result; other columns are not read.
 """
 

@@ -17,8 +17,8 @@ to the shared folder after each round. A host with very many links or pages is
 a hot join key, which adaptive execution splits; sums combine map-side.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
-and is allowed; null html has no links; repeated rows are judged alike; an empty
-table gives an empty result; other columns are ignored.
+and is allowed; null html has no links; all links of a very long page count; of rules
+of equal length the last in the list decides; repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
