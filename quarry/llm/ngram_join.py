@@ -335,12 +335,22 @@ class _Forest:
         return int(i)
 
     def roots(self, of: np.ndarray) -> np.ndarray:
-        up = self.up
+        """Roots of some places, whose ways there are shortened."""
+        up, found = self.up, of
         while True:
-            higher = up[up]
-            if (higher == up).all():
-                return up[of]
-            up[:] = higher
+            higher = up[found]
+            if (higher == found).all():
+                up[of] = found
+                return found
+            found = higher
+
+
+def _merged(lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct members of ascending lists that follow one another, and in how
+    many lists each is. The stable sort merges the ascending runs it finds."""
+    members = np.sort(lists, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], members[1:] != members[:-1]])) if len(members) else members
+    return members[first], np.diff(np.append(first, len(members)))
 
 
 def divide_skip(sets: list[np.ndarray], queries: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -376,24 +386,22 @@ def divide_skip(sets: list[np.ndarray], queries: np.ndarray | None = None) -> li
         longest = int(lengths[mine[-1]])
         far = min(int(least / (_MERGE_COST * np.log2(longest) + 1)), least - 1)
         short, long_ = mine[: len(mine) - far], mine[len(mine) - far :]
-        # merge the short lists: concatenated slices, counted per set
+        # merge the short lists: the cost is theirs, however many sets there are
         width = lengths[short]
         shift = np.concatenate([[0], np.cumsum(width)[:-1]])
         places = np.arange(int(width.sum())) + np.repeat(begins[short] - shift, width)
-        times = np.bincount(docs[places], minlength=count)
-        able = times >= least - far
-        able[q] = False
-        able &= (sizes * DENOMINATOR >= n * NUMERATOR) & (n * DENOMINATOR >= sizes * NUMERATOR)
-        if is_query is None:
-            able[:q] = False  # earlier sets have asked for this one
-        else:
-            able[:q] &= ~is_query[:q]
-        cands = np.flatnonzero(able)
+        cands, times = _merged(docs[places])
+        able = (times >= least - far) & (cands != q)
+        able &= (sizes[cands] * DENOMINATOR >= n * NUMERATOR) & (n * DENOMINATOR >= sizes[cands] * NUMERATOR)
+        # earlier sets that ask have asked for this one
+        able &= (cands > q) if is_query is None else (cands > q) | ~is_query[cands]
+        cands, times = cands[able].astype(np.int64), times[able]
         if len(cands):
-            cands = cands[forest.roots(cands) != forest.root(q)]
+            apart = forest.roots(cands) != forest.root(q)
+            cands, times = cands[apart], times[apart]
         if not len(cands):
             continue
-        overlap = times[cands].astype(np.int64)
+        overlap = times.astype(np.int64)
         for k in long_.tolist():
             members = docs[begins[k] : ends[k]]
             place = np.searchsorted(members, cands)
