@@ -56,6 +56,7 @@ from quarry.llm.common import (
     text_buffers,
     whole_row,
 )
+from quarry.llm.tokens import give_back
 
 NUMERATOR, DENOMINATOR = 80, 100  # the threshold, exactly
 # Shingles that one search task holds at once.
@@ -434,6 +435,7 @@ def _search_shard(group: pa.Table) -> pa.Table:
         queries = np.flatnonzero([asks[i] for i in members])
         found = divide_skip(sets, None if len(queries) == len(members) else queries)
         out += [(nodes[members[a]], nodes[members[b]]) for a, b in found]
+    give_back()
     return pa.table(
         [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"]
     )

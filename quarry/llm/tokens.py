@@ -16,6 +16,8 @@ of a tokenizer whose file is of no known form.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 import unicodedata
@@ -84,20 +86,24 @@ def _class_of(c: str, joins: bool) -> int:
     return kind
 
 
+def give_back() -> None:
+    """Return memory that earlier tasks of this worker have freed to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # glibc only
+
+
 class Encoder:
     def __init__(self, path: str, special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        give_back()
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = not special
-        with open(path, encoding="utf-8") as fh:
-            described = json.load(fh)
-        added = described.get("added_tokens") or []
-        self._added = [t["content"] for t in added] if special else []
-        self._form = self._known_form(described)
-        if any(not t["special"] for t in added):
-            self._form = None
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added] if special else []
+        self._form = None if any(not t.special for t in added) else self._known_form(self._tokenizer)
         self._words = self._form == "words"
         # the model alone, over pieces that are written in its letters already
         self._bare = Tokenizer(self._tokenizer.model)
@@ -110,14 +116,16 @@ class Encoder:
         self._forget()
 
     @staticmethod
-    def _known_form(described: dict) -> str | None:
-        model, pre, norm = described["model"], described["pre_tokenizer"] or {}, described["normalizer"] or {}
-        if model["type"] != "BPE" or model["dropout"] or model["byte_fallback"] or model["ignore_merges"]:
+    def _known_form(tokenizer) -> str | None:
+        model = tokenizer.model
+        if type(model).__name__ != "BPE" or model.dropout or model.byte_fallback or model.ignore_merges:
             return None
-        if model["continuing_subword_prefix"] or model["unk_token"]:
+        if model.continuing_subword_prefix or model.unk_token:
             return None
+        # the parts as the file describes them, without its vocabulary
+        pre, norm = (json.loads(x.__getstate__()) if x else {} for x in (tokenizer.pre_tokenizer, tokenizer.normalizer))
         byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
-        if pre == byte_level | {"use_regex": True} and not norm and not model["end_of_word_suffix"]:
+        if pre == byte_level | {"use_regex": True} and not norm and not model.end_of_word_suffix:
             return "bytes"
         split = {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True}
         lower = [
@@ -128,7 +136,7 @@ class Encoder:
         if (
             pre == {"type": "Sequence", "pretokenizers": [split, byte_level | {"use_regex": False}]}
             and norm == {"type": "Sequence", "normalizers": lower}
-            and model["end_of_word_suffix"] == "</w>"
+            and model.end_of_word_suffix == "</w>"
         ):
             return "words"
         return None
@@ -146,6 +154,7 @@ class Encoder:
 
     def _shrink(self) -> None:
         """Keep the pieces that more than one block held, if these are few enough."""
+        give_back()
         at, ids, start, count, blocks = self._at, self._ids, self._start, self._count, self._blocks
         again = blocks > 1
         pieces = [p for p, i in at.items() if again[i] and i]
