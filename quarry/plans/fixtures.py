@@ -11,6 +11,7 @@ one file per partition, written straight to a local or mounted directory.
 from __future__ import annotations
 
 import io
+import itertools
 import json
 import os
 import struct
@@ -146,6 +147,9 @@ def _avro_type(dt: T.DataType):
     return "string"
 
 
+_AVRO_SLICE = 1000  # rows that are Python objects at once
+
+
 def avro_schema(schema: T.StructType, name: str = "row") -> dict:
     return {
         "type": "record",
@@ -215,8 +219,9 @@ def _encoder(dt: T.DataType):
     return encode
 
 
-def avro_container(rows, schema: T.StructType, sync: bytes | None = None, block_rows: int = 1000) -> bytes:
-    """An Avro object container file (null codec) holding ``rows``."""
+def avro_blocks(rows, schema: T.StructType, sync: bytes | None = None, block_rows: int = 1000):
+    """The header of an Avro object container file (null codec), then its blocks
+    of ``block_rows`` rows. ``rows`` may be any iterable and is read block by block."""
     sync = sync or uuid.uuid4().bytes
     out = bytearray(b"Obj\x01")
     meta = {"avro.schema": json.dumps(avro_schema(schema)).encode(), "avro.codec": b"null"}
@@ -224,41 +229,55 @@ def avro_container(rows, schema: T.StructType, sync: bytes | None = None, block_
     for k, v in meta.items():
         kb = k.encode()
         out += _zigzag(len(kb)) + kb + _zigzag(len(v)) + v
-    out += _zigzag(0) + sync
+    yield bytes(out + _zigzag(0) + sync)
     encoders = [(f.name, _encoder(f.dataType)) for f in schema.fields]
-    for lo in range(0, len(rows), block_rows):
+    rows = iter(rows)
+    while chunk := list(itertools.islice(rows, block_rows)):
         block = bytearray()
-        chunk = rows[lo:lo + block_rows]
         for r in chunk:
             for name, enc in encoders:
                 enc(r[name], block)
-        out += _zigzag(len(chunk)) + _zigzag(len(block)) + block + sync
-    return bytes(out)
+        yield _zigzag(len(chunk)) + _zigzag(len(block)) + block + sync
+
+
+def avro_container(rows, schema: T.StructType, sync: bytes | None = None, block_rows: int = 1000) -> bytes:
+    """An Avro object container file (null codec) holding ``rows``."""
+    return b"".join(avro_blocks(rows, schema, sync, block_rows))
 
 
 def write_avro_files(df: DataFrame, directory: str) -> int:
     """One Avro file per partition of ``df`` under a local/mounted
-    ``directory``; returns the number of files."""
+    ``directory``; returns the number of files. A task holds a block of its
+    file at a time."""
     schema = df.schema
     ship_package(df.sparkSession)
     target = local_dir(directory)
     os.makedirs(target, exist_ok=True)
 
     def run(batches):
+        import hashlib
+
         import pyarrow as pa
 
-        rows = []
-        for b in batches:
-            rows.extend(b.to_pylist())
-        if rows:
-            import hashlib
+        done = 0
+
+        def rows():
+            nonlocal done
+            for b in batches:
+                for at in range(0, len(b), _AVRO_SLICE):
+                    some = b.slice(at, _AVRO_SLICE).to_pylist()
+                    done += len(some)
+                    yield from some
 
+        stream = rows()
+        first = next(stream, None)
+        if first is not None:
             name = task_file_name(0, ".avro")
             # Deterministic but high-entropy sync marker: a retried task writes
             # the same bytes, and the marker does not occur in the data.
             sync = hashlib.md5(name.encode()).digest()
-            write_file_atomic(target, name, avro_container(rows, schema, sync=sync))
-        yield pa.RecordBatch.from_pydict({"rows": [len(rows)]}, schema=pa.schema([("rows", pa.int64())]))
+            write_file_atomic(target, name, avro_blocks(itertools.chain([first], stream), schema, sync=sync))
+        yield pa.RecordBatch.from_pydict({"rows": [done]}, schema=pa.schema([("rows", pa.int64())]))
 
     return df.mapInArrow(run, "rows bigint").where("rows > 0").count()
 

@@ -155,16 +155,26 @@ def task_file_name(sequence: int, suffix: str) -> str:
     return f"part-{pid:05d}-{sequence:07d}{suffix}"
 
 
-def write_file_atomic(directory: str, name: str, data: bytes) -> None:
+def write_file_atomic(directory: str, name: str, data) -> None:
     """Write via a temporary name and rename, so readers never see a
-    partial file and a repeated write replaces the earlier one."""
+    partial file and a repeated write replaces the earlier one. ``data``: bytes,
+    or an iterable of bytes that are written as they come."""
+    import contextlib
     import os
+    import uuid
 
     final = os.path.join(directory, name)
-    tmp = os.path.join(directory, f".{name}.tmp")
-    with open(tmp, "wb") as fh:
-        fh.write(data)
-    os.replace(tmp, final)
+    # a name of its own, as two attempts of a task may write at the same time
+    tmp = os.path.join(directory, f".{name}.{uuid.uuid4().hex[:12]}.tmp")
+    try:
+        with open(tmp, "wb") as fh:
+            for part in [data] if isinstance(data, (bytes, bytearray, memoryview)) else data:
+                fh.write(part)
+        os.replace(tmp, final)
+    except BaseException:
+        with contextlib.suppress(OSError):
+            os.remove(tmp)
+        raise
 
 
 _SHIPPED: set[str] = set()

@@ -1,9 +1,12 @@
 import datetime as dt
+import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.fixtures import avro_container, xlsx_bytes
+from quarry.plans.fixtures import avro_container, write_avro_files, xlsx_bytes
 from quarry.sources.avro import read_avro
 from quarry.sources.excel import UnsupportedWorkbook, number_text, parse_workbook_bytes, read_excel, workbook_rows
 
@@ -43,6 +46,40 @@ def test_avro_split_over_tasks(spark, tmp):
     assert df.agg({"id": "sum"}).first()[0] == sum(range(20000))
 
 
+def test_avro_files_are_written_as_rows_come(spark, tmp):
+    df = spark.createDataFrame([], "id long, s string")
+    runs = []
+
+    class Frame:
+        schema, sparkSession = df.schema, spark
+
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+            return spark.createDataFrame([], schema)
+
+    write_avro_files(Frame(), tmp)
+
+    def batches():
+        for k in range(5):
+            # what came before is in the file, but for a block and the file's buffer
+            assert k == 0 or sum(os.path.getsize(f"{tmp}/{f}") for f in os.listdir(tmp)) > (k - 1) * 4000 * 55
+            yield pa.RecordBatch.from_pydict({"id": range(4000 * k, 4000 * (k + 1)), "s": ["x" * 50] * 4000})
+
+    assert [b.to_pylist() for b in runs[0](batches())] == [[{"rows": 20000}]]
+    assert [f for f in os.listdir(tmp) if not f.endswith(".avro")] == []
+    rows = read_avro(spark, tmp, native=False)
+    assert rows.count() == 20000 and rows.agg({"id": "sum"}).first()[0] == sum(range(20000))
+    assert list(runs[0](iter([])))[0].to_pylist() == [{"rows": 0}]
+
+
+def test_avro_file_of_a_failed_task_is_gone(spark, tmp):
+    df = spark.createDataFrame([(i, "x") for i in range(3000)], "id long, s string").coalesce(1)
+    bad = df.withColumn("s", F.when(F.col("id") == 2500, F.raise_error(F.lit("no"))).otherwise(F.col("s")))
+    with pytest.raises(Exception, match="no"):
+        write_avro_files(bad, tmp)
+    assert os.listdir(tmp) == []
+
+
 def test_avro_missing(spark, tmp):
     with pytest.raises(FileNotFoundError):
         read_avro(spark, tmp + "/none.avro")
