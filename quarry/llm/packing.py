@@ -34,10 +34,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_ROWS, column_of, stage
-from quarry.llm.tokens import encoder
+from quarry.llm.tokens import encoder, give_back
 
 SIZE = 2048
-_ROWS = 400  # documents encoded at once
+_ROWS = 800  # documents encoded at once
+_PIECES_OUT = 500  # packed pieces that go out at once
 
 _PIECE = "doc_id bigint, start bigint, length int, doc_tokens bigint, task int, place bigint, ids binary"
 
@@ -66,6 +67,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame
                     [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                     [f.split()[0] for f in _PIECE.split(", ")],
                 )
+            batch = texts = doc_ids = rows = None  # freed before the next batch comes
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECE)
 
@@ -168,18 +171,19 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequence, offset = slots.find(
-                column_of(batch, "length").to_numpy(), column_of(batch, "rank").to_numpy()
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(column_of(batch, n) for n in names),
-                    pa.array(sequence),
-                    pa.array(offset),
-                    pa.array([unpack_ids(x.as_buffer()).tobytes() for x in column_of(batch, "ids")], pa.binary()),
-                ],
-                [*names, "sequence_id", "offset", "ids"],
-            )
+            # ids take up to 8 kB a row, so few rows go out at once
+            for at in range(0, len(batch), _PIECES_OUT):
+                part = batch.slice(at, _PIECES_OUT)
+                sequence, offset = slots.find(
+                    column_of(part, "length").to_numpy(), column_of(part, "rank").to_numpy()
+                )
+                ids = [unpack_ids(x.as_buffer()).tobytes() for x in column_of(part, "ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [*(column_of(part, n) for n in names), pa.array(sequence), pa.array(offset), pa.array(ids, pa.binary())],
+                    [*names, "sequence_id", "offset", "ids"],
+                )
+            batch = part = ids = None  # freed before the next batch comes
+            give_back()
 
     return ranked.mapInArrow(
         run,

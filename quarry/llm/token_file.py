@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import column_of, drop_stages, stage
 from quarry.llm.packing import pack_ids, unpack_ids
-from quarry.llm.tokens import encoder
+from quarry.llm.tokens import encoder, give_back
 
 BLOCK_IDS = 1 << 18
-_ROWS = 400  # documents encoded at once
+_ROWS = 800  # documents encoded at once
 
 # ------------------------------------------------------------------------- the coding
 
@@ -97,6 +97,8 @@ def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
                     ],
                     names,
                 )
+            batch = texts = doc_ids = ids = None  # freed before the next batch comes
+            give_back()
         if len(counts):
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),

@@ -29,12 +29,14 @@ import pyarrow.compute as pc
 
 END_ID = 1
 _PIECES = 300_000  # distinct pieces remembered per worker
+_PIECE_BYTES = 1 << 24  # and their bytes
 _JOINED = 1000  # new pieces merged in one call
 _BLOCK_BYTES = 1 << 21  # text that is cut at once
 
 # Unicode's white space.
 _SPACES = frozenset([*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
-_STRIP = "".join(map(chr, sorted(_SPACES)))
+_ASCII_SPACE = np.array([b < 128 and b in _SPACES for b in range(256)])
+_WIDE_SPACES = np.array([p for p in sorted(_SPACES) if p > 127])
 
 # Classes of characters: letter, number, other, the space, other white space,
 # those to be left to the library, and those not looked up yet.
@@ -108,8 +110,10 @@ class Encoder:
         # the model alone, over pieces that are written in its letters already
         self._bare = Tokenizer(self._tokenizer.model)
         self._bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
-        letters = byte_letters()
-        self._letters = {b: letters[b] for b in range(256)}
+        # the letter of each byte, and the space that parts pieces
+        letters = [x.encode("utf-8") for _, x in sorted(byte_letters().items())] + [b" "]
+        self._letters = np.array([list(x.ljust(2, b"\0")) for x in letters], dtype=np.uint8)
+        self._letter_bytes = np.array([[True, len(x) > 1] for x in letters])
         names = self.names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
         self._id_bytes = np.array([len(n.removesuffix("</w>") if self._words else n) for n in names], dtype=np.int64)
         self._classes = np.full(0x110000, _NEW, dtype=np.uint8)
@@ -145,74 +149,86 @@ class Encoder:
 
     def _forget(self) -> None:
         """An empty table; entry 0 has no ids."""
-        self._at: dict[str, int] = {"": 0}
+        self._known = pa.array([""], pa.large_string())
         self._ids = np.zeros(1 << 16, dtype=np.uint32)
         self._start = np.zeros(1 << 14, dtype=np.int64)
         self._count = np.zeros(1 << 14, dtype=np.int64)
         self._blocks = np.zeros(1 << 14, dtype=np.int64)  # blocks that a piece occurred in
-        self._held, self._used = 1, 0
+        self._used = 0
 
     def _shrink(self) -> None:
         """Keep the pieces that more than one block held, if these are few enough."""
-        give_back()
-        at, ids, start, count, blocks = self._at, self._ids, self._start, self._count, self._blocks
-        again = blocks > 1
-        pieces = [p for p, i in at.items() if again[i] and i]
-        slots = np.array([at[p] for p in pieces], dtype=np.int64)
-        del at
+        known, ids, start, count = self._known, self._ids, self._start, self._count
+        slots = np.flatnonzero(self._blocks[: len(known)] > 1)
+        slots = slots[slots > 0]
         self._forget()
-        if len(pieces) <= _PIECES // 2:
-            self._append(pieces, gather(ids, start[slots], count[slots]), count[slots])
+        kept = known.take(pa.array(slots))
+        if len(slots) <= _PIECES // 2 and kept.nbytes <= _PIECE_BYTES // 2:
+            self._append(kept, gather(ids, start[slots], count[slots]), count[slots])
+        del known, kept, ids, start, count
+        give_back()
 
-    def _append(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        held, used = self._held, self._used
-        while held + len(pieces) > len(self._start):
+    def _append(self, pieces: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        held, used = len(self._known), self._used
+        end = held + len(pieces)
+        while end > len(self._start):
             for name in ("_start", "_count", "_blocks"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         while used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
         self._ids[used : used + len(ids)] = ids
-        end = held + len(pieces)
         self._count[held:end] = counts
         self._start[held:end] = used + np.cumsum(counts) - counts
         self._blocks[held:end] = 0
-        self._at.update(zip(pieces, range(held, end), strict=True))
-        self._held, self._used = end, used + len(ids)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Merge new pieces. All are joined to one text for the model; an id covers
+        self._known = pa.concat_arrays([self._known, pieces])
+        self._used = used + len(ids)
+
+    def _bare_words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of pieces in small letters and without white space."""
+        keep = ~_ASCII_SPACE[data]
+        points, places = code_points(data)
+        wide = np.isin(points, _WIDE_SPACES)
+        for k in range(3):  # of two or three bytes
+            keep[places[wide & (points >= (0x800 if k == 2 else 0))] + k] = False
+        ends = np.append(0, np.cumsum(keep))[ends]
+        # a space after each piece, as small letters may differ in width
+        joined = np.insert(data[keep], ends[1:], ord(" ")).tobytes().decode("utf-8").lower().encode("utf-8")
+        data = np.frombuffer(joined, np.uint8)
+        parted = data == ord(" ")
+        return data[~parted], np.append(0, np.flatnonzero(parted) - np.arange(len(ends) - 1))
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Merge new pieces. Many are joined to one text for the model; an id covers
         a known number of bytes, which tells where a piece's ids end."""
-        written, named, sizes = [], [], []
-        letters = self._letters
-        for p in pieces:
-            raw = p
-            if self._words:
-                raw = p.strip(_STRIP).lower()
-                if not raw:
-                    self._at[p] = 0
-                    continue
-            if not raw.isascii() or not raw.isprintable() or " " in raw:
-                raw = raw.encode("utf-8").decode("latin-1").translate(letters)
-            written.append(raw)
-            named.append(p)
-            sizes.append(len(raw))
-        for at in range(0, len(named), _JOINED):
-            some = slice(at, at + _JOINED)
-            found = self._bare.encode_batch_fast([" ".join(written[some])], add_special_tokens=False)[0]
-            ids = np.array(found.ids, dtype=np.uint32)
-            ends = np.searchsorted(np.cumsum(self._id_bytes[ids]), np.cumsum(sizes[some])) + 1
-            self._append(named[some], ids, np.diff(ends, prepend=0))
+        data, ends = bytes_of(pieces)
+        if self._words:
+            data, ends = self._bare_words(data, ends)
+        sizes = np.diff(ends)
+        some = np.flatnonzero(sizes)  # the others have no ids
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        codes = np.insert(data.astype(np.uint16), ends[some + 1], 256)
+        ends = np.append(0, np.cumsum(sizes[some] + 1))
+        ids = [np.zeros(0, np.uint32)]
+        for at in range(0, len(some), _JOINED):
+            now = some[at : at + _JOINED]
+            part = codes[ends[at] : ends[at + len(now)] - 1]
+            text = self._letters[part][self._letter_bytes[part]].tobytes().decode("utf-8")
+            found = self._bare.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids.append(np.array(found.ids, dtype=np.uint32))
+            last = np.searchsorted(np.cumsum(self._id_bytes[ids[-1]]), np.cumsum(sizes[now])) + 1
+            counts[now] = np.diff(last, prepend=0)
+        self._append(pieces, np.concatenate(ids), counts)
 
     def _slots(self, dictionary: pa.Array) -> np.ndarray:
-        pieces = dictionary.to_pylist()
-        if self._held + len(pieces) > _PIECES:
+        if len(self._known) + len(dictionary) > _PIECES or self._known.nbytes > _PIECE_BYTES:
             self._shrink()
-        new = [p for p in pieces if p not in self._at]
-        if new:
-            self._learn(new)
-        at = self._at
-        return np.fromiter((at[p] for p in pieces), dtype=np.int64, count=len(pieces))
+        slots = pc.fill_null(pc.index_in(dictionary, value_set=self._known), -1).to_numpy().astype(np.int64)
+        new = slots < 0
+        if new.any():
+            slots[new] = np.arange(len(self._known), len(self._known) + np.count_nonzero(new))
+            self._learn(dictionary.filter(pa.array(new)))
+        return slots
 
     # --------------------------------------------------------------------------- texts
 

@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -55,6 +56,32 @@ def test_pieces_give_the_ids_of_the_whole_text(path, special, monkeypatch):
     assert found() == want
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_no_python_work_per_piece(path):
+    column = pa.array([" ".join(f"w{i}é{j}q" for j in range(1000)) for i in range(20)])
+    found, calls = Encoder(path), []
+    sys.setprofile(lambda frame, event, arg: calls.append(1) if event in ("call", "c_call") else None)
+    try:
+        ids, offsets = found.encode(column)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 5000  # 20,000 pieces that were not met before
+    got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert got == [x.tolist() for x in whole_ids(path, column.to_pylist())]
+
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_remembered_pieces_are_bounded_in_bytes(path, monkeypatch):
+    monkeypatch.setattr(tokens, "_PIECE_BYTES", 5000)
+    found, rng = Encoder(path), random.Random(3)
+    for _ in range(6):
+        texts = ["".join(rng.choices("abcdé", k=4000)) + " \u3000\u00a0Ab \u1680" for _ in range(3)]
+        ids, offsets = found.encode(pa.array(texts))
+        got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        assert got == [x.tolist() for x in whole_ids(path, texts)]
+        assert found._known.nbytes < 25_000
+
+
 def test_the_encoder_takes_slices_nulls_and_both_string_types():
     column = pa.array([None, "a b", "", "é, c's"])
     want = [[], *(x.tolist() for x in whole_ids(BYTE_BPE, ["a b", "", "é, c's"]))]
