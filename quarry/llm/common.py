@@ -12,6 +12,7 @@ different shingles with a probability of about 1e-13.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +57,25 @@ def stage(df: DataFrame, name: str, compression: str | None = None) -> tuple[Dat
     return spark.read.schema(df.schema).parquet(path), path
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within hand their rows to Python in Arrow batches of about
+    ``BATCH_BYTES``: the executor and its worker both hold a batch whole, and ten
+    thousand texts are some 30 MB. A caller's own setting stays."""
+    if spark.conf.get(BATCH_CONF, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_CONF)
+
+
 def drop_stages(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         remove_dir(spark, path)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BROADCAST_ROWS, column_of, stage
+from quarry.llm.common import BROADCAST_ROWS, column_of, small_batches, stage
 from quarry.llm.tokens import encoder, give_back
 
 SIZE = 2048
@@ -154,7 +154,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFra
     """One row per piece: ``doc_id, start, length, doc_tokens, sequence_id,
     offset`` and ``ids`` (little-endian unsigned 32 bit). Sequences have at most
     ``size`` ids."""
-    pieces, _ = stage(token_pieces(docs, tokenizer, size), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces, _ = stage(token_pieces(docs, tokenizer, size), "pieces")
     counts, _ = stage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("k")), "lengths")
     histogram = {r["length"]: r["k"] for r in counts.groupBy("length").agg(F.sum("k").alias("k")).collect()}
     slots = pack_histogram(histogram, size)

@@ -31,7 +31,9 @@ END_ID = 1
 _PIECES = 300_000  # distinct pieces remembered per worker
 _PIECE_BYTES = 1 << 24  # and their bytes
 _JOINED = 1000  # new pieces merged in one call
-_BLOCK_BYTES = 1 << 21  # text that is cut at once
+_GATHERED = 1 << 15  # pieces whose ids are gathered at once
+_BLOCK_BYTES = 1 << 20  # text whose pieces are numbered at once
+_CUT_BYTES = 1 << 18  # text that is cut at once; the temporary arrays take about 50 times as much
 
 # Unicode's white space.
 _SPACES = frozenset([*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
@@ -118,6 +120,7 @@ class Encoder:
         self._id_bytes = np.array([len(n.removesuffix("</w>") if self._words else n) for n in names], dtype=np.int64)
         self._classes = np.full(0x110000, _NEW, dtype=np.uint8)
         self._forget()
+        give_back()
 
     @staticmethod
     def _known_form(tokenizer) -> str | None:
@@ -149,7 +152,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """An empty table; entry 0 has no ids."""
-        self._known = pa.array([""], pa.large_string())
+        self._known = pa.chunked_array([pa.array([""], pa.large_string())])
         self._ids = np.zeros(1 << 16, dtype=np.uint32)
         self._start = np.zeros(1 << 14, dtype=np.int64)
         self._count = np.zeros(1 << 14, dtype=np.int64)
@@ -162,7 +165,7 @@ class Encoder:
         slots = np.flatnonzero(self._blocks[: len(known)] > 1)
         slots = slots[slots > 0]
         self._forget()
-        kept = known.take(pa.array(slots))
+        kept = known.take(pa.array(slots)).combine_chunks()
         if len(slots) <= _PIECES // 2 and kept.nbytes <= _PIECE_BYTES // 2:
             self._append(kept, gather(ids, start[slots], count[slots]), count[slots])
         del known, kept, ids, start, count
@@ -181,7 +184,7 @@ class Encoder:
         self._count[held:end] = counts
         self._start[held:end] = used + np.cumsum(counts) - counts
         self._blocks[held:end] = 0
-        self._known = pa.concat_arrays([self._known, pieces])
+        self._known = pa.chunked_array([*self._known.chunks, pieces])
         self._used = used + len(ids)
 
     def _bare_words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +226,12 @@ class Encoder:
     def _slots(self, dictionary: pa.Array) -> np.ndarray:
         if len(self._known) + len(dictionary) > _PIECES or self._known.nbytes > _PIECE_BYTES:
             self._shrink()
-        slots = pc.fill_null(pc.index_in(dictionary, value_set=self._known), -1).to_numpy().astype(np.int64)
+        # the block's few pieces are hashed and the known ones looked up among
+        # them, not the other way round, as a table is made anew each time
+        places = pc.fill_null(pc.index_in(self._known, value_set=dictionary), -1).to_numpy()
+        hits = np.flatnonzero(places >= 0)
+        slots = np.full(len(dictionary), -1, dtype=np.int64)
+        slots[places[hits]] = hits
         new = slots < 0
         if new.any():
             slots[new] = np.arange(len(self._known), len(self._known) + np.count_nonzero(new))
@@ -305,26 +313,34 @@ class Encoder:
         if self._form is None:
             return join_arrays(self._whole(column.to_pylist()))
         data, ends = bytes_of(column)
-        starts, left = self._cuts(data, ends)
         odd = np.zeros(n, dtype=bool)
-        odd[left] = True
+        found, row = [np.zeros(0, np.int64)], 0
+        for part in blocks_of(column, _CUT_BYTES):
+            a, b = ends[row], ends[row + len(part)]
+            if a < b:
+                starts, left = self._cuts(data[a:b], ends[row : row + len(part) + 1] - a)
+                found.append(starts + a)
+                odd[row + left] = True
+            row += len(part)
+        starts = np.concatenate(found)
+        del found
         for string in self._added:
             odd |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)
         )
         at = np.searchsorted(starts, ends)  # the first piece of each text
-        row = np.repeat(np.arange(n), np.diff(at))
+        left = np.repeat(odd, np.diff(at))
         coded = pieces.dictionary_encode()
         codes = np.asarray(coded.indices)
         used = np.zeros(len(coded.dictionary), dtype=bool)
-        used[codes[~odd[row]]] = True
-        slots = np.zeros(len(used), dtype=np.int64)
+        used[codes[~left]] = True
+        slots = np.zeros(len(used), dtype=np.int32)
         slots[used] = self._slots(coded.dictionary.filter(pa.array(used)))
         self._blocks[slots] += 1
         slots = slots[codes]
-        if odd.any():
-            slots[odd[row]] = 0  # no ids from pieces
+        slots[left] = 0  # no ids from pieces
+        del starts, pieces, coded, codes
         counts = self._count[slots]
         offsets = np.append(0, np.cumsum(counts))[at]
         ids = gather(self._ids, self._start[slots], counts)
@@ -391,8 +407,14 @@ def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``values[start : start + count]`` of all entries, one after the other."""
     ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.repeat(starts - ends + counts, counts) + np.arange(total)]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=values.dtype)
+    for a in range(0, len(counts), _GATHERED):
+        few, end = counts[a : a + _GATHERED], ends[a : a + _GATHERED]
+        done = int(end[0] - few[0])
+        places = np.repeat(starts[a : a + _GATHERED] - end + few, few)
+        places += np.arange(done, done + len(places))
+        out[done : done + len(places)] = values[places]
+    return out
 
 
 def join_arrays(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,6 @@
 import random
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,7 +10,8 @@ import pytest
 from llm_helpers import awkward_rows, make_docs, prose
 from tokenizers import Tokenizer
 
-from quarry.llm import tokens
+from quarry.llm import packing, tokens
+from quarry.llm.common import BATCH_BYTES, BATCH_CONF, small_batches
 from quarry.llm.packing import pack_documents, pack_histogram, pack_ids, unpack_ids, with_checksum
 from quarry.llm.queries import BYTE_BPE, WORD_BPE
 from quarry.llm.token_file import decode_ranks, encode_ranks, read_tokens, write_tokens
@@ -56,6 +58,61 @@ def test_pieces_give_the_ids_of_the_whole_text(path, special, monkeypatch):
     assert found() == want
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_texts_are_cut_in_parts(path, monkeypatch):
+    texts = odd_texts()
+    want = [x.tolist() for x in whole_ids(path, texts)]
+    for size in (1, 50, 5000):
+        monkeypatch.setattr(tokens, "_CUT_BYTES", size)
+        monkeypatch.setattr(tokens, "_GATHERED", size)
+        ids, offsets = Encoder(path).encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == want
+
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_encoding_takes_little_memory(path):
+    texts = pa.array([prose(random.Random(i), 500) for i in range(800)])
+    encoder = Encoder(path)
+    encoder.encode(texts)
+    tracemalloc.start()
+    encoder.encode(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 18 * texts.nbytes
+
+
+def test_texts_are_encoded_from_small_batches(spark, monkeypatch):
+    spark.conf.unset(BATCH_CONF)
+    set_at = {}
+
+    def stage(df, name):
+        set_at[name] = spark.conf.get(BATCH_CONF, None)
+        return real(df, name)
+
+    real = packing.stage
+    monkeypatch.setattr(packing, "stage", stage)
+    docs = make_docs(spark, [(i, "a b " * 2000, "s") for i in range(1500)]).coalesce(1)
+    assert pack_documents(docs, BYTE_BPE).count() > 1500
+    assert set_at["pieces"] == str(BATCH_BYTES) and spark.conf.get(BATCH_CONF, None) is None
+
+    def sizes(batches):
+        return (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    def largest():
+        return max(r.n for r in docs.select("text").mapInArrow(sizes, "n bigint").collect())
+
+    assert largest() > 2 * BATCH_BYTES
+    with small_batches(spark):
+        assert largest() < 1.2 * BATCH_BYTES
+    spark.conf.set(BATCH_CONF, "1000000")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(BATCH_CONF) == "1000000"
+        assert spark.conf.get(BATCH_CONF) == "1000000"
+    finally:
+        spark.conf.unset(BATCH_CONF)
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_no_python_work_per_piece(path):
     column = pa.array([" ".join(f"w{i}é{j}q" for j in range(1000)) for i in range(20)])
