@@ -248,6 +248,8 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 # ------------------------------------------------------------------------- components
 
+EDGES_A_TASK = 100_000
+
 
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """Connected components as ``(node, component)``, ``component`` the
@@ -256,7 +258,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     Large-star and small-star steps alternate until nothing changes; each is
     one aggregation and one join by node, and is written to the shared folder.
     A node with many edges only ever has one row per neighbour, and joins of
-    such a node are split by adaptive execution.
+    such a node are split by adaptive execution. Few edges go to few files, as each
+    file costs the executor some calls of its own.
     """
     spark = edges.sparkSession
     kind = edges.schema[a].dataType
@@ -264,9 +267,10 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     current, path = stage(_star(pairs, large=True).distinct(), "star")
     size = _signature(current)
     for _ in range(max_rounds):
-        small, p1 = stage(_star(current, large=False).distinct(), "star")
+        # a step makes at most two edges of one
+        small, p1 = stage(_few(_star(current, large=False).distinct(), 2 * size[0]), "star")
         drop_stages(spark, [path])
-        current, path = stage(_star(small, large=True).distinct(), "star")
+        current, path = stage(_few(_star(small, large=True).distinct(), 2 * size[0]), "star")
         drop_stages(spark, [p1])
         new = _signature(current)
         if new == size:
@@ -277,7 +281,12 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     both = current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         current.select(F.col("v"), F.col("v"))
     )
-    return both.distinct().select(F.col("node").cast(kind), F.col("component").cast(kind))
+    return _few(both.distinct(), 2 * size[0]).select(F.col("node").cast(kind), F.col("component").cast(kind))
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than about ``rows`` rows need."""
+    return df.coalesce(max(1, -(-rows // EDGES_A_TASK)))
 
 
 def _signature(edges: DataFrame) -> tuple:

@@ -1,3 +1,4 @@
+import glob
 import random
 import re
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from llm_helpers import awkward_rows, make_docs, prose
 
+from quarry.llm import common
 from quarry.llm.common import components, shingles_of_text, words_of
 from quarry.llm.ngram_join import divide_skip, drop_near_duplicates, links, near_duplicates, prefix_length, prefix_overlap, required
 
@@ -160,6 +162,33 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_few_edges_go_to_few_files(spark, monkeypatch):
+    files = []
+
+    def stage(df, name):
+        found = real(df, name)
+        files.append(len(glob.glob(f"{found[1].removeprefix('file:')}/*.parquet")))
+        return found
+
+    real = common.stage
+    monkeypatch.setattr(common, "stage", stage)
+    monkeypatch.setattr(common, "EDGES_A_TASK", 1000)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        edges = spark.range(300).selectExpr("id a", "id + 1 b")
+        got, _ = real(components(edges, "a", "b"), "few")
+        assert max(files[1:]) == 1 and len(files) > 4  # how many come in is not known before
+        assert {tuple(r) for r in got.collect()} == {(i, 0) for i in range(301)}
+        files.clear()
+        many = spark.range(3000).selectExpr("id a", "id - id % 10 b")
+        got, _ = real(components(many, "a", "b"), "many")
+        assert max(files[1:]) > 3
+        assert {tuple(r) for r in got.collect()} == {(i, i - i % 10) for i in range(3000)}
+    finally:
+        spark.conf.set(key, "true")
+
+
 def test_one_of_each_class_stays(spark):
     rows = corpus(4)
     docs = make_docs(spark, rows)
