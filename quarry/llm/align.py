@@ -39,16 +39,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import column_of, stage
-from quarry.llm.tokens import byte_letters, bytes_of, code_points, encoder, gather
+from quarry.llm.common import column_of, small_batches, stage
+from quarry.llm.tokens import blocks_of, byte_letters, bytes_of, code_points, encoder, gather, give_back
 
 BLOCK_BYTES = 8 << 20
+_CUT_BYTES = 1 << 18  # text that is cut into segments at once
+_SEGMENT_BYTES = 1 << 17  # distinct segments that are aligned at once
+_JOINED = 1 << 16  # segments whose groups are joined at once
+_PART_BYTES = 1 << 17  # of an array of a block that go into a row; whole numbers of eight bytes
+# A row of a block is large for the writer of its table, which else looks at its pages and
+# row groups every hundred rows only; the reader holds a row group at once.
+_LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+    "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1", "parquet.block.size": str(8 << 20),
+}
 _META = "▁"  # a space in the pieces of the second tokenizer
 # White space that a space may belong with: Unicode's, what has been such in earlier
 # versions, and the ASCII separators.
 _SPACES = np.array(
     [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
+_ASCII_SPACE = np.isin(np.arange(256), _SPACES[_SPACES < 128])
 
 _PIECE_MODELS: dict[str, PieceModel] = {}
 
@@ -142,29 +153,46 @@ def align(a_ends: np.ndarray, b_ends: np.ndarray) -> Groups:
 def segment_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the segments of some texts begin: at the texts, and at spaces that
     follow something else than white space."""
-    white = np.zeros(len(data) + 1, dtype=bool)  # a character that ends before here is white space
-    white[1:] = np.isin(data, _SPACES[_SPACES < 128].astype(np.uint8))
-    points, places = code_points(data)
-    wide = np.isin(points, _SPACES)
-    white[places[wide] + np.where(points[wide] < 0x800, 2, 3)] = True
-    starts = (data == 0x20) & ~white[:-1]
+    starts = np.zeros(len(data), dtype=bool)
+    for a in range(0, len(data), _CUT_BYTES):
+        # with the character before, and room for the rest of the last one
+        before = min(a, 3)
+        part = np.append(data[a - before : a + _CUT_BYTES], np.zeros(3, np.uint8))
+        white = np.zeros(len(part) + 1, dtype=bool)  # a character that ends before here is white space
+        white[1:] = _ASCII_SPACE[part]
+        points, places = code_points(part)
+        wide = np.isin(points, _SPACES)
+        white[places[wide] + np.where(points[wide] < 0x800, 2, 3)] = True
+        starts[a : a + _CUT_BYTES] = ((part == 0x20) & ~white[:-1])[before:-3]
     starts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(starts)
 
 
 class Segments(NamedTuple):
     """Distinct segments: counts per segment, ``-1`` tokens if a segment's bytes
-    are not those of its tokens; its groups as text; and its links as id pairs."""
+    are not those of its tokens; its groups as text; and its links as places in
+    the sorted distinct id pairs."""
 
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
     n_links: np.ndarray
-    groups: list[bytes]
+    groups: pa.Array
+    links: np.ndarray
     pairs: np.ndarray
 
 
 def align_segments(segments: pa.Array, byte_path: str, piece_path: str) -> Segments:
+    """Some segments are aligned at a time, as their tokens are Python objects in between."""
+    few = blocks_of(segments, _SEGMENT_BYTES) if len(segments) else [segments]
+    parts = [_align_some(part, byte_path, piece_path) for part in few]
+    pairs = np.unique(np.concatenate([p.pairs for p in parts]))
+    links = np.concatenate([np.searchsorted(pairs, p.pairs).astype(np.uint32)[p.links] for p in parts])
+    sums = [np.concatenate([getattr(p, k) for p in parts]) for k in _DOC]
+    return Segments(*sums, pa.concat_arrays([p.groups for p in parts]), links, pairs)
+
+
+def _align_some(segments: pa.Array, byte_path: str, piece_path: str) -> Segments:
     a_ids, a_at = encoder(byte_path, special=False).encode(segments)
     model = piece_model(piece_path)
     b_ids, n_b = model.encode(segments.to_pylist())
@@ -184,10 +212,10 @@ def align_segments(segments: pa.Array, byte_path: str, piece_path: str) -> Segme
         _listed(a_ids, found.a_label, len(found.ends)), _listed(b_ids, found.b_label, len(found.ends)), "|"
     )
     at = np.append(0, np.cumsum(groups_of)).astype(np.int64)
-    texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at), joined), ";")
+    texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at), joined), ";").cast(pa.large_string())
     n_a = np.where(good, n_a, -1)
-    pairs = a_ids[found.links[0]] << 32 | b_ids[found.links[1]]
-    return Segments(n_a, n_b, groups_of, links_of, [t.encode() for t in texts.to_pylist()], pairs)
+    pairs, links = np.unique(a_ids[found.links[0]] << 32 | b_ids[found.links[1]], return_inverse=True)
+    return Segments(n_a, n_b, groups_of, links_of, texts, links.astype(np.uint32), pairs)
 
 
 def _listed(ids: np.ndarray, label: np.ndarray, groups: int) -> pa.Array:
@@ -235,7 +263,6 @@ class Block:
         texts = texts.fill_null("").cast(pa.large_string())
         if not piece_model(piece_path).splits:
             raise ValueError("the second tokenizer has pieces that go on after a space")
-        n = len(texts)
         empty, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
         spaced = pc.if_else(pc.equal(texts, empty), empty, pc.binary_join_element_wise(space, texts, empty))
         data, offsets = bytes_of(spaced)
@@ -243,33 +270,41 @@ class Block:
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)
         ).dictionary_encode()
-        codes = np.asarray(pieces.indices)
-        row = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, offsets)))
-        found = align_segments(pieces.dictionary, byte_path, piece_path)
-        bad = np.zeros(n, dtype=bool)
-        bad[row[found.n_a[codes] < 0]] = True
-        codes, row = codes[~bad[row]], row[~bad[row]]
-        self.at = np.searchsorted(row, np.arange(n + 1))
-        self.codes = codes
+        codes, distinct = np.asarray(pieces.indices), pieces.dictionary
+        at = np.searchsorted(starts, offsets)
+        del texts, spaced, data, starts, pieces
+        found = align_segments(distinct, byte_path, piece_path)
+        bad = _sums(found.n_a[codes] < 0, at) > 0
+        if bad.any():
+            sizes = np.diff(at)
+            codes, at = codes[np.repeat(~bad, sizes)], np.append(0, np.cumsum(np.where(bad, 0, sizes)))
+        self.at, self.codes = at, codes
         # a text's links are within its segments, so are its groups
         self.counts = {k: _sums(getattr(found, k)[codes], self.at) for k in _DOC}
         self._texts = found.groups
         self.link_at = np.append(0, np.cumsum(found.n_links))
-        self.pairs, self.links = np.unique(found.pairs, return_inverse=True)
+        self.pairs, self.links = found.pairs, found.links
         used = np.bincount(codes, minlength=len(found.n_links))
         self.pair_counts = np.bincount(
             self.links, weights=np.repeat(used, found.n_links), minlength=len(self.pairs)
         ).astype(np.int64)
 
     def groups(self) -> Iterator[bytes]:
-        texts, codes = self._texts, self.codes.tolist()
-        for a, b in zip(self.at[:-1].tolist(), self.at[1:].tolist(), strict=True):
-            yield b";".join([texts[c] for c in codes[a:b]])
+        row = 0
+        while row < len(self.at) - 1:
+            end = max(int(np.searchsorted(self.at, self.at[row] + _JOINED, side="right")) - 1, row + 1)
+            at = self.at[row : end + 1].astype(np.int64)
+            texts = self._texts.take(pa.array(self.codes[at[0] : at[-1]]))
+            lists = pa.LargeListArray.from_arrays(pa.array(at - at[0]), texts)
+            joined = pc.binary_join(lists, pa.scalar(";", texts.type))
+            yield from joined.cast(pa.large_binary()).to_pylist()
+            row = end
 
 
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of values[at[i] : at[i + 1]]."""
-    sums = np.append(0, np.cumsum(values, dtype=np.int64))
+    sums = np.zeros(len(values) + 1, dtype=np.int64)
+    np.cumsum(values, out=sums[1:])
     return sums[at[1:]] - sums[at[:-1]]
 
 
@@ -280,17 +315,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
 
     def taken():
         table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
         return [_flat(table.column(name)) for name in ("doc_id", "text")]
 
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(column_of(batch, "text")), 0).to_numpy().astype(np.int64)
-        first = 0
-        for i in np.flatnonzero(np.diff((size + np.cumsum(lengths)) // BLOCK_BYTES, prepend=0)).tolist():
-            held.append(batch.slice(first, i + 1 - first))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column_of(batch, "text")), 0).to_numpy(), dtype=np.int64)
+        first = done = 0
+        # the row with which the block is full
+        while (last := int(np.searchsorted(ends, done + BLOCK_BYTES - size))) < len(batch):
+            held.append(batch.slice(first, last + 1 - first))
             yield taken()
-            held, first, size = [], i + 1, -int(lengths[: i + 1].sum()) % BLOCK_BYTES
+            first, done, size = last + 1, int(ends[last]), 0
         held.append(batch.slice(first))
-        size += int(lengths.sum())
+        size += int(ends[-1]) - done if len(batch) else 0
+        batch = ends = None  # freed before the next batch comes
     if sum(len(b) for b in held):
         yield taken()
 
@@ -315,13 +353,16 @@ def aligned_groups(docs: DataFrame, byte_path: str, piece_path: str) -> DataFram
                 [doc_ids, *(pa.array(block.counts[k]) for k in _DOC), pa.array(block.groups(), pa.binary()).cast(pa.string())],
                 ["doc_id", *_DOC, "groups"],
             )
+            doc_ids = texts = block = None  # freed before the next block comes
+            give_back()
 
     return _rows(docs).mapInArrow(run, "doc_id bigint, " + ", ".join(f"{k} bigint" for k in _DOC) + ", groups string")
 
 
+_ARRAYS = {"at": "<i8", "codes": "<u4", "link_at": "<i8", "links": "<u4", "pairs": "<i8", "pair_counts": "<i8"}
 _BLOCK = (
-    "block bigint, doc_ids array<bigint>, " + ", ".join(f"{k} array<bigint>" for k in _DOC)
-    + ", groups_sha256 array<string>, at binary, codes binary, link_at binary, links binary, pairs binary, pair_counts binary"
+    "block bigint, first bigint, doc_ids array<bigint>, " + ", ".join(f"{k} array<bigint>" for k in _DOC)
+    + ", groups_sha256 array<string>, " + ", ".join(f"{k} binary" for k in _ARRAYS)
 )
 
 
@@ -331,37 +372,42 @@ def _aligned_blocks(byte_path: str, piece_path: str):
         for serial, (doc_ids, texts) in enumerate(_blocks(batches)):
             b = Block(texts, byte_path, piece_path)
             shas = [hashlib.sha256(g).hexdigest() if g else "" for g in b.groups()]
-            raw = [b.at.astype("<i8"), b.codes.astype("<u4"), b.link_at.astype("<i8"), b.links.astype("<u4"),
-                   b.pairs.astype("<i8"), b.pair_counts.astype("<i8")]
             lists = [doc_ids, *(pa.array(b.counts[k]) for k in _DOC), pa.array(shas, pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([task << 32 | serial], pa.int64()),
-                    *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
-                    *(pa.array([x.tobytes()], pa.binary()) for x in raw),
-                ],
-                [f.split()[0] for f in _BLOCK.split(", ")],
-            )
+            raw = [np.ascontiguousarray(getattr(b, k), t).view(np.uint8) for k, t in _ARRAYS.items()]
+            # the first row of a block has the documents, and each has the arrays' bytes from ``first`` on
+            for first in range(0, max(map(len, raw)), _PART_BYTES):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([task << 32 | serial], pa.int64()),
+                        pa.array([first], pa.int64()),
+                        *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
+                        *(pa.array([x[first : first + _PART_BYTES].tobytes()], pa.binary()) for x in raw),
+                    ],
+                    [f.split()[0] for f in _BLOCK.split(", ")],
+                )
+                lists = [x[:0] for x in lists]
+            doc_ids = texts = b = shas = raw = lists = None  # freed before the next block comes
+            give_back()
 
     return run
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block, pairs, counts in zip(*(column_of(batch, c) for c in ("block", "pairs", "pair_counts")), strict=True):
+        columns = (column_of(batch, c) for c in ("block", "first", "pairs", "pair_counts"))
+        for block, first, pairs, counts in zip(*columns, strict=True):
             keys = np.frombuffer(pairs.as_buffer(), "<i8")
-            for at in range(0, len(keys), 100_000):
-                some = keys[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), block.as_py())),
-                        pa.array(np.arange(at, at + len(some), dtype=np.int32)),
-                        pa.array((some >> 32).astype(np.int32)),
-                        pa.array((some & 0xFFFFFFFF).astype(np.int32)),
-                        pa.array(np.frombuffer(counts.as_buffer(), "<i8")[at : at + len(some)]),
-                    ],
-                    ["block", "place", "a", "b", "n"],
-                )
+            at = first.as_py() // 8
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(keys), block.as_py())),
+                    pa.array(np.arange(at, at + len(keys), dtype=np.int32)),
+                    pa.array((keys >> 32).astype(np.int32)),
+                    pa.array((keys & 0xFFFFFFFF).astype(np.int32)),
+                    pa.array(np.frombuffer(counts.as_buffer(), "<i8")),
+                ],
+                ["block", "place", "a", "b", "n"],
+            )
 
 
 _RESULT = (
@@ -371,9 +417,10 @@ _RESULT = (
 
 def _finish(blocks: pa.Table, counted: pa.Table) -> pa.Table:
     """A block's documents with the counts of its pairs."""
+    blocks = blocks.sort_by("first")
     row = {c: blocks.column(c)[0] for c in blocks.column_names}
     at, codes, link_at, links = (
-        np.frombuffer(row[c].as_buffer(), t) for c, t in (("at", "<i8"), ("codes", "<u4"), ("link_at", "<i8"), ("links", "<u4"))
+        np.frombuffer(b"".join(x.as_buffer() for x in blocks.column(c)), _ARRAYS[c]) for c in ("at", "codes", "link_at", "links")
     )
     count = np.zeros(counted.num_rows, dtype=np.int64)
     best = np.zeros(counted.num_rows, dtype=np.int64)
@@ -390,7 +437,7 @@ def _finish(blocks: pa.Table, counted: pa.Table) -> pa.Table:
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """``block, place, count, best``: for each id pair of each block how often it
     is linked in the corpus, and whether no pair of its second id is more often."""
-    held = blocks.select("block", "pairs", "pair_counts").mapInArrow(
+    held = blocks.where("octet_length(pairs) > 0").select("block", "first", "pairs", "pair_counts").mapInArrow(
         _block_pairs, "block bigint, place int, a int, b int, n bigint"
     )
     counts, _ = stage(held.groupBy("a", "b").agg(F.sum("n").alias("count")), "pair-counts")
@@ -404,7 +451,9 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str) -> DataFra
     """One row per document: the counts of ``aligned_groups``, the digest of its
     groups, ``n_best`` (links whose count is the highest of their second id) and
     ``count_sum`` (the counts of all its links)."""
-    blocks, _ = stage(_rows(docs).mapInArrow(_aligned_blocks(byte_path, piece_path), _BLOCK), "aligned", compression="zstd")
+    found = _rows(docs).mapInArrow(_aligned_blocks(byte_path, piece_path), _BLOCK)
+    with small_batches(docs.sparkSession):
+        blocks, _ = stage(found, "aligned", compression="zstd", **_LARGE_ROWS)
     return (
         blocks.drop("pairs", "pair_counts")
         .groupBy("block")

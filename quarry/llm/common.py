@@ -48,12 +48,13 @@ def whole_row(docs: DataFrame):
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def stage(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, name: str, compression: str | None = None, **options: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read
-    it back: cuts the lineage, so a lost executor costs no recomputation."""
+    it back: cuts the lineage, so a lost executor costs no recomputation.
+    ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -149,3 +149,57 @@ def test_groups_as_text(spark):
 
 def test_no_documents(spark, no_docs):
     assert align_documents(no_docs, BYTE_BPE, PIECE_BPE).count() == 0
+
+
+def test_arrays_of_a_block_in_many_rows(spark, monkeypatch):
+    """Also blocks without a token."""
+    rows = rows_of_all_kinds()
+    monkeypatch.setattr(module, "_PART_BYTES", 64)
+    monkeypatch.setattr(module, "_SEGMENT_BYTES", 50)
+    monkeypatch.setattr(module, "_CUT_BYTES", 7)
+    monkeypatch.setattr(module, "_JOINED", 3)
+    got = align_documents(make_docs(spark, rows).repartition(2), BYTE_BPE, PIECE_BPE)
+    assert sorted(map(repr, map(tuple, got.collect()))) == expected(rows)
+    none = [(1, None, "a"), (2, "", "a"), (3, "a▁b", "b")]
+    got = align_documents(make_docs(spark, none).coalesce(1), BYTE_BPE, PIECE_BPE)
+    assert sorted(map(repr, map(tuple, got.collect()))) == expected(none)
+
+
+def test_rows_of_blocks_are_small(monkeypatch):
+    """However much text a block has: executors hold several such rows at once."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.randrange(10**6):x}" for _ in range(1000)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    task = type("Task", (), {"get": staticmethod(lambda: type("Now", (), {"partitionId": lambda self: 7})())})
+    monkeypatch.setattr(module, "TaskContext", task)
+    found = list(module._aligned_blocks(BYTE_BPE, PIECE_BPE)(iter([batch])))
+    assert all(x.num_rows == 1 for x in found)
+    assert max(x.nbytes for x in found) < 1_000_000 < sum(x.nbytes for x in found)
+
+
+@pytest.mark.parametrize("each", [1, 3, 40])
+def test_blocks_do_not_depend_on_batches(monkeypatch, each):
+    """A batch that ends within a block begins no block of its own."""
+    monkeypatch.setattr(module, "BLOCK_BYTES", 100)
+    texts = ["x" * (7 + i % 5) if i % 6 else None for i in range(60)]
+    table = pa.table({"doc_id": range(60), "text": pa.array(texts)})
+    found = list(module._blocks(iter(table.to_batches(max_chunksize=each))))
+    assert [i for ids, _ in found for i in ids.to_pylist()] == list(range(60))
+    assert [t for _, some in found for t in some.to_pylist()] == texts
+    sizes = [sum(len(t or "") for t in some.to_pylist()) for _, some in found]
+    assert all(100 <= s < 112 for s in sizes[:-1]) and sizes[-1] < 100
+
+
+def test_few_segments_are_tokenised_at_once(monkeypatch):
+    """Their ids are lists of Python integers until then."""
+    seen = []
+
+    def encode(self, spaced):
+        seen.append(sum(len(s.encode()) for s in spaced))
+        return plain(self, spaced)
+
+    plain = module.PieceModel.encode
+    monkeypatch.setattr(module.PieceModel, "encode", encode)
+    texts = pa.array([" ".join(f"{i * 7919 + j:x}" for j in range(2000)) for i in range(40)])
+    Block(texts, BYTE_BPE, PIECE_BPE)
+    assert sum(seen) > 300_000 and max(seen) <= 1 << 17
